@@ -33,8 +33,12 @@ def latest_revision(df: DataFrame, key: str = "file_name") -> DataFrame:
 
 
 def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The rows of ``source`` whose key the target does not hold yet."""
-    return source.join(target.select(key), key, "left_anti").select(source.columns)
+    """The rows of ``source`` whose key the target does not hold yet.
+
+    The target's keys are made distinct first, so repeated keys shrink before
+    the shuffle the join needs anyway.
+    """
+    return source.join(target.select(key).distinct(), key, "left_anti").select(source.columns)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -44,7 +48,8 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFra
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Rows with a key of the source are replaced whole, new keys are added."""
-    return target.join(source.select(key), key, "left_anti").select(target.columns).unionByName(source)
+    kept = target.join(source.select(key).distinct(), key, "left_anti").select(target.columns)
+    return kept.unionByName(source)
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
