@@ -8,7 +8,7 @@ is handled on.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quire import fixed_values as fixed
 
@@ -20,11 +20,13 @@ WHITESPACE = "".join(
         *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
     )
 )
-WHITESPACE_CLASS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The same set in regular expressions ((?U): Unicode white space for \s).
+SPACES = r"(?U)[\s\x1c-\x1f]+"
+NON_SPACES = r"(?U)[^\s\x1c-\x1f]+"
 
-# Texts made of Latin-1 only, without its compatibility characters, are equal
-# to their NFKC form: nothing decomposes and no combining mark can compose.
-MAYBE_NOT_NFKC = r"[^\x00-\xff]|[\xa0\xa8\xaa\xaf\xb2-\xb5\xb8-\xba\xbc-\xbe]"
+# Texts of Latin-1 characters only, without its compatibility characters, are
+# equal to their NFKC form: nothing decomposes and no combining mark composes.
+MAYBE_NOT_NFKC = r"[\xa0\xa8\xaa\xaf\xb2-\xb5\xb8-\xba\xbc-\xbe\x{100}-\x{10ffff}]"
 
 
 @F.pandas_udf(T.StringType())
@@ -44,7 +46,7 @@ def strip(text: Column) -> Column:
 
 def collapse_blanks(text: Column) -> Column:
     """Runs of spaces and tabs become one space; line breaks stay."""
-    return F.regexp_replace(text, r"[ \t]+", " ")
+    return F.regexp_replace(text, r"[ \t]{2,}|\t", " ")
 
 
 def cap_blank_lines(text: Column) -> Column:
@@ -59,12 +61,11 @@ def clean(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The non-empty pieces between white space, case kept."""
-    spaced = F.translate(text, WHITESPACE, " " * len(WHITESPACE))
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.array_remove(F.split(text, SPACES), "")
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.size(words(text)), F.lit(0))
+    return F.coalesce(F.regexp_count(text, F.lit(NON_SPACES)), F.lit(0))
 
 
 def tokens(text: Column) -> Column:
@@ -74,7 +75,7 @@ def tokens(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Split after ``.``, ``!`` or ``?`` where white space follows."""
-    return F.array_remove(F.split(strip(text), r"(?<=[.!?])" + WHITESPACE_CLASS + "+"), "")
+    return F.array_remove(F.split(strip(text), r"(?<=[.!?])" + SPACES), "")
 
 
 def file_suffix(name: Column) -> Column:
@@ -99,6 +100,16 @@ def first_keyword(text: Column, keywords, default: str) -> Column:
     )
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row, however often they are used.
+
+    Catalyst copies an expression into every filter above it; through a
+    generator it does not, which pays for costly text expressions.
+    """
+    made = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
+
+
 def infer_category(file_name: Column) -> Column:
     return first_keyword(file_stem(file_name), fixed.CATEGORY_KEYWORDS, fixed.DEFAULT_CATEGORY)
 

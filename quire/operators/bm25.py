@@ -158,7 +158,7 @@ def _score(index: Bm25Index, block: pa.Table, k: int, pad: bool, out_schema: T.S
                 shape = (n_queries, stop - first)
                 score = np.bincount(cell, gain, minlength=shape[0] * shape[1]).reshape(shape)
                 matched = None if pad else np.bincount(cell, minlength=score.size).reshape(shape) > 0
-                best.offer_block(0, first, np.round(score, topk.DECIMALS) + 0.0, matched, ids)
+                best.offer_block(0, first, score, matched, ids)
         yield from best.result(q.query_ids, arrow_schema)
 
     return index.docs.select(index.id_col, "tokens").mapInArrow(run, out_schema)
@@ -171,12 +171,8 @@ def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool
     Chunks sharing no word with the query are left out; ``pad_to_k`` lets them
     in with score 0 (in id order), so that every query gets k rows.
     """
-    out_schema = T.StructType(
-        [
-            T.StructField("query_id", queries.schema["query_id"].dataType),
-            T.StructField(index.id_col, index.docs.schema[index.id_col].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
+    out_schema = topk.score_schema(
+        queries.schema["query_id"].dataType, index.id_col, index.docs.schema[index.id_col].dataType
     )
     words = queries.select("query_id", F.coalesce(tx.tokens(F.col("text")), F.array().cast("array<string>")).alias("tokens"))
     scored = topk.over_query_blocks(
@@ -185,4 +181,4 @@ def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool
         lambda block: _score(index, block, k, pad_to_k, out_schema),
         **block_bounds,
     )
-    return topk.rank_per_query(scored, k, [F.desc("score"), F.asc(index.id_col)])
+    return topk.rank_per_query(scored, k, [F.desc("place"), F.asc(index.id_col)]).drop("place")

@@ -22,16 +22,23 @@ def chunk_documents(
     the end.  The id holds the number of the first sentence.
     """
     stride = max(1, sentences_per_chunk - overlap_sentences)
-    split = documents.select(*carried, F.col(key).alias("_key"), tx.sentences(F.col(text_col)).alias("_sentences"))
-    split = split.withColumn("_n", F.size("_sentences")).filter("_n > 0")
-    beyond = F.greatest(F.col("_n") - sentences_per_chunk, F.lit(0))
+    keyed = documents.select(*carried, F.col(key).alias("_key"), F.col(text_col).alias("_text"))
+    split = tx.once(keyed, _sentences=tx.sentences(F.col("_text")))
+    n = F.size("_sentences")
+    beyond = F.greatest(n - sentences_per_chunk, F.lit(0))
     last = (F.ceil(beyond / stride) * stride).cast("int")
-    starts = split.select(
-        *carried, "_key", "_sentences", F.explode(F.sequence(F.lit(0), last, F.lit(stride))).alias("_start")
+    # Build a document's chunks before exploding, so that the rows do not each
+    # carry all of its sentences.
+    groups = F.transform(
+        F.when(n > 0, F.sequence(F.lit(0), last, F.lit(stride))),
+        lambda start: F.struct(
+            start.alias("start"),
+            F.array_join(F.slice("_sentences", start + 1, F.lit(sentences_per_chunk)), " ").alias("text"),
+        ),
     )
-    group = F.slice("_sentences", F.col("_start") + 1, F.lit(sentences_per_chunk))
-    return starts.select(
-        F.format_string("%s_chunk_%03d", F.col("_key"), F.col("_start")).alias("chunk_id"),
-        F.array_join(group, " ").alias("text"),
+    exploded = split.select(*carried, "_key", F.explode(groups).alias("_group"))
+    return exploded.select(
+        F.format_string("%s_chunk_%03d", F.col("_key"), F.col("_group.start")).alias("chunk_id"),
+        F.col("_group.text").alias("text"),
         *carried,
     )

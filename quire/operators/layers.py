@@ -49,13 +49,9 @@ def refresh_text_columns(df: DataFrame) -> DataFrame:
 
 def to_silver(bronze: DataFrame, now: Column | None = None) -> DataFrame:
     """Clean text and its measures; one update time for the whole run."""
-    stamped = bronze.withColumns(
-        {
-            "clean_text": tx.clean(F.col("raw_text")),
-            "silver_updated_at": F.current_timestamp() if now is None else now,
-        }
-    )
-    return refresh_text_columns(stamped).select(SILVER_SCHEMA.names)
+    now = F.current_timestamp() if now is None else now
+    cleaned = tx.once(bronze, clean_text=tx.clean(F.col("raw_text"))).withColumn("silver_updated_at", now)
+    return refresh_text_columns(cleaned).select(SILVER_SCHEMA.names)
 
 
 def valid_rows(silver: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from quire.session import materialize, scratch_path
 
@@ -22,11 +22,22 @@ QUERY_BLOCK_ROWS = 20_000
 # Score cells (queries x rows) a task holds at once.
 CELLS = 4_000_000
 
-# Scores are compared at this many decimals, so that the order in which equal
-# terms are added up cannot decide a rank; equal scores rank by id.
+# Scores are compared at this many decimals (column "place"), so that the order
+# in which equal terms are added up cannot decide a rank; equals rank by id.
 DECIMALS = 9
 
 
+def score_schema(query_type: T.DataType, id_col: str, id_type: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("query_id", query_type),
+            T.StructField(id_col, id_type),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("place", T.DoubleType()),
+        ]
+    )
+
+
 class TaskTopK:
     """Running best k per query over the batches of one task."""
 
@@ -37,39 +48,43 @@ class TaskTopK:
         self.rows = 0
         self.limit = max(100_000, 4 * k * n_queries)
 
-    def offer(self, query: np.ndarray, row: np.ndarray, score: np.ndarray, ids: pa.Array) -> None:
-        good = score >= self.floor[query]
-        if not good.any():
+    def offer_block(
+        self, first_query: int, first_row: int, scores: np.ndarray, valid: np.ndarray | None, ids: pa.Array
+    ) -> None:
+        """Offer a dense (queries x rows) block of scores."""
+        place = np.round(scores, DECIMALS) + 0.0
+        if valid is not None:
+            place = np.where(valid, place, -np.inf)
+        floor = self.floor[first_query : first_query + place.shape[0]]
+        if place.shape[1] > self.k:
+            floor = np.maximum(np.partition(place, -self.k, axis=1)[:, -self.k], floor)
+        query, row = np.nonzero((place >= floor[:, None]) & (place > -np.inf))
+        if len(query) == 0:
             return
-        query, row, score = query[good], row[good], score[good]
-        self.kept.append(pa.table({"q": query, "score": score, "id": ids.take(pa.array(row))}))
+        self.kept.append(
+            pa.table(
+                {
+                    "q": query + first_query,
+                    "id": ids.take(pa.array(row + first_row)),
+                    "score": scores[query, row],
+                    "place": place[query, row],
+                }
+            )
+        )
         self.rows += len(query)
         if self.rows > self.limit:
             self._prune()
 
-    def offer_block(self, first_query: int, first_row: int, scores: np.ndarray, valid: np.ndarray | None, ids: pa.Array) -> None:
-        """Offer a dense (queries x rows) block of scores."""
-        if valid is not None:
-            scores = np.where(valid, scores, -np.inf)
-        if scores.shape[1] > self.k:
-            kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
-        else:
-            kth = np.full(scores.shape[0], -np.inf)
-        floor = np.maximum(kth, self.floor[first_query : first_query + scores.shape[0]])
-        keep = (scores >= floor[:, None]) & (scores > -np.inf)
-        query, row = np.nonzero(keep)
-        self.offer(query + first_query, row + first_row, scores[query, row], ids)
-
     def _prune(self) -> pa.Table:
         table = pa.concat_tables(self.kept).combine_chunks()
-        table = table.sort_by([("q", "ascending"), ("score", "descending"), ("id", "ascending")])
+        table = table.sort_by([("q", "ascending"), ("place", "descending"), ("id", "ascending")])
         query = table["q"].to_numpy()
         first = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.array([], int)
         length = np.diff(np.r_[first, len(query)])
-        place = np.arange(len(query)) - np.repeat(first, length)
-        kth = np.flatnonzero(place == self.k - 1)
-        self.floor[query[kth]] = table["score"].to_numpy()[kth]
-        table = table.filter(pa.array(place < self.k))
+        nth = np.arange(len(query)) - np.repeat(first, length)
+        kth = np.flatnonzero(nth == self.k - 1)
+        self.floor[query[kth]] = table["place"].to_numpy()[kth]
+        table = table.filter(pa.array(nth < self.k))
         self.kept, self.rows = [table], table.num_rows
         self.limit = max(self.limit, 2 * table.num_rows)
         return table
@@ -79,7 +94,7 @@ class TaskTopK:
             return []
         table = self._prune()
         out = pa.table(
-            [pa.chunked_array([query_ids.take(table["q"].combine_chunks())]), table["id"], table["score"]], names=schema.names
+            [query_ids.take(table["q"].combine_chunks()), table["id"], table["score"], table["place"]], names=schema.names
         )
         return out.cast(schema).to_batches()
 

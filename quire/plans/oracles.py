@@ -75,6 +75,7 @@ dictionary AS (SELECT term, df, CASE WHEN raw < 0 THEN {fixed.BM25_EPSILON} * (S
 
 ITEMS = "queries AS (SELECT item_id AS query_id, text FROM benchmark)"
 USER_TURNS = "queries AS (SELECT conv_id * 1000 + turn AS query_id, text FROM conversations WHERE role = 'user')"
+REGIONS = "queries AS (SELECT r_regionkey AS query_id, r_name AS text FROM region)"
 K1, B = fixed.BM25_K1, fixed.BM25_B
 
 
@@ -363,8 +364,10 @@ SELECT query_id, chunk_id, round(d, 6) AS distance, CAST(r AS INTEGER) AS rank F
   row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), chunk_id) AS r FROM d) WHERE r <= 6""",
     "d4_bm25_topk": f"WITH {bm25(ITEMS, 6)} SELECT * FROM bm25_hits",
     "d4_bm25_user_turns": f"WITH {bm25(USER_TURNS, 10)} SELECT * FROM bm25_hits",
-    "d4a_bm25_padded": f"""WITH {CHUNKS} SELECT r_regionkey AS query_id, chunk_id, CAST(0 AS DOUBLE) AS score, CAST(r AS INTEGER) AS rank
-FROM region CROSS JOIN (SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) AS r FROM chunks) WHERE r <= 6""",
+    "d4a_bm25_padded": f"""WITH {bm25(REGIONS, 6)} SELECT query_id, chunk_id, score, CAST(r AS INTEGER) AS rank FROM (
+  SELECT query_id, chunk_id, round(coalesce(raw_score, 0), 6) AS score,
+    row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(raw_score, 0), 9) DESC, chunk_id) AS r
+  FROM queries CROSS JOIN chunks LEFT JOIN scores USING (query_id, chunk_id)) WHERE r <= 6""",
     "d5_rank_fusion": """WITH l AS (SELECT l_partkey AS query_id, l_suppkey AS chunk_id, sum(l_quantity) AS q, min(l_quantity) AS m
   FROM lineitem GROUP BY 1, 2),
 v AS (SELECT * FROM (SELECT query_id, chunk_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY q DESC, chunk_id) AS INTEGER) AS v FROM l) WHERE v <= 6),
