@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,6 +36,8 @@ class Field:
 @dataclass(frozen=True)
 class Contract:
     fields: tuple[Field, ...]
+    # Columns derived from the values, and checks over values and derived columns.
+    derived: Callable[[Callable[[str], Column]], dict[str, Column]] | None = None
     row_checks: Callable[[Callable[[str], Column]], list[Check]] | None = None
     path_field: str | None = None  # must name a file of the inventory
 
@@ -58,88 +61,136 @@ def _first_failure(checks: list[Check]) -> Column | None:
     return F.coalesce(*[F.when(failed, _error(code, msg)) for failed, code, msg in checks])
 
 
-# --- kinds: raw JSON value -> (checks, normalized value) -------------------
-# ``kind`` is the JSON kind as the engine names it, ``raw`` the value as text.
+# --- kinds -------------------------------------------------------------------
+# A kind turns a raw JSON value into steps of helper columns, a normalized value
+# and an error.  ``kind`` is the JSON kind as the engine names it, ``raw`` the
+# value as text.  The usual spelling of a value is recognized first; what an
+# error says is worked out only for values that have one.
 
-NUMERIC = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
+
+@dataclass(frozen=True)
+class Compiled:
+    value: Column
+    error: Column
+    steps: tuple[dict[str, Column], ...] = ()
+
+
+def _kind(field: Field) -> Column:
+    return F.col(f"_kind_{field.name}")
+
+
+def _raw(field: Field) -> Column:
+    return F.col(f"_raw_{field.name}")
 
 
-def _string(field: Field, kind: Column, raw: Column) -> tuple[list[Check], Column]:
-    wrong = kind != "STRING"
-    if field.nullable:
-        wrong = wrong & (kind != "VOID")
+def _is_number(kind: Column) -> Column:
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
+
+
+def _string(field: Field) -> Compiled:
+    kind, raw = _kind(field), _raw(field)
+    wrong = (kind != "STRING") & (kind != "VOID") if field.nullable else kind != "STRING"
     value = F.when(kind == "STRING", tx.strip(raw) if field.stripped else raw)
-    return [(wrong, "string_type", F.lit(fixed.MSG_STRING))], value
+    return Compiled(value, F.when(wrong, _error("string_type", fixed.MSG_STRING)))
 
 
-def _literal(field: Field, kind: Column, raw: Column) -> tuple[list[Check], Column]:
+def _literal(field: Field) -> Compiled:
+    kind, raw = _kind(field), _raw(field)
     quoted = [f"'{c}'" for c in field.choices]
     allowed = " or ".join([", ".join(quoted[:-1]), quoted[-1]] if len(quoted) > 1 else quoted)
     wrong = (kind != "STRING") | ~raw.isin(*field.choices)
-    return [(wrong, "literal_error", F.lit(f"Input should be {allowed}"))], raw
+    return Compiled(raw, F.when(wrong, _error("literal_error", f"Input should be {allowed}")))
+
 
+WHOLE_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*([.]0+)?$"
 
-def _integer(field: Field, kind: Column, raw: Column) -> tuple[list[Check], Column]:
+
+def _integer(field: Field) -> Compiled:
     """Whole numbers as digit text, so that any magnitude reaches the bounds."""
-    is_text, is_number = kind == "STRING", kind.rlike(NUMERIC)
-    whole_text = tx.strip(raw).rlike(r"^[+-]?[0-9]+(_[0-9]+)*([.]0+)?$")
+    kind, raw = _kind(field), _raw(field)
     number = raw.try_cast("double")
-    digits = F.regexp_replace(F.regexp_replace(tx.strip(raw), "_|[.]0+$", ""), r"^([+-]?)0+(?=[0-9])", "$1")
-    digits = F.regexp_replace(F.regexp_replace(digits, r"^[+]", ""), r"^-0$", "0")
-    # A decimal or double keeps its whole part; plain long integers keep every digit.
-    plain = raw.rlike(r"^-?[0-9]+$")
+    bare = F.regexp_replace(tx.strip(raw), "^[+]|_|[.]0+$", "")
+    from_text = F.when(
+        tx.strip(raw).rlike(WHOLE_TEXT), F.regexp_replace(F.regexp_replace(bare, "^(-?)0+(?=[0-9])", "$1"), "^-0$", "0")
+    )
+    # Decimals without a fraction keep every digit; doubles have a whole part.
+    from_number = F.when(raw.rlike("^-?[0-9]+$"), raw).when(
+        number == F.floor(number), number.try_cast("bigint").cast("string")
+    )
     value = (
-        F.when(kind == "BOOLEAN", F.when(raw == "true", "1").otherwise("0"))
-        .when(is_text & whole_text, digits)
-        .when(is_number & plain, raw)
-        .when(is_number & (number == F.floor(number)), number.try_cast("bigint").cast("string"))
+        F.when(kind == "BIGINT", raw)
+        .when(kind == "STRING", from_text)
+        .when(kind == "BOOLEAN", F.when(raw == "true", "1").otherwise("0"))
+        .when(_is_number(kind), from_number)
     )
-    checks = [
-        (~is_text & ~is_number & (kind != "BOOLEAN"), "int_type", F.lit(fixed.MSG_INT)),
-        (is_text & ~whole_text, "int_parsing", F.lit(fixed.MSG_INT_TEXT)),
-        (is_number & ~plain & (F.abs(number) >= 2.0**63), "int_parsing_size", F.lit(fixed.MSG_INT_SIZE)),
-        (is_number & ~plain & (number != F.floor(number)), "int_from_float", F.lit(fixed.MSG_INT_FRACTION)),
-    ]
-    return checks, value
+    name = f"_{field.name}_digits"
+    error = F.when(
+        (kind != "BIGINT") & F.col(name).isNull(),
+        F.when(kind == "STRING", _error("int_parsing", fixed.MSG_INT_TEXT))
+        .when(~_is_number(kind), _error("int_type", fixed.MSG_INT))
+        .when(F.abs(number) >= 2.0**63, _error("int_parsing_size", fixed.MSG_INT_SIZE))
+        .otherwise(_error("int_from_float", fixed.MSG_INT_FRACTION)),
+    )
+    return Compiled(F.col(name), error, ({name: value},))
 
 
-UUID_FORM = r"^(?:urn:uuid:|\{)?([0-9a-fA-F]{8})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{12})\}?$"
+UUID_CANONICAL = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+UUID_PARTS = "([0-9a-fA-F]{8})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{4})-?([0-9a-fA-F]{12})"
+UUID_HYPHENATED = UUID_PARTS.replace("-?", "-")
+UUID_ACCEPTED = rf"^(?:(?:urn:uuid:)?{UUID_HYPHENATED}|\{{{UUID_HYPHENATED}\}}|[0-9a-fA-F]{{32}})$"
 UUID_GROUPS = (8, 4, 4, 4, 12)
 
 
-def _uuid(field: Field, kind: Column, raw: Column) -> tuple[list[Check], Column]:
-    body = F.regexp_replace(F.regexp_replace(raw, r"^urn:uuid:", ""), r"^\{(.*)\}$", "$1")
-    wrapped = raw != body
+def _uuid(field: Field) -> Compiled:
+    kind, raw = _kind(field), _raw(field)
+    usual, accepted = f"_{field.name}_usual", f"_{field.name}_accepted"
+    steps = (
+        {usual: (kind == "STRING") & raw.rlike(UUID_CANONICAL)},
+        {accepted: F.col(usual) | ((kind == "STRING") & raw.rlike(UUID_ACCEPTED))},
+    )
+    # The accepted forms differ in length: bare hex, urn:uuid:, braces, upper case.
+    cuts, start = [], 1
+    for length in UUID_GROUPS:
+        cuts.append(F.substring(raw, start, length))
+        start += length
+    rewritten = F.lower(
+        F.when(F.length(raw) == 32, F.concat_ws("-", *cuts))
+        .when(F.length(raw) == 45, F.substring(raw, 10, 36))
+        .when(F.length(raw) == 38, F.substring(raw, 2, 36))
+        .otherwise(raw)
+    )
+
+    body = F.regexp_replace(F.regexp_replace(raw, "^urn:uuid:", ""), r"^\{(.*)\}$", "$1")
     groups = F.split(body, "-")
-    is_text = kind == "STRING"
-    simple = ~wrapped & (F.size(groups) == 1)
-    leading_hex = F.regexp_extract(body, r"^[0-9a-fA-F-]*", 0)
-    checks = [
-        (~is_text, "uuid_type", F.lit(fixed.MSG_UUID_TYPE)),
-        (
-            is_text & (F.length(leading_hex) < F.length(body)),
-            "uuid_parsing",
-            _message(
-                fixed.MSG_UUID_CHARACTER,
-                F.substring(body, F.length(leading_hex) + 1, F.lit(1)),
-                F.length(leading_hex) + F.length(raw) - F.length(F.regexp_replace(raw, r"^(urn:uuid:|\{)", "")),
-            ),
-        ),
-        (is_text & simple & (F.length(body) != 32), "uuid_parsing", _message(fixed.MSG_UUID_LENGTH, F.length(body))),
-        (is_text & ~simple & (F.size(groups) != 5), "uuid_parsing", _message(fixed.MSG_UUID_GROUPS, F.size(groups))),
-    ]
+    simple = (raw == body) & (F.size(groups) == 1)
+    leading_hex = F.regexp_extract(body, "^[0-9a-fA-F-]*", 0)
+    position = F.length(leading_hex) + F.length(raw) - F.length(F.regexp_replace(raw, r"^(urn:uuid:|\{)", ""))
+    found = F.substring(body, F.length(leading_hex) + 1, F.lit(1))
+    detail = (
+        F.when(kind != "STRING", _error("uuid_type", fixed.MSG_UUID_TYPE))
+        .when(
+            F.length(leading_hex) < F.length(body),
+            _error("uuid_parsing", _message(fixed.MSG_UUID_CHARACTER, found, position)),
+        )
+        .when(simple, _error("uuid_parsing", _message(fixed.MSG_UUID_LENGTH, F.length(body))))
+        .when(F.size(groups) != 5, _error("uuid_parsing", _message(fixed.MSG_UUID_GROUPS, F.size(groups))))
+    )
     for i, expected in enumerate(UUID_GROUPS):
-        found = F.length(F.get(groups, F.lit(i)))
-        checks.append(
-            (
-                is_text & ~simple & (found != expected),
-                "uuid_parsing",
-                _message(fixed.MSG_UUID_GROUP_LENGTH, F.lit(i), F.lit(expected), found),
-            )
+        length = F.length(F.get(groups, F.lit(i)))
+        detail = detail.when(
+            length != expected,
+            _error("uuid_parsing", _message(fixed.MSG_UUID_GROUP_LENGTH, F.lit(i), F.lit(expected), length)),
         )
-    return checks, F.lower(F.regexp_replace(raw, UUID_FORM, "$1-$2-$3-$4-$5"))
+    return Compiled(
+        F.when(F.col(usual), raw).when(F.col(accepted), rewritten), F.when(~F.col(accepted), detail), steps
+    )
 
 
+# What clients usually send; only the zero parts of it are written differently.
+ISO_USUAL = (
+    "^[0-9]{4}-[0-9]{2}-[0-9]{2}T(?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]"
+    "(?:[.][0-9]{6})?(?:Z|[+-](?:[01][0-9]|2[0-3]):[0-5][0-9])$"
+)
 ISO_FORM = (
     r"^([0-9]{4})-([0-9]{2})-([0-9]{2})"
     r"(?:[Tt _]([01][0-9]|2[0-3]):([0-5][0-9])(?::([0-5][0-9])(?:[.,]([0-9]{1,9}))?)?"
@@ -147,51 +198,70 @@ ISO_FORM = (
 )
 ISO_PARTS = "$1|$2|$3|$4|$5|$6|$7|$8|$9|$10|$11"
 EPOCH_TEXT = r"^[+-]?[0-9]+([.][0-9]+)?$"
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
 
 
-def _timestamp(field: Field, kind: Column, raw: Column) -> tuple[list[Check], Column]:
+def _timestamp(field: Field) -> Compiled:
     """ISO text or epoch seconds/milliseconds -> canonical ISO text."""
-    is_text, is_number = kind == "STRING", kind.rlike(NUMERIC)
-    is_epoch = is_number | (is_text & raw.rlike(EPOCH_TEXT))
-    is_iso = is_text & raw.rlike(ISO_FORM)
+    kind, raw = _kind(field), _raw(field)
+    name = lambda x: f"_{field.name}_{x}"
+    parts, date, epoch = F.col(name("parts")), F.col(name("date")), F.col(name("epoch"))
+    usual = F.col(name("usual"))
+    is_iso = usual | F.coalesce(F.size(parts) == 11, F.lit(False))
+    at = lambda i: F.get(parts, F.lit(i))
+    number = raw.try_cast("double")
+    is_epoch = _is_number(kind) | ((kind == "STRING") & ~is_iso & raw.rlike(EPOCH_TEXT))
+    unusual_text = (kind == "STRING") & ~usual
+    steps = (
+        {name("usual"): (kind == "STRING") & raw.rlike(ISO_USUAL)},
+        {name("parts"): F.when(unusual_text, F.split(F.regexp_replace(raw, ISO_FORM, ISO_PARTS), "[|]"))},
+        {
+            name("date"): F.when(is_iso, F.substring(raw, 1, 10).try_cast("date")),
+            name("epoch"): F.when(is_epoch, F.when(F.abs(number) > 2e10, number / 1000).otherwise(number)),
+        },
+    )
 
-    part = F.split(F.regexp_replace(raw, ISO_FORM, ISO_PARTS), "[|]")
-    at = lambda i: F.get(part, F.lit(i))
     or_zero = lambda i: F.when(at(i) == "", "00").otherwise(at(i))
-    day = F.concat_ws("-", at(0), at(1), at(2))
     fraction = F.substring(F.rpad(at(6), 6, "0"), 1, 6)
-    offset = F.concat(F.when(at(8) == "−", "-").otherwise(at(8)), at(9), F.lit(":"), at(10))
+    zone = (
+        F.when(at(7) != "", "Z")
+        .when(at(9) == "", "")
+        .when((at(9) == "00") & (at(10) == "00"), "Z")
+        .otherwise(F.concat(F.when(at(8) == "−", "-").otherwise(at(8)), at(9), F.lit(":"), at(10)))
+    )
     iso = F.concat(
-        day, F.lit("T"), F.concat_ws(":", or_zero(3), or_zero(4), or_zero(5)),
-        F.when(fraction != "000000", F.concat(F.lit("."), fraction)).otherwise(""),
-        F.when(at(7) != "", "Z").when(at(9) == "", "").when((at(9) == "00") & (at(10) == "00"), "Z").otherwise(offset),
+        F.substring(raw, 1, 10), F.lit("T"), F.concat_ws(":", or_zero(3), or_zero(4), or_zero(5)),
+        F.when((at(6) != "") & (fraction != "000000"), F.concat(F.lit("."), fraction)).otherwise(""), zone,
     )
-
-    number = raw.try_cast("double")
-    seconds = F.when(F.abs(number) > 2e10, number / 1000).otherwise(number)
-    in_range = (seconds >= -62135596800) & (seconds < 253402300800)
-    micros = F.round(F.when(in_range, seconds) * 1000000).cast("bigint")
+    shortened = F.replace(raw, F.lit(".000000"), F.lit(""))
+    for zero in ("+00:00", "-00:00"):
+        shortened = F.replace(shortened, F.lit(zero), F.lit("Z"))
+    in_range = (epoch >= FIRST_SECOND) & (epoch < LAST_SECOND + 1)
+    micros = F.round(F.when(in_range, epoch) * 1000000).cast("bigint")
     moment = F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     below = F.pmod(micros, F.lit(1000000))
-    epoch = F.concat(
+    from_epoch = F.concat(
         F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"),
         F.when(below != 0, F.format_string(".%06d", below)).otherwise(""),
         F.lit("Z"),
     )
-    bad_iso = is_text & ~is_epoch & ~is_iso
-    month = F.regexp_extract(raw, r"^[0-9]{4}-([0-9]{2})-[0-9]{2}", 1)
-    wrong_month = (month != "") & ~month.between("01", "12")
-    wrong_day = (month != "") & ~wrong_month & F.substring(raw, 1, 10).try_cast("date").isNull()
-    checks = [
-        (~is_text & ~is_number, "datetime_type", F.lit(fixed.MSG_DATETIME_TYPE)),
-        (is_epoch & ~in_range, "datetime_parsing", F.lit(fixed.MSG_DATETIME_RANGE)),
-        (bad_iso & (F.length(raw) < 10), "datetime_parsing", F.lit(fixed.MSG_DATETIME_SHORT)),
-        (is_text & ~is_epoch & wrong_month, "datetime_parsing", F.lit(fixed.MSG_DATETIME_MONTH)),
-        (is_iso & (at(0) == "0000"), "datetime_parsing", F.lit(fixed.MSG_DATETIME_YEAR)),
-        (is_text & ~is_epoch & wrong_day, "datetime_parsing", F.lit(fixed.MSG_DATETIME_DAY)),
-        (bad_iso, "datetime_parsing", F.lit(fixed.MSG_DATETIME_EXTRA)),
-    ]
-    return checks, F.when(is_epoch, epoch).when(is_iso, iso)
+
+    month = F.regexp_extract(raw, "^[0-9]{4}-([0-9]{2})-[0-9]{2}", 1)
+    parsing = lambda message: _error("datetime_parsing", message)
+    detail = (
+        F.when(epoch.isNotNull(), F.when(~in_range, parsing(fixed.MSG_DATETIME_RANGE)))
+        .when(kind != "STRING", _error("datetime_type", fixed.MSG_DATETIME_TYPE))
+        .when(F.length(raw) < 10, parsing(fixed.MSG_DATETIME_SHORT))
+        .when((month != "") & ~month.between("01", "12"), parsing(fixed.MSG_DATETIME_MONTH))
+        .when(is_iso & F.startswith(raw, F.lit("0000")), parsing(fixed.MSG_DATETIME_YEAR))
+        .when((month != "") & F.substring(raw, 1, 10).try_cast("date").isNull(), parsing(fixed.MSG_DATETIME_DAY))
+        .when(~is_iso, parsing(fixed.MSG_DATETIME_EXTRA))
+    )
+    # Year 0000 is a date to the engine, but not to the contract.
+    fine = date.isNotNull() & ~F.startswith(raw, F.lit("0000"))
+    return Compiled(
+        F.when(fine, F.when(usual, shortened).otherwise(iso)).when(epoch.isNotNull(), from_epoch), F.when(F.coalesce(~fine, F.lit(True)), detail), steps
+    )
 
 
 KINDS = {"string": _string, "literal": _literal, "integer": _integer, "uuid": _uuid, "timestamp": _timestamp}
@@ -219,39 +289,45 @@ def validate(
     out = df.withColumn("_v", F.try_parse_json(value_col))
     out = out.withColumns(
         {
+            "_malformed": F.col("_v").isNull(),
             "_keys": F.map_keys(F.try_variant_get("_v", "$", "map<string,variant>")),
             **{f"_kind_{f.name}": F.schema_of_variant(F.variant_get("_v", f"$.{f.name}", "variant")) for f in contract.fields},
             **{f"_raw_{f.name}": F.try_variant_get("_v", f"$.{f.name}", "string") for f in contract.fields},
         }
     )
 
+    # The parsed value is not carried further than it is needed.
+    unknown = F.size(F.array_except("_keys", F.array(*[F.lit(n) for n in contract.names]))) > 0
+    out = out.withColumns({"_no_object": F.col("_keys").isNull(), "_unknown": unknown}).drop("_v", "_keys")
+
+    compiled = {f: KINDS[f.kind](f) for f in contract.fields}
+    for step in zip_longest(*[c.steps for c in compiled.values()], fillvalue={}):
+        out = out.withColumns({name: column for helpers in step for name, column in helpers.items()})
+
     values, errors = {}, {}
-    for f in contract.fields:
-        kind, raw = F.col(f"_kind_{f.name}"), F.col(f"_raw_{f.name}")
-        present = kind.isNotNull()
-        checks, value = KINDS[f.kind](f, kind, raw)
+    for f, made in compiled.items():
+        present = _kind(f).isNotNull()
         default = f.default(now) if f.default else F.lit(None).cast("string")
-        values[f"_val_{f.name}"] = F.when(present, value).otherwise(default)
-        checks = [(present & failed, code, msg) for failed, code, msg in checks]
-        if f.required:
-            checks.insert(0, (~present, "missing", F.lit(fixed.MSG_MISSING)))
-        errors[f"_err_{f.name}"] = _first_failure(checks)
+        values[f"_val_{f.name}"] = F.when(present, made.value).otherwise(default)
+        absent = _error("missing", fixed.MSG_MISSING) if f.required else F.lit(None)
+        errors[f"_err_{f.name}"] = F.when(present, made.error).otherwise(absent)
     out = out.withColumns({**values, **errors})
 
     val = lambda name: F.col(f"_val_{name}")
+    if contract.derived:
+        out = out.withColumns({f"_val_{name}": column for name, column in contract.derived(val).items()})
     found = []
     for f in contract.fields:
         found.append(F.col(f"_err_{f.name}"))
         if f.checks:
             # A field's own checks see only values of the right type.
             found.append(F.when(F.col(f"_err_{f.name}").isNull(), _first_failure(f.checks(val(f.name)))))
-    unknown = F.size(F.array_except("_keys", F.array(*[F.lit(n) for n in contract.names]))) > 0
-    found.append(F.when(unknown, _error("extra_forbidden", fixed.MSG_EXTRA)))
+    found.append(F.when(F.col("_unknown"), _error("extra_forbidden", fixed.MSG_EXTRA)))
     if contract.row_checks:
         found.append(_first_failure(contract.row_checks(val)))
     failure = (
-        F.when(F.col("_v").isNull(), _error("malformed_json", "Input should be valid JSON"))
-        .when(F.col("_keys").isNull(), _error("not_an_object", "Input should be a valid dictionary"))
+        F.when(F.col("_malformed"), _error("malformed_json", "Input should be valid JSON"))
+        .when(F.col("_no_object"), _error("not_an_object", "Input should be a valid dictionary"))
         .otherwise(F.coalesce(*found))
     )
     out = out.withColumn("_failure", failure)
@@ -335,20 +411,24 @@ def _uploader(name: Column) -> list[Check]:
 
 
 def _size(digits: Column) -> list[Check]:
-    number = digits.try_cast("decimal(38,0)")
+    number = digits.try_cast("bigint")  # NULL for magnitudes beyond it
     negative = F.startswith(digits, F.lit("-"))
     return [
-        ((number <= 0) | (number.isNull() & negative), "empty_upload", _message(fixed.MSG_EMPTY_UPLOAD, digits)),
+        (F.coalesce(number <= 0, negative), "empty_upload", _message(fixed.MSG_EMPTY_UPLOAD, digits)),
         (
-            (number > fixed.MAX_FILE_SIZE_BYTES) | (number.isNull() & digits.isNotNull()),
+            F.coalesce(number > fixed.MAX_FILE_SIZE_BYTES, ~negative),
             "oversized",
             _message(fixed.MSG_OVERSIZED, digits, F.lit(fixed.MAX_FILE_SIZE_BYTES)),
         ),
     ]
 
 
+def _suffix_columns(val: Callable[[str], Column]) -> dict[str, Column]:
+    return {"suffix": tx.file_suffix(val("file_name"))}
+
+
 def _suffix_agrees(val: Callable[[str], Column]) -> list[Check]:
-    suffix = tx.file_suffix(val("file_name"))
+    suffix = val("suffix")
     expected = F.try_element_at(
         F.create_map(*[F.lit(x) for pair in fixed.SUFFIX_TO_TYPE.items() for x in pair]), suffix
     )
@@ -382,6 +462,7 @@ DOCUMENT_CONTRACT = Contract(
         Field("uploaded_by", "string", required=True, stripped=True, checks=_uploader),
         Field("upload_timestamp", "timestamp", default=lambda now: F.regexp_replace(tx.iso_utc(now), "[+]00:00$", "Z")),
     ),
+    derived=_suffix_columns,
     row_checks=_suffix_agrees,
     path_field="file_path",
 )

@@ -14,6 +14,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot never compiles methods above this size; let Spark split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -114,6 +114,9 @@ def test_ten_events(spark):
                 ("2026-07-22t10:11:12z", "2026-07-22T10:11:12Z"), ("1700000000", "2023-11-14T22:13:20Z"),
                 ("1700000000.5", "2023-11-14T22:13:20.500000Z"), (1700000000000, "2023-11-14T22:13:20Z"),
                 (1700000000.25, "2023-11-14T22:13:20.250000Z"), ("20260722", "1970-08-23T11:58:42Z"),
+                ("2026-07-22T10:11:12.000000+00:00", "2026-07-22T10:11:12Z"),
+                ("2026-07-22T00:00:00.000001-00:00", "2026-07-22T00:00:00.000001Z"),
+                ("2026-02-30T10:11:12Z", fixed.MSG_DATETIME_DAY), ("0000-01-01T10:11:12Z", fixed.MSG_DATETIME_YEAR),
                 ("2026-07-22T10:11:12+0300", "2026-07-22T10:11:12+03:00"), (-5, "1969-12-31T23:59:55Z"),
                 ("2026-07-22T10:11:12-00:00", "2026-07-22T10:11:12Z"), ("2026-07-22T10:11:12,5Z", "2026-07-22T10:11:12.500000Z"),
                 (2e10, "2603-10-11T11:33:20Z"), (20000000001, "1970-08-20T11:33:20.001000Z"),
