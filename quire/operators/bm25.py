@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,69 @@ def term_counts(docs: DataFrame) -> DataFrame:
     )
 
 
+POSTING_BUCKET = "term_bucket"
+
+# Postings are used for queries whose words have at most this share of all word
+# occurrences; beyond it, one scan of the documents moves less data.
+POSTINGS_SHARE = 0.1
+
+
+def postings_of(docs: DataFrame, id_col: str = "chunk_id") -> DataFrame:
+    """``term, <id>, tf, length``: one row per distinct word of a document.
+
+    Counted batch by batch where the documents lie, without a shuffle.
+    """
+    schema = T.StructType(
+        [
+            T.StructField("term", T.StringType()),
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("tf", T.IntegerType()),
+            T.StructField("length", T.IntegerType()),
+        ]
+    )
+    arrow_schema = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, tokens = batch.column(0), batch.column(1)
+            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+            words = tokens.flatten().cast(pa.string()).dictionary_encode()
+            n_words = max(1, len(words.dictionary))
+            row = np.repeat(np.arange(len(ids), dtype=np.int64), lengths)
+            entry, tf = np.unique(row * n_words + words.indices.to_numpy(), return_counts=True)
+            row = entry // n_words
+            columns = [
+                words.dictionary.take(pa.array(entry % n_words)),
+                ids.take(pa.array(row)),
+                pa.array(tf.astype(np.int32)),
+                pa.array(lengths[row].astype(np.int32)),
+            ]
+            yield from pa.table(columns, names=arrow_schema.names).cast(arrow_schema).to_batches()
+
+    return docs.select(id_col, "tokens").mapInArrow(run, schema)
+
+
+def store_postings(index: Bm25Index, path: str, buckets: int = 64) -> Bm25Index:
+    """Write the postings in buckets of the term, sorted by it, and use them.
+
+    A query then reads the buckets of its words, and within their files the
+    row groups that can hold them.  A word found everywhere does not gather in
+    one task: its bucket is split while writing.
+    """
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+    laid_out = postings_of(index.docs, index.id_col).withColumn(POSTING_BUCKET, bucket)
+    (
+        laid_out.hint("rebalance", F.col(POSTING_BUCKET))
+        .sortWithinPartitions(POSTING_BUCKET, "term")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(POSTING_BUCKET)
+        .parquet(path)
+    )
+    stored = index.docs.sparkSession.read.schema(laid_out.schema).parquet(path)
+    return replace(index, postings=stored, posting_buckets=buckets)
+
+
 @dataclass(frozen=True)
 class Bm25Index:
     """Tokenized documents, term counts and the corpus totals."""
@@ -43,6 +106,8 @@ class Bm25Index:
     mean_length: float
     mean_idf: float
     id_col: str = "chunk_id"
+    postings: DataFrame | None = None
+    posting_buckets: int = 0
 
     def dictionary(self) -> DataFrame:
         """``term, df, idf``: a negative weight becomes a share of the mean."""
@@ -86,6 +151,7 @@ class _QueryBlock:
 
     query_ids: pa.Array
     vocabulary: pa.Array
+    df: np.ndarray
     idf: np.ndarray
     start: np.ndarray
     query: np.ndarray
@@ -100,7 +166,7 @@ def _query_block(index: Bm25Index, block: pa.Table) -> _QueryBlock:
     words = tokens.flatten()
     # Weights of the words the queries use: no more rows than the block has.
     wanted = spark.createDataFrame(pa.table({"term": pc.unique(words)}))
-    known = index.dictionary().join(F.broadcast(wanted), "term", "left_semi").select("term", "idf").toArrow().sort_by("term")
+    known = index.dictionary().join(F.broadcast(wanted), "term", "left_semi").select("term", "df", "idf").toArrow().sort_by("term")
     vocabulary = known["term"].combine_chunks().cast(pa.string()) if known.num_rows else pa.array([], pa.string())
     if isinstance(vocabulary, pa.ChunkedArray):
         vocabulary = pa.concat_arrays(vocabulary.chunks)
@@ -110,7 +176,7 @@ def _query_block(index: Bm25Index, block: pa.Table) -> _QueryBlock:
     term_of = pair // max(1, len(ids))
     start = np.searchsorted(term_of, np.arange(len(vocabulary) + 1))
     return _QueryBlock(
-        ids, vocabulary, known["idf"].to_numpy(), start, pair % max(1, len(ids)), times.astype(np.float64)
+        ids, vocabulary, known["df"].to_numpy(), known["idf"].to_numpy(), start, pair % max(1, len(ids)), times.astype(np.float64)
     )
 
 
@@ -121,20 +187,40 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.repeat(begin - offset, length) + np.arange(length.sum())
 
 
-def _score(index: Bm25Index, block: pa.Table, k: int, pad: bool, out_schema: T.StructType) -> DataFrame:
-    shared = index.docs.sparkSession.sparkContext.broadcast(_query_block(index, block))
-    arrow_schema = to_arrow_schema(out_schema)
-    k1, b, mean_length = fixed.BM25_K1, fixed.BM25_B, index.mean_length or 1.0
+class _Scorer:
+    """Scores (row, term, frequency) entries of a batch for one query block."""
+
+    def __init__(self, block: _QueryBlock, k: int, pad: bool, mean_length: float):
+        self.block, self.pad, self.mean_length = block, pad, mean_length or 1.0
+        self.best = topk.TaskTopK(k, len(block.query_ids))
+        self.step = max(1, topk.CELLS // max(1, len(block.query_ids)))
+
+    def add(self, ids: pa.Array, row: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> None:
+        """``row`` is ascending and numbers ``ids``; the others go with it."""
+        q, k1, b = self.block, fixed.BM25_K1, fixed.BM25_B
+        weight = q.idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / self.mean_length))
+        for first in range(0, len(ids), self.step):
+            stop = min(first + self.step, len(ids))
+            lo, hi = np.searchsorted(row, [first, stop])
+            # Each entry meets the queries that use its term.
+            begin, end = q.start[term[lo:hi]], q.start[term[lo:hi] + 1]
+            at = _ranges(begin, end)
+            cell = q.query[at] * (stop - first) + np.repeat(row[lo:hi] - first, end - begin)
+            gain = np.repeat(weight[lo:hi], end - begin) * q.times[at]
+            shape = (len(q.query_ids), stop - first)
+            score = np.bincount(cell, gain, minlength=shape[0] * shape[1]).reshape(shape)
+            matched = None if self.pad else np.bincount(cell, minlength=score.size).reshape(shape) > 0
+            self.best.offer_block(0, first, score, matched, ids)
+
+
+def _scan_documents(index: Bm25Index, block: _QueryBlock, k: int, pad: bool, out_schema: T.StructType) -> DataFrame:
+    """Score every document where it lies: one scan, no shuffle."""
+    shared = index.docs.sparkSession.sparkContext.broadcast(block)
+    arrow_schema, mean_length = to_arrow_schema(out_schema), index.mean_length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q: _QueryBlock = shared.value
-        n_queries, n_terms = len(q.query_ids), max(1, len(q.vocabulary))
-        if n_queries == 0:
-            for _ in batches:
-                pass
-            return
-        best = topk.TaskTopK(k, n_queries)
-        step = max(1, topk.CELLS // n_queries)
+        scorer, n_terms = _Scorer(q, k, pad, mean_length), max(1, len(q.vocabulary))
         for batch in batches:
             ids, tokens = batch.column(0), batch.column(1)
             lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
@@ -143,31 +229,88 @@ def _score(index: Bm25Index, block: pa.Table, k: int, pad: bool, out_schema: T.S
                 pc.index_in(tokens.flatten().cast(pa.string()), value_set=q.vocabulary), -1
             ).to_numpy(zero_copy_only=False)
             used = term >= 0
-            # One entry per (row, term) with its frequency, in row order.
             entry, tf = np.unique(row[used] * n_terms + term[used], return_counts=True)
             row, term = entry // n_terms, entry % n_terms
-            weight = q.idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[row] / mean_length))
-            for first in range(0, len(ids), step):
-                stop = min(first + step, len(ids))
-                lo, hi = np.searchsorted(row, [first, stop])
-                # Each entry meets the queries that use its term.
-                begin, end = q.start[term[lo:hi]], q.start[term[lo:hi] + 1]
-                at = _ranges(begin, end)
-                cell = q.query[at] * (stop - first) + np.repeat(row[lo:hi] - first, end - begin)
-                gain = np.repeat(weight[lo:hi], end - begin) * q.times[at]
-                shape = (n_queries, stop - first)
-                score = np.bincount(cell, gain, minlength=shape[0] * shape[1]).reshape(shape)
-                matched = None if pad else np.bincount(cell, minlength=score.size).reshape(shape) > 0
-                best.offer_block(0, first, score, matched, ids)
-        yield from best.result(q.query_ids, arrow_schema)
+            scorer.add(ids, row, term, tf, lengths[row])
+        yield from scorer.best.result(q.query_ids, arrow_schema)
 
     return index.docs.select(index.id_col, "tokens").mapInArrow(run, out_schema)
 
 
+def _read_postings(index: Bm25Index, block: _QueryBlock, k: int, out_schema: T.StructType) -> DataFrame:
+    """Score from the postings of the query words only.
+
+    They are brought together by document, whose entries are no more than the
+    words of the block, whatever the words are.
+    """
+    spark, id_col = index.docs.sparkSession, index.id_col
+    shared = spark.sparkContext.broadcast(block)
+    arrow_schema, mean_length = to_arrow_schema(out_schema), index.mean_length
+    terms = spark.createDataFrame(
+        pa.table({"term": block.vocabulary, "term_no": pa.array(np.arange(len(block.vocabulary), dtype=np.int32))})
+    )
+    bucket = F.pmod(F.xxhash64("term"), F.lit(index.posting_buckets)).cast("int")
+    wanted = [r[0] for r in terms.select(bucket).distinct().collect()]
+    read = index.postings.filter(F.col(POSTING_BUCKET).isin(wanted))
+    if len(block.vocabulary) <= PUSHED_TERMS:
+        read = read.filter(F.col("term").isin(block.vocabulary.to_pylist()))
+    found = read.join(F.broadcast(terms), "term").select(id_col, "term_no", "tf", "length")
+    gathered = found.repartition(id_col).sortWithinPartitions(id_col, "term_no")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q: _QueryBlock = shared.value
+        scorer = _Scorer(q, k, False, mean_length)
+        for table in _whole_documents(batches, id_col):
+            codes = table[id_col].combine_chunks().dictionary_encode()
+            scorer.add(
+                codes.dictionary,
+                codes.indices.to_numpy().astype(np.int64),
+                table["term_no"].to_numpy(),
+                table["tf"].to_numpy(),
+                table["length"].to_numpy(),
+            )
+        yield from scorer.best.result(q.query_ids, arrow_schema)
+
+    return gathered.mapInArrow(run, out_schema)
+
+
+# Query words up to this number become a filter of the parquet scan.
+PUSHED_TERMS = 1_000
+
+
+def _whole_documents(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.Table]:
+    """Sorted batches, cut so that no document spans two of them."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        if table.num_rows == 0:
+            continue
+        same = pc.equal(table[id_col], table[id_col][-1]).to_numpy()
+        cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+        rest = table.slice(cut)
+        if cut:
+            yield table.slice(0, cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _score(index: Bm25Index, queries: pa.Table, k: int, pad: bool, out_schema: T.StructType) -> DataFrame:
+    block = _query_block(index, queries)
+    if len(block.query_ids) == 0 or index.n_docs == 0:
+        return index.docs.sparkSession.createDataFrame([], out_schema)
+    matched_share = block.df.sum() / max(1.0, index.n_docs * index.mean_length)
+    if index.postings is not None and not pad and matched_share <= POSTINGS_SHARE:
+        return _read_postings(index, block, k, out_schema)
+    return _scan_documents(index, block, k, pad, out_schema)
+
+
 def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool = False, **block_bounds: int) -> DataFrame:
     """The k best chunks per query: ``query_id, <id>, score, rank``.
 
     A word the query repeats counts repeatedly, an unknown word adds nothing.
+    With stored postings, queries of rarer words read only those.
     Chunks sharing no word with the query are left out; ``pad_to_k`` lets them
     in with score 0 (in id order), so that every query gets k rows.
     """

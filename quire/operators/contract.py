@@ -386,6 +386,12 @@ def ingestion_counts(validated: DataFrame) -> DataFrame:
     )
 
 
+def ingestion_verdict(validated: DataFrame, min_accepted: int = fixed.MIN_ACCEPTED) -> DataFrame:
+    """One row: enough accepted events to go on?"""
+    counts = ingestion_counts(validated)
+    return counts.select("accepted", "rejected", (F.col("accepted") >= min_accepted).alias("passed"))
+
+
 def rejection_breakdown(validated: DataFrame) -> DataFrame:
     """How often each reason occurred, most common first."""
     return (

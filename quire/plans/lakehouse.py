@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quire import fixed_values as fixed
+from quire.functions import text as tx
 from quire.operators import contract as ct
 from quire.operators import expectations as ex
 from quire.operators import layers, merge as mg
@@ -93,28 +94,27 @@ def load_bronze(house: Lakehouse, loaders: dict | None = None, now: Column | Non
     return {"row_count": documents, "extracted_text_count": with_text}
 
 
-def update_silver(
-    house: Lakehouse,
-    source: DataFrame | None = None,
-    update_existing: bool = False,
-    now: Column | None = None,
-) -> dict:
-    """Merge bronze (or newer rows) into silver, newest revision per file name.
+def update_silver(house: Lakehouse, update_existing: bool = False, now: Column | None = None) -> dict:
+    """Merge bronze into silver, the newest revision per file name.
 
-    A bulk reload only inserts; ``update_existing`` replaces whole rows.
+    A bulk reload only inserts; ``update_existing`` replaces whole rows.  Rows
+    that cannot change silver are dropped before any text is cleaned.
     """
-    rows = layers.to_silver(house.bronze.read(), now) if source is None else source
-    return house.silver.merge(rows, update_existing, latest=mg.latest_revision)
+    bronze, silver = house.bronze.read(), house.silver
+    if silver.exists() and not update_existing:
+        bronze = mg.insert_only(silver.read(), bronze, layers.KEY)
+    rows = layers.to_silver(mg.latest_revision(bronze), now)
+    return silver.merge(rows, update_existing)
 
 
 def apply_revisions(house: Lakehouse, revisions: DataFrame, now: Column | None = None) -> dict:
     """Append addenda to current texts; those already applied are skipped."""
     stamp = F.current_timestamp() if now is None else now
     revised = mg.revise(house.silver.read(), layers.KEY, revisions).withColumns(
-        {"upload_timestamp": F.regexp_replace(ct.tx.iso_utc(stamp), "[+]00:00$", "Z"), "silver_updated_at": stamp}
+        {"upload_timestamp": F.regexp_replace(tx.iso_utc(stamp), "[+]00:00$", "Z"), "silver_updated_at": stamp}
     )
     rows = layers.refresh_text_columns(revised).select(layers.SILVER_SCHEMA.names)
-    return house.silver.merge(rows, update_existing=True, latest=mg.latest_revision)
+    return house.silver.merge(mg.latest_revision(rows), update_existing=True)
 
 
 def check_quality(df: DataFrame, suite: list[ex.Expectation] | None = None) -> dict:

@@ -292,6 +292,8 @@ FROM validated WHERE reason IS NOT NULL""",
     "v_event_properties": """SELECT event_id, CASE WHEN k > 50 THEN 'k ' || k || ' exceeds 50' END AS reason,
   CASE WHEN k <= 50 THEN k END AS k FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""",
     "t3_stream_ingest": f"""WITH {VALIDATED} SELECT coalesce(reason_code, 'accepted') AS outcome, count(*) AS n FROM validated GROUP BY 1""",
+    "h1_ingestion_gate": f"""WITH {VALIDATED} SELECT count(*) FILTER (WHERE reason IS NULL) AS accepted,
+  count(*) FILTER (WHERE reason IS NOT NULL) AS rejected, count(*) FILTER (WHERE reason IS NULL) >= 1 AS passed FROM validated""",
     "m1_merge_insert_only": f"""WITH {MERGE} SELECT * FROM target UNION ALL
 SELECT * FROM source WHERE id NOT IN (SELECT id FROM target)""",
     "m2_merge_upsert": f"""WITH {MERGE} SELECT * FROM target WHERE id NOT IN (SELECT id FROM source) UNION ALL SELECT * FROM source""",
@@ -368,6 +370,7 @@ SELECT query_id, chunk_id, round(d, 6) AS distance, CAST(r AS INTEGER) AS rank F
   SELECT query_id, chunk_id, round(coalesce(raw_score, 0), 6) AS score,
     row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(raw_score, 0), 9) DESC, chunk_id) AS r
   FROM queries CROSS JOIN chunks LEFT JOIN scores USING (query_id, chunk_id)) WHERE r <= 6""",
+    "d4_bm25_postings": f"WITH {bm25(REGIONS, 6)} SELECT * FROM bm25_hits",
     "d5_rank_fusion": """WITH l AS (SELECT l_partkey AS query_id, l_suppkey AS chunk_id, sum(l_quantity) AS q, min(l_quantity) AS m
   FROM lineitem GROUP BY 1, 2),
 v AS (SELECT * FROM (SELECT query_id, chunk_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY q DESC, chunk_id) AS INTEGER) AS v FROM l) WHERE v <= 6),
@@ -384,6 +387,8 @@ SELECT query_id, chunk_id, vector_rank, bm25_rank, round(s, 9) AS rrf_score, CAS
    FROM reranked GROUP BY 1) JOIN {CITATIONS} USING (query_id)""",
     "d8_messages": f"""WITH {ITEMS} SELECT query_id, 'system' AS role, md5({quoted(fixed.SYSTEM_PROMPT)}) AS content_md5 FROM queries
 UNION ALL SELECT query_id, 'user', md5('CONTEXT:' || {LF} || text || {LF} || {LF} || 'QUESTION: ' || text) FROM queries""",
+    "d9_generated_answers": f"""SELECT item_id AS query_id, upper(text) AS answer, 'f.txt' AS citations FROM benchmark
+UNION ALL SELECT -1 - r_regionkey, {quoted(fixed.REFUSAL_TEXT)}, '' FROM region""",
     "d10_answers": f"""WITH {RERANKED},
 best AS (
   SELECT query_id, arg_max(sentence, met * 100000 - i) AS sentence, max(met) AS met FROM (

@@ -366,6 +366,11 @@ def a3_rejection_breakdown(spark, folder):
     return ct.rejection_breakdown(_validated(spark, folder))
 
 
+@registered
+def h1_ingestion_gate(spark, folder):
+    return ct.ingestion_verdict(_validated(spark, folder), min_accepted=answering.fixed.MIN_ACCEPTED)
+
+
 @registered
 def t3_stream_ingest(spark, folder):
     """The same events through the topic, the stream and the stored tables."""
@@ -665,6 +670,14 @@ def d4a_bm25_padded(spark, folder):
     return hits.withColumn("score", F.round("score", 6))
 
 
+@registered
+def d4_bm25_postings(spark, folder):
+    """The same queries without padding, answered from stored postings."""
+    queries = table(spark, folder, "region").select(F.col("r_regionkey").alias("query_id"), F.col("r_name").alias("text"))
+    index = bm25.store_postings(bm25.build_index(_chunks(spark, folder)), scratch_path(spark, "postings"), buckets=8)
+    return bm25.bm25_topk(index, queries, 6).withColumn("score", F.round("score", 6))
+
+
 @registered
 def d5_rank_fusion(spark, folder):
     """Two rankings of the suppliers of each part, fused."""
@@ -706,6 +719,23 @@ def d8_messages(spark, folder):
     )
 
 
+def _echo_generator():
+    """A stand-in model: answers with the question in capitals."""
+    return lambda messages: [m[1]["content"].split("QUESTION: ")[-1].upper() for m in messages]
+
+
+@registered
+def d9_generated_answers(spark, folder):
+    """A plugged generator; regions have no context, so it never sees them."""
+    items = _items(spark, folder)
+    regions = table(spark, folder, "region").select((-1 - F.col("r_regionkey")).cast("bigint").alias("query_id"), F.col("r_name").alias("text"))
+    ranked = items.select(
+        "query_id", F.lit(1).alias("rank"), F.lit("c").alias("chunk_id"), F.lit("f.txt").alias("file_name"), "text"
+    )
+    answers = answering.generate_answers(items.unionByName(regions), answering.build_context(ranked), _echo_generator)
+    return answers.select("query_id", "answer", F.array_join("citations", "|").alias("citations"))
+
+
 @registered
 def d10_answers(spark, folder):
     answers = retrieval.answer_queries(_search_index(spark, folder), _items(spark, folder))

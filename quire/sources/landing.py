@@ -6,6 +6,7 @@ import io
 import os
 import zipfile
 from collections.abc import Callable, Iterator
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -27,30 +28,35 @@ def _open_filesystem(uri: str):
     return fs.LocalFileSystem(), os.path.abspath(uri)
 
 
+def _files_of(folder: str) -> Iterator[tuple[str, str, int]]:
+    """Path, name and size of the files of one folder."""
+    from pyarrow import fs
+
+    filesystem, root = _open_filesystem(folder)
+    if isinstance(filesystem, fs.LocalFileSystem):
+        with os.scandir(root) as entries:
+            for entry in entries:
+                if entry.is_file():
+                    yield entry.path, entry.name, entry.stat().st_size
+    else:
+        for info in filesystem.get_file_info(fs.FileSelector(root)):
+            if info.is_file:
+                yield info.path, info.base_name, info.size
+
+
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     """One row per file directly in the folders, empty files included.
 
-    Each folder is listed by its own task, in batches; pass the sub-folders or
-    key prefixes of a large collection as separate entries.
+    Each folder is listed by its own task and handed on in batches; pass the
+    sub-folders or key prefixes of a large collection as separate entries.
     """
 
     def list_folder(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for batch in batches:
             for folder in batch["folder"]:
-                filesystem, root = _open_filesystem(folder)
-                found = filesystem.get_file_info(fs.FileSelector(root))
-                files = [f for f in found if f.is_file]
-                for start in range(0, len(files), 10_000):
-                    part = files[start : start + 10_000]
-                    yield pd.DataFrame(
-                        {
-                            "path": [f.path for f in part],
-                            "file_name": [f.base_name for f in part],
-                            "file_size_bytes": [f.size for f in part],
-                        }
-                    )
+                files = _files_of(folder)
+                while part := list(islice(files, 10_000)):
+                    yield pd.DataFrame(part, columns=["path", "file_name", "file_size_bytes"])
 
     roots = spark.createDataFrame([(f,) for f in folders], "folder string")
     return roots.repartition(len(folders), "folder").mapInPandas(list_folder, INVENTORY_SCHEMA)
@@ -166,7 +172,8 @@ def read_and_extract(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _with_text(batches, texts_of)
 
-    return events.repartition(tasks, "document_id").mapInPandas(run, _extend(events))
+    # Round robin: no id or path, however often repeated, gathers in one task.
+    return events.repartition(tasks).mapInPandas(run, _extend(events))
 
 
 def _read_file(path: str) -> bytes:

@@ -10,7 +10,6 @@ merges and deletes to it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -69,7 +68,13 @@ class StoredTable:
     def exists(self) -> bool:
         if self.fmt == "delta":
             return path_exists(self.spark, f"{self.path}/_delta_log")
-        return path_exists(self.spark, self.path)
+        if path_exists(self.spark, self.path):
+            return True
+        if path_exists(self.spark, f"{self.path}__new/_SUCCESS"):
+            # An exchange of folders was cut short after its write: finish it.
+            move_folder(self.spark, f"{self.path}__new", self.path)
+            return True
+        return False
 
     def _stored(self) -> DataFrame:
         if not self.exists():
@@ -138,18 +143,13 @@ class StoredTable:
 
     # -- merge, delete, compaction --
 
-    def merge(
-        self,
-        source: DataFrame,
-        update_existing: bool,
-        latest: Callable[[DataFrame], DataFrame] | None = None,
-    ) -> dict:
+    def merge(self, source: DataFrame, update_existing: bool) -> dict:
         """Insert new keys; with ``update_existing`` also replace known ones.
 
-        ``latest`` reduces the source to one row per key (the revision to
-        keep); without it repeated keys in the source are all inserted.
+        The source should hold one row per key (``latest_revision``); rows that
+        repeat a key are all inserted.
         """
-        source = self._declared(source if latest is None else latest(source))
+        source = self._declared(source)
         if not self.exists():
             self.rebuild(source)
             after = self.count()

@@ -44,18 +44,38 @@ def python_bm25(texts, queries, k, pad):
 
 
 @pytest.mark.parametrize("pad", [False, True])
-def test_bm25_agrees_with_python(spark, pad):
+@pytest.mark.parametrize("share", [None, 0.0, 10.0])
+def test_bm25_agrees_with_python(spark, monkeypatch, pad, share):
     rng = np.random.default_rng(3)
     words = [f"w{i}" for i in range(30)] + ["The", "the"]
     texts = [" ".join(rng.choice(words, size=rng.integers(1, 12))) for _ in range(80)] + ["same same text", "same same text"]
     queries = ["w1 w2", "the", "w3 w3 w3 unknown", "nothing here", "same TEXT", "", " ".join(words)]
     index = bm25.build_index(chunk_frame(spark, texts))
+    if share is not None:
+        monkeypatch.setattr(bm25, "POSTINGS_SHARE", share)
+        index = bm25.store_postings(index, scratch_path(spark, "postings"), buckets=4)
     for bounds in ({}, {"block_rows": 2}):
         hits = bm25.bm25_topk(index, query_frame(spark, queries), 5, pad_to_k=pad, **bounds)
         got = sorted((r[0], r[1], round(r[2], 6) + 0.0, r[3]) for r in hits.collect())
         assert got == sorted(python_bm25(texts, queries, 5, pad))
 
 
+def test_documents_are_not_cut_by_batches(spark, monkeypatch):
+    """Every row its own batch: entries of a document still meet."""
+    monkeypatch.setattr(bm25, "POSTINGS_SHARE", 10.0)
+    texts = ["a b c d", "a b", "c d e", "f a a b"] * 3
+    index = bm25.store_postings(bm25.build_index(chunk_frame(spark, texts)), scratch_path(spark, "postings"), buckets=2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        hits = bm25.bm25_topk(index, query_frame(spark, ["a b", "d e f"]), 4)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r[0], r[1], round(r[2], 6), r[3]) for r in hits.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted(python_bm25(texts, ["a b", "d e f"], 4, False))
+    assert "In(term" in plan.replace(" ", "") and "PartitionFilters: [term_bucket" in plan
+
+
 def test_bm25_negative_weight_floor(spark):
     texts = ["shared one", "shared two"]
     index = bm25.build_index(chunk_frame(spark, texts))
