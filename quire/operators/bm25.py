@@ -11,9 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quire import fixed_values as fixed
+from quire.fixed_values import BM25_B, BM25_EPSILON, BM25_K1
 from quire.functions import text as tx
-from quire.operators import topk
+from quire.operators.topk import CELLS, TaskTopK, over_query_blocks, rank_per_query, score_schema
 from quire.session import materialize
 
 
@@ -113,7 +113,7 @@ class Bm25Index:
         """``term, df, idf``: a negative weight becomes a share of the mean."""
         df = F.col("df")
         raw = F.ln(F.lit(float(self.n_docs)) - df + 0.5) - F.ln(df + 0.5)
-        floor = F.lit(fixed.BM25_EPSILON * self.mean_idf)
+        floor = F.lit(BM25_EPSILON * self.mean_idf)
         return self.counts.filter("term IS NOT NULL").select("term", "df", F.when(raw < 0, floor).otherwise(raw).alias("idf"))
 
 
@@ -157,6 +157,10 @@ class _QueryBlock:
     query: np.ndarray
     times: np.ndarray
 
+    def parts(self) -> tuple:
+        """Plain values, for a broadcast."""
+        return self.query_ids, self.vocabulary, self.df, self.idf, self.start, self.query, self.times
+
 
 def _query_block(index: Bm25Index, block: pa.Table) -> _QueryBlock:
     spark = index.docs.sparkSession
@@ -192,12 +196,12 @@ class _Scorer:
 
     def __init__(self, block: _QueryBlock, k: int, pad: bool, mean_length: float):
         self.block, self.pad, self.mean_length = block, pad, mean_length or 1.0
-        self.best = topk.TaskTopK(k, len(block.query_ids))
-        self.step = max(1, topk.CELLS // max(1, len(block.query_ids)))
+        self.best = TaskTopK(k, len(block.query_ids))
+        self.step = max(1, CELLS // max(1, len(block.query_ids)))
 
     def add(self, ids: pa.Array, row: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> None:
         """``row`` is ascending and numbers ``ids``; the others go with it."""
-        q, k1, b = self.block, fixed.BM25_K1, fixed.BM25_B
+        q, k1, b = self.block, BM25_K1, BM25_B
         weight = q.idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / self.mean_length))
         for first in range(0, len(ids), self.step):
             stop = min(first + self.step, len(ids))
@@ -215,11 +219,11 @@ class _Scorer:
 
 def _scan_documents(index: Bm25Index, block: _QueryBlock, k: int, pad: bool, out_schema: T.StructType) -> DataFrame:
     """Score every document where it lies: one scan, no shuffle."""
-    shared = index.docs.sparkSession.sparkContext.broadcast(block)
+    shared = index.docs.sparkSession.sparkContext.broadcast(block.parts())
     arrow_schema, mean_length = to_arrow_schema(out_schema), index.mean_length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q: _QueryBlock = shared.value
+        q = _QueryBlock(*shared.value)
         scorer, n_terms = _Scorer(q, k, pad, mean_length), max(1, len(q.vocabulary))
         for batch in batches:
             ids, tokens = batch.column(0), batch.column(1)
@@ -244,7 +248,7 @@ def _read_postings(index: Bm25Index, block: _QueryBlock, k: int, out_schema: T.S
     words of the block, whatever the words are.
     """
     spark, id_col = index.docs.sparkSession, index.id_col
-    shared = spark.sparkContext.broadcast(block)
+    shared = spark.sparkContext.broadcast(block.parts())
     arrow_schema, mean_length = to_arrow_schema(out_schema), index.mean_length
     terms = spark.createDataFrame(
         pa.table({"term": block.vocabulary, "term_no": pa.array(np.arange(len(block.vocabulary), dtype=np.int32))})
@@ -258,7 +262,7 @@ def _read_postings(index: Bm25Index, block: _QueryBlock, k: int, out_schema: T.S
     gathered = found.repartition(id_col).sortWithinPartitions(id_col, "term_no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q: _QueryBlock = shared.value
+        q = _QueryBlock(*shared.value)
         scorer = _Scorer(q, k, False, mean_length)
         for table in _whole_documents(batches, id_col):
             codes = table[id_col].combine_chunks().dictionary_encode()
@@ -314,14 +318,14 @@ def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool
     Chunks sharing no word with the query are left out; ``pad_to_k`` lets them
     in with score 0 (in id order), so that every query gets k rows.
     """
-    out_schema = topk.score_schema(
+    out_schema = score_schema(
         queries.schema["query_id"].dataType, index.id_col, index.docs.schema[index.id_col].dataType
     )
     words = queries.select("query_id", F.coalesce(tx.tokens(F.col("text")), F.array().cast("array<string>")).alias("tokens"))
-    scored = topk.over_query_blocks(
+    scored = over_query_blocks(
         words,
         F.length(F.array_join("tokens", " ")) * 4 + F.size("tokens") * 32 + 16,
         lambda block: _score(index, block, k, pad_to_k, out_schema),
         **block_bounds,
     )
-    return topk.rank_per_query(scored, k, [F.desc("place"), F.asc(index.id_col)]).drop("place")
+    return rank_per_query(scored, k, [F.desc("place"), F.asc(index.id_col)]).drop("place")

@@ -387,7 +387,7 @@ SELECT query_id, chunk_id, vector_rank, bm25_rank, round(s, 9) AS rrf_score, CAS
    FROM reranked GROUP BY 1) JOIN {CITATIONS} USING (query_id)""",
     "d8_messages": f"""WITH {ITEMS} SELECT query_id, 'system' AS role, md5({quoted(fixed.SYSTEM_PROMPT)}) AS content_md5 FROM queries
 UNION ALL SELECT query_id, 'user', md5('CONTEXT:' || {LF} || text || {LF} || {LF} || 'QUESTION: ' || text) FROM queries""",
-    "d9_generated_answers": f"""SELECT item_id AS query_id, upper(text) AS answer, 'f.txt' AS citations FROM benchmark
+    "d9_generated_answers": f"""SELECT item_id AS query_id, 'Re: ' || text AS answer, 'f.txt' AS citations FROM benchmark
 UNION ALL SELECT -1 - r_regionkey, {quoted(fixed.REFUSAL_TEXT)}, '' FROM region""",
     "d10_answers": f"""WITH {RERANKED},
 best AS (

@@ -720,8 +720,8 @@ def d8_messages(spark, folder):
 
 
 def _echo_generator():
-    """A stand-in model: answers with the question in capitals."""
-    return lambda messages: [m[1]["content"].split("QUESTION: ")[-1].upper() for m in messages]
+    """A stand-in model: repeats the question."""
+    return lambda messages: ["Re: " + m[1]["content"].split("QUESTION: ")[-1] for m in messages]
 
 
 @registered

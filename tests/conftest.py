@@ -5,8 +5,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark import cloudpickle  # noqa: E402
+
+import tests  # noqa: E402
 from quire.session import build_session  # noqa: E402
 
+cloudpickle.register_pickle_by_value(tests)
+
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
