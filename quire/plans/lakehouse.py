@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from quire import fixed_values as fixed
 from quire.functions import text as tx
@@ -70,9 +70,10 @@ def produce(house: Lakehouse, folders: list[str], more_events: DataFrame | None
 
 
 def consume(house: Lakehouse, inventory: DataFrame) -> dict:
-    """Validate everything new on the topic; totals over all runs."""
-    ingest.run_ingestion(topics.stream_topic_files(house.spark, house.topic), house.ingestion, inventory=inventory)
-    return ingest.run_summary(house.spark, house.ingestion)
+    """Validate everything new on the topic; the totals of this run."""
+    stream = topics.stream_topic_files(house.spark, house.topic)
+    batches = ingest.run_ingestion(stream, house.ingestion, inventory=inventory)
+    return ingest.run_summary(house.spark, house.ingestion, batches)
 
 
 def check_ingestion(summary: dict, min_accepted: int = fixed.MIN_ACCEPTED) -> None:
@@ -89,9 +90,11 @@ def load_bronze(house: Lakehouse, loaders: dict | None = None, now: Column | Non
     events = ingest.accepted_events(house.spark, house.ingestion).drop("batch_id")
     loaded = landing.read_and_extract(events, loaders)
     stamped = loaded.withColumn("bronze_ingested_at", F.current_timestamp() if now is None else now)
-    house.bronze.rebuild(stamped)
-    with_text, documents = layers.extraction_coverage(house.bronze.read()).first()
-    return {"row_count": documents, "extracted_text_count": with_text}
+    # Counted while writing, so that the texts are not read again for it.
+    coverage = Observation("coverage")
+    counts = (F.count(F.lit(1)).alias("row_count"), F.count("raw_text").alias("extracted_text_count"))
+    house.bronze.rebuild(stamped.observe(coverage, *counts))
+    return dict(coverage.get)
 
 
 def update_silver(house: Lakehouse, update_existing: bool = False, now: Column | None = None) -> dict:

@@ -289,6 +289,8 @@ WHERE NOT coalesce(quality = 0, FALSE)""",
 FROM validated WHERE reason IS NULL""",
     "v18_rejected_events": f"""WITH {VALIDATED} SELECT path AS file_path, reason AS rejection_reason, reason_code
 FROM validated WHERE reason IS NOT NULL""",
+    "s5_dead_letters": f"""WITH {VALIDATED} SELECT path AS file_path, reason AS rejection_reason,
+  '2024-06-01T00:00:00.000000+00:00' AS rejected_at FROM validated WHERE reason IS NOT NULL""",
     "v_event_properties": """SELECT event_id, CASE WHEN k > 50 THEN 'k ' || k || ' exceeds 50' END AS reason,
   CASE WHEN k <= 50 THEN k END AS k FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""",
     "t3_stream_ingest": f"""WITH {VALIDATED} SELECT coalesce(reason_code, 'accepted') AS outcome, count(*) AS n FROM validated GROUP BY 1""",

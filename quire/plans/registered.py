@@ -340,6 +340,17 @@ def v18_rejected_events(spark, folder):
     )
 
 
+@registered
+def s5_dead_letters(spark, folder):
+    letters = topics.dead_letters(ct.rejected(_validated(spark, folder), now=_clock()))
+    part = lambda path: F.get_json_object("value", path)
+    return letters.select(
+        part("$.original_event.file_path").alias("file_path"),
+        part("$.rejection_reason").alias("rejection_reason"),
+        part("$.rejected_at").alias("rejected_at"),
+    )
+
+
 @registered
 def v_event_properties(spark, folder):
     """A second contract: the JSON properties of the event table."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from quire.functions.text import iso_utc
 from quire.sources.tables import path_exists
 
 MANIFEST_SCHEMA = T.StructType(
@@ -30,6 +31,29 @@ def encode_events(events: DataFrame, key: str = "document_id") -> DataFrame:
     return events.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
+def dead_letters(rejected: DataFrame) -> DataFrame:
+    """JSON messages of rejected events; the original stays JSON where it is."""
+    event = F.col("original_event")
+    original = F.coalesce(F.try_parse_json(event), event.cast("variant"))
+    message = F.struct(
+        original.alias("original_event"), F.col("rejection_reason"), iso_utc(F.col("rejected_at")).alias("rejected_at")
+    )
+    return rejected.select(F.to_json(message).alias("value"))
+
+
+def kafka_emitter(servers: str, accepted_topic: str, dead_letter_topic: str):
+    """For ``run_ingestion(emit=...)``: both parts of a batch to their topics.
+
+    A batch that runs again is sent again; the stored tables hold it once.
+    """
+
+    def emit(good: DataFrame, bad: DataFrame, batch_id: int) -> None:
+        write_topic_kafka(encode_events(good), servers, accepted_topic)
+        write_topic_kafka(dead_letters(bad), servers, dead_letter_topic)
+
+    return emit
+
+
 def write_topic_files(encoded: DataFrame, folder: str, mode: str = "append") -> None:
     encoded.select("value").write.mode(mode).text(folder)
 

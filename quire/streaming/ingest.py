@@ -65,15 +65,25 @@ def run_ingestion(
     inventory: DataFrame | None = None,
     now: Column | None = None,
     emit: Callable[[DataFrame, DataFrame, int], None] | None = None,
-) -> None:
-    """Drain what the source holds and stop; a later run goes on from there."""
+) -> list[int]:
+    """Drain what the source holds and stop; a later run goes on from there.
+
+    Returns the ids of the batches of this run.
+    """
+    batches: list[int] = []
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        ingest_batch(df, batch_id, root, contract, inventory, now, emit)
+        batches.append(batch_id)
+
     query = (
         stream.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint or f"{root}/checkpoint")
-        .foreachBatch(lambda df, batch_id: ingest_batch(df, batch_id, root, contract, inventory, now, emit))
+        .foreachBatch(handle)
         .start()
     )
     query.awaitTermination()
+    return batches
 
 
 def accepted_events(spark: SparkSession, root: str, contract: ct.Contract = ct.DOCUMENT_CONTRACT) -> DataFrame:
@@ -94,14 +104,20 @@ def staged_events(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/{STAGED}")
 
 
-def run_summary(spark: SparkSession, root: str) -> dict:
-    """Totals and reasons over all batches so far, from the stored columns."""
-    if not path_exists(spark, f"{root}/{STAGED}"):
+# Reasons listed in the summary; rejection_breakdown() has all of them.
+REPORTED_REASONS = 1000
+
+
+def run_summary(spark: SparkSession, root: str, batches: list[int] | None = None) -> dict:
+    """Totals and most common reasons, of some batches or of all so far."""
+    if batches == [] or not path_exists(spark, f"{root}/{STAGED}"):
         return {"total": 0, "accepted": 0, "rejected": 0, "rejection_reasons": {}}
     staged = staged_events(spark, root)
+    if batches is not None:
+        staged = staged.filter(F.col("batch_id").isin(batches))
     total, accepted, rejected = ct.ingestion_counts(staged).first()
-    # Reasons without their variable tail may still name a file, so the report
-    # keeps the ones that occur most.
+    # A reason may name a file, so there can be as many as rejected events: the
+    # report keeps the most common ones.
     top = ct.rejection_breakdown(staged).limit(REPORTED_REASONS).collect()
     return {
         "total": total,
@@ -109,7 +125,3 @@ def run_summary(spark: SparkSession, root: str) -> dict:
         "rejected": rejected,
         "rejection_reasons": {r["reason_key"]: r["n"] for r in top},
     }
-
-
-# Reasons listed in the summary; rejection_breakdown() has all of them.
-REPORTED_REASONS = 1000

@@ -107,15 +107,16 @@ def events(spark, names):
 def test_stream_goes_on_from_its_checkpoint(spark):
     topic, root = scratch_path(spark, "topic"), scratch_path(spark, "ingestion")
     run = lambda: ingest.run_ingestion(topics.stream_topic_files(spark, topic), root)
+    this_run = lambda batches: ingest.run_summary(spark, root, batches)["total"]
     assert ingest.run_summary(spark, root)["total"] == 0
     topics.write_topic_files(events(spark, ["a.txt", "b.txt", "c.md"]), topic)
-    run()
+    assert this_run(run()) == 3
     first = sorted(map(tuple, ingest.accepted_events(spark, root).collect()))
     assert len(first) == 2 and ingest.run_summary(spark, root)["rejected"] == 1
-    run()
+    assert this_run(run()) == 0
     assert sorted(map(tuple, ingest.accepted_events(spark, root).collect())) == first
     topics.write_topic_files(events(spark, ["d.txt"]), topic)
-    run()
+    assert this_run(run()) == 1
     summary = ingest.run_summary(spark, root)
     assert (summary["total"], summary["accepted"], summary["rejected"]) == (4, 3, 1)
     # Generated ids are fixed when a batch is staged, not when it is read.
@@ -123,6 +124,17 @@ def test_stream_goes_on_from_its_checkpoint(spark):
     assert staged == {r["document_id"] for r in ingest.accepted_events(spark, root).collect()}
 
 
+def test_dead_letters_keep_the_event(spark):
+    rows = [('{"a": [1, {"b": null}]}', "why", "2024-01-02 03:04:05"), ("no json", "bad", "2024-01-02 03:04:05")]
+    df = spark.createDataFrame(rows, "original_event string, rejection_reason string, rejected_at string")
+    letters = topics.dead_letters(df.withColumn("rejected_at", F.col("rejected_at").cast("timestamp")))
+    got = sorted((json.loads(r["value"]) for r in letters.collect()), key=str)
+    assert got == [
+        {"original_event": "no json", "rejection_reason": "bad", "rejected_at": "2024-01-02T03:04:05.000000+00:00"},
+        {"original_event": {"a": [1, {"b": None}]}, "rejection_reason": "why", "rejected_at": "2024-01-02T03:04:05.000000+00:00"},
+    ]
+
+
 def test_a_repeated_batch_replaces_its_own_output(spark):
     root, sent = scratch_path(spark, "ingestion"), []
     batch = events(spark, ["a.txt", "b.md"])
