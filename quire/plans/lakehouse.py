@@ -16,6 +16,7 @@ from quire.operators import contract as ct
 from quire.operators import expectations as ex
 from quire.operators import layers, merge as mg
 from quire.operators.lineage import LineageLog
+from quire.session import materialize
 from quire.sources import landing, topics
 from quire.sources.tables import StoredTable, path_exists
 from quire.streaming import ingest
@@ -101,11 +102,15 @@ def update_silver(house: Lakehouse, update_existing: bool = False, now: Column |
     """Merge bronze into silver, the newest revision per file name.
 
     A bulk reload only inserts; ``update_existing`` replaces whole rows.  Rows
-    that cannot change silver are dropped before any text is cleaned.
+    that cannot change silver are dropped before any text is cleaned: the new
+    keys are found and stored first, so that few of them are sent to the texts
+    instead of shuffling these.
     """
     bronze, silver = house.bronze.read(), house.silver
     if silver.exists() and not update_existing:
-        bronze = mg.insert_only(silver.read(), bronze, layers.KEY)
+        keys = bronze.select(layers.KEY).distinct()
+        new_keys = materialize(mg.insert_only(silver.read(), keys, layers.KEY), "new-keys")
+        bronze = bronze.join(new_keys, layers.KEY, "left_semi")
     rows = layers.to_silver(mg.latest_revision(bronze), now)
     return silver.merge(rows, update_existing)
 
