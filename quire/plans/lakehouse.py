@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from quire import fixed_values as fixed
 from quire.functions import text as tx
-from quire.operators import contract as ct
 from quire.operators import expectations as ex
 from quire.operators import layers, merge as mg
 from quire.operators.lineage import LineageLog

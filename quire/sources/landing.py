@@ -20,12 +20,19 @@ INVENTORY_SCHEMA = "path string, file_name string, file_size_bytes long"
 BATCH_CHARS = 32 * 1024 * 1024
 
 
-def _open_filesystem(uri: str):
+def _is_uri(path: str) -> bool:
+    return "://" in path or path.startswith("file:")
+
+
+def _open_filesystem(path: str):
+    """File system and the path in it, of a plain path or a URI as Spark writes it."""
     from pyarrow import fs
 
-    if "://" in uri or uri.startswith("file:"):
-        return fs.FileSystem.from_uri(uri if not uri.startswith("file:/") or uri.startswith("file://") else "file://" + uri[5:])
-    return fs.LocalFileSystem(), os.path.abspath(uri)
+    if not _is_uri(path):
+        return fs.LocalFileSystem(), os.path.abspath(path)
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path[len("file:") :]
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 def _files_of(folder: str) -> Iterator[tuple[str, str, int]]:
@@ -33,15 +40,16 @@ def _files_of(folder: str) -> Iterator[tuple[str, str, int]]:
     from pyarrow import fs
 
     filesystem, root = _open_filesystem(folder)
+    base = folder.rstrip("/") if _is_uri(folder) else root
     if isinstance(filesystem, fs.LocalFileSystem):
         with os.scandir(root) as entries:
             for entry in entries:
                 if entry.is_file():
-                    yield entry.path, entry.name, entry.stat().st_size
+                    yield f"{base}/{entry.name}", entry.name, entry.stat().st_size
     else:
         for info in filesystem.get_file_info(fs.FileSelector(root)):
             if info.is_file:
-                yield info.path, info.base_name, info.size
+                yield f"{base}/{info.base_name}", info.base_name, info.size
 
 
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:

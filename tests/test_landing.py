@@ -53,6 +53,10 @@ def test_inventory_lists_every_file_of_one_level(spark, folder):
     got = {r["file_name"]: r["file_size_bytes"] for r in landing.list_files(spark, [folder]).collect()}
     assert got == {n: os.path.getsize(f"{folder}/{n}") for n in os.listdir(folder) if n != "sub"}
     assert landing.list_files(spark, [folder, f"{folder}/sub"]).count() == 9
+    for uri in (f"file://{folder}", f"file:{folder}/"):
+        listed = landing.list_files(spark, [uri]).filter("file_name = 'plain.txt'").first()
+        assert landing._read_file(listed["path"]).startswith("Über".encode())
+        assert listed["path"] == uri.rstrip("/") + "/plain.txt"
 
 
 def test_upload_events(spark, folder):

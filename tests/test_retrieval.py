@@ -4,7 +4,6 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from quire import fixed_values as fixed
 from quire.operators import answering, bm25, dense, ranking
