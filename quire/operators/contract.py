@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quire import fixed_values as fixed
 from quire.functions import text as tx
+from quire.session import materialize
 
 # (failed?, code, message); a NULL condition counts as not failed.
 Check = tuple[Column, str, Column]
@@ -334,7 +335,10 @@ def validate(
 
     if contract.path_field and inventory is not None:
         path = val(contract.path_field)
-        files = inventory.select(F.col("path").alias("_path")).distinct().withColumn("_exists", F.lit(True))
+        # Stored, so that the join sees a plain table: AQE then splits the events
+        # of a path that many of them name.
+        files = materialize(inventory.select(F.col("path").alias("_path")).distinct(), "paths")
+        files = files.withColumn("_exists", F.lit(True))
         # Only events that passed so far need the look-up; the others get keys
         # that match nothing and spread over all partitions.
         nowhere = F.concat(F.lit("\0"), F.xxhash64(value_col).cast("string"))

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quire.session import materialize
+
 
 def latest_per_key(df: DataFrame, key: str, order_by: list[Column]) -> DataFrame:
     """One row per key: the first in ``order_by``.
@@ -32,13 +34,19 @@ def latest_revision(df: DataFrame, key: str = "file_name") -> DataFrame:
     )
 
 
-def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The rows of ``source`` whose key the target does not hold yet.
+def _stored_keys(df: DataFrame, key: str) -> DataFrame:
+    """The distinct keys, written once.
 
-    The target's keys are made distinct first, so repeated keys shrink before
-    the shuffle the join needs anyway.
+    Repeated keys shrink before any join, and the join sees a plain table: its
+    size is known, and AQE can split a hot key of the other side (it does not
+    where an aggregate stands between shuffle and join).
     """
-    return source.join(target.select(key).distinct(), key, "left_anti").select(source.columns)
+    return materialize(df.select(key).distinct(), "keys")
+
+
+def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The rows of ``source`` whose key the target does not hold yet."""
+    return source.join(_stored_keys(target, key), key, "left_anti").select(source.columns)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -48,7 +56,7 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFra
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Rows with a key of the source are replaced whole, new keys are added."""
-    kept = target.join(source.select(key).distinct(), key, "left_anti").select(target.columns)
+    kept = target.join(_stored_keys(source, key), key, "left_anti").select(target.columns)
     return kept.unionByName(source)
 
 
