@@ -142,11 +142,14 @@ def _tuples(text: pa.Array, *meta: pa.Array):
     return list(zip(texts, *[m.to_pylist() for m in meta]))
 
 
-@F.arrow_udf("text array<float>, meta array<float>")
-def _both_views(text: pa.Array, source: pa.Array, lang: pa.Array, length: pa.Array) -> pa.Array:
-    views = _views(_tuples(text, source, lang, length))
-    columns = [pa.array(list(v.astype(np.float32)), pa.list_(pa.float32())) for v in views]
-    return pa.StructArray.from_arrays(columns, names=["text", "meta"])
+def _both_views(*columns: Column) -> Column:
+    @F.arrow_udf("text array<float>, meta array<float>")
+    def views(text: pa.Array, source: pa.Array, lang: pa.Array, length: pa.Array) -> pa.Array:
+        both = _views(_tuples(text, source, lang, length))
+        lists = [pa.array(list(v.astype(np.float32)), pa.list_(pa.float32())) for v in both]
+        return pa.StructArray.from_arrays(lists, names=["text", "meta"])
+
+    return views(*columns)
 
 
 def _columns(text_col: str, source_col: str, lang_col: str) -> list[Column]:

@@ -68,4 +68,51 @@ drawn AS (
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM drawn
 """
 
-# The checksum is left to Spark's side: DuckDB has no CRC-32, so rows that only it tells apart can't be ordered.
+# CRC-32 by its table, a byte at a time; the curve one level a step, from the highest bit.
+ORACLES["op6_hilbert_shards"] = r"""
+WITH RECURSIVE crc_steps(byte, step, value) AS (
+  SELECT CAST(i AS UBIGINT), 0, CAST(i AS UBIGINT) FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, step + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384::UBIGINT) ELSE value >> 1 END
+  FROM crc_steps WHERE step < 8
+),
+crc_table AS (SELECT list(value ORDER BY byte) AS entries FROM crc_steps WHERE step = 8),
+measured AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+    CAST(xor(list_reduce(
+      list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda b: CAST('0x' || b AS UBIGINT)),
+      lambda a, b: xor(a >> 8, entries[CAST(xor(a, b) & 255 AS BIGINT) + 1]), 4294967295::UBIGINT), 4294967295::UBIGINT)
+      AS BIGINT) AS text_crc32,
+    CAST('0x' || substr(md5(coalesce(lang, '')), 1, 2) AS INTEGER) AS x,
+    CAST('0x' || substr(md5(coalesce(source, '')), 1, 2) AS INTEGER) AS y,
+    bin(strlen(coalesce(text, '')) + 1) AS digits
+  FROM documents, crc_table
+),
+points AS (
+  SELECT row_number() OVER () AS row, *, CAST(least(255, (length(digits) - 1) * 4
+    + CASE rpad(substr(digits, 2, 2), 2, '0') WHEN '00' THEN 0 WHEN '01' THEN 1 WHEN '10' THEN 2 ELSE 3 END) AS INTEGER) AS z
+  FROM measured
+),
+walk(row, x, y, z, i, place, enter, axis) AS (
+  SELECT row, x, y, z, 7, 0::BIGINT, 0, 0 FROM points
+  UNION ALL
+  SELECT row, x, y, z, i - 1, place * 8 + w,
+    xor(enter, ((e << (axis + 1)) | (e >> (2 - axis))) & 7),
+    (axis + [0, 1, 1, 2, 2, 1, 1, 0][w + 1] + 1) % 3
+  FROM (
+    SELECT *, [0, 0, 0, 3, 3, 6, 6, 5][w + 1] AS e
+    FROM (
+      SELECT *, [0, 1, 3, 2, 7, 6, 4, 5][(((v >> (axis + 1)) | (v << (2 - axis))) & 7) + 1] AS w
+      FROM (SELECT *, xor(((x >> i) & 1) * 4 + ((y >> i) & 1) * 2 + ((z >> i) & 1), enter) AS v FROM walk WHERE i >= 0)
+    )
+  )
+),
+placed AS (
+  SELECT doc_id, size, text_crc32, place AS curve, count(*) OVER () AS n,
+    row_number() OVER (ORDER BY place, size, text_crc32, doc_id NULLS LAST) - 1 AS position
+  FROM points JOIN (SELECT row, place FROM walk WHERE i = -1) USING (row)
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(position * 16 // n AS INTEGER) AS shard,
+  position - (position * 16 // n * n + 15) // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard, curve
+FROM placed
+"""
