@@ -25,6 +25,7 @@ billion fingerprints meet about thirty strangers each.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -162,30 +163,38 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def spanning_links(values: np.ndarray, others: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect all that the links among ``values`` (and ``others``) connect, fewer than there are values."""
+    """Links that connect all that the links among ``values`` (and ``others``) connect, fewer than there are values.
+
+    Each connected part gets a tree that grows from the fingerprint with the most
+    neighbours, so links go to the middle of a crowd: most often the original of its copies.
+    """
     nodes = values if others is None else np.concatenate([values, others])
-    label = np.arange(len(nodes))
     close = _distance(nodes[:, None], nodes[None, :]) <= RADIUS
-    if others is not None:  # each crowd's own links are found elsewhere
+    if others is not None:  # each block's own links are found elsewhere
         close[: len(values), : len(values)] = close[len(values) :, len(values) :] = False
-    near_a, near_b = np.nonzero(np.triu(close, 1))
-    kept = np.zeros(len(near_a), bool)
-    # Round by round, each component picks one link that leaves it.
-    while len(near_a):
-        la, lb = label[near_a], label[near_b]
-        leaving = np.flatnonzero(la != lb)
-        if not len(leaving):
-            break
-        pick = np.full(len(nodes), len(near_a))
-        np.minimum.at(pick, la[leaving], leaving)
-        np.minimum.at(pick, lb[leaving], leaving)
-        chosen = np.unique(pick[pick < len(near_a)])
-        kept[chosen] = True
-        for e in chosen.tolist():
-            x, y = label[near_a[e]], label[near_b[e]]
-            if x != y:
-                label[label == max(x, y)] = min(x, y)
-    return nodes[near_a[kept]], nodes[near_b[kept]]
+    np.fill_diagonal(close, False)
+    degree = close.sum(1)
+    place = np.empty(len(nodes), np.int64)
+    order = np.argsort(-degree, kind="stable")
+    place[order] = np.arange(len(nodes))
+    new = np.ones(len(nodes), bool)
+    a, b = [], []
+    for root in order[degree[order] > 0].tolist():
+        if not new[root]:
+            continue
+        new[root] = False
+        waiting = [(place[root], root)]
+        while waiting:
+            _, node = heapq.heappop(waiting)
+            reached = np.flatnonzero(close[node] & new)
+            if len(reached):
+                new[reached] = False
+                a.append(np.full(len(reached), nodes[node]))
+                b.append(nodes[reached])
+                for n in reached.tolist():
+                    heapq.heappush(waiting, (place[n], n))
+    none = np.empty(0, np.uint64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
 def _rows(key, a, b) -> pa.RecordBatch:
@@ -311,22 +320,94 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """``docs`` with one row of each group of near copies: the smallest id's, a NULL id's only if there is no other.
+# --- near copies by similarity ----------------------------------------------------
+
 
-    Rows without words aren't near copies of anything and stay.  Columns stay as
-    they are.  Only the rows that go are joined with the documents.
+def set_fingerprints(text: bytes | None, words: int, count: int) -> list[int] | None:
+    """``count`` independent SimHashes of the set of a text's word shingles; None without words."""
+    found = (text or b"").lower().split()
+    if not found:
+        return None
+    parts = [found[i:] for i in range(min(words, len(found)))]
+    hashes = np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(p)) for p in zip(*parts)), "<u8"))
+    out = []
+    for k in range(count):
+        # A finalizer of 64-bit hashes (splitmix64, fixed values) makes each an independent one.
+        h = hashes + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(h), SHINGLES):
+            bits = np.unpackbits(h[at : at + SHINGLES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(2 * ones > len(h), bitorder="little").view("<i8")[0]))
+    return out
+
+
+def shingle_set(text: bytes, words: int) -> set[bytes]:
+    found = text.lower().split()
+    return {b" ".join(p) for p in zip(*[found[i:] for i in range(min(words, len(found)))])}
+
+
+def _alike(words: int):
+    @F.arrow_udf("double")
+    def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(a, b):
+            one, two = (shingle_set(t.as_buffer().to_pybytes(), words) for t in (x, y))
+            out.append(len(one & two) / len(one | two))
+        return pa.array(out, pa.float64())
+
+    return jaccard
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8,
+    fingerprint_words: int = 1, fingerprint_count: int = 3,
+) -> DataFrame:
+    """``docs`` with one row of each group of near copies, all columns as they are.
+
+    Near copies are texts whose sets of ``words``-word shingles (A-Z lower-cased;
+    a shorter text is one shingle) have a Jaccard similarity of ``similarity``
+    or more; groups are connected by them.  Candidates are texts of which one of
+    ``fingerprint_count`` fingerprints is within RADIUS bits.  One fingerprint of
+    long shingles finds few texts with a similarity of 0.8 (they differ in ten
+    bits); these are made of sets of shorter ones (single words), which an edit changes less.
+    Each candidate is then compared by its whole shingle sets.
+
+    Of a group the row with the smallest id stays, a NULL id only if there is no
+    other, of equal ids one.  Texts without words are nobody's copies and stay.
     """
-    row, fp = free_name(docs, "near_row"), free_name(docs, "near_fp")
+    row, prints = free_name(docs, "near_row"), free_name(docs, "near_prints")
+
+    @F.arrow_udf("array<long>")
+    def fingerprinted(texts: pa.Array) -> pa.Array:
+        values = [set_fingerprints(t.as_buffer().to_pybytes() if t.is_valid else None, fingerprint_words, fingerprint_count) for t in texts]
+        return pa.array(values, pa.list_(pa.int64()))
+
     stored = materialize(
-        docs.withColumns({row: F.monotonically_increasing_id(), fp: _fingerprint_column(words)(F.col(text_col))}),
-        "near-input",
+        docs.withColumns({row: F.monotonically_increasing_id(), prints: fingerprinted(F.col(text_col))}), "near-input"
     )
-    narrow = stored.select(F.col(id_col).alias("doc_id"), F.col(row).alias("row"), F.col(fp).alias("fp")).filter("fp != 0")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
-    least = materialize(narrow.groupBy("fp").agg(first), "near-groups")
-    groups = components(near_links(least))
-    of_root = least.join(groups, least.fp == groups.node, "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
-    kept = of_root.select(F.col("first.row").alias(row))
-    stays = stored.join(kept, row, "left_semi").unionByName(stored.filter(F.col(fp) == 0))
-    return stays.select(*docs.columns)
+    found = None
+    for k in range(fingerprint_count):
+        nodes = stored.filter(F.col(prints).isNotNull()).select(F.col(row).alias("row"), F.col(prints)[k].alias("fp"))
+        of = nodes.groupBy("fp").agg(F.min("row").alias("least"))
+        links = near_links(of)
+        one, two = of.select(F.col("fp").alias("a"), F.col("least").alias("x")), of.select(F.col("fp").alias("b"), F.col("least").alias("y"))
+        pairs = links.join(one, "a").join(two, "b").select("x", "y")
+        same = nodes.join(of, "fp").filter("row != least").select(F.col("least").alias("x"), F.col("row").alias("y"))
+        both = pairs.unionByName(same)
+        found = both if found is None else found.unionByName(both)
+    candidates = materialize(found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "near-candidates")
+
+    ends = candidates.select(F.col("x").alias(row)).unionByName(candidates.select(F.col("y").alias(row))).distinct()
+    texts = materialize(stored.join(ends, row, "left_semi").select(F.col(row).alias("row"), F.col(text_col).alias("text")), "near-texts")
+    one, two = texts.select(F.col("row").alias("x"), F.col("text").alias("s")), texts.select(F.col("row").alias("y"), F.col("text").alias("t"))
+    compared = candidates.join(one, "x").join(two, "y").withColumn("alike", _alike(words)(F.col("s"), F.col("t")))
+    groups = components(compared.filter(F.col("alike") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    members = stored.join(groups, F.col(row) == F.col("node")).select("root", row, F.col(id_col).alias("id"))
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id", F.col(row).alias("row"))
+    kept = members.groupBy("root").agg(F.min(first).alias("first")).select("root", F.col("first.row").alias("kept"))
+    dropped = members.join(kept, "root").filter(F.col(row) != F.col("kept")).select(row)
+    return stored.join(dropped, row, "left_anti").select(*docs.columns)
