@@ -8,7 +8,8 @@ from quire.session import materialize
 
 
 def _nearest(links: DataFrame) -> DataFrame:
-    return links.groupBy("a").agg(F.min("b").alias("least"))
+    """Stored, so that the join with it is one of two shuffles, whose hot keys AQE can split."""
+    return materialize(links.groupBy("a").agg(F.min("b").alias("least")), "nearest")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -307,12 +307,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     share an id or a text are rows like others; an empty table gives no rows.
     """
     stored = materialize(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    least = stored.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = materialize(stored.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     groups = materialize(components(near_links(least)), "components")
     of_fp = least.join(groups, least.fp == groups.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    of_root = of_fp.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Stored: a join of two shuffles, unlike one with an aggregate on the same keys, can be split.
+    of_root = materialize(of_fp.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     answer = of_fp.join(of_root, "root").select(F.col("fp").alias("of"), "component_id")
     # One row a fingerprint on the right: AQE splits a hot one's documents.
     return stored.join(answer, F.col("fp") == F.col("of")).select(
@@ -392,7 +393,7 @@ def drop_near_copies(
     found = None
     for k in range(fingerprint_count):
         nodes = stored.filter(F.col(prints).isNotNull()).select(F.col(row).alias("row"), F.col(prints)[k].alias("fp"))
-        of = nodes.groupBy("fp").agg(F.min("row").alias("least"))
+        of = materialize(nodes.groupBy("fp").agg(F.min("row").alias("least")), "distinct-fingerprints")
         links = near_links(of)
         one, two = of.select(F.col("fp").alias("a"), F.col("least").alias("x")), of.select(F.col("fp").alias("b"), F.col("least").alias("y"))
         pairs = links.join(one, "a").join(two, "b").select("x", "y")
@@ -409,5 +410,6 @@ def drop_near_copies(
     members = stored.join(groups, F.col(row) == F.col("node")).select("root", row, F.col(id_col).alias("id"))
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", F.col(row).alias("row"))
     kept = members.groupBy("root").agg(F.min(first).alias("first")).select("root", F.col("first.row").alias("kept"))
+    kept = materialize(kept, "near-kept")
     dropped = members.join(kept, "root").filter(F.col(row) != F.col("kept")).select(row)
     return stored.join(dropped, row, "left_anti").select(*docs.columns)
