@@ -103,14 +103,28 @@ def revise(
     key: str,
     revisions: DataFrame,
     text_col: str = "clean_text",
+    order: tuple[str, ...] = ("marker", "document_id"),
 ) -> DataFrame:
-    """Rows to upsert for text addenda, without those already applied.
+    """Rows to upsert for text addenda, without those already applied: one row per changed row.
 
-    ``revisions`` has ``key``, ``marker``, ``addendum`` and ``document_id``; it
-    joins the current row and is skipped where the text holds the marker.
+    ``revisions`` has ``key``, ``marker``, ``addendum`` and ``document_id``.  All
+    addenda of a key are appended one after another, in ``order``; one is skipped
+    where the text holds its marker by then.  The row takes the ``document_id``
+    of the last one applied.
     """
-    current = table.join(revisions.withColumnRenamed("document_id", "_new_id"), key, "inner")
-    already = F.contains(F.coalesce(F.col(text_col), F.lit("")), F.col("marker"))
-    return current.filter(~already).withColumns(
-        {text_col: F.concat(F.coalesce(text_col, F.lit("")), F.col("addendum")), "document_id": F.col("_new_id")}
-    ).select(table.columns)
+    one = F.struct(*[F.col(c).alias(f"order_{c}") for c in order], "marker", "addendum", "document_id")
+    by_key = revisions.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("_revisions"))
+    current = table.join(by_key, key, "inner")
+    start = F.struct(
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.lit(None).cast("string").alias("id")
+    )
+
+    def apply(done, revision):
+        appended = F.struct(
+            F.concat(done["text"], revision["addendum"]).alias("text"), revision["document_id"].alias("id")
+        )
+        return F.when(F.contains(done["text"], revision["marker"]), done).otherwise(appended)
+
+    folded = current.withColumn("_revised", F.aggregate("_revisions", start, apply))
+    changed = folded.filter(F.col("_revised.id").isNotNull())
+    return changed.withColumns({text_col: F.col("_revised.text"), "document_id": F.col("_revised.id")}).select(table.columns)

@@ -115,7 +115,7 @@ def update_silver(house: Lakehouse, update_existing: bool = False, now: Column |
 
 
 def apply_revisions(house: Lakehouse, revisions: DataFrame, now: Column | None = None) -> dict:
-    """Append addenda to current texts; those already applied are skipped."""
+    """Append addenda to current texts, all of a file's in order; those already applied are skipped."""
     stamp = F.current_timestamp() if now is None else now
     revised = mg.revise(house.silver.read(), layers.KEY, revisions).withColumns(
         {"upload_timestamp": F.regexp_replace(tx.iso_utc(stamp), "[+]00:00$", "Z"), "silver_updated_at": stamp}

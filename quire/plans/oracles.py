@@ -313,6 +313,10 @@ SELECT b AS rows_before, i AS rows_incoming, i - m AS rows_inserted, m AS rows_u
   SELECT file_name, 'rev-' || doc_id AS document_id, clean_text || {LF} || {LF} || 'ADDENDUM: toxic ' || toxic AS t
   FROM silver JOIN labels USING (doc_id) WHERE NOT contains(clean_text, 'on the'))
 SELECT file_name, document_id, md5(t) AS text_md5, CAST(len({words('t')}) AS INTEGER) AS word_count FROM revised""",
+    "u2_all_addenda": f"""WITH {SILVER}, revised AS (
+  SELECT file_name, clean_text || {LF} || {LF} || 'ADDENDUM 1: quality ' || quality || {LF} || {LF} || 'ADDENDUM 2: quality ' || quality AS t
+  FROM silver JOIN labels USING (doc_id))
+SELECT file_name, 'rev-2' AS document_id, md5(t) AS text_md5, CAST(len({words('t')}) AS INTEGER) AS word_count FROM revised""",
     "j1_existing_files": f"SELECT {DOC_NAME} AS file_name, '/in/' || doc_id AS file_path FROM documents SEMI JOIN labels USING (doc_id)",
     "e1_union_events": """SELECT c_custkey, c_name, c_mktsegment FROM customer
 UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier""",

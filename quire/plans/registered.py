@@ -467,6 +467,20 @@ def u3_revise_once(spark, folder):
     return revised.select("file_name", "document_id", F.md5("clean_text").alias("text_md5"), "word_count")
 
 
+@registered
+def u2_all_addenda(spark, folder):
+    """Three addenda for each labelled document in one batch, one of them repeated."""
+    labelled = table(spark, folder, "labels").crossJoin(F.broadcast(spark.range(3).withColumn("n", F.array(F.lit(2), F.lit(1), F.lit(2))[F.col("id").cast("int")])))
+    revisions = labelled.select(
+        file_name_of(F.col("doc_id")).alias("file_name"),
+        F.concat(F.lit("ADDENDUM "), F.col("n").cast("string")).alias("marker"),
+        F.concat(F.lit("\n\nADDENDUM "), F.col("n").cast("string"), F.lit(": quality "), F.col("quality").cast("string")).alias("addendum"),
+        F.concat(F.lit("rev-"), F.col("n").cast("string")).alias("document_id"),
+    )
+    revised = layers.refresh_text_columns(mg.revise(_silver(spark, folder), "file_name", revisions))
+    return revised.select("file_name", "document_id", F.md5("clean_text").alias("text_md5"), "word_count")
+
+
 @registered
 def j1_existing_files(spark, folder):
     docs = _bronze(spark, folder).select("file_name", "file_path")

@@ -95,10 +95,11 @@ def vector_table(spark: SparkSession, path: str, buckets: int = 64) -> StoredTab
 def upsert_vectors(table: StoredTable, embedded: DataFrame, drop_stale: bool = True) -> dict:
     """Store embedded chunks; running it again changes nothing.
 
-    All chunks of a touched file are replaced, so a shortened document leaves
-    none behind.  ``drop_stale=False`` replaces chunk by chunk and keeps chunks
+    One row of each ``chunk_id`` is stored.  All chunks of a touched file are
+    replaced, so a shortened document leaves none behind.  ``drop_stale=False`` replaces chunk by chunk and keeps chunks
     the new version no longer has.
     """
+    embedded = embedded.dropDuplicates(["chunk_id"])
     if not table.exists():
         table.rebuild(embedded)
         return {"rows_before": 0, "rows_after": table.count()}

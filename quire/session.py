@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot never compiles methods above this size; let Spark split instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
@@ -37,13 +35,10 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test on one machine) gets a folder
-    of its own.
+    A session without that setting uses a folder in its warehouse, which driver
+    and executors share as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="quire-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
     return folder.rstrip("/")
 
 

@@ -118,11 +118,11 @@ class StoredTable:
         writer.save(self.path)
 
     def rebuild(self, df: DataFrame) -> None:
-        """Replace content and schema.  ``df`` must not read this table."""
+        """Replace content and schema; a failed write leaves the table as it was."""
         if self.fmt == "delta":
             self._write(self._declared(df), "overwrite", overwriteSchema="true")
         else:
-            self._write(self._laid_out(self._declared(df)), "overwrite", partitionOverwriteMode="static")
+            self._swap_in(self._laid_out(self._declared(df)))
 
     def append(self, df: DataFrame) -> None:
         """Add rows that have exactly the declared schema."""
@@ -248,10 +248,15 @@ class StoredTable:
     def _swap_in(self, df: DataFrame) -> None:
         """Write beside the table, then exchange the folders."""
         fresh, old = f"{self.path}__new", f"{self.path}__old"
-        df.write.format(self.fmt).mode("overwrite").save(fresh)
+        writer = df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+        if self._bucketed:
+            writer = writer.partitionBy(BUCKET)
+        writer.save(fresh)
         if path_exists(self.spark, old):
             remove_folder(self.spark, old)
-        move_folder(self.spark, self.path, old)
+        if path_exists(self.spark, self.path):
+            move_folder(self.spark, self.path, old)
         move_folder(self.spark, fresh, self.path)
-        remove_folder(self.spark, old)
+        if path_exists(self.spark, old):
+            remove_folder(self.spark, old)
         self.spark.catalog.refreshByPath(self.path)

@@ -104,24 +104,22 @@ def staged_events(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/{STAGED}")
 
 
-# Reasons listed in the summary; rejection_breakdown() has all of them.
-REPORTED_REASONS = 1000
-
-
 def run_summary(spark: SparkSession, root: str, batches: list[int] | None = None) -> dict:
-    """Totals and most common reasons, of some batches or of all so far."""
+    """Totals, of some batches or of all so far, and a frame with every reason's count.
+
+    A reason may name a file, so there can be as many as rejected events: they
+    stay a frame (reason_key, n) and are not brought to the driver.
+    """
     if batches == [] or not path_exists(spark, f"{root}/{STAGED}"):
-        return {"total": 0, "accepted": 0, "rejected": 0, "rejection_reasons": {}}
+        none = spark.createDataFrame([], "reason_key string, n bigint")
+        return {"total": 0, "accepted": 0, "rejected": 0, "rejection_reasons": none}
     staged = staged_events(spark, root)
     if batches is not None:
         staged = staged.filter(F.col("batch_id").isin(batches))
     total, accepted, rejected = ct.ingestion_counts(staged).first()
-    # A reason may name a file, so there can be as many as rejected events: the
-    # report keeps the most common ones.
-    top = ct.rejection_breakdown(staged).limit(REPORTED_REASONS).collect()
     return {
         "total": total,
         "accepted": accepted,
         "rejected": rejected,
-        "rejection_reasons": {r["reason_key"]: r["n"] for r in top},
+        "rejection_reasons": ct.rejection_breakdown(staged),
     }

@@ -47,7 +47,7 @@ def test_pipeline(spark, landed):
     out = lh.run_pipeline(house, [landed], bad_events(spark, landed), LOADERS)
     ingestion = out["ingestion"]
     assert (ingestion["total"], ingestion["accepted"], ingestion["rejected"]) == (10, 5, 5)
-    assert sorted(ingestion["rejection_reasons"].values()) == [1] * 5
+    assert [r["n"] for r in ingestion["rejection_reasons"].collect()] == [1] * 5
     assert out["bronze"] == {"row_count": 5, "extracted_text_count": 5}
     assert (out["silver"]["rows_before"], out["silver"]["rows_after"]) == (0, 5)
     assert out["quality"]["success"] and out["quality"]["row_count"] == 5
@@ -74,6 +74,17 @@ def test_pipeline(spark, landed):
     assert lh.update_silver(house)["rows_after"] == 5
     assert house.silver.read().filter("document_id = 'new-id'").count() == 1
 
+    # Two addenda of one file are both appended, in order, and each once.
+    both = spark.createDataFrame(
+        [("graduation_requirements.txt", f"ADDENDUM {n}", f"\n\nADDENDUM {n}: more.", f"id-{n}") for n in (3, 2, 3)],
+        revisions.schema,
+    )
+    for updated in (1, 0):
+        assert lh.apply_revisions(house, both)["rows_updated"] == updated
+    row = house.silver.read().filter("file_name = 'graduation_requirements.txt'").first()
+    assert row["clean_text"].endswith("ADDENDUM 1: now ninety.\n\nADDENDUM 2: more.\n\nADDENDUM 3: more.")
+    assert row["document_id"] == "id-3"
+
     # A duplicate fails the gate, gold stays as it was, deleting it restores.
     copy = house.silver.read().filter("file_name = 'graduation_requirements.txt'").withColumn("document_id", F.lit("dup"))
     house.silver.append(copy)

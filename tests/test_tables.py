@@ -146,3 +146,13 @@ def test_silver_and_gold_schemas(spark, sf):
         "category", "document_count", "total_word_count", "avg_word_count", "distinct_uploaders", "last_updated_at",
     ]
     assert not path_exists(spark, scratch_path(spark, "never"))
+
+
+def test_failed_rebuild_leaves_the_table(spark):
+    for key in (None, "k"):
+        table = StoredTable(spark, scratch_path(spark, "table"), key=key)
+        table.rebuild(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"))
+        broken = spark.range(3).select(F.lit("c").alias("k"), F.expr("if(id = 2, raise_error('no'), 1)").cast("int").alias("v"))
+        with pytest.raises(Exception, match="no"):
+            table.rebuild(broken)
+        assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 2)]
