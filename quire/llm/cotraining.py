@@ -166,15 +166,17 @@ def fit_quality(
     A document with conflicting labels counts as bad; labels other than 0 and 1
     are left out; of rows that share an id one is used.
     """
-    docs = docs.filter(F.col(id_col).isNotNull())
+    names = ("text", "source", "lang", "length")
+    views = [c.alias(n) for c, n in zip(_columns(text_col, source_col, lang_col), names)]
+    docs = docs.select(F.col(id_col).alias("doc_id"), *views).filter(F.col("doc_id").isNotNull())
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("label_id"), "label_id").limit(max_labelled)
-    ids = docs.select(F.col(id_col).alias("label_id")).distinct().join(known, "label_id", "left_anti")
+    ids = docs.select(F.col("doc_id").alias("label_id")).distinct().join(known, "label_id", "left_anti")
     pool = ids.orderBy(F.xxhash64("label_id"), "label_id").limit(max_pool)
     both = chosen.unionByName(pool.withColumn("quality", F.lit(None).cast(chosen.schema["quality"].dataType)))
-    rows = docs.join(both, F.col(id_col) == F.col("label_id")).select(
-        "label_id", "quality", _both_views(*_columns(text_col, source_col, lang_col)).alias("v")
+    rows = docs.join(both, F.col("doc_id") == F.col("label_id")).select(
+        "label_id", "quality", _both_views(*map(F.col, names)).alias("v")
     )
     found = rows.select("label_id", "quality", "v.text", "v.meta").toPandas()
     found = found.sort_values("label_id", kind="stable").drop_duplicates("label_id")
