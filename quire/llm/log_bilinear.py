@@ -40,7 +40,7 @@ DICTIONARY = 500_000
 # A task hands on its counts when it holds so many words.
 HELD_WORDS = 500_000
 # Tokens worked on at once.
-TOKENS = 2_000_000
+TOKENS = 1_000_000
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -107,7 +107,7 @@ class Vocabulary:
         frequent = frequent.sort_values(["n", "word"], ascending=[False, True], kind="stable")
         words = [bytes(w) for w in frequent["word"]]
         self.number = {w: i for i, w in enumerate(words)}
-        self.of_word = np.array([i + 1 if i < TOP - 1 else suffix_class(w) for i, w in enumerate(words)], np.int64)
+        self.of_word = np.array([i + 1 if i < TOP - 1 else suffix_class(w) for i, w in enumerate(words)], np.int16)
         n = frequent["n"].to_numpy(np.int64)
         self.log_count = np.log10(n + 1.0)
 
@@ -130,8 +130,8 @@ class Vocabulary:
 
     def classify(self, words: list[bytes], suffixes: _Suffixes) -> tuple[np.ndarray, np.ndarray]:
         """For each word its number among the frequent ones (or -1) and its class."""
-        number = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
-        of = self.of_word[number] if len(self.of_word) else np.zeros(len(words), np.int64)
+        number = np.fromiter((self.number.get(w, -1) for w in words), np.int32, len(words))
+        of = self.of_word[number] if len(self.of_word) else np.zeros(len(words), np.int16)
         rare = np.flatnonzero(number < 0)
         of[rare] = [suffixes[words[i][-2:]] for i in rare.tolist()]
         return number, of
@@ -211,7 +211,7 @@ class Model:
 
 def windows(classes: list[np.ndarray]) -> np.ndarray:
     """(context..., target) rows of texts given as classes, each ending with END."""
-    flat = np.concatenate(classes)
+    flat = np.concatenate(classes).astype(np.int64)
     place = np.concatenate([np.arange(len(c)) for c in classes])
     out = np.empty((len(flat), ORDER + 1), np.int64)
     out[:, ORDER] = flat
@@ -240,7 +240,7 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, suffix
             words = tokens_of(text.as_buffer().to_pybytes() if text.is_valid else None)
             number, of = vocabulary.classify(words, suffixes)
             rare = Counter(words[i] for i in np.flatnonzero(number < 0).tolist())
-            block.append((batch, row, rare, number, np.append(of, END)))
+            block.append((batch, row, rare, number, np.append(of, np.int16(END))))
             held += len(words) + 1
             if held >= TOKENS:
                 yield block
