@@ -33,7 +33,7 @@ MARK = "▁"
 # Stands for a U+2581 of the text itself; no text can hold it.  It is written as the mark's three bytes.
 LITERAL_MARK = "\ud800"
 # A task's caches are emptied beyond so many words, and pairs of pieces.
-CACHE, PAIRS = 300_000, 500_000
+CACHE, PAIRS = 100_000, 300_000
 
 
 class Pieces:
@@ -42,6 +42,8 @@ class Pieces:
     def __init__(self, rows: list[tuple[str, float, str]], by_merges: bool):
         self.by_merges = by_merges
         self.neighbours: dict[tuple[str, str], bool] = {}
+        self.halves: dict[str, tuple[str, str] | None] = {}
+        self.edges: tuple[dict, dict] = ({}, {})
         self.found: dict[str, tuple[int, float]] = {}
         self.byte_ids = [-1] * 256
         self.unknown = -1
@@ -75,23 +77,69 @@ class Pieces:
 
     def merged(self, text: str) -> list[str]:
         """BPE as defined: of all neighbours that make a piece, the pair with the best score is joined, the leftmost first."""
-        parts = list(text)
+        parts, last = list(text), None
         while True:
             scores = [self.found[a + b][1] if a + b in self.found else None for a, b in zip(parts, parts[1:])]
             best = max((s for s in scores if s is not None), default=None)
             if best is None:
-                return parts
+                break
             at = scores.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            last = (parts[at], parts[at + 1])
+            parts[at : at + 2] = ["".join(last)]
+        if len(parts) == 1:
+            self.halves[text] = last
+        return parts
+
+    def edge(self, piece: str, side: int) -> list[tuple[str, float, float]]:
+        """The parts that a piece has at its left (0) or right (1) end while it is built, the whole first.
+
+        Each with its own score, and that of the join that ends it.  Empty if
+        the piece isn't its own encoding.
+        """
+        out = self.edges[side].get(piece)
+        if out is None:
+            out = []
+            if self.merged(piece) == [piece]:
+                part, ended = piece, -np.inf
+                while True:
+                    halves = self.halves[part] if part in self.halves else self.merged(part) and self.halves.get(part)
+                    own = self.found[part][1] if halves else np.inf
+                    out.append((part, own, ended))
+                    if not halves:
+                        break
+                    part, ended = halves[side], own
+            self.edges[side][piece] = out
+        return out
 
     def fits(self, before: str, piece: str) -> bool:
-        """Whether the two stay two pieces when encoded together."""
+        """Whether the two stay two pieces when encoded together.
+
+        They don't if parts that touch would be joined before either is built
+        into more; of equal scores the left join comes first.
+        """
         known = self.neighbours.get((before, piece))
-        if known is None:
-            if len(self.neighbours) > PAIRS:
-                self.neighbours.clear()
-            known = self.merged(before + piece) == ([before, piece] if before else [piece])
-            self.neighbours[before, piece] = known
+        if known is not None:
+            return known
+        if len(self.neighbours) > PAIRS:
+            self.neighbours.clear()
+        left = self.edge(before, 1) if before in self.found else [("", np.inf, -np.inf)]
+        right = self.edge(piece, 0)
+        known = bool(left and right)
+        for a, made_a, end_a in left if known else ():
+            for b, made_b, end_b in right:
+                hit = self.found.get(a + b) if a else None
+                if hit is None:
+                    continue
+                if hit[1] >= min(made_a, made_b):  # scores that don't fall as pieces grow: do it step by step
+                    known = self.merged(before + piece) == [before, piece]
+                    break
+                if hit[1] > end_a and hit[1] >= end_b:
+                    known = False
+                    break
+            else:
+                continue
+            break
+        self.neighbours[before, piece] = known
         return known
 
 
@@ -209,8 +257,8 @@ def encode(text: Column, pieces: Pieces, spark: SparkSession) -> Column:
         cache: dict[str, list[int]] = {}
         own = load()
         for texts in batches:
-            parts = [encode_batch(texts.slice(i, GROUP).to_pylist(), own, cache) for i in range(0, len(texts), GROUP)]
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+            for i in range(0, len(texts), GROUP):
+                yield encode_batch(texts.slice(i, GROUP).to_pylist(), own, cache)
 
     return ids(text)
 
