@@ -69,7 +69,8 @@ def line_bitmaps(
         .filter(F.col("n_docs") >= min_docs)
         .select("h1", "h2", "home")
     )
-    # One row a key on the right: a hot key's lines are split by AQE.
+    # One row a key on the right, and stored: a join of two shuffles, in which AQE splits a hot key's lines.
+    shared = materialize(shared, "shared-lines")
     dropped = hashed.join(shared, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("home")))
     positions = dropped.groupBy("doc_id", "twin").agg(F.sort_array(F.collect_set("pos")).alias("at"))
     first = F.filter("at", lambda p, i: (i == 0) | (F.get("at", i - 1) != p - 1))
