@@ -145,7 +145,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = suspects.groupBy("text_sha256").agg(
         F.min(_first("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("group_size")
     )
-    # One row a text on the right: AQE splits a hot text's rows.
+    # One row a text on the right, and stored: a join of two shuffles, in which AQE splits a hot text's rows.
+    groups = materialize(groups, "repeated-texts")
     checked = suspects.join(groups, "text_sha256").select(
         "doc_id",
         F.col("first.id").alias("keep_id"),
