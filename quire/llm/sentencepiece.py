@@ -32,8 +32,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # Stands for a U+2581 of the text itself; no text can hold it.  It is written as the mark's three bytes.
 LITERAL_MARK = "\ud800"
-# A task's caches are emptied beyond so many words, and pairs of pieces.
-CACHE, PAIRS = 100_000, 300_000
+# Beyond so many words a task's cache keeps those of the last batch only; beyond so many, pairs of pieces are forgotten.
+CACHE, PAIRS = 200_000, 300_000
 
 
 class Pieces:
@@ -230,11 +230,13 @@ def encode_words(words: Iterable[str], pieces: Pieces) -> Iterator[tuple[str, li
 
 def encode_batch(texts: list[str | None], pieces: Pieces, cache: dict[str, list[int]]) -> pa.ListArray:
     cut = [marked_words(t or "", pieces) for t in texts]
-    new = set(chain.from_iterable(cut)).difference(cache)
-    cache.update(encode_words(new, pieces))
+    present = set(chain.from_iterable(cut))
+    cache.update(encode_words(present.difference(cache), pieces))
     ids = [np.fromiter(chain.from_iterable(map(cache.__getitem__, words)), np.int32) for words in cut]
-    if len(cache) > CACHE:
+    if len(cache) > CACHE:  # frequent words are in this batch and stay
+        own = {w: cache[w] for w in present}
         cache.clear()
+        cache.update(own)
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
 
