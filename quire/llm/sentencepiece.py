@@ -18,6 +18,7 @@ the ids that the library gives.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 from os.path import commonprefix
@@ -74,7 +75,6 @@ class Pieces:
         ids = [self.byte_ids[b] for b in (MARK if character == LITERAL_MARK else character).encode()]
         return ids if min(ids) >= 0 else [self.unknown]
 
-
     def merged(self, text: str) -> list[str]:
         """BPE as defined: of all neighbours that make a piece, the pair with the best score is joined, the leftmost first."""
         parts, last = list(text), None
@@ -228,17 +228,18 @@ def encode_words(words: Iterable[str], pieces: Pieces) -> Iterator[tuple[str, li
         yield word, ids[::-1]
 
 
-def encode_batch(texts: list[str | None], pieces: Pieces, cache: dict[str, list[int]]) -> pa.ListArray:
+def encode_batch(texts: list[str | None], pieces: Pieces, cache: dict[str, bytes]) -> pa.ListArray:
+    """Ids of each text.  ``cache`` has those of a word as the bytes of an int32 array."""
     cut = [marked_words(t or "", pieces) for t in texts]
     present = set(chain.from_iterable(cut))
-    cache.update(encode_words(present.difference(cache), pieces))
-    ids = [np.fromiter(chain.from_iterable(map(cache.__getitem__, words)), np.int32) for words in cut]
+    cache.update((w, array("i", ids).tobytes()) for w, ids in encode_words(present.difference(cache), pieces))
+    ids = [b"".join(map(cache.__getitem__, words)) for words in cut]
     if len(cache) > CACHE:  # frequent words are in this batch and stay
         own = {w: cache[w] for w in present}
         cache.clear()
         cache.update(own)
-    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
+    offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
 
 def decode_ids(ids: Iterable[int], pieces: Pieces) -> str:
@@ -246,21 +247,32 @@ def decode_ids(ids: Iterable[int], pieces: Pieces) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+def decode_batch(values: pa.ListArray, pieces: Pieces) -> pa.Array:
+    flat = values.values.to_numpy(zero_copy_only=False)
+    cuts = values.offsets.to_pylist()
+    return pa.array([decode_ids(flat[a:b].tolist(), pieces) for a, b in zip(cuts, cuts[1:])], pa.string())
+
+
 # Rows handed on at once, so that a batch of long texts stays small.
 GROUP = 512
 
 
+def _groups(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for values in batches:
+        for i in range(0, len(values), GROUP):
+            yield values.slice(i, GROUP)
+
+
 def encode(text: Column, pieces: Pieces, spark: SparkSession) -> Column:
     """array<int>: ids of each text; NULL and '' have none."""
     load = shipped(spark, pieces)  # the vocabulary: its size is the model's
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache: dict[str, list[int]] = {}
+        cache: dict[str, bytes] = {}
         own = load()
-        for texts in batches:
-            for i in range(0, len(texts), GROUP):
-                yield encode_batch(texts.slice(i, GROUP).to_pylist(), own, cache)
+        for texts in _groups(batches):
+            yield encode_batch(texts.to_pylist(), own, cache)
 
     return ids(text)
 
@@ -272,21 +284,35 @@ def decode(ids: Column, pieces: Pieces, spark: SparkSession) -> Column:
     @F.arrow_udf("string")
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = load()
-        for values in batches:
-            flat = values.values.to_numpy(zero_copy_only=False)
-            cuts = values.offsets.to_pylist()
-            yield pa.array([decode_ids(flat[a:b].tolist(), own) for a, b in zip(cuts, cuts[1:])], pa.string())
+        for values in _groups(batches):
+            yield decode_batch(values, own)
 
     return texts(ids)
 
 
+def encode_and_decode(text: Column, pieces: Pieces, spark: SparkSession) -> Column:
+    """struct<ids, decoded>: both steps in one task process, so that ids don't travel back to be decoded."""
+    load = shipped(spark, pieces)
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        cache: dict[str, bytes] = {}
+        own = load()
+        for texts in _groups(batches):
+            ids = encode_batch(texts.to_pylist(), own, cache)
+            yield pa.StructArray.from_arrays([ids, decode_batch(ids, own)], ["ids", "decoded"])
+
+    return both(text)
+
+
 def tokenized(docs: DataFrame, pieces: Pieces, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """``docs`` with two more columns: the ids of each text, and the text made of them again.
 
     Names that ``docs`` has already get an underscore.  The round trip is exact
     for every text, except that NULL comes back as ''.
     """
-    spark = docs.sparkSession
-    ids_col = free_name(docs, ids_col)
-    with_ids = docs.withColumn(ids_col, encode(F.col(text_col), pieces, spark))
-    return with_ids.withColumn(free_name(with_ids, decoded_col), decode(F.col(ids_col), pieces, spark))
+    own = list(docs.columns)
+    ids_col, both = free_name(docs, ids_col), free_name(docs, "encoded")
+    decoded_col = free_name(docs.select(*own, F.lit(0).alias(ids_col)), decoded_col)
+    out = docs.withColumn(both, encode_and_decode(F.col(text_col), pieces, docs.sparkSession))
+    return out.select(*own, F.col(both)["ids"].alias(ids_col), F.col(both)["decoded"].alias(decoded_col))
