@@ -328,6 +328,16 @@ def test_sentencepiece_is_the_library(docs, empty, spark):
     assert sentencepiece.tokenized(empty, pieces).count() == 0
 
 
+def test_sentencepiece_steps_apart_are_the_steps_together(docs, spark):
+    pieces = sentencepiece.load_pieces()
+    together = sentencepiece.tokenized(docs.select("doc_id", "text"), pieces)
+    apart = docs.select("doc_id", "text", sentencepiece.encode(F.col("text"), pieces, spark).alias("ids"))
+    apart = apart.withColumn("decoded", sentencepiece.decode(F.col("ids"), pieces, spark))
+    assert sorted(map(str, together.collect())) == sorted(map(str, apart.collect()))
+    named = docs.select("doc_id", "text", F.lit(1).alias("Encoded"), F.lit(2).alias("IDS"), F.lit(3).alias("decoded"))
+    assert sentencepiece.tokenized(named, pieces).columns == ["doc_id", "text", "Encoded", "IDS", "decoded", "ids_", "decoded_"]
+
+
 def test_unigram_viterbi_finds_the_best_sum():
     rows = [("<unk>", 0.0, "unknown"), *[(f"<0x{b:02X}>", 0.0, "byte") for b in range(256)]]
     scores = {"▁": -1.0, "a": -1.5, "b": -1.5, "▁a": -2.1, "ab": -1.9, "ba": -2.2, "▁ab": -3.5, "aba": -3.1, "bab": -3.3}
