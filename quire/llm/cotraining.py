@@ -11,7 +11,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -178,20 +177,21 @@ def fit_quality(
     rows = docs.join(both, F.col("doc_id") == F.col("label_id")).select(
         "label_id", "quality", _both_views(*map(F.col, names)).alias("v")
     )
-    found = rows.select("label_id", "quality", "v.text", "v.meta").toPandas()
-    found = found.sort_values("label_id", kind="stable").drop_duplicates("label_id")
-    # Not in order of the id: the split into parts must not follow it.
-    found = found.iloc[np.random.default_rng(0).permutation(len(found))]
-    seen, rest = found[found["quality"].notna()], found[found["quality"].isna()]
-
-    def view(part: pd.DataFrame, name: str, width: int) -> np.ndarray:
-        return np.stack(part[name].to_list()).astype(np.float64) if len(part) else np.zeros((0, width))
-
-    width = {"text": 1 + N_STATS + BIGRAMS, "meta": 1 + SOURCES + LANGS + LENGTHS}
-    return co_train(
-        view(seen, "text", width["text"]), view(seen, "meta", width["meta"]), seen["quality"].to_numpy(np.float64),
-        view(rest, "text", width["text"]), view(rest, "meta", width["meta"]), **how,
-    )
+    found = rows.select("label_id", "quality", "v.text", "v.meta").toArrow()
+    # One row of each id, and not in order of the id: the split into parts must not follow it.
+    ids = found.select(["label_id"]).append_column("row", pa.array(np.arange(found.num_rows)))
+    first = ids.to_pandas().sort_values(["label_id", "row"]).drop_duplicates("label_id")["row"].to_numpy()
+    order = first[np.random.default_rng(0).permutation(len(first))]
+    quality = found["quality"].to_numpy().astype(np.float64)[order]
+    labelled = ~np.isnan(quality)
+
+    def view(name: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+        values = found[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        return values[order[labelled]].astype(np.float64), values[order[~labelled]].astype(np.float64)
+
+    (seen_text, rest_text) = view("text", 1 + N_STATS + BIGRAMS)
+    (seen_meta, rest_meta) = view("meta", 1 + SOURCES + LANGS + LENGTHS)
+    return co_train(seen_text, seen_meta, quality[labelled], rest_text, rest_meta, **how)
 
 
 def score_quality(
