@@ -174,7 +174,8 @@ def fit_quality(
     ids = docs.select(F.col("doc_id").alias("label_id")).distinct().join(known, "label_id", "left_anti")
     pool = ids.orderBy(F.xxhash64("label_id"), "label_id").limit(max_pool)
     both = chosen.unionByName(pool.withColumn("quality", F.lit(None).cast(chosen.schema["quality"].dataType)))
-    rows = docs.join(both, F.col("doc_id") == F.col("label_id")).select(
+    # At most max_labelled + max_pool ids are broadcast; the texts stay where they lie.
+    rows = docs.join(F.broadcast(both), F.col("doc_id") == F.col("label_id")).select(
         "label_id", "quality", _both_views(*map(F.col, names)).alias("v")
     )
     found = rows.select("label_id", "quality", "v.text", "v.meta").toArrow()
