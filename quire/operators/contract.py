@@ -271,20 +271,43 @@ KINDS = {"string": _string, "literal": _literal, "integer": _integer, "uuid": _u
 # --- validation ------------------------------------------------------------
 
 
+def _normalized(path: Column) -> Column:
+    """A plain path without repeated slashes, ``/./`` and a slash at its end.
+
+    URIs stay as they are: in an object store such names are different objects.
+    """
+    single = F.regexp_replace(F.regexp_replace(path, "/(?:[.]?/)+", "/"), "(?<=[^/])/$", "")
+    return F.when(F.contains(path, F.lit("://")), path).otherwise(single)
+
+
+def file_paths(inventory: DataFrame) -> DataFrame:
+    """The inventory's distinct paths, stored once for any number of look-ups.
+
+    The join then sees a plain table: AQE splits the events of a path that many
+    of them name.
+    """
+    return materialize(inventory.select(_normalized(F.col("path")).alias("_path")).distinct(), "paths")
+
+
 def validate(
     df: DataFrame,
     contract: Contract,
     inventory: DataFrame | None = None,
     value_col: str = "value",
     now: Column | None = None,
+    check_files: bool = True,
 ) -> DataFrame:
     """Add ``reason_code``, ``reason`` (NULL = accepted) and the struct ``event``.
 
-    ``inventory`` has one row per existing file in column ``path``.  Defaults
-    such as a generated id are not repeatable: write the result once (see
+    ``inventory`` has one row per existing file in column ``path``, or is the
+    result of ``file_paths``.  A contract that names files needs one, unless
+    ``check_files=False`` leaves that rule out.  Defaults such as a generated id are not repeatable: write the result once (see
     ``quire.streaming.ingest``) before reading it twice.
     """
     now = F.current_timestamp() if now is None else now
+    look_up = contract.path_field is not None and check_files
+    if look_up and inventory is None:
+        raise ValueError("the contract checks files: pass an inventory, or check_files=False")
     kept = df.columns
 
     out = df.withColumn("_v", F.try_parse_json(value_col))
@@ -333,16 +356,14 @@ def validate(
     )
     out = out.withColumn("_failure", failure)
 
-    if contract.path_field and inventory is not None:
+    if look_up:
         path = val(contract.path_field)
-        # Stored, so that the join sees a plain table: AQE then splits the events
-        # of a path that many of them name.
-        files = materialize(inventory.select(F.col("path").alias("_path")).distinct(), "paths")
+        files = inventory if "_path" in inventory.columns else file_paths(inventory)
         files = files.withColumn("_exists", F.lit(True))
         # Only events that passed so far need the look-up; the others get keys
         # that match nothing and spread over all partitions.
         nowhere = F.concat(F.lit("\0"), F.xxhash64(value_col).cast("string"))
-        out = out.withColumn("_lookup", F.when(F.col("_failure").isNull(), path).otherwise(nowhere))
+        out = out.withColumn("_lookup", F.when(F.col("_failure").isNull(), _normalized(path)).otherwise(nowhere))
         out = out.join(files, F.col("_lookup") == F.col("_path"), "left")
         missing = F.col("_failure").isNull() & F.col("_exists").isNull()
         out = out.withColumn(

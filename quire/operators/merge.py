@@ -45,8 +45,13 @@ def _stored_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The rows of ``source`` whose key the target does not hold yet."""
-    return source.join(_stored_keys(target, key), key, "left_anti").select(source.columns)
+    """The rows of ``source`` whose key the target does not hold yet.
+
+    Of the target's keys only those that the source has are stored.
+    """
+    wanted = source.select(key).distinct()
+    known = _stored_keys(target.select(key).join(wanted, key, "left_semi"), key)
+    return source.join(known, key, "left_anti").select(source.columns)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

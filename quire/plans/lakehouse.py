@@ -46,6 +46,10 @@ class Lakehouse:
     def bronze(self) -> StoredTable:
         return StoredTable(self.spark, f"{self.root}/bronze", layers.BRONZE_SCHEMA, fmt=self.fmt)
 
+    @property
+    def extraction_errors(self) -> StoredTable:
+        return StoredTable(self.spark, f"{self.root}/extraction_errors", fmt=self.fmt)
+
     @property
     def silver(self) -> StoredTable:
         return StoredTable(
@@ -94,6 +98,12 @@ def load_bronze(house: Lakehouse, loaders: dict | None = None, now: Column | Non
     coverage = Observation("coverage")
     counts = (F.count(F.lit(1)).alias("row_count"), F.count("raw_text").alias("extracted_text_count"))
     house.bronze.rebuild(stamped.observe(coverage, *counts))
+    # Why a text is missing is kept beside bronze; only those files are read again.
+    without = house.bronze.read().filter("raw_text IS NULL")
+    failed = landing.read_and_extract(
+        without.select("document_id", "file_path", "file_type", "file_size_bytes"), loaders, error_col="extraction_error"
+    )
+    house.extraction_errors.rebuild(failed.drop("raw_text", "file_size_bytes"))
     return dict(coverage.get)
 
 

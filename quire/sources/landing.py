@@ -101,60 +101,88 @@ def _runs(paragraph) -> str:
 
 
 def text_of_docx(content: bytes) -> str:
-    """Non-blank paragraphs, then table rows with cells joined by `` | ``."""
+    """Non-blank paragraphs, then table rows with cells joined by `` | ``; merged cells repeat."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         body = ElementTree.fromstring(archive.read("word/document.xml")).find(_W + "body")
     lines = [line for line in map(_runs, body.findall(_W + "p")) if line.strip()]
-    for row in (r for table in body.findall(_W + "tbl") for r in table.findall(_W + "tr")):
-        cells = ["\n".join(_runs(p) for p in cell.findall(_W + "p")) for cell in row.findall(_W + "tc")]
-        lines.append(" | ".join(cells))
+    for table in body.findall(_W + "tbl"):
+        above: list[str] = []
+        for row in table.findall(_W + "tr"):
+            above = _grid_cells(row, above)
+            lines.append(" | ".join(above))
     return "\n".join(lines)
 
 
+def _grid_cells(row, above: list[str]) -> list[str]:
+    """Text per grid column: a merged cell is repeated in each that it covers."""
+    out: list[str] = []
+    for cell in row.findall(_W + "tc"):
+        span, merged = cell.find(f"{_W}tcPr/{_W}gridSpan"), cell.find(f"{_W}tcPr/{_W}vMerge")
+        text = "\n".join(_runs(p) for p in cell.findall(_W + "p"))
+        if merged is not None and merged.get(_W + "val") != "restart" and len(out) < len(above):
+            text = above[len(out)]
+        out += [text] * (1 if span is None else int(span.get(_W + "val")))
+    return out
+
+
 # Loader per document type; a PDF loader has to be supplied by the caller.
 LOADERS: dict[str, Callable[[bytes], str]] = {"txt": text_of_txt, "docx": text_of_docx}
 
 
-def _load(loaders, file_type, read_content) -> str | None:
-    """Text of one file, or None if it cannot be had: one bad file is one NULL."""
+def _load(loaders, file_type, read_content) -> tuple[str | None, str | None]:
+    """Text of one file, or why it cannot be had: one bad file is one NULL."""
+    if file_type not in loaders:
+        return None, f"no loader for {file_type}"
     try:
-        return loaders[file_type](read_content())
-    except Exception:
-        return None
+        return loaders[file_type](read_content()), None
+    except Exception as error:
+        return None, f"{type(error).__name__}: {error}"
+
+
+def _extend(schema: T.StructType, error_col: str | None) -> T.StructType:
+    added = ["raw_text"] + ([error_col] if error_col else [])
+    return T.StructType([*schema.fields, *(T.StructField(name, T.StringType()) for name in added)])
 
 
-def _extend(df: DataFrame) -> T.StructType:
-    return T.StructType([*df.schema.fields, T.StructField("raw_text", T.StringType())])
+def _with_text(batches, texts_of, error_col: str | None) -> Iterator[pd.DataFrame]:
+    """Batches with ``raw_text`` (and the error) added, cut so that each stays bounded."""
 
+    def part(batch, start, found):
+        rows = batch.iloc[start : start + len(found)]
+        for position, name in enumerate(["raw_text"] + ([error_col] if error_col else [])):
+            rows = rows.assign(**{name: pd.Series([f[position] for f in found], dtype=object, index=rows.index)})
+        return rows
 
-def _with_text(batches, texts_of) -> Iterator[pd.DataFrame]:
-    """Batches with ``raw_text`` added, cut so that each stays bounded."""
     for batch in batches:
-        texts, start, held = [], 0, 0
-        for text in texts_of(batch):
-            texts.append(text)
+        found, start, held = [], 0, 0
+        for text, error in texts_of(batch):
+            found.append((text, error))
             held += len(text or "")
             if held > BATCH_CHARS:
-                stop = start + len(texts)
-                yield batch.iloc[start:stop].assign(raw_text=pd.Series(texts, dtype=object, index=batch.index[start:stop]))
-                texts, start, held = [], stop, 0
-        if texts:
-            yield batch.iloc[start:].assign(raw_text=pd.Series(texts, dtype=object, index=batch.index[start:]))
+                yield part(batch, start, found)
+                start, found, held = start + len(found), [], 0
+        if found:
+            yield part(batch, start, found)
 
 
-def extract_text(df: DataFrame, loaders: dict | None = None, content_col: str = "content") -> DataFrame:
-    """Add ``raw_text`` for rows that carry their bytes and ``file_type``."""
+def extract_text(
+    df: DataFrame, loaders: dict | None = None, content_col: str = "content", error_col: str | None = None
+) -> DataFrame:
+    """Add ``raw_text`` for rows that carry their bytes and ``file_type``.
+
+    ``error_col`` names a column that says why a text is NULL.
+    """
     loaders = {**LOADERS, **(loaders or {})}
     rest = [c for c in df.columns if c != content_col]
-    schema = T.StructType([*df.select(rest).schema.fields, T.StructField("raw_text", T.StringType())])
+    schema = _extend(df.select(rest).schema, error_col)
 
     def texts_of(batch):
         for kind, content in zip(batch["file_type"], batch[content_col]):
             yield _load(loaders, kind, lambda: bytes(content))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for out in _with_text(batches, texts_of):
-            yield out[[*rest, "raw_text"]]
+        for out in _with_text(batches, texts_of, error_col):
+            yield out[schema.names]
 
     return df.mapInPandas(run, schema)
 
@@ -163,25 +191,28 @@ def read_and_extract(
     events: DataFrame,
     loaders: dict | None = None,
     bytes_per_task: int = 128 * 1024 * 1024,
+    files_per_task: int = 1_000,
+    error_col: str | None = None,
 ) -> DataFrame:
     """Add ``raw_text`` by reading ``file_path`` in the task that holds the row.
 
     Only the events are shuffled, never file contents.  The number of tasks
-    follows the declared sizes.
+    follows the declared sizes and, as these may be wrong, the number of files.
+    ``error_col`` names a column that says why a text is NULL.
     """
     loaders = {**LOADERS, **(loaders or {})}
-    total = events.agg(F.coalesce(F.sum("file_size_bytes"), F.lit(0))).first()[0]
-    tasks = max(1, -(-int(total) // bytes_per_task))
+    total, files = events.agg(F.coalesce(F.sum("file_size_bytes"), F.lit(0)), F.count(F.lit(1))).first()
+    tasks = max(1, -(-int(total) // bytes_per_task), -(-files // files_per_task))
 
     def texts_of(batch):
         for kind, path in zip(batch["file_type"], batch["file_path"]):
             yield _load(loaders, kind, lambda: _read_file(path))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _with_text(batches, texts_of)
+        return _with_text(batches, texts_of, error_col)
 
     # Round robin: no id or path, however often repeated, gathers in one task.
-    return events.repartition(tasks).mapInPandas(run, _extend(events))
+    return events.repartition(tasks).mapInPandas(run, _extend(events.schema, error_col))
 
 
 def _read_file(path: str) -> bytes:

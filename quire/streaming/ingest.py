@@ -33,6 +33,7 @@ def ingest_batch(
     inventory: DataFrame | None = None,
     now: Column | None = None,
     emit: Callable[[DataFrame, DataFrame, int], None] | None = None,
+    check_files: bool = True,
 ) -> None:
     """Validate one batch and write its accepted and rejected events.
 
@@ -40,7 +41,7 @@ def ingest_batch(
     """
     spark = batch.sparkSession
     staged_path = _batch_folder(root, STAGED, batch_id)
-    validated = ct.validate(batch.select("value"), contract, inventory, now=now)
+    validated = ct.validate(batch.select("value"), contract, inventory, now=now, check_files=check_files)
     stamped = validated.withColumn("validated_at", F.current_timestamp() if now is None else now)
     stamped.write.mode("overwrite").parquet(staged_path)
 
@@ -65,15 +66,18 @@ def run_ingestion(
     inventory: DataFrame | None = None,
     now: Column | None = None,
     emit: Callable[[DataFrame, DataFrame, int], None] | None = None,
+    check_files: bool = True,
 ) -> list[int]:
     """Drain what the source holds and stop; a later run goes on from there.
 
-    Returns the ids of the batches of this run.
+    The inventory is read and stored once, not for each micro-batch.  Returns the ids of the batches of this run.
     """
     batches: list[int] = []
+    if inventory is not None:
+        inventory = ct.file_paths(inventory)
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        ingest_batch(df, batch_id, root, contract, inventory, now, emit)
+        ingest_batch(df, batch_id, root, contract, inventory, now, emit, check_files)
         batches.append(batch_id)
 
     query = (

@@ -23,7 +23,8 @@ def run(spark, events, inventory=None):
     values = [e if isinstance(e, str) else json.dumps(e) for e in events]
     df = spark.createDataFrame(list(enumerate(values)), "i int, value string")
     inv = None if inventory is None else spark.createDataFrame([(p,) for p in inventory], "path string")
-    return ct.validate(df, ct.DOCUMENT_CONTRACT, inv, now=F.lit("2026-01-02 03:04:05").cast("timestamp"))
+    now = F.lit("2026-01-02 03:04:05").cast("timestamp")
+    return ct.validate(df, ct.DOCUMENT_CONTRACT, inv, now=now, check_files=inventory is not None)
 
 
 def outcomes(spark, events, inventory=None):
@@ -31,6 +32,17 @@ def outcomes(spark, events, inventory=None):
     return [(r["reason_code"], r["reason"], r["event"]) for r in out]
 
 
+def test_files_are_looked_up_unless_told_otherwise(spark):
+    with pytest.raises(ValueError):
+        ct.validate(spark.createDataFrame([("{}",)], "value string"), ct.DOCUMENT_CONTRACT)
+
+
+def test_paths_are_compared_normalized(spark):
+    paths = ["/in//a.txt", "/in/./a.txt", "s3://b//in/a.txt", "/in/a", "/in/b.txt/"]
+    found = [code for code, _, _ in outcomes(spark, [dict(BASE, file_path=p) for p in paths], ["/in/a.txt", "s3://b/in/a.txt", "/in/b.txt"])]
+    assert found == [None, None, "file_missing", "file_missing", None]
+
+
 def ten_events():
     def event(name, kind, size, category, path=None, by="bot"):
         return dict(BASE, file_name=name, file_type=kind, file_size_bytes=size, category=category,

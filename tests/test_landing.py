@@ -86,6 +86,25 @@ def test_extraction_keeps_rows_of_unreadable_files(spark, folder):
     assert plugged.filter("file_name = 'paper.pdf'").first()["raw_text"] == "pdf of 4"
 
 
+def test_extraction_says_why(spark, folder):
+    events = landing.upload_events(landing.list_files(spark, [folder]))
+    out = landing.read_and_extract(events, files_per_task=3, error_col="why")
+    why = {r["file_name"]: r["why"] for r in out.collect()}
+    assert why["plain.txt"] is None and why["paper.pdf"] == "no loader for pdf" and why["bad.docx"].startswith("BadZipFile")
+    assert out.rdd.getNumPartitions() == 3
+
+
+def test_merged_cells_repeat():
+    cell = lambda text, props="": f"<w:tc><w:tcPr>{props}</w:tcPr>{par(text)}</w:tc>"
+    rows = [
+        cell("wide", '<w:gridSpan w:val="2"/>') + cell("x"),
+        cell("tall", '<w:vMerge w:val="restart"/>') + cell("1") + cell("2"),
+        cell("", "<w:vMerge/>") + cell("3") + cell("4"),
+    ]
+    body = "<w:tbl>" + "".join(f"<w:tr>{r}</w:tr>" for r in rows) + "</w:tbl>"
+    assert landing.text_of_docx(docx(body)) == "wide | wide | x\ntall | 1 | 2\ntall | 3 | 4"
+
+
 def test_large_batches_are_cut(spark, monkeypatch):
     monkeypatch.setattr(landing, "BATCH_CHARS", 25)
     df = spark.range(100).coalesce(1).select("id", F.lit("txt").alias("file_type"), F.lit(b"0123456789").alias("content"))
