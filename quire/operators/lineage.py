@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -19,34 +20,43 @@ LINEAGE_SCHEMA = T.StructType(
         T.StructField("namespace", T.StringType(), False),
         T.StructField("job", T.StringType(), False),
         T.StructField("producer", T.StringType(), False),
+        T.StructField("row_count", T.LongType()),
     ]
 )
 
 
+@dataclass
+class Step:
+    """A running step; what it sets in ``rows`` is kept with its last event."""
+
+    run_id: str
+    rows: int | None = None
+
+
 class LineageLog:
     """Appends one row per step state to the table at ``path``."""
 
     def __init__(self, spark: SparkSession, path: str, namespace: str = "quire", producer: str = "quire"):
         self.spark, self.path, self.namespace, self.producer = spark, path, namespace, producer
 
-    def emit(self, event_type: str, run_id: str, job: str) -> None:
-        row = (event_type, datetime.now(timezone.utc), run_id, self.namespace, job, self.producer)
+    def emit(self, event_type: str, run_id: str, job: str, rows: int | None = None) -> None:
+        row = (event_type, datetime.now(timezone.utc), run_id, self.namespace, job, self.producer, rows)
         self.spark.createDataFrame([row], LINEAGE_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(LINEAGE_SCHEMA).parquet(self.path)
 
     @contextmanager
-    def step(self, job: str) -> Iterator[str]:
+    def step(self, job: str) -> Iterator[Step]:
         """START, then COMPLETE, or FAIL with the error raised again."""
-        run_id = str(uuid.uuid4())
-        self.emit(fixed.LINEAGE_START, run_id, job)
+        step = Step(str(uuid.uuid4()))
+        self.emit(fixed.LINEAGE_START, step.run_id, job)
         try:
-            yield run_id
+            yield step
         except Exception:
-            self.emit(fixed.LINEAGE_FAIL, run_id, job)
+            self.emit(fixed.LINEAGE_FAIL, step.run_id, job, step.rows)
             raise
-        self.emit(fixed.LINEAGE_COMPLETE, run_id, job)
+        self.emit(fixed.LINEAGE_COMPLETE, step.run_id, job, step.rows)
 
 
 def lineage_summary(

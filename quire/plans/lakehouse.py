@@ -170,16 +170,20 @@ def run_pipeline(
     log, out = house.lineage, {}
     with log.step("produce_documents"):
         produce(house, folders, more_events)
-    with log.step("validate_and_consume"):
+    with log.step("validate_and_consume") as step:
         out["ingestion"] = consume(house, landing.list_files(house.spark, folders))
+        step.rows = out["ingestion"]["total"]
     with log.step("check_ingestion_quality"):
         check_ingestion(out["ingestion"])
-    with log.step("bronze_load"):
+    with log.step("bronze_load") as step:
         out["bronze"] = load_bronze(house, loaders)
-    with log.step("silver_transform"):
+        step.rows = out["bronze"]["row_count"]
+    with log.step("silver_transform") as step:
         out["silver"] = update_silver(house)
+        step.rows = out["silver"]["rows_after"]
     with log.step("quality_checkpoint"):
         out["quality"] = require_quality(house.silver.read())
-    with log.step("gold_aggregate"):
+    with log.step("gold_aggregate") as step:
         out["gold"] = build_gold(house)
+        step.rows = out["gold"]["gold_row_count"]
     return out

@@ -56,7 +56,7 @@ starts AS (
                     ELSE {STRIDE} * ceil((len(s) - {SIZE}) / {STRIDE}.0) + 1 END AS BIGINT), {STRIDE})) AS start
   FROM split WHERE len(s) > 0
 ),
-chunks AS (
+chunks AS MATERIALIZED (
   SELECT file_name || '_chunk_' || CASE WHEN start < 1000 THEN lpad(CAST(start AS VARCHAR), 3, '0')
                                         ELSE CAST(start AS VARCHAR) END AS chunk_id,
          array_to_string(s[start + 1 : start + {SIZE}], ' ') AS text, file_name, category, document_id
@@ -64,11 +64,11 @@ chunks AS (
 )"""
 
 TERMS = f"""{CHUNKS},
-docs AS (SELECT chunk_id, {tokens('text')} AS t FROM chunks),
+docs AS MATERIALIZED (SELECT chunk_id, {tokens('text')} AS t FROM chunks),
 totals AS (SELECT count(*) AS n, sum(len(t)) / count(*) AS avgdl FROM docs),
-tf AS (SELECT chunk_id, any_value(dl) AS dl, term, count(*) AS tf
+tf AS MATERIALIZED (SELECT chunk_id, any_value(dl) AS dl, term, count(*) AS tf
        FROM (SELECT chunk_id, len(t) AS dl, unnest(t) AS term FROM docs) GROUP BY chunk_id, term),
-raw_idf AS (SELECT term, count(*) AS df, ln(any_value(n) - count(*) + 0.5) - ln(count(*) + 0.5) AS raw
+raw_idf AS MATERIALIZED (SELECT term, count(*) AS df, ln(any_value(n) - count(*) + 0.5) - ln(count(*) + 0.5) AS raw
             FROM tf, totals GROUP BY term),
 dictionary AS (SELECT term, df, CASE WHEN raw < 0 THEN {fixed.BM25_EPSILON} * (SELECT avg(raw) FROM raw_idf) ELSE raw END AS idf
                FROM raw_idf)"""
@@ -223,7 +223,25 @@ SILVER_SUITE = _suite(
     _expectation(IN_SET, "is_valid", "silver", "NOT is_valid"),
 )
 
-EXTRACTED = "extracted AS (SELECT doc_id, CASE lang WHEN 'de' THEN 'docx' WHEN 'fr' THEN 'xls' ELSE 'txt' END AS file_type, CASE WHEN lang NOT IN ('de', 'fr') THEN text END AS raw_text FROM documents)"
+EXTRACTED = rf"""extracted AS (
+  SELECT doc_id, CASE WHEN lang IN ('de', 'es') THEN 'docx' WHEN lang = 'fr' THEN 'xls' ELSE 'txt' END AS file_type,
+    CASE lang WHEN 'es' THEN 'BadZipFile' WHEN 'fr' THEN 'no loader for xls' END AS problem,
+    CASE WHEN lang = 'de' THEN array_to_string(list_concat(
+           list_filter(string_split(text, {LF}), lambda l: regexp_matches(l, '\S')),
+           [lang || ' | ' || lang || ' | ' || source, 'a | b | ' || source]), {LF})
+         WHEN lang NOT IN ('es', 'fr') THEN text END AS raw_text
+  FROM documents)"""
+
+COERCED = [
+    ("source = 'src2'", "malformed_json", "Input should be valid JSON"),
+    ("source = 'src1'", "not_an_object", "Input should be a valid dictionary"),
+    ("f = 2", "blank", fixed.MSG_BLANK % "file_name"),
+    ("f > 2", "string_type", fixed.MSG_STRING),
+    ("t > 2", "literal_error", "Input should be 'pdf', 'docx' or 'txt'"),
+    ("s = 4", "int_from_float", fixed.MSG_INT_FRACTION),
+    ("s = 5", "int_parsing", fixed.MSG_INT_TEXT),
+    ("s IN (6, 9)", "int_type", fixed.MSG_INT),
+]
 
 CENTRES = """
 parts AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
@@ -251,7 +269,7 @@ UNION ALL SELECT 'gold', count(DISTINCT category) FROM silver WHERE is_valid""",
     "a6_corpus_statistics": f"""WITH {TERMS} SELECT (SELECT n FROM totals) AS n_docs,
   round((SELECT avgdl FROM totals), 6) AS mean_length, count(*) AS n_terms, round(avg(raw), 6) AS mean_idf FROM raw_idf""",
     "a6_term_dictionary": f"WITH {TERMS} SELECT term, df, round(idf, 6) AS idf FROM dictionary",
-    "s13_extract_text": f"WITH {EXTRACTED} SELECT doc_id, file_type, md5(raw_text) AS text_md5 FROM extracted",
+    "s13_extract_text": f"WITH {EXTRACTED} SELECT doc_id, file_type, md5(raw_text) AS text_md5, problem FROM extracted",
     "s3_encode_events": """SELECT CAST(s_suppkey AS VARCHAR) AS key, '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name
   || '","s_nationkey":' || s_nationkey || '}' AS value FROM supplier""",
     "s6_manifest_round_trip": f"""SELECT CAST(doc_id AS VARCHAR) AS document_id, {DOC_NAME} AS file_name,
@@ -262,12 +280,14 @@ UNION ALL SELECT 'gold', count(DISTINCT category) FROM silver WHERE is_valid""",
 WHERE NOT coalesce(quality = 0, FALSE)""",
     "s11_stored_delete": """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderpriority <> '1-URGENT'""",
     "s12_vector_upsert": """SELECT 'vec_' || vec_id AS chunk_id, 'file_' || label AS file_name,
-  round(CAST(embedding[1] AS DOUBLE) * CASE WHEN label IN (1, 2, 3) THEN -1 ELSE 1 END, 6) AS first FROM embeddings""",
+  CAST(pos - 1 AS INTEGER) AS pos, round(CAST(embedding[pos] AS DOUBLE) * CASE WHEN label IN (1, 2, 3) THEN -1 ELSE 1 END, 6) AS x
+FROM (SELECT *, generate_subscripts(embedding, 1) AS pos FROM embeddings)""",
     "p1_first_keyword": """SELECT p_partkey, CASE WHEN contains(lower(p_name), 'ring') THEN 'round'
   WHEN contains(lower(p_name), 'red') THEN 'coloured' WHEN contains(lower(p_name), 'plate') THEN 'flat'
   WHEN contains(lower(p_name), 'gear') THEN 'round' WHEN contains(lower(p_name), 'blue') THEN 'coloured'
   ELSE 'other' END AS category FROM part""",
-    "p1_infer_category": f"SELECT {DOC_NAME} AS file_name, 'policy' AS category FROM documents",
+    "p1_infer_category": f"""SELECT {DOC_NAME} AS file_name, CASE doc_id % 6 WHEN 3 THEN 'scholarship' WHEN 4 THEN 'course_catalog'
+  WHEN 5 THEN 'general' ELSE 'policy' END AS category FROM documents""",
     "p2_lookup_with_default": "SELECT r_name, CASE r_name WHEN 'ASIA' THEN 'as' WHEN 'EUROPE' THEN 'eu' ELSE 'xx' END AS code FROM region",
     "p3_suffix_and_stem": f"""SELECT page_id, lower(regexp_extract(n, '^.+([.][^.]+)$', 1)) AS suffix,
   {STEM.format(n='n')} AS stem FROM (SELECT page_id, regexp_extract(url, '[^/]*$') AS n FROM pages)""",
@@ -291,6 +311,36 @@ FROM validated WHERE reason IS NULL""",
 FROM validated WHERE reason IS NOT NULL""",
     "s5_dead_letters": f"""WITH {VALIDATED} SELECT path AS file_path, reason AS rejection_reason,
   '2024-06-01T00:00:00.000000+00:00' AS rejected_at FROM validated WHERE reason IS NOT NULL""",
+    "v_coercions": "WITH coerced AS (SELECT *, n_chars % 5 AS f, (n_chars + doc_id) % 7 AS t, doc_id % 10 AS s FROM documents), "
+    + "judged AS (SELECT *, CASE " + " ".join(f"WHEN {when} THEN {quoted(code)}" for when, code, _ in COERCED) + " END AS reason_code, "
+    + "CASE " + " ".join(f"WHEN {when} THEN {quoted(reason)}" for when, _, reason in COERCED) + """ END AS reason FROM coerced)
+SELECT doc_id, reason_code, reason, CASE WHEN reason IS NULL THEN CASE f WHEN 0 THEN 'Doc.TXT' ELSE 'Doc.txt' END END AS file_name,
+  CASE WHEN reason IS NULL THEN CAST(CASE s WHEN 0 THEN 25 WHEN 1 THEN 1000 WHEN 2 THEN 1 WHEN 3 THEN 12 WHEN 7 THEN 7 WHEN 8 THEN 3 END AS BIGINT)
+    END AS file_size_bytes,
+  CASE WHEN reason IS NULL THEN 'Bot' END AS uploaded_by, CASE WHEN reason IS NULL THEN 'general' END AS category,
+  CASE WHEN reason IS NULL THEN '2024-06-01T00:00:00.000000Z' END AS upload_timestamp FROM judged""",
+    "t4_run_summary": f"""WITH {VALIDATED}
+SELECT split_part(split_part(reason, ' (', 1), ' —', 1) AS reason_key, count(*) AS n, (SELECT count(*) FROM validated) AS total,
+  (SELECT count(*) FROM validated WHERE reason IS NULL) AS accepted, (SELECT count(reason) FROM validated) AS rejected
+FROM validated WHERE reason IS NOT NULL GROUP BY 1""",
+    "t5_runs_go_on": f"""WITH {VALIDATED} SELECT CAST(CASE doc_id % 2 WHEN 0 THEN 1 ELSE 3 END AS INTEGER) AS run, count(*) AS total,
+  count(*) FILTER (WHERE reason IS NULL) AS accepted, count(reason) AS rejected FROM validated GROUP BY 1""",
+    "h3_gated_pipeline": f"""WITH {VALIDATED}
+SELECT 'consume' AS job, 'COMPLETE' AS state, CAST(0 AS BIGINT) AS failures, CAST(1 AS BIGINT) AS completions, count(*) AS row_count
+FROM validated WHERE reason IS NULL
+UNION ALL SELECT 'check', 'FAIL', 1, 0, count(*) FROM validated WHERE reason IS NOT NULL""",
+    "g1_refused_writes": """SELECT attempt, problem, times * n AS rows_after FROM (SELECT count(*) AS n FROM customer),
+  (VALUES ('extra column', 'undeclared column note string', 1), ('missing column', 'missing column c_name string', 1),
+    ('other type', 'column c_acctbal is string, declared double', 1), ('null', 'NULL in not-null column c_name', 1),
+    ('nullable', NULL, 2)) AS tried(attempt, problem, times)""",
+    "d3_approx_given_cells": f"""WITH {CENTRES},
+d AS (SELECT vec_id, query_id, sum((x - c) * (x - c)) AS d FROM parts JOIN centres USING (pos) GROUP BY 1, 2),
+cells AS (SELECT vec_id, arg_min(query_id, d) AS cell FROM d GROUP BY 1),
+near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, cell) AS r FROM (
+  SELECT a.query_id, b.query_id AS cell, sum((a.c - b.c) * (a.c - b.c)) AS d FROM centres a JOIN centres b USING (pos) GROUP BY 1, 2))
+SELECT query_id, vec_id AS chunk_id, round(d, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT d.query_id, vec_id, d.d, row_number() OVER (PARTITION BY d.query_id ORDER BY round(d.d, 9), vec_id) AS rank
+  FROM d JOIN cells USING (vec_id) JOIN near ON near.query_id = d.query_id AND near.cell = cells.cell AND near.r <= 2) WHERE rank <= 20""",
     "v_event_properties": """SELECT event_id, CASE WHEN k > 50 THEN 'k ' || k || ' exceeds 50' END AS reason,
   CASE WHEN k <= 50 THEN k END AS k FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""",
     "t3_stream_ingest": f"""WITH {VALIDATED} SELECT coalesce(reason_code, 'accepted') AS outcome, count(*) AS n FROM validated GROUP BY 1""",
@@ -323,7 +373,7 @@ UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier""",
     "o1_ordered_documents": f"SELECT lang AS category, {DOC_NAME} AS file_name FROM documents ORDER BY 1, 2",
     "o3_topk_per_group": """SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice, CAST(r AS INTEGER) AS rank FROM (SELECT *,
   row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS r FROM lineitem) WHERE r <= 6""",
-    "x1_nfkc": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
+    "x1_nfkc": "SELECT doc_id, regexp_matches(text, 'fi|[mnu .2]') AS changed, md5(text) AS text_md5 FROM documents",
     "x2_clean_text": f"WITH {UNTIDY} SELECT doc_id, md5({clean('text')}) AS text_md5 FROM untidy",
     "x6_word_count": f"WITH {UNTIDY} SELECT doc_id, CAST(len({words('text')}) AS INTEGER) AS word_count FROM untidy",
     "x8_sentences": f"""WITH {UNTIDY} SELECT doc_id, CAST(len(s) AS INTEGER) AS n, md5(array_to_string(s, '|')) AS sentences_md5
@@ -331,12 +381,13 @@ FROM (SELECT doc_id, {sentences('text')} AS s FROM untidy)""",
     "x9_chunks": f"WITH {CHUNKS} SELECT chunk_id, md5(text) AS text_md5, category FROM chunks",
     "x11_tokens": f"""SELECT conv_id, turn, CAST(len(t) AS INTEGER) AS n, md5(array_to_string(t, ' ')) AS tokens_md5
 FROM (SELECT conv_id, turn, {tokens('text')} AS t FROM conversations)""",
-    "x12_reason_key": "SELECT c_custkey, c_name AS reason_key FROM customer",
+    "x12_reason_key": """SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN c_name || '-' || c_mktsegment || '(low)' ELSE c_name END AS reason_key
+FROM customer""",
     "x13_record_name": """SELECT doc_id, replace(CASE WHEN lang <> 'fr' THEN CAST(doc_id AS VARCHAR) ELSE 'no-id' END || '_' ||
   CASE WHEN lang <> 'de' THEN source || ' of ' || lang || '.v1' ELSE 'unknown' END || '.json', ' ', '_') AS record_name FROM documents""",
     "x14_iso_time": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS iso FROM events",
     "x16_json_properties": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
-    "x17_refusal_wording": "SELECT conv_id, turn, turn > 1 AS refused FROM conversations",
+    "x17_refusal_wording": "SELECT conv_id, turn, contains(text, 'me') AS refused FROM conversations",
     "q_silver_suite": f"WITH {SILVER} {SILVER_SUITE}",
     "q_lineitem_suite": _suite(
         _expectation(NOT_NULL, "l_orderkey", "lineitem", "l_orderkey IS NULL"),

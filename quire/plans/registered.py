@@ -8,15 +8,21 @@ uploader.
 
 from __future__ import annotations
 
+import io
+import re
+import zipfile
 from collections.abc import Callable
+from xml.sax.saxutils import escape
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quire.functions import text as tx
 from quire.operators import answering, bm25, contract as ct, dense, expectations as ex
 from quire.operators import layers, lineage, merge as mg, ranking, schema_guard, topk
 from quire.operators.chunking import chunk_documents
-from quire.plans import retrieval
+from quire.plans import lakehouse, retrieval
 from quire.session import materialize, prepare_session, scratch_path
 from quire.sources import landing, topics
 from quire.sources.tables import StoredTable
@@ -129,30 +135,60 @@ def a5_layer_counts(spark, folder):
 
 @registered
 def a6_corpus_statistics(spark, folder):
-    stats = bm25.corpus_statistics(bm25.build_index(_chunks(spark, folder)))
+    stats = bm25.corpus_statistics(bm25.build_index(_chunks(spark, folder), store_tokens=False))
     return stats.withColumns({c: F.round(c, 6) for c in ("mean_length", "mean_idf")})
 
 
 @registered
 def a6_term_dictionary(spark, folder):
-    return bm25.build_index(_chunks(spark, folder)).dictionary().withColumn("idf", F.round("idf", 6))
+    index = bm25.build_index(_chunks(spark, folder), store_tokens=False)
+    return index.dictionary().withColumn("idf", F.round("idf", 6))
 
 
 # --- sources and sinks -----------------------------------------------------------
 
 
+WORD_XML = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+
+
+@F.pandas_udf(T.BinaryType())
+def _as_docx(text: pd.Series, lang: pd.Series, source: pd.Series) -> pd.Series:
+    """A document per row: its lines as paragraphs, and a table with merged cells."""
+
+    def paragraph(line: str) -> str:
+        return f'<w:p><w:r><w:t xml:space="preserve">{escape(line)}</w:t></w:r></w:p>'
+
+    def cell(line: str, merge: str = "") -> str:
+        return f"<w:tc><w:tcPr>{merge}</w:tcPr>{paragraph(line)}</w:tc>"
+
+    def packed(text: str, lang: str, source: str) -> bytes:
+        wide = cell(lang, '<w:gridSpan w:val="2"/>') + cell(source, '<w:vMerge w:val="restart"/>')
+        rows = f'<w:tr>{wide}</w:tr><w:tr>{cell("a")}{cell("b")}{cell("", "<w:vMerge/>")}</w:tr>'
+        body = "".join(map(paragraph, text.split("\n"))) + f"<w:tbl>{rows}</w:tbl>"
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            archive.writestr("word/document.xml", f'<w:document xmlns:w="{WORD_XML}"><w:body>{body}</w:body></w:document>')
+        return out.getvalue()
+
+    return pd.Series([packed(*row) for row in zip(text, lang, source)])
+
+
 def _extracted(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as bytes of a declared type, which is wrong for some."""
-    kind = F.when(F.col("lang") == "de", "docx").when(F.col("lang") == "fr", "xls").otherwise("txt")
+    """Documents as files: some in a real docx, some of a declared type that is wrong."""
+    lang = F.col("lang")
+    kind = F.when(lang.isin("de", "es"), "docx").when(lang == "fr", "xls").otherwise("txt")
+    packed = _as_docx(*[F.when(lang == "de", F.coalesce(c, F.lit(""))).otherwise("") for c in ("text", "lang", "source")])
     files = spread(table(spark, folder, "documents")).select(
-        "doc_id", kind.alias("file_type"), F.encode("text", "UTF-8").alias("content")
+        "doc_id", kind.alias("file_type"), F.when(lang == "de", packed).otherwise(F.encode("text", "UTF-8")).alias("content")
     )
-    return landing.extract_text(files)
+    return landing.extract_text(files, error_col="problem")
 
 
 @registered
 def s13_extract_text(spark, folder):
-    return _extracted(spark, folder).select("doc_id", "file_type", F.md5("raw_text").alias("text_md5"))
+    """Texts, and for the others why there is none."""
+    problem = F.substring_index("problem", ":", 1)
+    return _extracted(spark, folder).select("doc_id", "file_type", F.md5("raw_text").alias("text_md5"), problem.alias("problem"))
 
 
 @registered
@@ -221,7 +257,8 @@ def s12_vector_upsert(spark, folder):
     )
     retrieval.upsert_vectors(stored, newer)
     retrieval.upsert_vectors(stored, newer)
-    return stored.read().select("chunk_id", "file_name", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
+    parts = stored.read().select("chunk_id", "file_name", F.posexplode("embedding").alias("pos", "x"))
+    return parts.withColumn("x", F.round(F.col("x").cast("double"), 6))
 
 
 # --- projections and predicates -----------------------------------------------------
@@ -238,9 +275,10 @@ def p1_first_keyword(spark, folder):
 
 @registered
 def p1_infer_category(spark, folder):
-    return _bronze(spark, folder).select(
-        "file_name", tx.infer_category(F.concat(F.col("uploaded_by"), F.lit("_Graduation_"), "file_name")).alias("category")
-    )
+    """Names with one keyword, with two (the first in the list counts), and with none."""
+    named = ["Graduation", "x_WITHDRAWAL", "scholarship_Attendance", "CS_Program_Scholarship", "cs_program", "notes"]
+    part = F.get(F.array(*map(F.lit, named)), (F.col("document_id").cast("bigint") % len(named)).cast("int"))
+    return _bronze(spark, folder).select("file_name", tx.infer_category(F.concat(part, F.lit("_"), "file_name")).alias("category"))
 
 
 @registered
@@ -356,6 +394,32 @@ def s5_dead_letters(spark, folder):
     )
 
 
+@registered
+def v_coercions(spark, folder):
+    """Values of other types, blank and absent ones, and events that are no objects."""
+    doc = F.col("doc_id").cast("string")
+    whole = ["25", '"1_000"', "true", "12.0", "12.5", '"abc"', "[1]", '" +007 "', '"3.0"', "null"]
+    texts = ['"Doc.TXT"', '" Doc.txt\\t"', '" \\t "', "7", "null"]
+    types = ['"txt"', '"txt"', '"txt"', '"TXT"', '"xls"', "3", "null"]
+    pick = lambda values, by: F.get(F.array(*map(F.lit, values)), (by % len(values)).cast("int"))
+    value = F.concat(
+        F.lit('{"file_name":'), pick(texts, F.col("n_chars")), F.lit(',"file_path":"/in//'), doc,
+        F.lit('","file_type":'), pick(types, F.col("n_chars") + F.col("doc_id")),
+        F.lit(',"file_size_bytes":'), pick(whole, F.col("doc_id")), F.lit(',"uploaded_by":" Bot "}'),
+    )
+    value = F.when(F.col("source") == "src1", F.concat(F.lit("["), value, F.lit("]"))).when(
+        F.col("source") == "src2", F.substring(value, 1, F.length(value) - 1)
+    ).otherwise(value)
+    docs = spread(table(spark, folder, "documents").select("doc_id", "source", "n_chars"))
+    paths = docs.select(F.concat(F.lit("/in/"), doc).alias("path"))
+    out = ct.validate(docs.select("doc_id", value.alias("value")), ct.DOCUMENT_CONTRACT, paths, now=_clock())
+    return out.select(
+        "doc_id", "reason_code", "reason", F.col("event.file_name").alias("file_name"),
+        F.col("event.file_size_bytes").alias("file_size_bytes"), F.col("event.uploaded_by").alias("uploaded_by"),
+        F.col("event.category").alias("category"), F.col("event.upload_timestamp").alias("upload_timestamp"),
+    )
+
+
 @registered
 def v_event_properties(spark, folder):
     """A second contract: the JSON properties of the event table."""
@@ -400,6 +464,64 @@ def t3_stream_ingest(spark, folder):
     return good.unionByName(bad)
 
 
+@registered
+def t5_runs_go_on(spark, folder):
+    """Three runs on one checkpoint, the second without new events, and a batch run again."""
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "ingestion")
+    events, paths = _contract_events(spark, folder), ct.file_paths(_labelled_paths(spark, folder))
+    stream = lambda: topics.stream_topic_files(spark, topic)
+    run = lambda: ingest.run_ingestion(stream(), root, inventory=_labelled_paths(spark, folder), now=_clock())
+    early = F.col("doc_id") % 2 == 0
+    topics.write_topic_files(events.filter(early), topic)
+    runs = [run(), run()]
+    topics.write_topic_files(events.filter(~early), topic)
+    runs.append(run())
+    # As after a crash: the last batch comes again and replaces what it wrote.
+    again = spark.read.parquet(f"{root}/{ingest.STAGED}/batch_id={runs[2][-1]}").select("value")
+    ingest.ingest_batch(materialize(again, "again"), runs[2][-1], root, inventory=paths, now=_clock())
+    stored = ingest.accepted_events(spark, root).select("batch_id", F.lit(1).alias("good")).unionByName(
+        ingest.rejected_events(spark, root).select("batch_id", F.lit(0).alias("good"))
+    )
+    run_of = F.coalesce(*[F.when(F.col("batch_id").isin(ids), F.lit(n)) for n, ids in enumerate(runs, 1) if ids])
+    return stored.groupBy(run_of.alias("run")).agg(
+        F.count("*").alias("total"), F.sum("good").alias("accepted"), F.sum(1 - F.col("good")).alias("rejected")
+    )
+
+
+@registered
+def t4_run_summary(spark, folder):
+    """Every reason of a run with its count, and the totals beside each."""
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "ingestion")
+    topics.write_topic_files(_contract_events(spark, folder), topic)
+    batches = ingest.run_ingestion(
+        topics.stream_topic_files(spark, topic), root, inventory=_labelled_paths(spark, folder), now=_clock()
+    )
+    summary = ingest.run_summary(spark, root, batches)
+    totals = {name: F.lit(summary[name]).cast("bigint") for name in ("total", "accepted", "rejected")}
+    return summary["rejection_reasons"].withColumns(totals)
+
+
+@registered
+def h3_gated_pipeline(spark, folder):
+    """A gate that fails stops the steps after it; lineage tells the state and the rows of each."""
+    house = lakehouse.Lakehouse(spark, scratch_path(spark, "house"))
+    topics.write_topic_files(_contract_events(spark, folder), house.topic)
+    try:
+        with house.lineage.step("consume") as step:
+            summary = lakehouse.consume(house, _labelled_paths(spark, folder))
+            step.rows = summary["accepted"]
+        with house.lineage.step("check") as step:
+            step.rows = summary["rejected"]
+            lakehouse.check_ingestion(summary, min_accepted=summary["total"] + 1)
+        with house.lineage.step("bronze"):
+            lakehouse.load_bronze(house)
+    except lakehouse.PipelineHalted:
+        pass
+    rows = house.lineage.read().groupBy("run_id").agg(F.max("row_count").alias("row_count"))
+    states = lineage.lineage_summary(house.lineage.read()).join(rows, "run_id")
+    return states.select("job", "state", "failures", "completions", "row_count")
+
+
 # --- merges -------------------------------------------------------------------------------
 
 
@@ -518,8 +640,10 @@ def _untidy(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def x1_nfkc(spark, folder):
+    """Texts with compatibility characters put in, which the normal form takes out again."""
     docs = spread(table(spark, folder, "documents"))
-    return docs.select("doc_id", F.md5(tx.nfkc(F.col("text"))).alias("text_md5"))
+    wide = F.translate(F.replace("text", F.lit("fi"), F.lit("\ufb01")), "mnu .2", "\uff4d\uff4e\uff55\u00a0\uff0e\u00b2")
+    return docs.select("doc_id", (wide != F.col("text")).alias("changed"), F.md5(tx.nfkc(wide)).alias("text_md5"))
 
 
 @registered
@@ -555,7 +679,13 @@ def x11_tokens(spark, folder):
 
 @registered
 def x12_reason_key(spark, folder):
-    message = F.concat("c_name", F.lit(" (balance "), "c_mktsegment", F.lit(" — low)"))
+    """Messages cut at a bracket, at a dash, at whichever comes first, and not at all."""
+    kinds = [
+        F.concat("c_name", F.lit(" (balance "), "c_mktsegment", F.lit(" — low)")),
+        F.concat("c_name", F.lit(" — "), "c_mktsegment", F.lit(" (low)")),
+        F.concat("c_name", F.lit("-"), "c_mktsegment", F.lit("(low)")),
+    ]
+    message = F.get(F.array(*kinds), (F.col("c_custkey") % len(kinds)).cast("int"))
     return table(spark, folder, "customer").select("c_custkey", tx.reason_key(message).alias("reason_key"))
 
 
@@ -579,7 +709,13 @@ def x16_json_properties(spark, folder):
 
 @registered
 def x17_refusal_wording(spark, folder):
-    text = F.when(F.col("turn") > 1, F.upper(F.lit(answering.fixed.REFUSAL_TEXT))).otherwise(F.col("text"))
+    """The refusal within a text, in capitals or not, and a part of it only."""
+    refusal = F.lit(answering.fixed.REFUSAL_TEXT)
+    text = (
+        F.when(F.contains("text", F.lit("me")), F.concat("text", F.upper(refusal), "text"))
+        .when(F.contains("text", F.lit("on")), F.concat("text", F.substring(refusal, 1, len(answering.fixed.REFUSAL_TEXT) - 1)))
+        .otherwise(F.col("text"))
+    )
     return table(spark, folder, "conversations").select("conv_id", "turn", answering.is_refusal(text).alias("refused"))
 
 
@@ -617,11 +753,42 @@ def h2_quality_verdict(spark, folder):
     return ex.suite_verdict(ex.check_expectations(_silver_measures(spark, folder), ex.SILVER_SUITE))
 
 
+@registered
+def g1_refused_writes(spark, folder):
+    """Appends that do not fit the declared columns: why each is refused, and the rows that stay."""
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    declared = T.StructType(
+        [T.StructField(f.name, f.dataType, f.name == "c_acctbal") for f in customers.schema]
+    )
+    stored = StoredTable(spark, scratch_path(spark, "guarded"), declared)
+    stored.rebuild(customers)
+    attempts = {
+        "extra column": customers.withColumn("note", F.lit("n")),
+        "missing column": customers.drop("c_name"),
+        "other type": customers.withColumn("c_acctbal", F.col("c_acctbal").cast("string")),
+        "null": customers.withColumn("c_name", F.when(F.col("c_custkey") > 1, F.col("c_name"))),
+        "nullable": customers.withColumn("c_acctbal", F.when(F.col("c_custkey") > 1, F.col("c_acctbal"))),
+    }
+    outcomes = []
+    for attempt, rows in attempts.items():
+        try:
+            stored.append(rows)
+            outcomes.append((attempt, None, stored.count()))
+        except schema_guard.SchemaViolation as refusal:
+            outcomes.append((attempt, str(refusal), stored.count()))
+        except Exception as failure:
+            found = re.search("NULL in not-null column [a-z_]+", str(failure))
+            if found is None:
+                raise
+            outcomes.append((attempt, found.group(0), stored.count()))
+    return spark.createDataFrame(outcomes, "attempt string, problem string, rows_after bigint")
+
+
 @registered
 def g2_null_violations(spark, folder):
     bronze = _extracted(spark, folder).join(table(spark, folder, "labels"), "doc_id", "left")
-    declared = schema_guard.T.StructType(
-        [schema_guard.T.StructField(n, bronze.schema[n].dataType, False) for n in ("doc_id", "raw_text", "quality")]
+    declared = T.StructType(
+        [T.StructField(n, bronze.schema[n].dataType, False) for n in ("doc_id", "raw_text", "quality")]
     )
     return schema_guard.null_violations(bronze, declared)
 
@@ -680,6 +847,17 @@ def d3_approx_recall(spark, folder):
     return dense.recall(dense.dense_topk(vectors, queries, 6), approx)
 
 
+@registered
+def d3_approx_given_cells(spark, folder):
+    """Labels' means as cells and as queries; each query probes the two cells next to it."""
+    queries = materialize(_label_centres(spark, folder), "centres")
+    given = queries.orderBy("query_id").toPandas()  # one row for each label
+    centres = np.stack(given["embedding"].to_list()).astype(float)
+    cells = dense.assign_cells(_vectors(spark, folder), centres)
+    hits = dense.approx_dense_topk(cells, queries, centres, n_probe=2, k=20)
+    return hits.withColumn("distance", F.round("distance", 6))
+
+
 @registered
 def d4_bm25_topk(spark, folder):
     hits = bm25.bm25_topk(bm25.build_index(_chunks(spark, folder)), _items(spark, folder), 6)
