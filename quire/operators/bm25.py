@@ -214,7 +214,7 @@ class _Scorer:
             shape = (len(q.query_ids), stop - first)
             score = np.bincount(cell, gain, minlength=shape[0] * shape[1]).reshape(shape)
             matched = None if self.pad else np.bincount(cell, minlength=score.size).reshape(shape) > 0
-            self.best.offer_block(0, first, score, matched, ids)
+            self.best.offer_block(np.arange(len(q.query_ids)), first, score, matched, ids)
 
 
 def _scan_documents(index: Bm25Index, block: _QueryBlock, k: int, pad: bool, out_schema: T.StructType) -> DataFrame:

@@ -49,13 +49,13 @@ class TaskTopK:
         self.limit = max(100_000, 4 * k * n_queries)
 
     def offer_block(
-        self, first_query: int, first_row: int, scores: np.ndarray, valid: np.ndarray | None, ids: pa.Array
+        self, queries: np.ndarray, first_row: int, scores: np.ndarray, valid: np.ndarray | None, ids: pa.Array
     ) -> None:
-        """Offer a dense (queries x rows) block of scores."""
+        """Offer a dense (queries x rows) block of scores; ``queries`` has the numbers of its queries."""
         place = np.round(scores, DECIMALS) + 0.0
         if valid is not None:
             place = np.where(valid, place, -np.inf)
-        floor = self.floor[first_query : first_query + place.shape[0]]
+        floor = self.floor[queries]
         if place.shape[1] > self.k:
             floor = np.maximum(np.partition(place, -self.k, axis=1)[:, -self.k], floor)
         query, row = np.nonzero((place >= floor[:, None]) & (place > -np.inf))
@@ -64,7 +64,7 @@ class TaskTopK:
         self.kept.append(
             pa.table(
                 {
-                    "q": query + first_query,
+                    "q": queries[query],
                     "id": ids.take(pa.array(row + first_row)),
                     "score": scores[query, row],
                     "place": place[query, row],

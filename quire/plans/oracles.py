@@ -437,6 +437,8 @@ f AS (SELECT query_id, chunk_id, v AS vector_rank, b AS bm25_rank,
 SELECT query_id, chunk_id, vector_rank, bm25_rank, round(s, 9) AS rrf_score, CAST(r AS INTEGER) AS rank FROM (SELECT *,
   row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, vector_rank ASC NULLS LAST, chunk_id) AS r FROM f) WHERE r <= 6""",
     "d6_hybrid_search": f"""WITH {HYBRID} SELECT query_id, chunk_id, CAST(vector_rank AS INTEGER) AS vector_rank,
+  CAST(bm25_rank AS INTEGER) AS bm25_rank, round(rrf, 9) AS rrf_score, rank FROM hits""",
+    "d6_hybrid_all_cells": f"""WITH {HYBRID} SELECT query_id, chunk_id, CAST(vector_rank AS INTEGER) AS vector_rank,
   CAST(bm25_rank AS INTEGER) AS bm25_rank, round(rrf, 9) AS rrf_score, rank FROM hits""",
     "d7_rerank": f"WITH {RERANKED} SELECT query_id, chunk_id, rank, candidate_rank, rerank_score FROM reranked",
     "d8_context": f"""WITH {RERANKED} SELECT query_id, md5(context) AS context_md5, citations FROM

@@ -853,7 +853,7 @@ def d3_approx_given_cells(spark, folder):
     queries = materialize(_label_centres(spark, folder), "centres")
     given = queries.orderBy("query_id").toPandas()  # one row for each label
     centres = np.stack(given["embedding"].to_list()).astype(float)
-    cells = dense.assign_cells(_vectors(spark, folder), centres)
+    cells = dense.store_cells(dense.assign_cells(_vectors(spark, folder), centres), scratch_path(spark, "cells"))
     hits = dense.approx_dense_topk(cells, queries, centres, n_probe=2, k=20)
     return hits.withColumn("distance", F.round("distance", 6))
 
@@ -903,6 +903,14 @@ def d6_hybrid_search(spark, folder):
     return hits.withColumn("rrf_score", F.round("rrf_score", 9))
 
 
+@registered
+def d6_hybrid_all_cells(spark, folder):
+    """The dense list from a table of cells, all of which are probed: the exact result."""
+    index = retrieval.build_search_index(_chunks(spark, folder), n_cells=16)
+    hits = retrieval.hybrid_search(index, _items(spark, folder), n_probe=16)
+    return hits.withColumn("rrf_score", F.round("rrf_score", 9))
+
+
 @registered
 def d7_rerank(spark, folder):
     index, queries = _search_index(spark, folder), _items(spark, folder)

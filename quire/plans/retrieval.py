@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quire import fixed_values as fixed
 from quire.operators import answering, bm25, dense, layers, ranking
 from quire.operators import merge as mg
 from quire.operators.chunking import chunk_documents
-from quire.session import materialize
+from quire.session import materialize, scratch_path
 from quire.sources.tables import StoredTable
 
 
@@ -20,16 +21,27 @@ class SearchIndex:
 
     chunks: DataFrame  # chunk_id, text, file_name, category, document_id, embedding
     bm25: bm25.Bm25Index
+    cells: DataFrame | None = None  # chunk_id, embedding, cell: a folder per cell
+    centres: np.ndarray | None = None
 
 
-def build_search_index(chunks: DataFrame, encoder=None) -> SearchIndex:
-    """Embed and store the chunks once, then count terms from the stored table."""
+def build_search_index(chunks: DataFrame, encoder=None, n_cells: int | None = None) -> SearchIndex:
+    """Embed and store the chunks once, then count terms from the stored table.
+
+    With ``n_cells`` the vectors are also laid out by cell, for searches that
+    read some cells only.
+    """
     stored = materialize(dense.embed(chunks, "text", encoder), "chunks")
-    return SearchIndex(stored, bm25.build_index(stored))
+    index = SearchIndex(stored, bm25.build_index(stored))
+    if n_cells is None:
+        return index
+    centres = dense.fit_cells(stored, n_cells)
+    celled = dense.assign_cells(stored.select("chunk_id", "embedding"), centres)
+    return replace(index, cells=dense.store_cells(celled, scratch_path(stored.sparkSession, "cells")), centres=centres)
 
 
-def index_silver(silver: DataFrame, encoder=None) -> SearchIndex:
-    return build_search_index(chunk_documents(layers.retrievable_rows(silver)), encoder)
+def index_silver(silver: DataFrame, encoder=None, n_cells: int | None = None) -> SearchIndex:
+    return build_search_index(chunk_documents(layers.retrievable_rows(silver)), encoder, n_cells)
 
 
 def hybrid_search(
@@ -38,14 +50,21 @@ def hybrid_search(
     top_k: int = fixed.HYBRID_TOP_K,
     pad_to_k: bool = False,
     encoder=None,
+    n_probe: int | None = None,
 ) -> DataFrame:
     """Dense and BM25 lists of ``top_k`` each, fused to ``top_k`` per query.
 
-    ``queries`` has ``query_id`` and ``text``.  The result is stored, so what
-    follows reads a small table.
+    ``queries`` has ``query_id`` and ``text``.  With ``n_probe`` the dense list
+    comes from the cells next to each query; all cells give the exact list.  The
+    result is stored, so what follows reads a small table.
     """
     asked = dense.embed(queries.select("query_id", "text"), "text", encoder)
-    vector_hits = dense.dense_topk(index.chunks, asked, top_k)
+    if n_probe is None:
+        vector_hits = dense.dense_topk(index.chunks, asked, top_k)
+    elif index.cells is None:
+        raise ValueError("the index has no cells: build it with n_cells")
+    else:
+        vector_hits = dense.approx_dense_topk(index.cells, asked, index.centres, n_probe, top_k)
     bm25_hits = bm25.bm25_topk(index.bm25, queries, top_k, pad_to_k)
     return materialize(ranking.reciprocal_rank_fusion(vector_hits, bm25_hits, top_k=top_k), "hits")
 
@@ -72,9 +91,10 @@ def answer_queries(
     hybrid_top_k: int = fixed.HYBRID_TOP_K,
     rerank_top_k: int = fixed.RERANK_TOP_K,
     pad_to_k: bool = False,
+    n_probe: int | None = None,
 ) -> DataFrame:
     """Answer every query: search, rerank, build context, generate."""
-    hits = hybrid_search(index, queries, hybrid_top_k, pad_to_k, encoder)
+    hits = hybrid_search(index, queries, hybrid_top_k, pad_to_k, encoder, n_probe)
     reranked = search_and_rerank(index, queries, hits, rerank_top_k, scorer)
     contexts = answering.build_context(reranked, ("category", "document_id", "rerank_score"))
     answers = answering.generate_answers(queries, contexts, generator)
