@@ -198,7 +198,8 @@ def labelled_statistics(
     chosen = known.groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("label_id"), "label_id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    joined = texts.join(chosen, F.col("doc_id") == F.col("label_id"))
+    # At most max_rows ids are broadcast; the texts stay where they lie.
+    joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
     stats = joined.select("doc_id", text_statistics(F.col("text")).alias("stats"), (F.col("quality") == 0).alias("bad"))
     once = stats.groupBy("doc_id").agg(F.min("stats").alias("stats"), F.max("bad").alias("bad"))
     return once.select("doc_id", "stats", "bad")
