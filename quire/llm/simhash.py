@@ -26,6 +26,7 @@ billion fingerprints meet about thirty strangers each.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -324,26 +325,107 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 # --- near copies by similarity ----------------------------------------------------
 
 
-def set_fingerprints(text: bytes | None, words: int, count: int) -> list[int] | None:
-    """``count`` independent SimHashes of the set of a text's word shingles; None without words."""
+# Shingles are counted in a sample of one in COUNTED texts; those in FREQUENT of them or more come last in the order
+# of all shingles, the MAX_FREQUENT most frequent at most.  Any order finds all; this one keeps crowds out.
+COUNTED = 16
+FREQUENT = 8
+MAX_FREQUENT = 2**17
+FIRST_TOKENS = "token long, row long, size int, place int, to_larger boolean"
+
+
+def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
+    """The distinct 64-bit hashes of a text's word shingles, ascending; none without words."""
     found = (text or b"").lower().split()
-    if not found:
-        return None
-    parts = [found[i:] for i in range(min(words, len(found)))]
-    hashes = np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(p)) for p in zip(*parts)), "<u8"))
-    out = []
-    for k in range(count):
-        # A finalizer of 64-bit hashes (splitmix64, fixed values) makes each an independent one.
-        h = hashes + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+    size = min(words, len(found))
+    if not size:
+        return np.empty(0, np.uint64)
+    of_word = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+    n = len(found) - size + 1
+    h = np.zeros(n, np.uint64)
+    for i in range(size):
+        # A finalizer of 64-bit hashes (splitmix64, fixed values) after each word.
+        h = (h ^ of_word[i : i + n]) + np.uint64(0x9E3779B97F4A7C15)
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         h ^= h >> np.uint64(31)
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(h), SHINGLES):
-            bits = np.unpackbits(h[at : at + SHINGLES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones += bits.sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * ones > len(h), bitorder="little").view("<i8")[0]))
-    return out
+    return np.unique(h)
+
+
+def prefix_sizes(n: int, similarity: float) -> tuple[int, int]:
+    """How many of a text's ``n`` shingles, the first in an order of all, must be looked up among larger and smaller texts.
+
+    With similarity t, sets of m <= n shingles share s = t / (1 + t) (m + n) or more:
+    2t / (1 + t) m at least, and t n at least.  The first shingle that they share is
+    among the first m - s + 1 of the one and the first n - s + 1 of the other.
+    """
+    to_larger, to_smaller = (math.ceil(part * n - 1e-6) for part in (2 * similarity / (1 + similarity), similarity))
+    return n - max(1, to_larger) + 1, n - max(1, to_smaller) + 1
+
+
+def _first_tokens(words: int, similarity: float, frequent: np.ndarray, counts: np.ndarray):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, n_held = [], 0
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                h = shingle_hashes(text.as_buffer().to_pybytes() if text.is_valid else None, words)
+                n = len(h)
+                if not n:
+                    continue
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+                    h = h[np.argsort(np.where(frequent[at] == h, counts[at], 0), kind="stable")]
+                to_larger, to_smaller = prefix_sizes(n, similarity)
+                place = np.arange(to_smaller)
+                held.append((h[:to_smaller].view(np.int64), np.full(to_smaller, row), np.full(to_smaller, n, np.int32), place.astype(np.int32), place < to_larger))
+                n_held += to_smaller
+                if n_held >= SHINGLES:
+                    yield _token_rows(held)
+                    held, n_held = [], 0
+            if held:
+                yield _token_rows(held)
+
+    return emit
+
+
+def _token_rows(held: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(np.concatenate(c)) for c in zip(*held)]
+    return pa.RecordBatch.from_arrays(columns, ["token", "row", "size", "place", "to_larger"])
+
+
+def _all_hashes(words: int):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                if text.is_valid:
+                    yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text.as_buffer().to_pybytes(), words).view(np.int64))], ["token"])
+
+    return emit
+
+
+def first_tokens(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """FIRST_TOKENS of ``texts`` (row, text): any two texts with ``similarity`` share one that the smaller has ``to_larger``."""
+    sample = texts.filter(F.pmod(F.xxhash64("row"), F.lit(COUNTED)) == 0).select("text")
+    often = sample.mapInArrow(_all_hashes(words), "token long").groupBy("token").count().filter(F.col("count") >= FREQUENT)
+    often = often.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).toArrow()
+    tokens = often["token"].to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    return texts.mapInArrow(_first_tokens(words, similarity, tokens[order], often["count"].to_numpy()[order]), FIRST_TOKENS)
+
+
+def similar_pairs(tokens: DataFrame, similarity: float) -> DataFrame:
+    """(x, y) of all rows that may have ``similarity``, from their first tokens.
+
+    Both have them in the same order.  After the last that they share, at ``place`` i
+    and j, at most the rest of either can be shared: pairs that can't reach the
+    similarity with that are left out.
+    """
+    one = tokens.filter("to_larger").select("token", F.col("row").alias("x"), F.col("size").alias("m"), F.col("place").alias("i"))
+    two = tokens.select("token", F.col("row").alias("y"), F.col("size").alias("n"), F.col("place").alias("j"))
+    met = one.join(two, "token").filter((F.col("m") < F.col("n")) | (F.col("m") == F.col("n")) & (F.col("x") < F.col("y")))
+    met = met.filter(F.col("m") >= F.lit(similarity) * F.col("n") - 1e-6)
+    pairs = met.groupBy("x", "y", "m", "n").agg(F.count(F.lit(1)).alias("shared"), F.max("i").alias("i"), F.max("j").alias("j"))
+    most = F.col("shared") + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) - 1
+    return pairs.filter(most >= F.lit(similarity / (1 + similarity)) * (F.col("m") + F.col("n")) - 1e-6).select("x", "y")
 
 
 def shingle_set(text: bytes, words: int) -> set[bytes]:
@@ -363,50 +445,37 @@ def _alike(words: int):
     return jaccard
 
 
+def _compared(candidates: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The links (a, b) among ``candidates`` (x, y) whose whole shingle sets have the similarity."""
+    ends = candidates.select(F.col("x").alias("row")).unionByName(candidates.select(F.col("y").alias("row"))).distinct()
+    texts = materialize(texts.join(ends, "row", "left_semi"), "near-texts")
+    one, two = texts.select(F.col("row").alias("x"), F.col("text").alias("s")), texts.select(F.col("row").alias("y"), F.col("text").alias("t"))
+    compared = candidates.join(one, "x").join(two, "y").withColumn("alike", _alike(words)(F.col("s"), F.col("t")))
+    return materialize(compared.filter(F.col("alike") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b")), "near-alike")
+
+
 def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8,
-    fingerprint_words: int = 1, fingerprint_count: int = 3,
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
     """``docs`` with one row of each group of near copies, all columns as they are.
 
     Near copies are texts whose sets of ``words``-word shingles (A-Z lower-cased;
     a shorter text is one shingle) have a Jaccard similarity of ``similarity``
-    or more; groups are connected by them.  Candidates are texts of which one of
-    ``fingerprint_count`` fingerprints is within RADIUS bits.  One fingerprint of
-    long shingles finds few texts with a similarity of 0.8 (they differ in ten
-    bits); these are made of sets of shorter ones (single words), which an edit changes less.
-    Each candidate is then compared by its whole shingle sets.
+    or more; groups are connected by them.  Candidates are all texts that share one
+    of their first shingles (``prefix_sizes``), which any two near copies do,
+    whatever the edit.  Each candidate is then compared by its whole shingle sets.
 
     Of a group the row with the smallest id stays, a NULL id only if there is no
     other, of equal ids one.  Texts without words are nobody's copies and stay.
     """
-    row, prints = free_name(docs, "near_row"), free_name(docs, "near_prints")
-
-    @F.arrow_udf("array<long>")
-    def fingerprinted(texts: pa.Array) -> pa.Array:
-        values = [set_fingerprints(t.as_buffer().to_pybytes() if t.is_valid else None, fingerprint_words, fingerprint_count) for t in texts]
-        return pa.array(values, pa.list_(pa.int64()))
-
-    stored = materialize(
-        docs.withColumns({row: F.monotonically_increasing_id(), prints: fingerprinted(F.col(text_col))}), "near-input"
-    )
-    found = None
-    for k in range(fingerprint_count):
-        nodes = stored.filter(F.col(prints).isNotNull()).select(F.col(row).alias("row"), F.col(prints)[k].alias("fp"))
-        of = materialize(nodes.groupBy("fp").agg(F.min("row").alias("least")), "distinct-fingerprints")
-        links = near_links(of)
-        one, two = of.select(F.col("fp").alias("a"), F.col("least").alias("x")), of.select(F.col("fp").alias("b"), F.col("least").alias("y"))
-        pairs = links.join(one, "a").join(two, "b").select("x", "y")
-        same = nodes.join(of, "fp").filter("row != least").select(F.col("least").alias("x"), F.col("row").alias("y"))
-        both = pairs.unionByName(same)
-        found = both if found is None else found.unionByName(both)
-    candidates = materialize(found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "near-candidates")
-
-    ends = candidates.select(F.col("x").alias(row)).unionByName(candidates.select(F.col("y").alias(row))).distinct()
-    texts = materialize(stored.join(ends, row, "left_semi").select(F.col(row).alias("row"), F.col(text_col).alias("text")), "near-texts")
-    one, two = texts.select(F.col("row").alias("x"), F.col("text").alias("s")), texts.select(F.col("row").alias("y"), F.col("text").alias("t"))
-    compared = candidates.join(one, "x").join(two, "y").withColumn("alike", _alike(words)(F.col("s"), F.col("t")))
-    groups = components(compared.filter(F.col("alike") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    row = free_name(docs, "near_row")
+    stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "near-input")
+    texts = stored.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
+    tokens = first_tokens(texts, words, similarity)
+    tokens = materialize(tokens, "near-tokens")
+    candidates = materialize(similar_pairs(tokens, similarity), "near-candidates")
+
+    groups = components(_compared(candidates, texts, words, similarity))
     members = stored.join(groups, F.col(row) == F.col("node")).select("root", row, F.col(id_col).alias("id"))
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", F.col(row).alias("row"))
     kept = members.groupBy("root").agg(F.min(first).alias("first")).select("root", F.col("first.row").alias("kept"))

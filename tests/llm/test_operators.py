@@ -207,6 +207,27 @@ def test_drop_near_copies(spark, docs, empty):
     assert simhash.drop_near_copies(empty).count() == 0
 
 
+def test_near_copies_by_blocks(spark):
+    """All kinds of edits: what stays is what a comparison of all pairs leaves."""
+    rng = np.random.default_rng(11)
+    draw = lambda n: [f"w{i}" for i in (20_000 * rng.random(n) ** 3).astype(int)]
+    texts = []
+    for n in [12, 60, 100, 300, 900] * 6:
+        base = draw(n)
+        at = int(rng.integers(0, n - n // 11))
+        cut, more = base[: n - max(1, n * 17 // 100)], base + draw(n * 17 // 100)
+        texts += [base, cut, base[n - len(cut) :], more, base[:at] + draw(n // 11) + base[at + n // 11 :]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [simhash.shingle_set(t.encode(), 5) for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8 and root[i] != root[j]:
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert collected(out, "doc_id") == sorted(((i,) for i in set(root)), key=repr) and len(set(root)) < 60
+
+
 def test_mixing(docs, empty):
     out = mixing.mix_report(docs)
     got = out.collect()
