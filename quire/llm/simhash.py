@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quire.llm.common import free_name
 from quire.llm.components import components
@@ -330,6 +330,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 COUNTED = 16
 FREQUENT = 8
 MAX_FREQUENT = 2**17
+# By so many of its first shingles a text is compared with the next smaller one, before all pairs are formed.
+NEXT = 3
 FIRST_TOKENS = "token long, row long, size int, place int, to_larger boolean"
 
 
@@ -392,6 +394,23 @@ def _token_rows(held: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["token", "row", "size", "place", "to_larger"])
 
 
+def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, sorted by token, whose token another row has."""
+    held, shared = None, None  # the last row, if no other had its token yet; the last token, if it was shared
+    for batch in batches:
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        token = rows["token"].to_numpy()
+        if not len(token):
+            continue
+        same = token[1:] == token[:-1]
+        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        if shared is not None:
+            keep |= token == shared
+        held = None if keep[-1] else rows.slice(len(token) - 1).to_batches()[0]
+        shared = token[-1] if keep[-1] else None
+        yield from rows.filter(pa.array(keep)).to_batches()
+
+
 def _all_hashes(words: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -409,19 +428,31 @@ def first_tokens(texts: DataFrame, words: int, similarity: float) -> DataFrame:
     often = often.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).toArrow()
     tokens = often["token"].to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    return texts.mapInArrow(_first_tokens(words, similarity, tokens[order], often["count"].to_numpy()[order]), FIRST_TOKENS)
+    found = texts.mapInArrow(_first_tokens(words, similarity, tokens[order], often["count"].to_numpy()[order]), FIRST_TOKENS)
+    return found.repartition("token").sortWithinPartitions("token").mapInArrow(_shared_only, FIRST_TOKENS)
+
 
+def next_pairs(tokens: DataFrame, similarity: float) -> DataFrame:
+    """(x, y) of rows that stand side by side, in order of size, among those with a token of their NEXT first ones."""
+    beside = Window.partitionBy("token").orderBy("size", "row")
+    pairs = tokens.filter(F.col("place") < NEXT).select(
+        F.lag("row").over(beside).alias("x"), F.col("row").alias("y"), F.lag("size").over(beside).alias("m"), "size"
+    )
+    return pairs.filter(F.col("m") >= F.lit(similarity) * F.col("size") - 1e-6).select("x", "y").distinct()
 
-def similar_pairs(tokens: DataFrame, similarity: float) -> DataFrame:
-    """(x, y) of all rows that may have ``similarity``, from their first tokens.
+
+def similar_pairs(tokens: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """(x, y) of all rows that may have ``similarity``, from their first tokens, save those already in one of ``groups``.
 
     Both have them in the same order.  After the last that they share, at ``place`` i
     and j, at most the rest of either can be shared: pairs that can't reach the
     similarity with that are left out.
     """
-    one = tokens.filter("to_larger").select("token", F.col("row").alias("x"), F.col("size").alias("m"), F.col("place").alias("i"))
-    two = tokens.select("token", F.col("row").alias("y"), F.col("size").alias("n"), F.col("place").alias("j"))
-    met = one.join(two, "token").filter((F.col("m") < F.col("n")) | (F.col("m") == F.col("n")) & (F.col("x") < F.col("y")))
+    tokens = tokens.join(groups, F.col("row") == F.col("node"), "left").withColumn("root", F.coalesce("root", "row"))
+    tokens = materialize(tokens.drop("node"), "near-grouped")
+    one = tokens.filter("to_larger").select("token", F.col("row").alias("x"), F.col("root").alias("p"), F.col("size").alias("m"), F.col("place").alias("i"))
+    two = tokens.select("token", F.col("row").alias("y"), F.col("root").alias("q"), F.col("size").alias("n"), F.col("place").alias("j"))
+    met = one.join(two, "token").filter("p != q").filter((F.col("m") < F.col("n")) | (F.col("m") == F.col("n")) & (F.col("x") < F.col("y")))
     met = met.filter(F.col("m") >= F.lit(similarity) * F.col("n") - 1e-6)
     pairs = met.groupBy("x", "y", "m", "n").agg(F.count(F.lit(1)).alias("shared"), F.max("i").alias("i"), F.max("j").alias("j"))
     most = F.col("shared") + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) - 1
@@ -445,8 +476,51 @@ def _alike(words: int):
     return jaccard
 
 
+def parities(h: np.ndarray) -> bytes:
+    """As many bits as a power of two, 8 or more, not below the number of hashes: the parity of how many hashes end in each number."""
+    size = 1 << max(3, (len(h) - 1).bit_length())
+    odd = np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Bits in which the ``parities`` of two sets differ, at most as many as hashes are in one set only."""
+    one, two = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    if len(two) > len(one):  # hashes that end in one number now end in one of several
+        two = np.bitwise_xor.reduce(two.reshape(-1, len(one)), axis=0)
+    return int(np.bitwise_count(one ^ two).sum())
+
+
+def _sketched(words: int):
+    @F.arrow_udf("n int, bits binary")
+    def sketched(texts: pa.Array) -> pa.Array:
+        sets = [shingle_hashes(t.as_buffer().to_pybytes() if t.is_valid else None, words) for t in texts]
+        return pa.StructArray.from_arrays([pa.array(map(len, sets), pa.int32()), pa.array(map(parities, sets), pa.binary())], names=["n", "bits"])
+
+    return sketched
+
+
+def _differing(one: Column, two: Column) -> Column:
+    @F.arrow_udf("int")
+    def bits(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([differing(x.as_py(), y.as_py()) for x, y in zip(a, b)], pa.int32())
+
+    return bits(one, two)
+
+
 def _compared(candidates: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The links (a, b) among ``candidates`` (x, y) whose whole shingle sets have the similarity."""
+    """The links (a, b) among ``candidates`` (x, y) whose whole shingle sets have the similarity.
+
+    Sets with similarity t differ in (1 - t) / (1 + t) of their summed sizes at most; few
+    others pass this for their parities, a fiftieth of a text, and have their texts compared.
+    """
+    ends = candidates.select(F.col("x").alias("row")).unionByName(candidates.select(F.col("y").alias("row"))).distinct()
+    sketches = texts.join(ends, "row", "left_semi").select("row", _sketched(words)(F.col("text")).alias("s"))
+    sketches = materialize(sketches.select("row", "s.n", "s.bits"), "near-sketches")
+    one, two = (sketches.select(F.col("row").alias(r), F.col("n").alias(n), F.col("bits").alias(b)) for r, n, b in ("xmc", "ynd"))
+    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("m") + F.col("n")) + 1e-6
+    candidates = candidates.join(one, "x").join(two, "y").filter(_differing(F.col("c"), F.col("d")) <= most).select("x", "y")
+    candidates = materialize(candidates, "near-sketched")
     ends = candidates.select(F.col("x").alias("row")).unionByName(candidates.select(F.col("y").alias("row"))).distinct()
     texts = materialize(texts.join(ends, "row", "left_semi"), "near-texts")
     one, two = texts.select(F.col("row").alias("x"), F.col("text").alias("s")), texts.select(F.col("row").alias("y"), F.col("text").alias("t"))
@@ -471,11 +545,11 @@ def drop_near_copies(
     row = free_name(docs, "near_row")
     stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "near-input")
     texts = stored.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
-    tokens = first_tokens(texts, words, similarity)
-    tokens = materialize(tokens, "near-tokens")
-    candidates = materialize(similar_pairs(tokens, similarity), "near-candidates")
-
-    groups = components(_compared(candidates, texts, words, similarity))
+    tokens = materialize(first_tokens(texts, words, similarity), "near-tokens")
+    # Similarity is not transitive: only all pairs of different groups are enough.  Those of one group add nothing.
+    near = _compared(materialize(next_pairs(tokens, similarity), "near-candidates"), texts, words, similarity)
+    rest = materialize(similar_pairs(tokens, components(near), similarity), "near-candidates")
+    groups = components(near.unionByName(_compared(rest, texts, words, similarity)))
     members = stored.join(groups, F.col(row) == F.col("node")).select("root", row, F.col(id_col).alias("id"))
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", F.col(row).alias("row"))
     kept = members.groupBy("root").agg(F.min(first).alias("first")).select("root", F.col("first.row").alias("kept"))

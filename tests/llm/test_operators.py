@@ -228,6 +228,37 @@ def test_near_copies_by_blocks(spark):
     assert collected(out, "doc_id") == sorted(((i,) for i in set(root)), key=repr) and len(set(root)) < 60
 
 
+def test_near_copies_among_unlike_texts(spark):
+    """Texts of one set of words, and a crowd of copies: no comparison that fails hides another pair."""
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(400)]
+    other = base.copy()
+    other[200] = "w199"
+    rows = [(1, " ".join(rng.permutation(base))), (2, " ".join(base)), (3, " ".join(other))]
+    crowd = [f"v{i}" for i in range(60)]
+    rows += [(10 + i, " ".join([*crowd, *(f"x{i}-{k}" for k in range(i % 3))])) for i in range(200)]
+    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert collected(out, "doc_id") == [(1,), (10,), (2,)]
+
+
+def test_parities_differ_no_more_than_sets():
+    rng = np.random.default_rng(13)
+    for n in (1, 7, 8, 9, 100, 1000, 5000):
+        h = rng.integers(0, 2**64, 2 * n, np.uint64)
+        for m in (1, n // 9, n):
+            a, b = h[:n], h[m : n + 2 * m]
+            bits = simhash.differing(simhash.parities(a), simhash.parities(b))
+            assert bits <= len(np.setxor1d(a, b))
+        assert n < 100 or simhash.differing(simhash.parities(h[:n]), simhash.parities(h[n:])) > 2 * n / 9
+
+
+def test_tokens_of_one_row_are_left_out():
+    """Over the edges of batches too."""
+    batch = lambda *tokens: simhash.pa.RecordBatch.from_arrays([simhash.pa.array(tokens, "int64")], ["token"])
+    out = simhash._shared_only(iter([batch(1, 2), batch(2, 3), batch(), batch(4, 4), batch(4), batch(5), batch(6), batch(6, 7)]))
+    assert [t for b in out for t in b.column(0).to_pylist()] == [2, 2, 4, 4, 4, 6, 6]
+
+
 def test_mixing(docs, empty):
     out = mixing.mix_report(docs)
     got = out.collect()
