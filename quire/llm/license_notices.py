@@ -96,12 +96,23 @@ class NoticeSearch:
                 joined.append([number, begin, end])
         return [(n, b, min(e, len(text))) for n, b, e in joined]
 
+    def matches(self, number: int, text: str, begin: int, end: int) -> list[regex.Match]:
+        """The best match from ``begin`` to ``end``, and those before and behind it."""
+        phrase, _, k = self.notices[number]
+        out, parts = [], [(begin, end)]
+        while parts:
+            begin, end = parts.pop()
+            if end - begin >= len(phrase) - k and (m := self.patterns[number].search(text, begin, end)):
+                out.append(m)
+                parts += [(begin, m.start()), (m.end(), end)]
+        return out
+
     def search(self, text: str) -> list[tuple[int, int, int, int]]:
         """(notice, from, to, edits) of all matches; of those that overlap, the ones with the fewest edits."""
         hits = [
             (number, m.start(), m.end(), sum(m.fuzzy_counts))
             for number, begin, end in self.windows(text)
-            for m in self.patterns[number].finditer(text, begin, end)
+            for m in self.matches(number, text, begin, end)
         ]
         hits.sort(key=lambda h: (h[1], h[2]))
         best, cluster, reach = [], [], -1

@@ -496,5 +496,14 @@ def test_license_notices_with_edits():
             assert all(e <= search.notices[n][2] for n, *_, e in spans)
 
 
+def test_license_notices_side_by_side():
+    """None hides another of its kind, wherever the better one stands."""
+    search = license_notices.NoticeSearch()
+    bad, good = "relesed undr the mit license", "released under the mit license"
+    for copies in ([bad, good], [good, bad], [bad, bad, good, bad], [bad] * 3):
+        text = license_notices.normalized_words(" x ".join(copies).encode()).decode()
+        assert [e for *_, e in search.search(text)] == [2 if c == bad else 0 for c in copies], text
+
+
 def test_free_name(docs):
     assert free_name(docs, "Piece") == "Piece_" and free_name(docs, "new") == "new"
