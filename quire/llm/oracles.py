@@ -116,3 +116,69 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(position * 16 // n AS INTEG
   position - (position * 16 // n * n + 15) // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard, curve
 FROM placed
 """
+
+_LOWER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+# Exact: every window of a document as text.  Near: from each place of a window's rarest word, all words within two places.
+ORACLES["op11_phrase_index"] = f"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS d, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_LOWER_WORD}') AS words
+  FROM documents
+),
+item_words AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_LOWER_WORD}') AS words
+  FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item, width, begin, array_to_string(words[begin + 1 : begin + width], ' ') AS phrase, words
+  FROM (
+    SELECT item, words, least(len(words), 10) AS width, unnest(range(greatest(len(words) - 9, 1))) AS begin
+    FROM item_words WHERE len(words) > 0
+  )
+),
+occurrences AS (
+  SELECT p.d, p.begin, p.width, w.item
+  FROM (
+    SELECT d, width, begin, array_to_string(words[begin + 1 : begin + width], ' ') AS phrase
+    FROM (
+      SELECT d, words, width, unnest(range(greatest(len(words) - width + 1, 0))) AS begin
+      FROM doc_words, (SELECT DISTINCT width FROM windows)
+    )
+  ) p JOIN (SELECT DISTINCT item, width, phrase FROM windows) w USING (width, phrase)
+),
+hits AS (
+  SELECT d, count(DISTINCT place) AS n_hit
+  FROM (SELECT d, unnest(range(begin, begin + width)) AS place FROM occurrences) GROUP BY d
+),
+items AS (
+  SELECT d, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT d, item FROM occurrences) GROUP BY d
+),
+places AS (
+  SELECT d, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM doc_words
+),
+window_words AS (
+  SELECT item, begin, width, place, words[begin + place + 1] AS word
+  FROM (SELECT *, unnest(range(width)) AS place FROM windows)
+),
+anchors AS (
+  SELECT item, begin, width, place, word
+  FROM window_words LEFT JOIN (SELECT word, count(*) AS n FROM places GROUP BY word) USING (word)
+  QUALIFY row_number() OVER (PARTITION BY item, begin ORDER BY n NULLS FIRST, place) = 1
+),
+candidates AS (
+  SELECT a.item, a.begin, a.width, p.d, p.pos - a.place AS start FROM anchors a JOIN places p USING (word)
+),
+near AS (
+  SELECT c.item, c.begin, c.d, c.start
+  FROM candidates c JOIN window_words w USING (item, begin) JOIN places p ON p.d = c.d AND p.word = w.word
+    AND p.pos BETWEEN c.start + w.place - 2 AND c.start + w.place + 2
+  GROUP BY c.item, c.begin, c.d, c.start, c.width HAVING count(DISTINCT w.place) = c.width
+),
+nearly AS (SELECT d, count(DISTINCT item) AS n_near FROM near GROUP BY d)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM doc_words LEFT JOIN hits USING (d) LEFT JOIN items USING (d) LEFT JOIN nearly USING (d)
+"""

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.llm import cotraining, exact_dedup, license_notices, line_dedup, log_bilinear, mixing, quality_rules
-from quire.llm import sentencepiece, sharding, simhash
+from quire.llm import cotraining, exact_dedup, license_notices, line_dedup, log_bilinear, mixing, phrase_index
+from quire.llm import quality_rules, sentencepiece, sharding, simhash
 from quire.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,10 @@ def _labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
+def _benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/benchmark.parquet")
+
+
 @registered
 def op1_line_dedup(spark, folder):
     out = line_dedup.line_dedup(_documents(spark, folder), min_chars=40, min_docs=5)
@@ -105,3 +109,17 @@ def op10_license_notices(spark, folder):
         "score",
         "spans",
     )
+
+
+@registered
+def op11_phrase_index(spark, folder):
+    out = phrase_index.contamination(_documents(spark, folder), _benchmark(spark, folder), size=10, slack=2)
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
+    )
