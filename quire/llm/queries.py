@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.llm import cotraining, exact_dedup, license_notices, line_dedup, log_bilinear, mixing, phrase_index
-from quire.llm import quality_rules, sentencepiece, sharding, simhash
+from quire.llm import cotraining, exact_dedup, license_notices, line_dedup, log_bilinear, mixing, pair_bitmaps
+from quire.llm import phrase_index, quality_rules, sentencepiece, sharding, simhash
 from quire.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,8 @@ def op11_phrase_index(spark, folder):
         (F.col("n_hit") > 0).alias("contaminated"),
         "n_near",
     )
+
+
+@registered
+def op13_pair_bitmaps(spark, folder):
+    return pair_bitmaps.align_tokenizers(_documents(spark, folder))
