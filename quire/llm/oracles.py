@@ -182,3 +182,35 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
   sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
 FROM doc_words LEFT JOIN hits USING (d) LEFT JOIN items USING (d) LEFT JOIN nearly USING (d)
 """
+
+# All scores of all documents that share a word with an item, then the best.
+ORACLES["op12_ranked_search"] = f"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS d, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_LOWER_WORD}') AS words
+  FROM documents
+),
+totals AS (SELECT count(*) FILTER (len(words) > 0) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_words FROM doc_words),
+tf AS (SELECT d, word, count(*) AS tf FROM (SELECT d, unnest(words) AS word FROM doc_words) GROUP BY d, word),
+weights AS (
+  SELECT word, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, totals GROUP BY word, n_docs
+),
+asked AS (
+  SELECT q, item_id, word, count(*) AS times
+  FROM (
+    SELECT row_number() OVER () AS q, item_id,
+      unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_LOWER_WORD}')) AS word
+    FROM benchmark
+  ) GROUP BY q, item_id, word
+),
+lengths AS (SELECT d, doc_id, 100 - 25 + ((25 * len(words) * n_docs) // n_words) AS m FROM doc_words, totals WHERE len(words) > 0),
+scores AS (
+  SELECT q, item_id, doc_id, d, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (word) JOIN weights USING (word) JOIN lengths USING (d)
+  GROUP BY q, item_id, doc_id, d
+)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)
+QUALIFY row_number() OVER best <= 20
+"""

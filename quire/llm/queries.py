@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quire.llm import cotraining, exact_dedup, license_notices, line_dedup, log_bilinear, mixing, pair_bitmaps
-from quire.llm import phrase_index, quality_rules, sentencepiece, sharding, simhash
+from quire.llm import phrase_index, quality_rules, ranked_search, sentencepiece, sharding, simhash
 from quire.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +125,11 @@ def op11_phrase_index(spark, folder):
     )
 
 
+@registered
+def op12_ranked_search(spark, folder):
+    return ranked_search.rank_documents(_documents(spark, folder), _benchmark(spark, folder), k=20)
+
+
 @registered
 def op13_pair_bitmaps(spark, folder):
     return pair_bitmaps.align_tokenizers(_documents(spark, folder))
