@@ -1,331 +1,330 @@
-"""Okapi BM25 over a corpus of chunks, for a whole table of queries."""
+"""Okapi BM25 over a corpus of chunks, for a whole table of queries.
+
+The index is a table of postings, sorted by word in every file.  A search reads the
+postings of the queries' words and no texts.  Each list is cut into blocks of like
+impact, of which the largest is known, and a query reads blocks in the order in which
+they lower, for each posting, what unread ones can still add most:
+
+1. the first blocks give each query a bar: its k-th best score so far;
+2. it reads on until chunks it has not met can't reach the bar, and skips the rest;
+3. the chunks that can still reach it get what they lack from the skipped blocks.
+
+All steps are joins and sums over all queries at once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quire.fixed_values import BM25_B, BM25_EPSILON, BM25_K1
 from quire.functions import text as tx
-from quire.operators.topk import CELLS, TaskTopK, over_query_blocks, rank_per_query, score_schema
+from quire.operators.topk import DECIMALS, among, sent
 from quire.session import materialize
 
+POSTING_BUCKET = "term_bucket"
 
-def tokenized(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:
-    return chunks.select(id_col, F.coalesce(tx.tokens(F.col(text_col)), F.array().cast("array<string>")).alias("tokens"))
-
-
-def term_counts(docs: DataFrame) -> DataFrame:
-    """Documents per term; the row without a term holds the corpus totals.
-
-    One pass, combined map-side, so a term found everywhere stays cheap.
-    """
-    terms = F.array_append(F.array_distinct("tokens"), F.lit(None).cast("string"))
-    spread = docs.select(F.size("tokens").alias("length"), F.explode(terms).alias("term"))
-    return spread.groupBy("term").agg(
-        F.count("*").alias("df"), F.sum(F.when(F.col("term").isNull(), F.col("length"))).alias("total_length")
-    )
-
+# Postings a query reads before it has a bar.
+FIRST_READ = 2_000
+# Bounds are compared with this much room, more than sums of doubles differ by.
+MARGIN = 1e-6
 
-POSTING_BUCKET = "term_bucket"
 
-# Postings are used for queries whose words have at most this share of all word
-# occurrences; beyond it, one scan of the documents moves less data.
-POSTINGS_SHARE = 0.1
+def _tokens(text_col: str) -> Column:
+    return F.coalesce(tx.tokens(F.col(text_col)), F.array().cast("array<string>"))
 
 
-def postings_of(docs: DataFrame, id_col: str = "chunk_id") -> DataFrame:
-    """``term, <id>, tf, length``: one row per distinct word of a document.
+def entries_of(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
+    """``term, row, tf, length``, one for each distinct word of a chunk, and one without a term that holds its id.
 
-    Counted batch by batch where the documents lie, without a shuffle.
+    Counted batch by batch where the chunks lie, without a shuffle.  ``row`` numbers
+    the chunks, unless given.
     """
     schema = T.StructType(
         [
             T.StructField("term", T.StringType()),
-            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("row", T.LongType()),
             T.StructField("tf", T.IntegerType()),
             T.StructField("length", T.IntegerType()),
+            T.StructField(id_col, chunks.schema[id_col].dataType),
         ]
     )
     arrow_schema = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tokens = batch.column(0), batch.column(1)
-            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+            rows, ids, tokens = batch.columns
+            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False).astype(np.int32)
+            none = pa.nulls(len(rows))
+            yield pa.RecordBatch.from_arrays(
+                [none.cast(pa.string()), rows, none.cast(pa.int32()), pa.array(lengths), ids], schema=arrow_schema
+            )
             words = tokens.flatten().cast(pa.string()).dictionary_encode()
             n_words = max(1, len(words.dictionary))
-            row = np.repeat(np.arange(len(ids), dtype=np.int64), lengths)
-            entry, tf = np.unique(row * n_words + words.indices.to_numpy(), return_counts=True)
-            row = entry // n_words
+            owner = np.repeat(np.arange(len(rows), dtype=np.int64), lengths)
+            entry, tf = np.unique(owner * n_words + words.indices.to_numpy(), return_counts=True)
+            owner = entry // n_words
             columns = [
                 words.dictionary.take(pa.array(entry % n_words)),
-                ids.take(pa.array(row)),
+                rows.take(pa.array(owner)),
                 pa.array(tf.astype(np.int32)),
-                pa.array(lengths[row].astype(np.int32)),
+                pa.array(lengths[owner]),
+                pa.nulls(len(owner), ids.type),
             ]
-            yield from pa.table(columns, names=arrow_schema.names).cast(arrow_schema).to_batches()
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
-    return docs.select(id_col, "tokens").mapInArrow(run, schema)
+    numbered = chunks.select((F.monotonically_increasing_id() if row is None else row).alias("row"), id_col, _tokens(text_col).alias("tokens"))
+    return numbered.mapInArrow(run, schema)
 
 
-def store_postings(index: Bm25Index, path: str, buckets: int = 64) -> Bm25Index:
-    """Write the postings in buckets of the term, sorted by it, and use them.
-
-    A query then reads the buckets of its words, and within their files the
-    row groups that can hold them.  A word found everywhere does not gather in
-    one task: its bucket is split while writing.
-    """
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    laid_out = postings_of(index.docs, index.id_col).withColumn(POSTING_BUCKET, bucket)
-    (
-        laid_out.hint("rebalance", F.col(POSTING_BUCKET))
-        .sortWithinPartitions(POSTING_BUCKET, "term")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(POSTING_BUCKET)
-        .parquet(path)
+def term_counts(entries: DataFrame) -> DataFrame:
+    """Chunks per term; the row without a term holds the corpus totals.  Combined map-side, so a frequent term stays cheap."""
+    return entries.groupBy("term").agg(
+        F.count("*").alias("df"), F.sum(F.when(F.col("term").isNull(), F.col("length"))).alias("total_length")
     )
-    stored = index.docs.sparkSession.read.schema(laid_out.schema).parquet(path)
-    return replace(index, postings=stored, posting_buckets=buckets)
+
+
+def _idf(df: Column, n_docs: int) -> Column:
+    return F.ln(F.lit(float(n_docs)) - df + 0.5) - F.ln(df + 0.5)
 
 
 @dataclass(frozen=True)
-class Bm25Index:
-    """Tokenized documents, term counts and the corpus totals."""
+class TermStatistics:
+    """Term counts and the corpus totals."""
 
-    docs: DataFrame
     counts: DataFrame
     n_docs: int
-    mean_length: float
+    total_length: int
     mean_idf: float
-    id_col: str = "chunk_id"
-    postings: DataFrame | None = None
-    posting_buckets: int = 0
+
+    @property
+    def mean_length(self) -> float:
+        return self.total_length / self.n_docs if self.n_docs else 0.0
 
     def dictionary(self) -> DataFrame:
         """``term, df, idf``: a negative weight becomes a share of the mean."""
-        df = F.col("df")
-        raw = F.ln(F.lit(float(self.n_docs)) - df + 0.5) - F.ln(df + 0.5)
+        raw = _idf(F.col("df"), self.n_docs)
         floor = F.lit(BM25_EPSILON * self.mean_idf)
         return self.counts.filter("term IS NOT NULL").select("term", "df", F.when(raw < 0, floor).otherwise(raw).alias("idf"))
 
 
-def build_index(
-    chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text", store_tokens: bool = True
-) -> Bm25Index:
-    """Tokenize once, count terms once, and take three numbers to the driver."""
-    docs = tokenized(chunks, id_col, text_col)
-    if store_tokens:
-        docs = materialize(docs, "bm25-docs")
-    counts = materialize(term_counts(docs), "bm25-terms")
+@dataclass(frozen=True)
+class Bm25Index(TermStatistics):
+    """``entries`` as ``entries_of`` makes them, stored; ``buckets`` of terms if they are laid out by term."""
+
+    entries: DataFrame
+    id_col: str = "chunk_id"
+    buckets: int | None = None
+
+    @property
+    def documents(self) -> DataFrame:
+        none = F.col("term").isNull()
+        rows = self.entries.filter(none if self.buckets is None else none & (F.col(POSTING_BUCKET) == -1))
+        return rows.select("row", self.id_col)
+
+    def postings(self, words: DataFrame) -> DataFrame:
+        """``term, row, tf, length`` of the words in a stored table; of laid out postings only their buckets are read."""
+        rows = self.entries.filter("term IS NOT NULL")
+        if self.buckets is not None:
+            wanted = [r[0] for r in words.select(_bucket(self.buckets)).distinct().collect()]
+            rows = rows.filter(F.col(POSTING_BUCKET).isin(wanted))
+        return among(rows.select("term", "row", "tf", "length"), words, "term")
+
+
+def statistics(counts: DataFrame) -> tuple[DataFrame, int, int, float]:
+    """The totals of stored term counts, as ``TermStatistics`` takes them."""
     totals = counts.filter("term IS NULL").select("df", "total_length").first()
     n_docs, total_length = (totals[0], totals[1]) if totals else (0, 0)
-    df = F.col("df")
-    idf = F.ln(F.lit(float(n_docs)) - df + 0.5) - F.ln(df + 0.5)
-    mean_idf = counts.filter("term IS NOT NULL").agg(F.avg(idf)).first()[0]
-    return Bm25Index(docs, counts, n_docs, total_length / n_docs if n_docs else 0.0, mean_idf or 0.0, id_col)
+    mean_idf = counts.filter("term IS NOT NULL").agg(F.avg(_idf(F.col("df"), n_docs))).first()[0]
+    return counts, n_docs, total_length, mean_idf or 0.0
+
+
+def count_terms(chunks: DataFrame, text_col: str = "text") -> TermStatistics:
+    """The dictionary alone: no postings are made or stored."""
+    docs = chunks.select(_tokens(text_col).alias("tokens"))
+    terms = F.array_append(F.array_distinct("tokens"), F.lit(None).cast("string"))
+    spread = docs.select(F.size("tokens").alias("length"), F.explode(terms).alias("term"))
+    return TermStatistics(*statistics(materialize(term_counts(spread), "bm25-terms")))
+
+
+def build_index(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> Bm25Index:
+    """Tokenize and count once, store the postings, take three numbers to the driver."""
+    entries = materialize(entries_of(chunks, id_col, text_col).sortWithinPartitions("term", "row"), "bm25-entries")
+    return Bm25Index(*statistics(materialize(term_counts(entries), "bm25-terms")), entries, id_col)
+
+
+def _bucket(buckets: int) -> Column:
+    return F.coalesce(F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"), F.lit(-1))
+
+
+def laid_out(entries: DataFrame, buckets: int) -> DataFrame:
+    """Entries with the bucket of their term, those of a bucket together, a crowded bucket in several tasks."""
+    known = F.when(F.col("term").isNotNull(), F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")).otherwise(-1)
+    spread = entries.withColumn(POSTING_BUCKET, known)
+    return spread.hint("rebalance", F.col(POSTING_BUCKET)).sortWithinPartitions(POSTING_BUCKET, "term", "row")
+
+
+def store_postings(index: Bm25Index, path: str, buckets: int = 64) -> Bm25Index:
+    """Write the postings in buckets of the term, sorted by it, and use them.
+
+    A query then reads the buckets of its words, and within their files the
+    row groups that can hold them.  A word found everywhere does not gather in
+    one task: its bucket is split while writing.
+    """
+    ordered = laid_out(index.entries, buckets)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(POSTING_BUCKET).parquet(path)
+    stored = index.entries.sparkSession.read.schema(ordered.schema).parquet(path)
+    return Bm25Index(index.counts, index.n_docs, index.total_length, index.mean_idf, stored, index.id_col, buckets)
 
 
-def corpus_statistics(index: Bm25Index) -> DataFrame:
+def corpus_statistics(index: TermStatistics) -> DataFrame:
     """One row: documents, mean length, distinct terms, mean term weight."""
     df = F.col("df")
-    idf = F.ln(F.lit(float(index.n_docs)) - df + 0.5) - F.ln(df + 0.5)
     return index.counts.agg(
         F.max(F.when(F.col("term").isNull(), df)).alias("n_docs"),
         (F.max("total_length") / F.max(F.when(F.col("term").isNull(), df))).alias("mean_length"),
         F.count("term").alias("n_terms"),
-        F.avg(F.when(F.col("term").isNotNull(), idf)).alias("mean_idf"),
+        F.avg(F.when(F.col("term").isNotNull(), _idf(df, index.n_docs))).alias("mean_idf"),
     )
 
 
-@dataclass
-class _QueryBlock:
-    """Query terms grouped by term: queries of term t are [start[t]:start[t+1]]."""
-
-    query_ids: pa.Array
-    vocabulary: pa.Array
-    df: np.ndarray
-    idf: np.ndarray
-    start: np.ndarray
-    query: np.ndarray
-    times: np.ndarray
-
-    def parts(self) -> tuple:
-        """Plain values, for a broadcast."""
-        return self.query_ids, self.vocabulary, self.df, self.idf, self.start, self.query, self.times
-
-
-def _query_block(index: Bm25Index, block: pa.Table) -> _QueryBlock:
-    spark = index.docs.sparkSession
-    ids = pa.concat_arrays(block["query_id"].chunks) if block.num_rows else pa.array([], block.schema.field("query_id").type)
-    tokens = pa.concat_arrays(block["tokens"].chunks) if block.num_rows else pa.array([], pa.list_(pa.string()))
-    owner = np.repeat(np.arange(len(ids)), pc.list_value_length(tokens).to_numpy(zero_copy_only=False))
-    words = tokens.flatten()
-    # Weights of the words the queries use: no more rows than the block has.
-    wanted = spark.createDataFrame(pa.table({"term": pc.unique(words)}))
-    known = index.dictionary().join(F.broadcast(wanted), "term", "left_semi").select("term", "df", "idf").toArrow().sort_by("term")
-    vocabulary = known["term"].combine_chunks().cast(pa.string()) if known.num_rows else pa.array([], pa.string())
-    if isinstance(vocabulary, pa.ChunkedArray):
-        vocabulary = pa.concat_arrays(vocabulary.chunks)
-    term = pc.fill_null(pc.index_in(words.cast(pa.string()), value_set=vocabulary), -1).to_numpy(zero_copy_only=False)
-    used = term >= 0
-    pair, times = np.unique(term[used].astype(np.int64) * max(1, len(ids)) + owner[used], return_counts=True)
-    term_of = pair // max(1, len(ids))
-    start = np.searchsorted(term_of, np.arange(len(vocabulary) + 1))
-    return _QueryBlock(
-        ids, vocabulary, known["df"].to_numpy(), known["idf"].to_numpy(), start, pair % max(1, len(ids)), times.astype(np.float64)
-    )
+# --- search ------------------------------------------------------------------------
 
 
-def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The numbers begin[i] .. end[i]-1 of all i, one after the other."""
-    length = end - begin
-    offset = np.cumsum(length) - length
-    return np.repeat(begin - offset, length) + np.arange(length.sum())
-
-
-class _Scorer:
-    """Scores (row, term, frequency) entries of a batch for one query block."""
-
-    def __init__(self, block: _QueryBlock, k: int, pad: bool, mean_length: float):
-        self.block, self.pad, self.mean_length = block, pad, mean_length or 1.0
-        self.best = TaskTopK(k, len(block.query_ids))
-        self.step = max(1, CELLS // max(1, len(block.query_ids)))
-
-    def add(self, ids: pa.Array, row: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> None:
-        """``row`` is ascending and numbers ``ids``; the others go with it."""
-        q, k1, b = self.block, BM25_K1, BM25_B
-        weight = q.idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / self.mean_length))
-        for first in range(0, len(ids), self.step):
-            stop = min(first + self.step, len(ids))
-            lo, hi = np.searchsorted(row, [first, stop])
-            # Each entry meets the queries that use its term.
-            begin, end = q.start[term[lo:hi]], q.start[term[lo:hi] + 1]
-            at = _ranges(begin, end)
-            cell = q.query[at] * (stop - first) + np.repeat(row[lo:hi] - first, end - begin)
-            gain = np.repeat(weight[lo:hi], end - begin) * q.times[at]
-            shape = (len(q.query_ids), stop - first)
-            score = np.bincount(cell, gain, minlength=shape[0] * shape[1]).reshape(shape)
-            matched = None if self.pad else np.bincount(cell, minlength=score.size).reshape(shape) > 0
-            self.best.offer_block(np.arange(len(q.query_ids)), first, score, matched, ids)
-
-
-def _scan_documents(index: Bm25Index, block: _QueryBlock, k: int, pad: bool, out_schema: T.StructType) -> DataFrame:
-    """Score every document where it lies: one scan, no shuffle."""
-    shared = index.docs.sparkSession.sparkContext.broadcast(block.parts())
-    arrow_schema, mean_length = to_arrow_schema(out_schema), index.mean_length
+def _lists(index: Bm25Index, words: DataFrame) -> DataFrame:
+    """Stored ``term, row, impact, block`` of the words: what a posting adds for each unit of weight, and its block.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = _QueryBlock(*shared.value)
-        scorer, n_terms = _Scorer(q, k, pad, mean_length), max(1, len(q.vocabulary))
-        for batch in batches:
-            ids, tokens = batch.column(0), batch.column(1)
-            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(ids), dtype=np.int64), lengths)
-            term = pc.fill_null(
-                pc.index_in(tokens.flatten().cast(pa.string()), value_set=q.vocabulary), -1
-            ).to_numpy(zero_copy_only=False)
-            used = term >= 0
-            entry, tf = np.unique(row[used] * n_terms + term[used], return_counts=True)
-            row, term = entry // n_terms, entry % n_terms
-            scorer.add(ids, row, term, tf, lengths[row])
-        yield from scorer.best.result(q.query_ids, arrow_schema)
-
-    return index.docs.select(index.id_col, "tokens").mapInArrow(run, out_schema)
-
-
-def _read_postings(index: Bm25Index, block: _QueryBlock, k: int, out_schema: T.StructType) -> DataFrame:
-    """Score from the postings of the query words only.
-
-    They are brought together by document, whose entries are no more than the
-    words of the block, whatever the words are.
+    A block holds the postings of about equal counts and lengths, so they are of like impact.
     """
-    spark, id_col = index.docs.sparkSession, index.id_col
-    shared = spark.sparkContext.broadcast(block.parts())
-    arrow_schema, mean_length = to_arrow_schema(out_schema), index.mean_length
-    terms = spark.createDataFrame(
-        pa.table({"term": block.vocabulary, "term_no": pa.array(np.arange(len(block.vocabulary), dtype=np.int32))})
-    )
-    bucket = F.pmod(F.xxhash64("term"), F.lit(index.posting_buckets)).cast("int")
-    wanted = [r[0] for r in terms.select(bucket).distinct().collect()]
-    read = index.postings.filter(F.col(POSTING_BUCKET).isin(wanted))
-    if len(block.vocabulary) <= PUSHED_TERMS:
-        read = read.filter(F.col("term").isin(block.vocabulary.to_pylist()))
-    found = read.join(F.broadcast(terms), "term").select(id_col, "term_no", "tf", "length")
-    gathered = found.repartition(id_col).sortWithinPartitions(id_col, "term_no")
+    tf, length = F.col("tf"), F.col("length")
+    norm = BM25_K1 * (1 - BM25_B + BM25_B * length / F.lit(index.mean_length or 1.0))
+    block = F.least(F.floor(F.log2(tf)), F.lit(15)) * 64 + F.floor(F.log2(length) * 2)
+    lists = index.postings(words).select("term", "row", (tf * (BM25_K1 + 1) / (tf + norm)).alias("impact"), block.cast("int").alias("block"))
+    return materialize(lists, "bm25-lists")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = _QueryBlock(*shared.value)
-        scorer = _Scorer(q, k, False, mean_length)
-        for table in _whole_documents(batches, id_col):
-            codes = table[id_col].combine_chunks().dictionary_encode()
-            scorer.add(
-                codes.dictionary,
-                codes.indices.to_numpy().astype(np.int64),
-                table["term_no"].to_numpy(),
-                table["tf"].to_numpy(),
-                table["length"].to_numpy(),
-            )
-        yield from scorer.best.result(q.query_ids, arrow_schema)
 
-    return gathered.mapInArrow(run, out_schema)
-
-
-# Query words up to this number become a filter of the parquet scan.
-PUSHED_TERMS = 1_000
+def _reading_plan(lists: DataFrame, weights: DataFrame) -> DataFrame:
+    """Stored ``q, term, block, weight, top, after, rest, upto, must``: the blocks of each query, in the order it reads them.
 
+    ``top`` is what a posting of the block adds at most, ``after`` that of those behind it in
+    its list, ``rest`` what unread blocks can add to one chunk before this one is read,
+    ``upto`` the postings read with it.  Lists that lower scores are read in any case.
+    """
+    blocks = lists.groupBy("term", "block").agg(F.count("*").alias("n"), F.max("impact").alias("most"))
+    both = weights.join(blocks, "term").withColumn("top", F.greatest(F.col("weight") * F.col("most"), F.lit(0.0)))
+    down = Window.partitionBy("q", "term").orderBy(F.desc("most"), "block")
+    listed = both.withColumn("after", F.coalesce(F.lead("top").over(down), F.lit(0.0)))
+    # Lists are read in order: a block is worth no more than those before it.
+    listed = listed.withColumn("worth", F.min((F.col("top") - F.col("after")) / F.col("n")).over(down))
+    listed = listed.withColumn("must", F.col("weight") < 0).withColumn("nth", F.row_number().over(down))
+    order = Window.partitionBy("q").orderBy(F.desc("must"), F.desc("worth"), "term", "nth")
+    gain = F.col("top") - F.col("after")
+    planned = listed.withColumn("upto", F.sum("n").over(order)).withColumn("gained", F.sum(gain).over(order))
+    rest = F.sum(gain).over(Window.partitionBy("q")) - F.col("gained") + gain
+    return materialize(
+        planned.withColumn("rest", rest).select("q", "term", "block", "n", "weight", "top", "after", "rest", "upto", "must"), "bm25-plan"
+    )
 
-def _whole_documents(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.Table]:
-    """Sorted batches, cut so that no document spans two of them."""
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if rest is not None:
-            table = pa.concat_tables([rest, table])
-        if table.num_rows == 0:
-            continue
-        same = pc.equal(table[id_col], table[id_col][-1]).to_numpy()
-        cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
-        rest = table.slice(cut)
-        if cut:
-            yield table.slice(0, cut)
-    if rest is not None and rest.num_rows:
-        yield rest
 
+def _bars(known: DataFrame, k: int, all_others: bool) -> DataFrame:
+    """The k-th best score of each query that has so many chunks."""
+    best = Window.partitionBy("q").orderBy(F.desc("known"))
+    top = known.select("q", "known", F.row_number().over(best).alias("place")).filter(F.col("place") <= k)
+    bars = top.filter(F.col("place") == k).select("q", F.col("known").alias("bar"))
+    return bars.filter("bar > 0") if all_others else bars
 
-def _score(index: Bm25Index, queries: pa.Table, k: int, pad: bool, out_schema: T.StructType) -> DataFrame:
-    block = _query_block(index, queries)
-    if len(block.query_ids) == 0 or index.n_docs == 0:
-        return index.docs.sparkSession.createDataFrame([], out_schema)
-    matched_share = block.df.sum() / max(1.0, index.n_docs * index.mean_length)
-    if index.postings is not None and not pad and matched_share <= POSTINGS_SHARE:
-        return _read_postings(index, block, k, out_schema)
-    return _scan_documents(index, block, k, pad, out_schema)
 
+def _scores(lists: DataFrame, plan: DataFrame, k: int, all_others: bool) -> DataFrame:
+    """``q, row, score``: exact scores of all chunks that can be among the k best of their query.
 
-def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool = False, **block_bounds: int) -> DataFrame:
+    With ``all_others``, all chunks that share a word with a query that has not k above 0.
+    """
+    score = (F.col("weight") * F.col("impact")).alias("score")
+    early = (F.col("upto") - F.col("n") < FIRST_READ) | F.col("must")
+    first = lists.join(sent(materialize(plan.filter(early).select("q", "term", "block", "weight"), "bm25-first")), ["term", "block"])
+    bars = materialize(_bars(first.groupBy("q", "row").agg(F.sum(F.col("weight") * F.col("impact")).alias("known")), k, all_others), "bm25-bars")
+
+    reach = plan.join(sent(bars), "q", "left")
+    needed = early | F.col("bar").isNull() | (F.col("rest") >= F.col("bar") - MARGIN)
+    marked = reach.withColumn("read", needed).drop("bar")
+    # What a chunk can have in a list it was not met in: the largest behind the blocks read, or of all.
+    whole_list = Window.partitionBy("q", "term")
+    unread = F.coalesce(F.min(F.when(F.col("read"), F.col("after"))).over(whole_list), F.max("top").over(whole_list))
+    marked = materialize(marked.withColumn("unread", unread), "bm25-read")
+    rest = marked.groupBy("q", "term").agg(F.first("unread").alias("unread")).groupBy("q").agg(F.sum("unread").alias("open"))
+
+    read = sent(materialize(marked.filter("read").select("q", "term", "block", "weight", "unread"), "bm25-blocks"))
+    met = lists.join(read, ["term", "block"]).select("q", "row", score, "unread")
+    known = materialize(met.groupBy("q", "row").agg(F.sum("score").alias("known"), F.sum("unread").alias("seen")), "bm25-known")
+    room = known.join(sent(materialize(rest.join(_bars(known, k, all_others), "q", "left"), "bm25-bars")), "q")
+    upper = F.col("known") + F.col("open") - F.col("seen")
+    chosen = room.filter(F.col("bar").isNull() | (upper >= F.col("bar") - MARGIN)).select("q", "row", "known")
+    skipped = marked.filter("NOT read").select("q", "term", "block", "weight")
+    if skipped.isEmpty():
+        return chosen.select("q", "row", F.col("known").alias("score"))
+
+    chosen, skipped = materialize(chosen, "bm25-chosen"), materialize(skipped, "bm25-skipped")
+    lacking = chosen.select("q", "row").join(sent(materialize(skipped.select("q", "term").distinct(), "bm25-lists")), "q")
+    some = among(among(lists, skipped, "term"), chosen, "row")
+    late = some.join(lacking, ["row", "term"]).join(sent(skipped), ["q", "term", "block"]).select("q", "row", score)
+    both = chosen.select("q", "row", F.col("known").alias("score")).unionByName(late)
+    return both.groupBy("q", "row").agg(F.sum("score").alias("score"))
+
+
+def _zero_rows(index: Bm25Index, asked: DataFrame, scored: DataFrame, k: int) -> DataFrame:
+    """``q, <id>, score``: the first k chunks by id that score 0, of each query that has fewer than k better ones.
+
+    Taken from the first ids; more of them, as long as a query finds too few because so many have another score.
+    """
+    other = scored.filter(F.round("score", DECIMALS) != 0)
+    better = other.filter("score > 0").groupBy("q").agg(F.count("*").alias("n"))
+    short = materialize(asked.select("q").join(better.filter(F.col("n") >= k), "q", "left_anti"), "bm25-short")
+    n_short, size = short.count(), 2 * k
+    while True:
+        first = materialize(index.documents.orderBy(index.id_col).limit(size), "bm25-first-ids")
+        # The stated queries against the first ids: a few for each of them.
+        pairs = short.crossJoin(sent(first)).join(other.select("q", "row"), ["q", "row"], "left_anti")
+        zeros = materialize(pairs.select("q", index.id_col, F.lit(0.0).alias("score")), "bm25-zeros")
+        full = zeros.groupBy("q").agg(F.count("*").alias("n")).filter(F.col("n") >= k).count()
+        if full == n_short or size >= index.n_docs:
+            return zeros
+        size *= 4
+
+
+def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool = False) -> DataFrame:
     """The k best chunks per query: ``query_id, <id>, score, rank``.
 
     A word the query repeats counts repeatedly, an unknown word adds nothing.
-    With stored postings, queries of rarer words read only those.
     Chunks sharing no word with the query are left out; ``pad_to_k`` lets them
-    in with score 0 (in id order), so that every query gets k rows.
+    in with score 0 (in id order), so that every query gets k rows.  Each row of
+    ``queries`` is ranked by itself, also if ids repeat.  Scores are compared at
+    9 decimals, so the order of summation cannot decide a rank; equals rank by id.
     """
-    out_schema = score_schema(
-        queries.schema["query_id"].dataType, index.id_col, index.docs.schema[index.id_col].dataType
-    )
-    words = queries.select("query_id", F.coalesce(tx.tokens(F.col("text")), F.array().cast("array<string>")).alias("tokens"))
-    scored = over_query_blocks(
-        words,
-        F.length(F.array_join("tokens", " ")) * 4 + F.size("tokens") * 32 + 16,
-        lambda block: _score(index, block, k, pad_to_k, out_schema),
-        **block_bounds,
-    )
-    return rank_per_query(scored, k, [F.desc("place"), F.asc(index.id_col)]).drop("place")
+    id_col = index.id_col
+    asked = materialize(queries.select(F.monotonically_increasing_id().alias("q"), "query_id", _tokens("text").alias("tokens")), "bm25-queries")
+    words = asked.select("q", F.explode("tokens").alias("term")).groupBy("q", "term").agg(F.count("*").alias("times"))
+    words = materialize(words, "bm25-words")
+    known = among(index.dictionary(), words, "term")
+    weights = words.join(known, "term").select("q", "term", (F.col("times") * F.col("idf")).alias("weight"))
+    lists = _lists(index, words)
+    # To pad, chunks below 0 must be known as such.
+    scored = _scores(lists, _reading_plan(lists, materialize(weights, "bm25-weights")), k, pad_to_k)
+
+    place = F.round("score", DECIMALS)
+    if pad_to_k:
+        scored = materialize(scored, "bm25-scores")
+    best = Window.partitionBy("q").orderBy(F.desc("place"))
+    top = scored.withColumn("place", place).withColumn("nth", F.rank().over(best)).filter(F.col("nth") <= k).select("q", "row", "score")
+    top = materialize(top, "bm25-top")
+    named = top.join(among(index.documents, top, "row"), "row").select("q", id_col, "score")
+    if pad_to_k:
+        named = named.filter(F.round("score", DECIMALS) != 0).unionByName(_zero_rows(index, asked, scored, k))
+    order = Window.partitionBy("q").orderBy(F.desc(place), F.asc(id_col))
+    ranked = named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.join(asked.select("q", "query_id"), "q").select("query_id", id_col, "score", "rank")

@@ -1,36 +1,23 @@
-"""Best k rows per query, kept inside each task and merged by one shuffle.
+"""Best k rows per query, and joins that send small tables.
 
-Scoring a query table against a corpus never forms query-row pairs in Spark:
-the corpus is scanned where it lies, each task scores its batches against the
-queries it was sent, and only its k best rows per query leave the task.
+Vectors are scored in tasks, and only the k best rows per query and task leave them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from quire.session import materialize, scratch_path
-
-# A block of queries is sent to every task; it is bounded in bytes and number.
-QUERY_BLOCK_BYTES = 64 * 1024 * 1024
-QUERY_BLOCK_ROWS = 20_000
-
-# Score cells (queries x rows) a task holds at once.
-CELLS = 4_000_000
-
 # Scores are compared at this many decimals (column "place"), so that the order
 # in which equal terms are added up cannot decide a rank; equals rank by id.
 DECIMALS = 9
 
 
-def score_schema(query_type: T.DataType, id_col: str, id_type: T.DataType) -> T.StructType:
+def score_schema(query_type: T.DataType, id_col: str, id_type: T.DataType, query_col: str) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("query_id", query_type),
+            T.StructField(query_col, query_type),
             T.StructField(id_col, id_type),
             T.StructField("score", T.DoubleType()),
             T.StructField("place", T.DoubleType()),
@@ -99,38 +86,22 @@ class TaskTopK:
         return out.cast(schema).to_batches()
 
 
+# Tables are sent to all tasks up to so many rows; the rows are narrow (ids, numbers, words).
+MAX_SENT = 500_000
+
+
+def sent(stored: DataFrame) -> DataFrame:
+    """Tell Spark to send a stored table to all tasks if it is small; beyond that Spark chooses the join."""
+    return F.broadcast(stored) if stored.count() <= MAX_SENT else stored
+
+
+def among(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` occurs in ``keys``, a stored table."""
+    right = keys.select(column).distinct()
+    return rows.join(F.broadcast(right) if right.count() <= MAX_SENT else right, column, "left_semi")
+
+
 def rank_per_query(df: DataFrame, k: int, order: list[Column], query_id: str = "query_id") -> DataFrame:
     """Number rows 1.. per query and keep the first k."""
     window = Window.partitionBy(query_id).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-
-
-def over_query_blocks(
-    queries: DataFrame,
-    row_bytes: Column,
-    run: Callable[[pa.Table], DataFrame],
-    query_id: str = "query_id",
-    block_bytes: int = QUERY_BLOCK_BYTES,
-    block_rows: int = QUERY_BLOCK_ROWS,
-) -> DataFrame:
-    """Apply ``run`` to the query table in blocks of checked size.
-
-    A table within the bound is one block.  A larger one is split by a hash of
-    the query id; each block makes its own pass over the corpus and stores its
-    result before the next is fetched, so the driver never holds more than one.
-    """
-    n, size = queries.agg(F.count("*"), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
-    blocks = max(1, -(-n // block_rows), -(-int(size) // block_bytes))
-    if blocks == 1:
-        return run(queries.toArrow())
-    blocks *= 2  # hash blocks are uneven; stay below the bound
-    spark = queries.sparkSession
-    fixed_queries = materialize(queries, "queries")
-    path = scratch_path(spark, "query-blocks")
-    block_of = F.pmod(F.xxhash64(query_id), F.lit(blocks))
-    schema = None
-    for block in range(blocks):
-        part = run(fixed_queries.filter(block_of == block).toArrow())
-        schema = part.schema
-        part.write.mode("overwrite").parquet(f"{path}/block={block}")
-    return spark.read.schema(schema).parquet(f"{path}/block=*")

@@ -439,6 +439,11 @@ SELECT query_id, chunk_id, vector_rank, bm25_rank, round(s, 9) AS rrf_score, CAS
     "d6_hybrid_search": f"""WITH {HYBRID} SELECT query_id, chunk_id, CAST(vector_rank AS INTEGER) AS vector_rank,
   CAST(bm25_rank AS INTEGER) AS bm25_rank, round(rrf, 9) AS rrf_score, rank FROM hits""",
     "d6_hybrid_all_cells": f"""WITH {HYBRID} SELECT query_id, chunk_id, CAST(vector_rank AS INTEGER) AS vector_rank,
+  CAST(bm25_rank AS INTEGER) AS bm25_rank, round(rrf, 9) AS rrf_score, rank FROM hits""",
+    "d6_refreshed_index": f"""WITH current_documents AS (
+  SELECT * REPLACE (CASE WHEN lang = 'fr' THEN '' ELSE text END AS text) FROM documents),
+{HYBRID.replace("FROM documents", "FROM current_documents")}
+SELECT query_id, chunk_id, CAST(vector_rank AS INTEGER) AS vector_rank,
   CAST(bm25_rank AS INTEGER) AS bm25_rank, round(rrf, 9) AS rrf_score, rank FROM hits""",
     "d7_rerank": f"WITH {RERANKED} SELECT query_id, chunk_id, rank, candidate_rank, rerank_score FROM reranked",
     "d8_context": f"""WITH {RERANKED} SELECT query_id, md5(context) AS context_md5, citations FROM

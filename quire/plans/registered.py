@@ -22,7 +22,7 @@ from quire.functions import text as tx
 from quire.operators import answering, bm25, contract as ct, dense, expectations as ex
 from quire.operators import layers, lineage, merge as mg, ranking, schema_guard, topk
 from quire.operators.chunking import chunk_documents
-from quire.plans import lakehouse, retrieval
+from quire.plans import lakehouse, retrieval, search_store
 from quire.session import materialize, prepare_session, scratch_path
 from quire.sources import landing, topics
 from quire.sources.tables import StoredTable
@@ -135,14 +135,13 @@ def a5_layer_counts(spark, folder):
 
 @registered
 def a6_corpus_statistics(spark, folder):
-    stats = bm25.corpus_statistics(bm25.build_index(_chunks(spark, folder), store_tokens=False))
+    stats = bm25.corpus_statistics(bm25.count_terms(_chunks(spark, folder)))
     return stats.withColumns({c: F.round(c, 6) for c in ("mean_length", "mean_idf")})
 
 
 @registered
 def a6_term_dictionary(spark, folder):
-    index = bm25.build_index(_chunks(spark, folder), store_tokens=False)
-    return index.dictionary().withColumn("idf", F.round("idf", 6))
+    return bm25.count_terms(_chunks(spark, folder)).dictionary().withColumn("idf", F.round("idf", 6))
 
 
 # --- sources and sinks -----------------------------------------------------------
@@ -911,6 +910,23 @@ def d6_hybrid_all_cells(spark, folder):
     return hits.withColumn("rrf_score", F.round("rrf_score", 9))
 
 
+@registered
+def d6_refreshed_index(spark, folder):
+    """A stored index, refreshed: English documents get another text, French ones are emptied, German ones come in."""
+    silver = _silver(spark, folder)
+    changed = F.when(F.col("category") == "en", F.concat(F.lit("An earlier wording. "), "clean_text")).otherwise(F.col("clean_text"))
+    store = search_store.SearchStore(spark, scratch_path(spark, "search"), buckets=8)
+    earlier = silver.filter("category <> 'de'").withColumn("clean_text", changed)
+    store.build(chunk_documents(layers.retrievable_rows(earlier)))
+    later = silver.withColumn("clean_text", F.when(F.col("category") == "fr", "").otherwise(F.col("clean_text")))
+    later = layers.refresh_text_columns(later.filter(F.col("category").isin("en", "fr", "de")))
+    store.refresh(chunk_documents(layers.retrievable_rows(later)), later)
+    # Once more, which changes nothing.
+    store.refresh(chunk_documents(layers.retrievable_rows(later)), later)
+    hits = retrieval.hybrid_search(store.open(), _items(spark, folder))
+    return hits.withColumn("rrf_score", F.round("rrf_score", 9))
+
+
 @registered
 def d7_rerank(spark, folder):
     index, queries = _search_index(spark, folder), _items(spark, folder)

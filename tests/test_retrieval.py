@@ -1,12 +1,14 @@
 import math
+import re
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from quire import fixed_values as fixed
-from quire.operators import answering, bm25, dense, ranking
+from quire.operators import answering, bm25, dense, ranking, topk
 from quire.plans import retrieval
 from quire.session import scratch_path
 
@@ -42,37 +44,57 @@ def python_bm25(texts, queries, k, pad):
     return out
 
 
-@pytest.mark.parametrize("pad", [False, True])
-@pytest.mark.parametrize("share", [None, 0.0, 10.0])
-def test_bm25_agrees_with_python(spark, monkeypatch, pad, share):
+@pytest.mark.parametrize("pad,first_read,max_sent", [(False, 3, 500_000), (True, 3, 0), (False, 10**6, 0), (True, 10**6, 500_000)])
+def test_bm25_agrees_with_python(spark, monkeypatch, pad, first_read, max_sent):
+    """Reading on after few postings and after all; joins by shuffle and by sending tables."""
+    monkeypatch.setattr(bm25, "FIRST_READ", first_read)
+    monkeypatch.setattr(topk, "MAX_SENT", max_sent)
     rng = np.random.default_rng(3)
     words = [f"w{i}" for i in range(30)] + ["The", "the"]
     texts = [" ".join(rng.choice(words, size=rng.integers(1, 12))) for _ in range(80)] + ["same same text", "same same text"]
     queries = ["w1 w2", "the", "w3 w3 w3 unknown", "nothing here", "same TEXT", "", " ".join(words)]
     index = bm25.build_index(chunk_frame(spark, texts))
-    if share is not None:
-        monkeypatch.setattr(bm25, "POSTINGS_SHARE", share)
+    if first_read == 3:
         index = bm25.store_postings(index, scratch_path(spark, "postings"), buckets=4)
-    for bounds in ({}, {"block_rows": 2}):
-        hits = bm25.bm25_topk(index, query_frame(spark, queries), 5, pad_to_k=pad, **bounds)
-        got = sorted((r[0], r[1], round(r[2], 6) + 0.0, r[3]) for r in hits.collect())
-        assert got == sorted(python_bm25(texts, queries, 5, pad))
+    hits = bm25.bm25_topk(index, query_frame(spark, queries), 5, pad_to_k=pad)
+    got = sorted((r[0], r[1], round(r[2], 6) + 0.0, r[3]) for r in hits.collect())
+    assert got == sorted(python_bm25(texts, queries, 5, pad))
+
 
+@pytest.mark.parametrize("pad", [False, True])
+def test_bm25_with_words_that_lower_scores(spark, monkeypatch, pad):
+    """In a corpus in which most words are in most chunks, matches score below 0."""
+    monkeypatch.setattr(bm25, "FIRST_READ", 1)
+    texts = ["a b c", "a b", "a c b d", "b a c", "c a b"]
+    queries = ["a", "a b c d", "d", "d a", "zz"]
+    index = bm25.build_index(chunk_frame(spark, texts))
+    assert min(r["idf"] for r in index.dictionary().collect()) < 0
+    hits = bm25.bm25_topk(index, query_frame(spark, queries), 3, pad_to_k=pad)
+    got = sorted((r[0], r[1], round(r[2], 6) + 0.0, r[3]) for r in hits.collect())
+    assert got == sorted(python_bm25(texts, queries, 3, pad))
 
-def test_documents_are_not_cut_by_batches(spark, monkeypatch):
-    """Every row its own batch: entries of a document still meet."""
-    monkeypatch.setattr(bm25, "POSTINGS_SHARE", 10.0)
+
+def test_a_search_reads_the_postings_of_its_words(spark):
     texts = ["a b c d", "a b", "c d e", "f a a b"] * 3
     index = bm25.store_postings(bm25.build_index(chunk_frame(spark, texts)), scratch_path(spark, "postings"), buckets=2)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    try:
-        hits = bm25.bm25_topk(index, query_frame(spark, ["a b", "d e f"]), 4)
-        plan = hits._jdf.queryExecution().executedPlan().toString()
-        got = sorted((r[0], r[1], round(r[2], 6), r[3]) for r in hits.collect())
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert got == sorted(python_bm25(texts, ["a b", "d e f"], 4, False))
-    assert "In(term" in plan.replace(" ", "") and "PartitionFilters: [term_bucket" in plan
+    words = spark.createDataFrame([("a",), ("f",)], "term string")
+    plan = index.postings(words)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*term_bucket", plan) and "tokens" not in plan
+    assert {r["term"] for r in index.postings(words).collect()} == {"a", "f"}
+
+
+def test_blocks_that_cannot_matter_are_skipped(spark, monkeypatch):
+    """Two rare words decide; of the word in every chunk only the chosen chunks' postings are read."""
+    monkeypatch.setattr(bm25, "FIRST_READ", 10)
+    texts = [f"common filler {'rare one' if i < 8 else f'x{i}'}" for i in range(400)] + ["filler"] * 600
+    index, queries = bm25.build_index(chunk_frame(spark, texts)), query_frame(spark, ["rare one common"])
+    words = spark.createDataFrame([(0, w, 1) for w in ("rare", "one", "common")], "q long, term string, times long")
+    weights = words.join(index.dictionary(), "term").select("q", "term", F.col("idf").alias("weight"))
+    lists = bm25._lists(index, words)
+    scored = bm25._scores(lists, bm25._reading_plan(lists, weights), 5, False)
+    assert scored.count() == 8 and lists.count() == 416
+    got = sorted((r[0], r[1], round(r[2], 6), r[3]) for r in bm25.bm25_topk(index, queries, 5).collect())
+    assert got == sorted(python_bm25(texts, ["rare one common"], 5, False))
 
 
 def test_bm25_negative_weight_floor(spark):
@@ -107,15 +129,17 @@ def python_nearest(vectors, queries, k):
     return sorted(out)
 
 
-def test_dense_agrees_with_python(spark):
+def test_dense_agrees_with_python(spark, monkeypatch):
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(200, 8))
     vectors[50:60] = vectors[0]
     queries = np.vstack([vectors[0], rng.normal(size=(6, 8))])
     expected = python_nearest(vectors, queries, 5)
     v, q = vector_frame(spark, vectors), vector_frame(spark, queries, "query_id")
-    for bounds in ({}, {"block_rows": 2}, {"block_bytes": 200}):
-        hits = dense.dense_topk(v, q, 5, **bounds)
+    for bounds in ({}, {"QUERY_BLOCK": 2, "BUNDLE": 7}, {"SENT_BYTES": 0, "HELD_HITS": 10, "QUERY_BLOCK": 3}):
+        for name, bound in bounds.items():
+            monkeypatch.setattr(dense, name, bound)
+        hits = dense.dense_topk(v, q, 5)
         assert sorted((r[0], r[1], round(r[2], 6), r[3]) for r in hits.collect()) == expected
     few = dense.dense_topk(vector_frame(spark, vectors[:2]), q, 5)
     assert few.count() == 2 * len(queries)
@@ -137,6 +161,18 @@ def test_approximate_search_is_exact_when_all_cells_are_probed(spark):
     assert part.join(exact.select("query_id", "chunk_id"), ["query_id", "chunk_id"], "left_anti").count() == 25 - found
 
 
+def test_one_query_id_many_times(spark, monkeypatch):
+    """Blocks are cut by row number: an id that all queries share makes no large block, and every row is ranked by itself."""
+    monkeypatch.setattr(dense, "QUERY_BLOCK", 50)
+    rng = np.random.default_rng(8)
+    vectors, query = rng.normal(size=(100, 4)), rng.normal(size=(1, 4))
+    q = vector_frame(spark, np.repeat(query, 600, axis=0), "query_id").withColumn("query_id", F.lit(7))
+    blocks, _ = dense._query_blocks(dense._asked(q).select(F.lit(0).alias("part"), "q", "embedding"), "part", 1)
+    assert blocks.agg(F.max(F.size("q"))).first()[0] <= 50 and blocks.agg(F.sum(F.size("q"))).first()[0] == 600
+    hits = dense.dense_topk(vector_frame(spark, vectors), q, 3).groupBy("query_id", "chunk_id", "rank").count().collect()
+    assert {r["count"] for r in hits} == {600} and len(hits) == 3
+
+
 def test_unequal_vectors_are_an_error(spark):
     bad = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "chunk_id long, embedding array<float>").coalesce(1)
     q = spark.createDataFrame([(1, [1.0, 2.0])], "query_id long, embedding array<float>")
