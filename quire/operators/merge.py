@@ -65,6 +65,23 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(source)
 
 
+def changed_keys(target: DataFrame, source: DataFrame, key: str, print_col: str) -> DataFrame:
+    """``<key>, n_target, n_source, changed`` of the source's keys, from both sides' keys and rows' fingerprints.
+
+    A key is unchanged if both sides hold equally many rows of it with the same sum of
+    fingerprints.  Counted map-side, so a repeated key stays small.
+    """
+    total = F.sum(F.col(print_col).cast("decimal(20,0)"))
+    old = target.groupBy(key).agg(F.count("*").alias("n_target"), total.alias("old")).withColumnRenamed(key, "known")
+    new = source.groupBy(key).agg(F.count("*").alias("n_source"), total.alias("new"))
+    both = new.join(old, F.col(key).eqNullSafe(F.col("known")), "left")
+    n_target = F.coalesce("n_target", F.lit(0))
+    return both.select(
+        key, n_target.alias("n_target"), "n_source",
+        ((n_target != F.col("n_source")) | ~F.col("old").eqNullSafe(F.col("new"))).alias("changed"),
+    )
+
+
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     """Rows for which the condition is false or unknown."""
     return df.filter(~F.coalesce(condition, F.lit(False)))

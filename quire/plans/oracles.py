@@ -247,6 +247,12 @@ CENTRES = """
 parts AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
 centres AS (SELECT label AS query_id, pos, avg(x) AS c FROM parts GROUP BY 1, 2)"""
 
+VECTOR_QUERIES = """WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+d AS (SELECT q.vec_id AS query_id, v.vec_id AS chunk_id, sum((q.x - v.x) * (q.x - v.x)) AS d
+  FROM x q JOIN x v USING (pos) WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
+SELECT query_id, chunk_id, round(d, 6) AS distance, CAST(r AS INTEGER) AS rank FROM (SELECT *,
+  row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), chunk_id) AS r FROM d) WHERE r <= 6"""
+RECALL = "SELECT 6 * count(*) AS expected, true AS nine_tenths_found FROM embeddings WHERE vec_id % 50 = 0"
 STEM = r"regexp_replace({n}, '(.)[.][^.]+$', '\1')"
 
 ORACLES: dict[str, str] = {
@@ -421,6 +427,10 @@ FROM ({embedding_of('queries', 'query_id')})""",
   FROM parts JOIN centres USING (pos) GROUP BY 1, 2)
 SELECT query_id, chunk_id, round(d, 6) AS distance, CAST(r AS INTEGER) AS rank FROM (SELECT *,
   row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), chunk_id) AS r FROM d) WHERE r <= 6""",
+    "d2_vector_queries": VECTOR_QUERIES,
+    "d3_compressed_all_cells": VECTOR_QUERIES,
+    "d3_approx_recall": RECALL,
+    "d3_compressed_recall": RECALL,
     "d4_bm25_topk": f"WITH {bm25(ITEMS, 6)} SELECT * FROM bm25_hits",
     "d4_bm25_user_turns": f"WITH {bm25(USER_TURNS, 10)} SELECT * FROM bm25_hits",
     "d4a_bm25_padded": f"""WITH {bm25(REGIONS, 6)} SELECT query_id, chunk_id, score, CAST(r AS INTEGER) AS rank FROM (

@@ -2,9 +2,8 @@
 
 A keyed table is laid out in hash buckets of its key (a partition column), so
 that a merge or delete reads and rewrites the buckets it touches and leaves the
-rest alone.  Parquet has no transaction log: a job either commits or leaves the
-table as it was, executors may come and go, but two writers at once are not
-supported.  Where the delta package is on the class path, ``fmt="delta"`` hands
+rest alone.  Parquet has no transaction log: a rebuild is a new folder that is named when
+it is whole, executors may come and go, but two writers at once are not supported.  Where the delta package is on the class path, ``fmt="delta"`` hands
 merges and deletes to it.
 """
 
@@ -18,6 +17,8 @@ from quire.operators import merge as mg
 from quire.operators.schema_guard import enforce_schema
 
 BUCKET = "key_bucket"
+# A stored row's fingerprint.  Two versions of a row that differ have equal ones with a chance of 1 in 2**64.
+PRINT = "row_print"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
@@ -42,10 +43,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def move_folder(spark: SparkSession, src: str, dst: str) -> None:
-    fs, p = _fs(spark, src)
-    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(dst)):
-        raise OSError(f"could not move {src} to {dst}")
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of each data file below a folder, by its path."""
+    fs, p = _fs(spark, path)
+    found, files = {}, fs.listFiles(p, True)
+    while files.hasNext():
+        status = files.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            found[status.getPath().toString()] = status.getLen()
+    return found
 
 
 @dataclass(frozen=True)
@@ -63,18 +74,26 @@ class StoredTable:
     buckets: int = 16
     fmt: str = "parquet"
 
+    # -- versions --
+    #
+    # Each rebuild is a folder of its own, ``v<n>``.  An empty file of the same number in
+    # ``_versions``, made when the folder is whole, names it; the largest one holds.
+
+    def _versions(self) -> list[int]:
+        return sorted(int(name) for name in child_names(self.spark, f"{self.path}/_versions") if name.isdigit())
+
+    @property
+    def _folder(self) -> str:
+        if self.fmt == "delta":
+            return self.path
+        return f"{self.path}/v{max(self._versions(), default=0)}"
+
     # -- reading --
 
     def exists(self) -> bool:
         if self.fmt == "delta":
             return path_exists(self.spark, f"{self.path}/_delta_log")
-        if path_exists(self.spark, self.path):
-            return True
-        if path_exists(self.spark, f"{self.path}__new/_SUCCESS"):
-            # An exchange of folders was cut short after its write: finish it.
-            move_folder(self.spark, f"{self.path}__new", self.path)
-            return True
-        return False
+        return bool(self._versions())
 
     def _stored(self) -> DataFrame:
         if not self.exists():
@@ -83,12 +102,12 @@ class StoredTable:
         if self.fmt == "parquet" and self.schema is not None:
             fields = [T.StructField(f.name, f.dataType) for f in self.schema]
             if self.key:
-                fields.append(T.StructField(BUCKET, T.IntegerType()))
+                fields += [T.StructField(PRINT, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
             reader = reader.schema(T.StructType(fields))
-        return reader.load(self.path)
+        return reader.load(self._folder)
 
     def read(self) -> DataFrame:
-        return self._stored().drop(BUCKET)
+        return self._stored().drop(BUCKET, PRINT)
 
     def count(self) -> int:
         return self._stored().count()
@@ -105,24 +124,31 @@ class StoredTable:
     def _declared(self, df: DataFrame) -> DataFrame:
         return df if self.schema is None else enforce_schema(df, self.schema)
 
+    def _printed(self, df: DataFrame) -> DataFrame:
+        """With a 64-bit fingerprint of each row, by which a merge knows rows that have not changed."""
+        own = sorted(c for c in df.columns if c not in (PRINT, BUCKET))
+        # Where a value is NULL counts: the hash itself passes over NULLs.
+        parts = [F.col(c) for c in own] + [F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in own])]
+        return df.select(*[c for c in df.columns if c not in (PRINT, BUCKET)], F.xxhash64(*parts).alias(PRINT))
+
     def _laid_out(self, df: DataFrame) -> DataFrame:
         """Rows next to their bucket; a bucket too large for one task is split."""
         if not self._bucketed:
             return df
-        return df.withColumn(BUCKET, self._bucket_of(F.col(self.key))).hint("rebalance", F.col(BUCKET))
+        return self._printed(df).withColumn(BUCKET, self._bucket_of(F.col(self.key))).hint("rebalance", F.col(BUCKET))
 
-    def _write(self, df: DataFrame, mode: str, **options: str) -> None:
+    def _write(self, df: DataFrame, mode: str, folder: str | None = None, **options: str) -> None:
         writer = df.write.format(self.fmt).mode(mode).options(**options)
         if self._bucketed:
             writer = writer.partitionBy(BUCKET)
-        writer.save(self.path)
+        writer.save(folder or self._folder)
 
     def rebuild(self, df: DataFrame) -> None:
         """Replace content and schema; a failed write leaves the table as it was."""
         if self.fmt == "delta":
             self._write(self._declared(df), "overwrite", overwriteSchema="true")
         else:
-            self._swap_in(self._laid_out(self._declared(df)))
+            self._new_version(self._laid_out(self._declared(df)))
 
     def append(self, df: DataFrame) -> None:
         """Add rows that have exactly the declared schema."""
@@ -130,7 +156,10 @@ class StoredTable:
         if declared is None and self.exists():
             declared = T.StructType([T.StructField(f.name, f.dataType) for f in self.read().schema])
         guarded = df if declared is None else enforce_schema(df, declared)
-        self._write(self._laid_out(guarded), "append")
+        if self.fmt == "parquet" and not self.exists():
+            self._new_version(self._laid_out(guarded))
+        else:
+            self._write(self._laid_out(guarded), "append")
 
     def _touched_buckets(self, rows: DataFrame) -> list[int]:
         """Bucket numbers occurring in ``rows``: at most ``buckets`` integers."""
@@ -147,13 +176,17 @@ class StoredTable:
         """Insert new keys; with ``update_existing`` also replace known ones.
 
         The source should hold one row per key (``latest_revision``); rows that
-        repeat a key are all inserted.
+        repeat a key are all inserted.  Rows that are stored as they come are counted as
+        unchanged; buckets without other rows are not written.
         """
         source = self._declared(source)
         if not self.exists():
             self.rebuild(source)
             after = self.count()
-            return {"rows_before": 0, "rows_incoming": after, "rows_inserted": after, "rows_updated": 0, "rows_after": after}
+            return {
+                "rows_before": 0, "rows_incoming": after, "rows_inserted": after,
+                "rows_updated": 0, "rows_unchanged": 0, "rows_after": after,
+            }
         if self.fmt == "delta":
             return self._merge_delta(source, update_existing)
 
@@ -162,31 +195,36 @@ class StoredTable:
         # The source is read more than once: fix it first.
         source = materialize(source, "merge-source")
         before, incoming = self.count(), source.count()
+        counts = {"rows_before": before, "rows_incoming": incoming, "rows_inserted": 0, "rows_updated": 0, "rows_unchanged": 0}
         if incoming == 0:
-            return {"rows_before": before, "rows_incoming": 0, "rows_inserted": 0, "rows_updated": 0, "rows_after": before}
+            return counts | {"rows_after": before}
         target = self._stored()
-        touched = None
         if self._bucketed:
-            touched = self._touched_buckets(source)
-            target = target.filter(F.col(BUCKET).isin(touched))
-        new = mg.insert_only(target, source, self.key)
+            target = target.filter(F.col(BUCKET).isin(self._touched_buckets(source)))
         if not update_existing:
+            new = mg.insert_only(target.drop(BUCKET, PRINT), source, self.key)
             self._write(self._laid_out(new), "append")
             after = self.count()
-            inserted, updated = after - before, 0
-        else:
-            merged = mg.merge_upsert(target.drop(BUCKET), source, self.key)
-            inserted = new.count()
-            updated = incoming - inserted
-            if touched is None:
-                self._swap_in(merged)
-            else:
+            return counts | {"rows_inserted": after - before, "rows_after": after}
+        # Only keys and fingerprints of the target are read to find out what has changed.
+        old, new = (target if self._bucketed else self._printed(target)), self._printed(source)
+        changes = materialize(mg.changed_keys(old.select(self.key, PRINT), new.select(self.key, PRINT), self.key, PRINT), "merge-keys")
+        n = changes.agg(
+            F.coalesce(F.sum(F.when(F.col("n_target") == 0, F.col("n_source"))), F.lit(0)),
+            F.coalesce(F.sum(F.when((F.col("n_target") > 0) & F.col("changed"), F.col("n_source"))), F.lit(0)),
+        ).first()
+        keys = changes.filter("changed").select(self.key)
+        if n[0] or n[1]:
+            rows = source.join(keys, source[self.key].eqNullSafe(keys[self.key]), "left_semi")
+            if self._bucketed:
+                touched = self._touched_buckets(keys)
+                merged = mg.merge_upsert(target.filter(F.col(BUCKET).isin(touched)).drop(BUCKET, PRINT), rows, self.key)
                 self._replace_buckets(merged)
-            after = self.count()
-        return {
-            "rows_before": before, "rows_incoming": incoming, "rows_inserted": inserted,
-            "rows_updated": updated, "rows_after": after,
-        }
+            else:
+                self._new_version(mg.merge_upsert(target, rows, self.key))
+        return counts | {
+            "rows_inserted": n[0], "rows_updated": n[1], "rows_unchanged": incoming - n[0] - n[1], "rows_after": self.count(),
+        }
 
     def _merge_delta(self, source: DataFrame, update_existing: bool) -> dict:
         from delta.tables import DeltaTable
@@ -200,7 +238,7 @@ class StoredTable:
         after = self.count()
         return {
             "rows_before": before, "rows_incoming": incoming, "rows_inserted": after - before,
-            "rows_updated": incoming - (after - before) if update_existing else 0, "rows_after": after,
+            "rows_updated": incoming - (after - before) if update_existing else 0, "rows_unchanged": 0, "rows_after": after,
         }
 
     def delete_where(self, condition: Column) -> int:
@@ -211,7 +249,7 @@ class StoredTable:
 
             DeltaTable.forPath(self.spark, self.path).delete(condition)
         elif not self._bucketed:
-            self._swap_in(mg.delete_where(self._stored(), condition))
+            self._new_version(mg.delete_where(self._stored(), condition))
         else:
             stored = self._stored()
             touched = self._touched_buckets(stored.filter(condition))
@@ -219,44 +257,68 @@ class StoredTable:
                 kept = mg.delete_where(stored.filter(F.col(BUCKET).isin(touched)), condition)
                 survivors = set(self._touched_buckets(kept))
                 if survivors:
-                    self._replace_buckets(kept.drop(BUCKET))
+                    self._replace_buckets(kept.drop(BUCKET, PRINT))
                 for bucket in set(touched) - survivors:
-                    remove_folder(self.spark, f"{self.path}/{BUCKET}={bucket}")
+                    remove_folder(self.spark, f"{self._folder}/{BUCKET}={bucket}")
         return before - self.count()
 
     def compact(self, target_file_bytes: int = TARGET_FILE_BYTES) -> None:
-        """Same rows in fewer files."""
+        """Same rows in files of about the wanted size, by the sizes of the files there are.
+
+        Of a table in buckets only those are written again that have several files which fit
+        into one, or a file of more than twice the size; the others keep their files.
+        """
         if self.fmt == "delta":
             from delta.tables import DeltaTable
 
             DeltaTable.forPath(self.spark, self.path).optimize().executeCompaction()
             return
-        stored = self._stored()
-        files = max(1, -(-folder_bytes(self.spark, self.path) // target_file_bytes))
-        if self._bucketed:
-            # One file per bucket, more only where a bucket exceeds the file size.
-            per_bucket = -(-files // self.buckets)
-            if per_bucket == 1:
-                compacted = stored.repartition(self.buckets, BUCKET)
-            else:
-                split = F.pmod(F.xxhash64(*[F.col(c) for c in stored.columns]), F.lit(per_bucket))
-                compacted = stored.repartition(self.buckets * per_bucket, F.col(BUCKET), split)
-            self._write(compacted, "overwrite", partitionOverwriteMode="dynamic")
+        stored, sizes = self._stored(), file_sizes(self.spark, self._folder)
+        if not self._bucketed:
+            self._new_version(stored.repartition(max(1, -(-sum(sizes.values()) // target_file_bytes))))
+            return
+        by_bucket: dict[int, list[int]] = {}
+        for path, size in sizes.items():
+            by_bucket.setdefault(int(path.rsplit(f"{BUCKET}=", 1)[1].split("/")[0]), []).append(size)
+        pieces = {
+            bucket: -(-sum(own) // target_file_bytes)
+            for bucket, own in by_bucket.items()
+            if files_after_packing(own, target_file_bytes) < len(own) or max(own) > 2 * target_file_bytes
+        }
+        if not pieces:
+            return
+        # A task for each file to come: the bucket's first one, and which of its rows go to the next ones.
+        first, begin = {}, 0
+        for bucket, n in sorted(pieces.items()):
+            first[bucket], begin = begin, begin + n
+        pairs = lambda numbers: F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
+        bucket = F.col(BUCKET)
+        share = F.pmod(F.xxhash64(*[F.col(c) for c in stored.columns if c != BUCKET]), F.element_at(pairs(pieces), bucket).cast("long"))
+        place = (F.element_at(pairs(first), bucket) + share).cast("int")
+        chosen = stored.filter(bucket.isin(list(pieces)))
+        self._write(chosen.repartitionById(begin, place), "overwrite", partitionOverwriteMode="dynamic")
+
+    def _new_version(self, df: DataFrame) -> None:
+        """Write a folder of its own, then name it; a write that fails leaves the one before in place."""
+        versions = self._versions()
+        number = max(versions, default=0) + 1
+        self._write(df, "overwrite", f"{self.path}/v{number}", partitionOverwriteMode="static")
+        fs, name = _fs(self.spark, f"{self.path}/_versions/{number}")
+        fs.create(name, False).close()
+        # Who reads the version before may go on; older ones go.
+        for old in versions[:-1]:
+            fs.delete(_fs(self.spark, f"{self.path}/_versions/{old}")[1], False)
+            remove_folder(self.spark, f"{self.path}/v{old}")
+
+
+def files_after_packing(sizes: list[int], target: int) -> int:
+    """Files that are left when small ones are put together up to ``target``: first fit, the largest first."""
+    room: list[int] = []
+    for size in sorted(sizes, reverse=True):
+        for i, free in enumerate(room):
+            if size <= free:
+                room[i] -= size
+                break
         else:
-            self._swap_in(stored.repartition(files))
-
-    def _swap_in(self, df: DataFrame) -> None:
-        """Write beside the table, then exchange the folders."""
-        fresh, old = f"{self.path}__new", f"{self.path}__old"
-        writer = df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "static")
-        if self._bucketed:
-            writer = writer.partitionBy(BUCKET)
-        writer.save(fresh)
-        if path_exists(self.spark, old):
-            remove_folder(self.spark, old)
-        if path_exists(self.spark, self.path):
-            move_folder(self.spark, self.path, old)
-        move_folder(self.spark, fresh, self.path)
-        if path_exists(self.spark, old):
-            remove_folder(self.spark, old)
-        self.spark.catalog.refreshByPath(self.path)
+            room.append(max(0, target - size))
+    return len(room)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from quire.operators import layers, merge as mg
 from quire.operators.schema_guard import SchemaViolation, column_problems, enforce_schema, null_violations
 from quire.session import scratch_path
-from quire.sources.tables import BUCKET, StoredTable, path_exists
+from quire.sources.tables import BUCKET, PRINT, StoredTable, file_sizes, files_after_packing, path_exists
 
 SCHEMA = T.StructType(
     [T.StructField("k", T.StringType(), False), T.StructField("v", T.IntegerType()), T.StructField("t", T.StringType())]
@@ -36,7 +38,7 @@ class PlainTable(StoredTable):
         return False
 
     def _stored(self):
-        return super()._stored().drop(BUCKET)
+        return super()._stored().drop(BUCKET, PRINT)
 
 
 def test_merge_arithmetic_and_reruns(spark, table):
@@ -44,12 +46,15 @@ def test_merge_arithmetic_and_reruns(spark, table):
     assert (first["rows_before"], first["rows_inserted"], first["rows_after"]) == (0, 3, 3)
 
     again = table.merge(frame(spark, [("a", 9), ("d", 4)]), update_existing=False)
-    assert again == {"rows_before": 3, "rows_incoming": 2, "rows_inserted": 1, "rows_updated": 0, "rows_after": 4}
+    assert again == {
+        "rows_before": 3, "rows_incoming": 2, "rows_inserted": 1, "rows_updated": 0, "rows_unchanged": 0, "rows_after": 4,
+    }
     assert content(table) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
 
-    for inserted in (1, 0):
+    for inserted, updated in ((1, 1), (0, 0)):  # the second time, both rows are stored already
         out = table.merge(frame(spark, [("a", 9), ("e", 5)]), update_existing=True)
-        assert (out["rows_inserted"], out["rows_updated"], out["rows_after"]) == (inserted, 2 - inserted, 5)
+        assert (out["rows_inserted"], out["rows_updated"], out["rows_after"]) == (inserted, updated, 5)
+        assert out["rows_unchanged"] == 2 - inserted - updated
         assert content(table) == [("a", 9), ("b", 2), ("c", 3), ("d", 4), ("e", 5)]
     assert table.merge(frame(spark, []), update_existing=True)["rows_after"] == 5
 
@@ -156,3 +161,58 @@ def test_failed_rebuild_leaves_the_table(spark):
         with pytest.raises(Exception, match="no"):
             table.rebuild(broken)
         assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 2)]
+
+
+def written(table):
+    return {f: os.path.getmtime(f.removeprefix("file:")) for f in file_sizes(table.spark, table._folder)}
+
+
+def test_unchanged_rows_are_not_written_again(spark):
+    table = StoredTable(spark, scratch_path(spark, "table"), SCHEMA, key="k", buckets=8)
+    rows = [(f"k{i}", i) for i in range(200)]
+    table.rebuild(frame(spark, rows))
+    before = written(table)
+    out = table.merge(frame(spark, [(k, v + 1000 if k in ("k3", "k7") else v) for k, v in rows] + [("new", 1)]), update_existing=True)
+    assert (out["rows_inserted"], out["rows_updated"], out["rows_unchanged"], out["rows_after"]) == (1, 2, 198, 201)
+    after = written(table)
+    kept = [f for f, t in before.items() if after.get(f) == t]
+    assert len(before) - 3 <= len(kept) < len(before)  # three keys lie in three buckets at most
+    assert content(table) == sorted([(k, v + 1000 if k in ("k3", "k7") else v) for k, v in rows] + [("new", 1)])
+    # NULLs tell rows apart as well.
+    assert table.merge(frame(spark, [("k5", None)]), update_existing=True)["rows_updated"] == 1
+    assert table.merge(frame(spark, [("k5", None)]), update_existing=True)["rows_unchanged"] == 1
+
+
+def test_compaction_goes_by_the_sizes_of_files(spark):
+    """One bucket ten times the others gets files of the wanted size; a bucket that is fine keeps its files."""
+    table = StoredTable(spark, scratch_path(spark, "files"), key="k", buckets=4)
+    bucket = F.pmod(F.xxhash64("k"), F.lit(4))
+    keys = spark.range(200).select(F.col("id").cast("string").alias("k")).withColumn("b", bucket)
+    by = {r["b"]: r["k"] for r in keys.groupBy("b").agg(F.min("k").alias("k")).collect()}
+    text = F.sha2(F.col("id").cast("string"), 512)
+    rows = lambda b, n: spark.range(0, n, 1, 1).select(F.lit(by[b]).alias("k"), text.alias("t"))
+    table.rebuild(rows(0, 20_000))
+    for i in range(4):
+        table.append(rows(1, 400).withColumn("t", F.concat("t", F.lit(str(i)))))
+    table.append(rows(2, 2_000))
+    sizes = lambda: {b: sorted(s for f, s in file_sizes(spark, table._folder).items() if f"={b}/" in f) for b in range(3)}
+    target, before, n = sizes()[2][0], written(table), table.count()
+    table.compact(target)
+    after = sizes()
+    assert len(after[0]) >= 8 and max(after[0]) < 2 * target and len(after[1]) == 1
+    assert [f for f, t in before.items() if written(table).get(f) == t] == [f for f in before if "=2/" in f]
+    assert table.count() == n
+    again = written(table)
+    table.compact(target)
+    assert written(table) == again
+    assert files_after_packing([5, 5, 4, 3, 3], 10) == 2 and files_after_packing([12, 9, 9], 10) == 3
+
+
+def test_readers_of_the_version_before_go_on(spark):
+    table = StoredTable(spark, scratch_path(spark, "table"), SCHEMA)
+    table.rebuild(frame(spark, [("a", 1)]))
+    earlier = table.read()
+    table.rebuild(frame(spark, [("b", 2)]))
+    assert earlier.first()["k"] == "a" and content(table) == [("b", 2)]
+    table.rebuild(frame(spark, [("c", 3)]))
+    assert content(table) == [("c", 3)] and table._versions() == [2, 3]
