@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quire.operators.topk import sent
 from quire.session import materialize
 
 
@@ -21,17 +22,40 @@ def latest_per_key(df: DataFrame, key: str, order_by: list[Column]) -> DataFrame
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
+def _newest_first() -> list[Column]:
+    return [
+        F.desc_nulls_last(F.try_to_timestamp("upload_timestamp")),
+        F.desc_nulls_last("upload_timestamp"),
+        F.desc_nulls_last("document_id"),
+    ]
+
+
 def latest_revision(df: DataFrame, key: str = "file_name") -> DataFrame:
     """The newest revision per business key; ties fall to the larger id."""
-    return latest_per_key(
-        df,
-        key,
-        [
-            F.desc_nulls_last(F.try_to_timestamp("upload_timestamp")),
-            F.desc_nulls_last("upload_timestamp"),
-            F.desc_nulls_last("document_id"),
-        ],
-    )
+    return latest_per_key(df, key, _newest_first())
+
+
+def latest_stored_revision(df: DataFrame, key: str = "file_name") -> DataFrame:
+    """``latest_revision`` of rows read from files, without shuffling their texts.
+
+    Sorted are key, time, id and the place of a row, its file and number.  The rows that
+    win, or those that lose where these are fewer, are stored and sent to a second scan;
+    only where both are many are whole rows shuffled.  ``df`` may be filtered or joined
+    one to one, but must still know the files it comes from.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    narrow = df.select(key, "upload_timestamp", "document_id", *place)
+    order = Window.partitionBy(key).orderBy(*_newest_first(), "_file", "_row")
+    # Without a limit on the rank: the losers are needed as well.  A hot key's rows here are a few words each.
+    ranked = materialize(narrow.select("_file", "_row", (F.row_number().over(order) == 1).alias("wins")), "revisions")
+    wins, loses = ranked.filter("wins").drop("wins"), ranked.filter("NOT wins").drop("wins")
+    n_wins, n_loses = ranked.agg(F.count_if("wins"), F.count_if(~F.col("wins"))).first()
+    placed = df.select("*", *place)
+    if n_loses < n_wins:
+        kept = placed.join(sent(loses), ["_file", "_row"], "left_anti")
+    else:
+        kept = placed.join(sent(wins), ["_file", "_row"], "left_semi")
+    return kept.select(df.columns)
 
 
 def _stored_keys(df: DataFrame, key: str) -> DataFrame:

@@ -120,7 +120,7 @@ def update_silver(house: Lakehouse, update_existing: bool = False, now: Column |
         keys = bronze.select(layers.KEY).distinct()
         new_keys = materialize(mg.insert_only(silver.read(), keys, layers.KEY), "new-keys")
         bronze = bronze.join(new_keys, layers.KEY, "left_semi")
-    rows = layers.to_silver(mg.latest_revision(bronze), now)
+    rows = layers.to_silver(mg.latest_stored_revision(bronze), now)
     return silver.merge(rows, update_existing)
 
 

@@ -356,6 +356,15 @@ SELECT query_id, vec_id AS chunk_id, round(d, 6) AS distance, CAST(rank AS INTEG
 SELECT * FROM source WHERE id NOT IN (SELECT id FROM target)""",
     "m2_merge_upsert": f"""WITH {MERGE} SELECT * FROM target WHERE id NOT IN (SELECT id FROM source) UNION ALL SELECT * FROM source""",
     "m2_stored_merge": f"""WITH {MERGE} SELECT * FROM target WHERE id NOT IN (SELECT id FROM source) UNION ALL SELECT * FROM source""",
+    "s12_emptied_files": """SELECT 'vec_' || vec_id AS chunk_id, 'file_' || label AS file_name FROM embeddings
+WHERE label <> 2 AND (label <> 1 OR embedding[1] > 0)""",
+    "m4_unchanged_rows": """SELECT count(*) FILTER (o_orderpriority <> '5-LOW') AS rows_before, count(*) AS rows_incoming,
+  count(*) FILTER (o_orderpriority = '5-LOW') AS rows_inserted, count(*) FILTER (o_orderpriority = '1-URGENT') AS rows_updated,
+  count(*) FILTER (o_orderpriority NOT IN ('5-LOW', '1-URGENT')) AS rows_unchanged, count(*) AS rows_after FROM orders""",
+    "u1_stored_revision": """SELECT file_name, document_id, upload_timestamp, text_md5 FROM (SELECT *, row_number() OVER
+  (PARTITION BY file_name ORDER BY upload_timestamp DESC, document_id DESC) AS r FROM (SELECT
+    source || '_' || lang || '.txt' AS file_name, lpad(CAST(doc_id AS VARCHAR), 8, '0') AS document_id, md5(text) AS text_md5,
+    strftime(DATE '2024-01-01' + CAST(n_chars AS INTEGER), '%Y-%m-%dT00:00:00Z') AS upload_timestamp FROM documents)) WHERE r = 1""",
     "m4_merge_metrics": f"""WITH {MERGE}, n AS (SELECT (SELECT count(*) FROM target) AS b, (SELECT count(*) FROM source) AS i,
   (SELECT count(*) FROM source WHERE id IN (SELECT id FROM target)) AS m)
 SELECT b AS rows_before, i AS rows_incoming, i - m AS rows_inserted, m AS rows_updated, b + i - m AS rows_after FROM n""",

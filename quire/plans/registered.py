@@ -260,6 +260,22 @@ def s12_vector_upsert(spark, folder):
     return parts.withColumn("x", F.round(F.col("x").cast("double"), 6))
 
 
+@registered
+def s12_emptied_files(spark, folder):
+    """Two files are embedded anew, of which one has become shorter and one empty."""
+    vectors = table(spark, folder, "embeddings").select(
+        F.concat(F.lit("vec_"), F.col("vec_id").cast("string")).alias("chunk_id"),
+        F.concat(F.lit("file_"), F.col("label").cast("string")).alias("file_name"),
+        "embedding",
+    )
+    stored = retrieval.vector_table(spark, scratch_path(spark, "vectors"), buckets=8)
+    retrieval.upsert_vectors(stored, vectors)
+    touched = vectors.filter(F.col("file_name").isin("file_1", "file_2"))
+    shorter = touched.filter((F.col("file_name") == "file_1") & (F.get("embedding", F.lit(0)) > 0))
+    retrieval.upsert_vectors(stored, shorter, files=touched.select("file_name").distinct())
+    return stored.read().select("chunk_id", "file_name")
+
+
 # --- projections and predicates -----------------------------------------------------
 
 
@@ -551,6 +567,17 @@ def m2_stored_merge(spark, folder):
     return stored.read()
 
 
+@registered
+def m4_unchanged_rows(spark, folder):
+    """All orders come again, urgent ones with another priority, and some that are new: what a stored merge counts."""
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"), "o_orderpriority", "o_totalprice", "o_orderdate")
+    stored = StoredTable(spark, scratch_path(spark, "orders"), key="id", buckets=8)
+    stored.rebuild(orders.filter("o_orderpriority <> '5-LOW'"))
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    counts = stored.merge(orders.withColumn("o_orderpriority", F.when(urgent, "0-NOW").otherwise(F.col("o_orderpriority"))), True)
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+
+
 @registered
 def m4_merge_metrics(spark, folder):
     return mg.merge_metrics(*_merge_sides(spark, folder), "id", update_existing=True)
@@ -575,6 +602,22 @@ def u1_latest_revision(spark, folder):
     return mg.latest_revision(uploads)
 
 
+@registered
+def u1_stored_revision(spark, folder):
+    """The same uploads with their texts, read from a stored table: texts are not shuffled."""
+    uploads = table(spark, folder, "documents").select(
+        F.concat("source", F.lit("_"), "lang", F.lit(".txt")).alias("file_name"),
+        F.format_string("%08d", "doc_id").alias("document_id"),
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("n_chars").cast("int")), "yyyy-MM-dd'T00:00:00Z'")
+        .alias("upload_timestamp"),
+        F.col("text").alias("raw_text"),
+    )
+    stored = StoredTable(spark, scratch_path(spark, "uploads"))
+    stored.rebuild(uploads)
+    latest = mg.latest_stored_revision(stored.read())
+    return latest.select("file_name", "document_id", "upload_timestamp", F.md5("raw_text").alias("text_md5"))
+
+
 @registered
 def u3_revise_once(spark, folder):
     """Addenda for labelled documents, skipped where the marker is there."""

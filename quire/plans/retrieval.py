@@ -112,12 +112,13 @@ def vector_table(spark: SparkSession, path: str, buckets: int = 64) -> StoredTab
     return StoredTable(spark, path, key="file_name", buckets=buckets)
 
 
-def upsert_vectors(table: StoredTable, embedded: DataFrame, drop_stale: bool = True) -> dict:
+def upsert_vectors(table: StoredTable, embedded: DataFrame, drop_stale: bool = True, files: DataFrame | None = None) -> dict:
     """Store embedded chunks; running it again changes nothing.
 
     One row of each ``chunk_id`` is stored.  All chunks of a touched file are
-    replaced, so a shortened document leaves none behind.  ``drop_stale=False`` replaces chunk by chunk and keeps chunks
-    the new version no longer has.
+    replaced, so a shortened document leaves none behind.  ``files`` (``file_name``) names
+    all files that were embedded: those without chunks, emptied documents, lose theirs.
+    ``drop_stale=False`` replaces chunk by chunk and keeps chunks the new version no longer has.
     """
     embedded = embedded.dropDuplicates(["chunk_id"])
     if not table.exists():
@@ -130,4 +131,6 @@ def upsert_vectors(table: StoredTable, embedded: DataFrame, drop_stale: bool = T
         kept = stale.join(fresh.select("file_name").distinct(), "file_name", "left_semi")
         fresh = materialize(fresh.unionByName(kept.select(fresh.columns)), "vectors")
     table.merge(fresh, update_existing=True)
+    if files is not None and drop_stale:
+        table.delete_keys(files.select("file_name").join(fresh.select("file_name").distinct(), "file_name", "left_anti"))
     return {"rows_before": before, "rows_after": table.count()}

@@ -253,15 +253,36 @@ class StoredTable:
         else:
             stored = self._stored()
             touched = self._touched_buckets(stored.filter(condition))
-            if touched:
-                kept = mg.delete_where(stored.filter(F.col(BUCKET).isin(touched)), condition)
-                survivors = set(self._touched_buckets(kept))
-                if survivors:
-                    self._replace_buckets(kept.drop(BUCKET, PRINT))
-                for bucket in set(touched) - survivors:
-                    remove_folder(self.spark, f"{self._folder}/{BUCKET}={bucket}")
+            self._keep(touched, mg.delete_where(stored.filter(F.col(BUCKET).isin(touched)), condition))
         return before - self.count()
 
+    def delete_keys(self, keys: DataFrame) -> int:
+        """Delete all rows of the given keys, rewriting only their buckets."""
+        before, stored = self.count(), self._stored()
+        keys = keys.select(F.col(self.key).alias("gone")).distinct()
+        gone = F.col(self.key).eqNullSafe(F.col("gone"))
+        if self.fmt == "delta":
+            from delta.tables import DeltaTable
+
+            table = DeltaTable.forPath(self.spark, self.path).alias("t")
+            table.merge(keys.alias("s"), f"t.{self.key} <=> s.gone").whenMatchedDelete().execute()
+        elif not self._bucketed:
+            self._new_version(stored.join(keys, gone, "left_anti"))
+        else:
+            touched = self._touched_buckets(keys.select(F.col("gone").alias(self.key)))
+            self._keep(touched, stored.filter(F.col(BUCKET).isin(touched)).join(keys, gone, "left_anti"))
+        return before - self.count()
+
+    def _keep(self, touched: list[int], rows: DataFrame) -> None:
+        """Make ``rows`` the whole content of the touched buckets; those without rows go."""
+        if not touched:
+            return
+        survivors = set(self._touched_buckets(rows))
+        if survivors:
+            self._replace_buckets(rows.drop(BUCKET, PRINT))
+        for bucket in set(touched) - survivors:
+            remove_folder(self.spark, f"{self._folder}/{BUCKET}={bucket}")
+
     def compact(self, target_file_bytes: int = TARGET_FILE_BYTES) -> None:
         """Same rows in files of about the wanted size, by the sizes of the files there are.
 

@@ -216,3 +216,31 @@ def test_readers_of_the_version_before_go_on(spark):
     assert earlier.first()["k"] == "a" and content(table) == [("b", 2)]
     table.rebuild(frame(spark, [("c", 3)]))
     assert content(table) == [("c", 3)] and table._versions() == [2, 3]
+
+
+@pytest.mark.parametrize("text_of", [0, 5_000])
+def test_texts_stay_where_they_are_when_revisions_are_chosen(spark, text_of):
+    """Whether few rows lose or most of them do, texts are not below an Exchange."""
+    stored = StoredTable(spark, scratch_path(spark, "uploads"))
+    number = F.col("id") if text_of == 0 else F.col("id") % 7
+    stored.rebuild(
+        spark.range(0, 3_000, 1, 4).select(
+            F.concat(F.lit("f"), number.cast("string")).alias("file_name"), F.format_string("%05d", "id").alias("document_id"),
+            F.lit("2024-01-01T00:00:00Z").alias("upload_timestamp"), F.repeat(F.lit("x"), 50).alias("raw_text"),
+        ).union(spark.createDataFrame([("f1", "99999", "2023-01-01T00:00:00Z", "old")], "a string, b string, c string, d string"))
+    )
+    got = mg.latest_stored_revision(stored.read())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    below = [line for line in plan.split("\n") if "Scan parquet" in line and "raw_text" in line]
+    exchanges = [line for line in plan.split("\n") if "Exchange" in line]
+    assert below and all("Broadcast" in line for line in exchanges)
+    expected = {tuple(r) for r in mg.latest_revision(stored.read()).collect()}
+    assert {tuple(r) for r in got.collect()} == expected and len(expected) == (3_000 if text_of == 0 else 7)
+
+
+def test_keys_are_deleted_with_all_their_rows(spark, table):
+    table.rebuild(frame(spark, [("a", 1), ("a", 2), ("b", 3), ("c", 4)]))
+    keys = spark.createDataFrame([("a",), ("zz",), ("c",)], "k string")
+    assert table.delete_keys(keys) == 3 and content(table) == [("b", 3)]
+    assert table.delete_keys(keys) == 0
+    assert table.delete_keys(spark.createDataFrame([("b",)], "k string")) == 1 and table.count() == 0
