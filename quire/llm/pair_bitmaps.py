@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quire.llm.common import shipped
-from quire.session import scratch_path
+from quire.session import materialize, scratch_path
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,6 +36,9 @@ DENSE_FROM = BLOCK // 16
 SLICE_BYTES, MAX_ENTRIES = 4_000_000, 8_000_000
 # Longer texts go to the library that reads the vocabulary's own format: slower, but at home with endless words.
 LONG_TEXT = 100_000
+# Words whose ids a task keeps, and how long they are at most; a space that no word follows.
+MAX_KNOWN, MAX_WORD, WORDS_AT_ONCE = 400_000, 200, 400
+LOOSE_SPACE = re.compile(r" (?=\s|$)")
 # The fixed split of byte-level BPE into words.
 BYTE_LEVEL_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -85,10 +89,64 @@ class Tokenizers:
         self.written = np.array(written, object)
         self.written_length = np.array([len(w) for w in written], np.int64)
 
-    def ids_a(self, text: str) -> np.ndarray:
+        # No piece reaches across a space, so what follows one is encoded by itself; known words are kept.
+        self.by_word = not any("▁" in self.pieces.id_to_piece(i).lstrip("▁") for i in range(self.n_b))
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def ids_a(self, text: str) -> list[int]:
         if self.fast is None or len(text) > LONG_TEXT:
-            return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.int64)
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+            return self.exact.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+    def _both(self, spaced: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of either side of a text that begins with a space, None if they don't both spell it."""
+        raw = spaced.encode()
+        ids_a, ids_b = self.ids_a(spaced), self.pieces.encode(spaced[1:], num_threads=1)
+        if b"".join([self.bytes_a[i] for i in ids_a]) != raw or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
+            return None
+        return np.array(ids_a, np.int32), np.array(ids_b, np.int32)
+
+    def _words(self, text: str) -> list[str] | None:
+        """The text's words, if each is found by itself as it is in the text: every space stands before one."""
+        if not text or not self.by_word or LOOSE_SPACE.search(text):
+            return None
+        words = text[1:].split(" ")
+        return words if max(map(len, words)) <= MAX_WORD else None
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words one behind the other, then cut the ids where the words end; None for a word that is not spelled."""
+        for begin in range(0, len(words), WORDS_AT_ONCE):
+            some = words[begin : begin + WORDS_AT_ONCE]
+            both = self._both(" " + " ".join(some))
+            if both is None:
+                for word in some:
+                    own = self._both(" " + word)
+                    self.known[word] = own and (own[0].tobytes(), own[1].tobytes())
+                continue
+            ends = np.cumsum([len(w.encode()) + 1 for w in some])
+            sides = []
+            for ids, lengths in zip(both, (self.length_a, self.length_b)):
+                to = 4 * (np.searchsorted(_ends(ids, lengths), ends) + 1)
+                data, cuts = ids.tobytes(), [0, *to.tolist()]
+                sides.append([data[i:j] for i, j in zip(cuts, cuts[1:])])
+            self.known.update(zip(some, zip(*sides)))
+
+    def encode(self, spaced: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of either side for texts that begin with a space; none where they don't spell the text."""
+        cut = [self._words(t) for t in spaced]
+        if len(self.known) > MAX_KNOWN:
+            self.known.clear()
+        self._learn(list({w for words in cut if words for w in words}.difference(self.known)))
+        out_a, out_b, none = [], [], np.zeros(0, np.int32)
+        for text, words in zip(spaced, cut):
+            found = list(map(self.known.__getitem__, words)) if words else [None]
+            if None in found:
+                both = (self._both(text) if text else None) or (none, none)
+            else:
+                both = [np.frombuffer(b"".join(side), np.int32) for side in zip(*found)]
+            out_a.append(both[0].astype(np.int64))
+            out_b.append(both[1].astype(np.int64))
+        return out_a, out_b
 
 
 def _ends(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -112,14 +170,7 @@ class Cut:
 def cut_texts(texts: list[str | None], tok: Tokenizers) -> Cut:
     """Encode, compare the bytes, cut at all tokens' ends.  Texts without tokens have zeros and ''."""
     n = len(texts)
-    spaced = [" " + t if t else "" for t in texts]
-    ids_a = [tok.ids_a(t) if t else np.zeros(0, np.int64) for t in spaced]
-    ids_b = [np.array(ids, np.int64) for ids in tok.pieces.encode([t or "" for t in texts], num_threads=1)]
-    for i, text in enumerate(spaced):
-        raw = text.encode()
-        same = b"".join([tok.bytes_a[j] for j in ids_a[i]]) == raw == b"".join([tok.bytes_b[j] for j in ids_b[i]])
-        if not same:
-            ids_a[i] = ids_b[i] = np.zeros(0, np.int64)
+    ids_a, ids_b = tok.encode([" " + t if t else "" for t in texts])
     n_a, n_b = (np.array([len(ids) for ids in side], np.int64) for side in (ids_a, ids_b))
     a, b = np.concatenate([*ids_a, np.zeros(0, np.int64)]), np.concatenate([*ids_b, np.zeros(0, np.int64)])
     zeros = np.zeros(n, np.int64)
@@ -129,7 +180,8 @@ def cut_texts(texts: list[str | None], tok: Tokenizers) -> Cut:
     # Both sides spell the same bytes, so the texts may lie one after another.
     end_a, end_b = _ends(a, tok.length_a), _ends(b, tok.length_b)
     text_a, text_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
-    cuts = np.union1d(end_a, end_b)
+    cuts = np.sort(np.concatenate([end_a, end_b]), kind="stable")  # two sorted runs
+    cuts = cuts[np.append(cuts[1:] != cuts[:-1], True)]
     of_a, of_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
     link_text = text_a[of_a]
 
@@ -294,6 +346,7 @@ def pair_scores(index: PairIndex) -> DataFrame:
     """
     counted = index.postings.select("a", "b", _popcounts(F.col("planes")).alias("n"))
     pairs = counted.groupBy("a", "b").agg(F.sum("n.docs").alias("docs"), F.sum("n.links").alias("links"))
+    pairs = materialize(pairs, "pair-counts")
     most = pairs.groupBy("b").agg(F.max("links").alias("most"))
     return pairs.join(most, "b").select("a", "b", "docs", "links", (F.col("links") == F.col("most")).alias("best"))
 

@@ -1,5 +1,6 @@
 import hashlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from quire.llm import pair_bitmaps as pb
 from quire.llm.queries import QUERIES
 
 
+@cache
 def token_bytes():
     import sentencepiece
     import tokenizers
@@ -80,6 +82,7 @@ def brute(texts):
 
 
 ODD = [
+    "a\n b", "a \n b", "end\n\n word", "tab\t x", "it's 'll don't x'", "a\u00a0b \u2003c", "12 345,67 $a_b",
     None, "", " ", "plain words here", "plain words here", "<|endoftext|> <s> </s> <unk>", "a▁b", "two  spaces\n\nand\ttabs ",
     "ﬁne café 你好 \U0001f600\U0001f600", " lead", "trail ", "<0x41>", "x" * 3000, "word " * 4000, "́̀", "\x00\x01",
 ]
@@ -132,4 +135,4 @@ def test_fast_encoder_is_the_files_own():
     points = [c for c in range(0x32000) if not 0xD800 <= c < 0xE000]
     for at in range(0, len(points), 256):
         text = "".join(f" a{chr(c)}a1{chr(c)} {chr(c) * 2}" for c in points[at : at + 256])
-        assert tok.ids_a(text).tolist() == tok.exact.encode(text, add_special_tokens=False).ids
+        assert tok.ids_a(text) == tok.exact.encode(text, add_special_tokens=False).ids
