@@ -35,22 +35,24 @@ def latest_revision(df: DataFrame, key: str = "file_name") -> DataFrame:
     return latest_per_key(df, key, _newest_first())
 
 
-def latest_stored_revision(df: DataFrame, key: str = "file_name") -> DataFrame:
-    """``latest_revision`` of rows read from files, without shuffling their texts.
+def latest_stored_revision(df: DataFrame, key: str = "file_name", keys: DataFrame | None = None) -> DataFrame:
+    """``latest_revision`` of a table read from files, without shuffling its texts.
 
     Sorted are key, time, id and the place of a row, its file and number.  The rows that
     win, or those that lose where these are fewer, are stored and sent to a second scan;
-    only where both are many are whole rows shuffled.  ``df`` may be filtered or joined
-    one to one, but must still know the files it comes from.
+    only where both are many are whole rows shuffled.  With ``keys`` (a stored table of
+    distinct keys) only their revisions are returned.
     """
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
-    narrow = df.select(key, "upload_timestamp", "document_id", *place)
+    placed = df.select("*", *place)
+    if keys is not None:
+        placed = placed.join(sent(keys.select(key)), key, "left_semi")
+    narrow = placed.select(key, "upload_timestamp", "document_id", "_file", "_row")
     order = Window.partitionBy(key).orderBy(*_newest_first(), "_file", "_row")
     # Without a limit on the rank: the losers are needed as well.  A hot key's rows here are a few words each.
     ranked = materialize(narrow.select("_file", "_row", (F.row_number().over(order) == 1).alias("wins")), "revisions")
     wins, loses = ranked.filter("wins").drop("wins"), ranked.filter("NOT wins").drop("wins")
     n_wins, n_loses = ranked.agg(F.count_if("wins"), F.count_if(~F.col("wins"))).first()
-    placed = df.select("*", *place)
     if n_loses < n_wins:
         kept = placed.join(sent(loses), ["_file", "_row"], "left_anti")
     else:

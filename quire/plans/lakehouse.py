@@ -115,12 +115,11 @@ def update_silver(house: Lakehouse, update_existing: bool = False, now: Column |
     keys are found and stored first, so that few of them are sent to the texts
     instead of shuffling these.
     """
-    bronze, silver = house.bronze.read(), house.silver
+    bronze, silver, new_keys = house.bronze.read(), house.silver, None
     if silver.exists() and not update_existing:
         keys = bronze.select(layers.KEY).distinct()
         new_keys = materialize(mg.insert_only(silver.read(), keys, layers.KEY), "new-keys")
-        bronze = bronze.join(new_keys, layers.KEY, "left_semi")
-    rows = layers.to_silver(mg.latest_stored_revision(bronze), now)
+    rows = layers.to_silver(mg.latest_stored_revision(bronze, layers.KEY, new_keys), now)
     return silver.merge(rows, update_existing)
 
 
