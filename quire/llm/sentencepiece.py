@@ -21,10 +21,10 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quire.llm.common import free_name, shipped
@@ -34,7 +34,7 @@ MARK = "▁"
 # Stands for a U+2581 of the text itself; no text can hold it.  It is written as the mark's three bytes.
 LITERAL_MARK = "\ud800"
 # Beyond so many words a task's cache keeps those of the last batch only; beyond so many, pairs of pieces are forgotten.
-CACHE, PAIRS = 200_000, 300_000
+CACHE, PAIRS = 600_000, 300_000
 
 
 class Pieces:
@@ -214,7 +214,11 @@ def encode_words(words: Iterable[str], pieces: Pieces) -> Iterator[tuple[str, li
     before = ""
     state, start = ["" if pieces.by_merges else 0.0], [0]
     for word in sorted(words):
-        shared = len(commonprefix((before, word)))
+        shared = 0
+        for a, b in zip(before, word):
+            if a != b:
+                break
+            shared += 1
         del state[shared + 1 :], start[shared + 1 :]
         extend(pieces, word, shared, state, start)
         before = word
@@ -234,7 +238,7 @@ def encode_batch(texts: list[str | None], pieces: Pieces, cache: dict[str, bytes
     present = set(chain.from_iterable(cut))
     cache.update((w, array("i", ids).tobytes()) for w, ids in encode_words(present.difference(cache), pieces))
     ids = [b"".join(map(cache.__getitem__, words)) for words in cut]
-    if len(cache) > CACHE:  # frequent words are in this batch and stay
+    if len(cache) > CACHE:  # words of this batch stay, frequent ones among them
         own = {w: cache[w] for w in present}
         cache.clear()
         cache.update(own)
@@ -253,14 +257,20 @@ def decode_batch(values: pa.ListArray, pieces: Pieces) -> pa.Array:
     return pa.array([decode_ids(flat[a:b].tolist(), pieces) for a, b in zip(cuts, cuts[1:])], pa.string())
 
 
-# Rows handed on at once, so that a batch of long texts stays small.
-GROUP = 512
+# Rows and bytes handed on at once: many, since the words of a group share their prefixes, but few of very long texts.
+GROUP, GROUP_BYTES = 4_096, 8_000_000
 
 
 def _groups(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for values in batches:
-        for i in range(0, len(values), GROUP):
-            yield values.slice(i, GROUP)
+        size = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+        upto = np.cumsum(size.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin, done = 0, 0
+        while begin < len(values):
+            fits = int(np.searchsorted(upto, done + GROUP_BYTES, side="right"))
+            end = min(max(fits, begin + 1), begin + GROUP, len(values))
+            yield values.slice(begin, end - begin)
+            begin, done = end, int(upto[end - 1])
 
 
 def encode(text: Column, pieces: Pieces, spark: SparkSession) -> Column:
