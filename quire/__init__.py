@@ -21,6 +21,7 @@ from quire.operators.ranking import reciprocal_rank_fusion, rerank  # noqa: E402
 from quire.operators.schema_guard import SchemaViolation, enforce_schema  # noqa: E402
 from quire.plans.lakehouse import Lakehouse, PipelineHalted, build_gold, load_bronze, run_pipeline, update_silver  # noqa: E402
 from quire.plans.retrieval import SearchIndex, answer_queries, build_search_index, hybrid_search, index_silver  # noqa: E402
+from quire.plans.search_store import SearchStore  # noqa: E402
 from quire.session import build_session, prepare_session  # noqa: E402
 from quire.sources.landing import extract_text, list_files, read_and_extract, upload_events  # noqa: E402
 from quire.sources.tables import StoredTable  # noqa: E402
@@ -29,7 +30,7 @@ from quire.streaming.ingest import accepted_events, rejected_events, run_ingesti
 
 __all__ = [
     "BRONZE_SCHEMA", "DOCUMENT_CONTRACT", "SILVER_SCHEMA", "SILVER_SUITE",
-    "Contract", "Field", "Lakehouse", "LineageLog", "PipelineHalted", "SchemaViolation", "SearchIndex", "StoredTable",
+    "Contract", "Field", "Lakehouse", "LineageLog", "PipelineHalted", "SchemaViolation", "SearchIndex", "SearchStore", "StoredTable",
     "accepted_events", "answer_queries", "approx_dense_topk", "assign_cells", "bm25_topk", "build_context", "build_gold",
     "build_index", "build_messages", "build_search_index", "build_session", "check_expectations", "chunk_documents",
     "delete_where", "dense_topk", "embed", "encode_events", "enforce_schema", "extract_text", "fit_cells",

@@ -5,8 +5,9 @@ postings of the queries' words and no texts.  Each list is cut into blocks of li
 impact, of which the largest is known, and a query reads blocks in the order in which
 they lower, for each posting, what unread ones can still add most:
 
-1. the first blocks give each query a bar: its k-th best score so far;
-2. it reads on until chunks it has not met can't reach the bar, and skips the rest;
+1. the chunks that look best after the first blocks give each query a bar: the k-th best of their scores;
+2. it reads on until what is unread can add a small share of the bar only, and skips the rest: chunks it has
+   not met can't reach the bar;
 3. the chunks that can still reach it get what they lack from the skipped blocks.
 
 All steps are joins and sums over all queries at once.
@@ -32,6 +33,10 @@ POSTING_BUCKET = "term_bucket"
 
 # Postings a query reads before it has a bar.
 FIRST_READ = 2_000
+# Chunks whose scores are worked out for the bar, for each of the k best.
+HOPEFUL = 5
+# A query reads until what is unread can add this share of the bar: the less, the fewer chunks need what was skipped.
+ROOM = 0.1
 # Bounds are compared with this much room, more than sums of doubles differ by.
 MARGIN = 1e-6
 
@@ -232,11 +237,24 @@ def _reading_plan(lists: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
+def _best(known: DataFrame, n: int) -> DataFrame:
+    """The n best rows of each query, numbered by ``place``."""
+    order = Window.partitionBy("q").orderBy(F.desc("known"), "row")
+    return known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n)
+
+
+def _completed(lists: DataFrame, chosen: DataFrame, skipped: DataFrame) -> DataFrame:
+    """``q, row, known`` with what the chunks have in the skipped blocks (both tables are stored)."""
+    lacking = chosen.select("q", "row").join(sent(materialize(skipped.select("q", "term").distinct(), "bm25-lists")), "q")
+    some = among(among(lists, skipped, "term"), chosen, "row")
+    late = some.join(lacking, ["row", "term"]).join(sent(skipped), ["q", "term", "block"])
+    both = chosen.select("q", "row", "known").unionByName(late.select("q", "row", (F.col("weight") * F.col("impact")).alias("known")))
+    return both.groupBy("q", "row").agg(F.sum("known").alias("known"))
+
+
 def _bars(known: DataFrame, k: int, all_others: bool) -> DataFrame:
-    """The k-th best score of each query that has so many chunks."""
-    best = Window.partitionBy("q").orderBy(F.desc("known"))
-    top = known.select("q", "known", F.row_number().over(best).alias("place")).filter(F.col("place") <= k)
-    bars = top.filter(F.col("place") == k).select("q", F.col("known").alias("bar"))
+    """``q, bar``: the k-th best score of each query that has so many chunks."""
+    bars = _best(known, k).filter(F.col("place") == k).select("q", F.col("known").alias("bar"))
     return bars.filter("bar > 0") if all_others else bars
 
 
@@ -245,36 +263,38 @@ def _scores(lists: DataFrame, plan: DataFrame, k: int, all_others: bool) -> Data
 
     With ``all_others``, all chunks that share a word with a query that has not k above 0.
     """
+    blocks = ("q", "term", "block", "weight")
     score = (F.col("weight") * F.col("impact")).alias("score")
     early = (F.col("upto") - F.col("n") < FIRST_READ) | F.col("must")
-    first = lists.join(sent(materialize(plan.filter(early).select("q", "term", "block", "weight"), "bm25-first")), ["term", "block"])
-    bars = materialize(_bars(first.groupBy("q", "row").agg(F.sum(F.col("weight") * F.col("impact")).alias("known")), k, all_others), "bm25-bars")
+    first = lists.join(sent(materialize(plan.filter(early).select(*blocks), "bm25-first")), ["term", "block"])
+    partial = first.groupBy("q", "row").agg(F.sum(F.col("weight") * F.col("impact")).alias("known"))
+    # The bar is that of whole scores: the chunks that look best so far get theirs.
+    hopeful = materialize(_best(partial, k * HOPEFUL).select("q", "row", "known"), "bm25-hopeful")
+    later = materialize(plan.filter(~early).select(*blocks), "bm25-later")
+    bars = materialize(_bars(_completed(lists, hopeful, later), k, all_others), "bm25-bars")
 
     reach = plan.join(sent(bars), "q", "left")
-    needed = early | F.col("bar").isNull() | (F.col("rest") >= F.col("bar") - MARGIN)
-    marked = reach.withColumn("read", needed).drop("bar")
+    needed = early | F.col("bar").isNull() | (F.col("rest") >= F.col("bar") * ROOM - MARGIN)
+    marked = reach.withColumn("read", needed)
     # What a chunk can have in a list it was not met in: the largest behind the blocks read, or of all.
     whole_list = Window.partitionBy("q", "term")
     unread = F.coalesce(F.min(F.when(F.col("read"), F.col("after"))).over(whole_list), F.max("top").over(whole_list))
     marked = materialize(marked.withColumn("unread", unread), "bm25-read")
-    rest = marked.groupBy("q", "term").agg(F.first("unread").alias("unread")).groupBy("q").agg(F.sum("unread").alias("open"))
-
-    read = sent(materialize(marked.filter("read").select("q", "term", "block", "weight", "unread"), "bm25-blocks"))
-    met = lists.join(read, ["term", "block"]).select("q", "row", score, "unread")
-    known = materialize(met.groupBy("q", "row").agg(F.sum("score").alias("known"), F.sum("unread").alias("seen")), "bm25-known")
-    room = known.join(sent(materialize(rest.join(_bars(known, k, all_others), "q", "left"), "bm25-bars")), "q")
+    rest = marked.groupBy("q", "term", "bar").agg(F.first("unread").alias("unread"))
+    rest = materialize(rest.groupBy("q", "bar").agg(F.sum("unread").alias("open")), "bm25-open")
+
+    read = sent(materialize(marked.filter("read").select(*blocks, "unread"), "bm25-blocks"))
+    # Dealt by chunk before they meet the queries: the sums below need no further shuffle.
+    dealt = lists.repartition("row")
+    met = dealt.join(read, ["term", "block"]).select("q", "row", score, "unread")
+    known = met.groupBy("q", "row").agg(F.sum("score").alias("known"), F.sum("unread").alias("seen"))
     upper = F.col("known") + F.col("open") - F.col("seen")
-    chosen = room.filter(F.col("bar").isNull() | (upper >= F.col("bar") - MARGIN)).select("q", "row", "known")
-    skipped = marked.filter("NOT read").select("q", "term", "block", "weight")
+    chosen = known.join(sent(rest), "q").filter(F.col("bar").isNull() | (upper >= F.col("bar") - MARGIN))
+    chosen = materialize(chosen.select("q", "row", "known"), "bm25-chosen")
+    skipped = materialize(marked.filter("NOT read").select(*blocks), "bm25-skipped")
     if skipped.isEmpty():
         return chosen.select("q", "row", F.col("known").alias("score"))
-
-    chosen, skipped = materialize(chosen, "bm25-chosen"), materialize(skipped, "bm25-skipped")
-    lacking = chosen.select("q", "row").join(sent(materialize(skipped.select("q", "term").distinct(), "bm25-lists")), "q")
-    some = among(among(lists, skipped, "term"), chosen, "row")
-    late = some.join(lacking, ["row", "term"]).join(sent(skipped), ["q", "term", "block"]).select("q", "row", score)
-    both = chosen.select("q", "row", F.col("known").alias("score")).unionByName(late)
-    return both.groupBy("q", "row").agg(F.sum("score").alias("score"))
+    return _completed(lists, chosen, skipped).select("q", "row", F.col("known").alias("score"))
 
 
 def _zero_rows(index: Bm25Index, asked: DataFrame, scored: DataFrame, k: int) -> DataFrame:
