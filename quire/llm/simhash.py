@@ -26,20 +26,21 @@ billion fingerprints meet about thirty strangers each.
 from __future__ import annotations
 
 import heapq
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quire.llm.common import free_name
 from quire.llm.components import components
 from quire.session import materialize
 
 RADIUS = 4
+# Rows to drop are sent to all tasks up to so many (16 bytes each).
+MAX_SENT = 500_000
 # Generator polynomial of the Golay code: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.  Fixed value.
 GOLAY = 0b101011100011
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -322,237 +323,33 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-# --- near copies by similarity ----------------------------------------------------
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
+    """``docs`` with one row of each group that ``near_dedup`` links, all columns as they are.
 
-
-# Shingles are counted in a sample of one in COUNTED texts; those in FREQUENT of them or more come last in the order
-# of all shingles, the MAX_FREQUENT most frequent at most.  Any order finds all; this one keeps crowds out.
-COUNTED = 16
-FREQUENT = 8
-MAX_FREQUENT = 2**17
-# By so many of its first shingles a text is compared with the next smaller one, before all pairs are formed.
-NEXT = 3
-FIRST_TOKENS = "token long, row long, size int, place int, to_larger boolean"
-
-
-def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
-    """The distinct 64-bit hashes of a text's word shingles, ascending; none without words."""
-    found = (text or b"").lower().split()
-    size = min(words, len(found))
-    if not size:
-        return np.empty(0, np.uint64)
-    of_word = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
-    n = len(found) - size + 1
-    h = np.zeros(n, np.uint64)
-    for i in range(size):
-        # A finalizer of 64-bit hashes (splitmix64, fixed values) after each word.
-        h = (h ^ of_word[i : i + n]) + np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(31)
-    return np.unique(h)
-
-
-def prefix_sizes(n: int, similarity: float) -> tuple[int, int]:
-    """How many of a text's ``n`` shingles, the first in an order of all, must be looked up among larger and smaller texts.
-
-    With similarity t, sets of m <= n shingles share s = t / (1 + t) (m + n) or more:
-    2t / (1 + t) m at least, and t n at least.  The first shingle that they share is
-    among the first m - s + 1 of the one and the first n - s + 1 of the other.
-    """
-    to_larger, to_smaller = (math.ceil(part * n - 1e-6) for part in (2 * similarity / (1 + similarity), similarity))
-    return n - max(1, to_larger) + 1, n - max(1, to_smaller) + 1
-
-
-def _first_tokens(words: int, similarity: float, frequent: np.ndarray, counts: np.ndarray):
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held, n_held = [], 0
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                h = shingle_hashes(text.as_buffer().to_pybytes() if text.is_valid else None, words)
-                n = len(h)
-                if not n:
-                    continue
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-                    h = h[np.argsort(np.where(frequent[at] == h, counts[at], 0), kind="stable")]
-                to_larger, to_smaller = prefix_sizes(n, similarity)
-                place = np.arange(to_smaller)
-                held.append((h[:to_smaller].view(np.int64), np.full(to_smaller, row), np.full(to_smaller, n, np.int32), place.astype(np.int32), place < to_larger))
-                n_held += to_smaller
-                if n_held >= SHINGLES:
-                    yield _token_rows(held)
-                    held, n_held = [], 0
-            if held:
-                yield _token_rows(held)
-
-    return emit
-
-
-def _token_rows(held: list[tuple]) -> pa.RecordBatch:
-    columns = [pa.array(np.concatenate(c)) for c in zip(*held)]
-    return pa.RecordBatch.from_arrays(columns, ["token", "row", "size", "place", "to_larger"])
-
-
-def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows, sorted by token, whose token another row has."""
-    held, shared = None, None  # the last row, if no other had its token yet; the last token, if it was shared
-    for batch in batches:
-        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-        token = rows["token"].to_numpy()
-        if not len(token):
-            continue
-        same = token[1:] == token[:-1]
-        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        if shared is not None:
-            keep |= token == shared
-        held = None if keep[-1] else rows.slice(len(token) - 1).to_batches()[0]
-        shared = token[-1] if keep[-1] else None
-        yield from rows.filter(pa.array(keep)).to_batches()
-
-
-def _all_hashes(words: int):
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                if text.is_valid:
-                    yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text.as_buffer().to_pybytes(), words).view(np.int64))], ["token"])
-
-    return emit
-
-
-def first_tokens(texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """FIRST_TOKENS of ``texts`` (row, text): any two texts with ``similarity`` share one that the smaller has ``to_larger``."""
-    sample = texts.filter(F.pmod(F.xxhash64("row"), F.lit(COUNTED)) == 0).select("text")
-    often = sample.mapInArrow(_all_hashes(words), "token long").groupBy("token").count().filter(F.col("count") >= FREQUENT)
-    often = often.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).toArrow()
-    tokens = often["token"].to_numpy().view(np.uint64)
-    order = np.argsort(tokens)
-    found = texts.mapInArrow(_first_tokens(words, similarity, tokens[order], often["count"].to_numpy()[order]), FIRST_TOKENS)
-    return found.repartition("token").sortWithinPartitions("token").mapInArrow(_shared_only, FIRST_TOKENS)
-
-
-def next_pairs(tokens: DataFrame, similarity: float) -> DataFrame:
-    """(x, y) of rows that stand side by side, in order of size, among those with a token of their NEXT first ones."""
-    beside = Window.partitionBy("token").orderBy("size", "row")
-    pairs = tokens.filter(F.col("place") < NEXT).select(
-        F.lag("row").over(beside).alias("x"), F.col("row").alias("y"), F.lag("size").over(beside).alias("m"), "size"
-    )
-    return pairs.filter(F.col("m") >= F.lit(similarity) * F.col("size") - 1e-6).select("x", "y").distinct()
-
-
-def similar_pairs(tokens: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
-    """(x, y) of all rows that may have ``similarity``, from their first tokens, save those already in one of ``groups``.
-
-    Both have them in the same order.  After the last that they share, at ``place`` i
-    and j, at most the rest of either can be shared: pairs that can't reach the
-    similarity with that are left out.
-    """
-    tokens = tokens.join(groups, F.col("row") == F.col("node"), "left").withColumn("root", F.coalesce("root", "row"))
-    tokens = materialize(tokens.drop("node"), "near-grouped")
-    one = tokens.filter("to_larger").select("token", F.col("row").alias("x"), F.col("root").alias("p"), F.col("size").alias("m"), F.col("place").alias("i"))
-    two = tokens.select("token", F.col("row").alias("y"), F.col("root").alias("q"), F.col("size").alias("n"), F.col("place").alias("j"))
-    met = one.join(two, "token").filter("p != q").filter((F.col("m") < F.col("n")) | (F.col("m") == F.col("n")) & (F.col("x") < F.col("y")))
-    met = met.filter(F.col("m") >= F.lit(similarity) * F.col("n") - 1e-6)
-    pairs = met.groupBy("x", "y", "m", "n").agg(F.count(F.lit(1)).alias("shared"), F.max("i").alias("i"), F.max("j").alias("j"))
-    most = F.col("shared") + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) - 1
-    return pairs.filter(most >= F.lit(similarity / (1 + similarity)) * (F.col("m") + F.col("n")) - 1e-6).select("x", "y")
-
-
-def shingle_set(text: bytes, words: int) -> set[bytes]:
-    found = text.lower().split()
-    return {b" ".join(p) for p in zip(*[found[i:] for i in range(min(words, len(found)))])}
-
-
-def _alike(words: int):
-    @F.arrow_udf("double")
-    def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a, b):
-            one, two = (shingle_set(t.as_buffer().to_pybytes(), words) for t in (x, y))
-            out.append(len(one & two) / len(one | two))
-        return pa.array(out, pa.float64())
-
-    return jaccard
-
-
-def parities(h: np.ndarray) -> bytes:
-    """As many bits as a power of two, 8 or more, not below the number of hashes: the parity of how many hashes end in each number."""
-    size = 1 << max(3, (len(h) - 1).bit_length())
-    odd = np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
-
-
-def differing(a: bytes, b: bytes) -> int:
-    """Bits in which the ``parities`` of two sets differ, at most as many as hashes are in one set only."""
-    one, two = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
-    if len(two) > len(one):  # hashes that end in one number now end in one of several
-        two = np.bitwise_xor.reduce(two.reshape(-1, len(one)), axis=0)
-    return int(np.bitwise_count(one ^ two).sum())
-
-
-def _sketched(words: int):
-    @F.arrow_udf("n int, bits binary")
-    def sketched(texts: pa.Array) -> pa.Array:
-        sets = [shingle_hashes(t.as_buffer().to_pybytes() if t.is_valid else None, words) for t in texts]
-        return pa.StructArray.from_arrays([pa.array(map(len, sets), pa.int32()), pa.array(map(parities, sets), pa.binary())], names=["n", "bits"])
-
-    return sketched
-
-
-def _differing(one: Column, two: Column) -> Column:
-    @F.arrow_udf("int")
-    def bits(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([differing(x.as_py(), y.as_py()) for x, y in zip(a, b)], pa.int32())
-
-    return bits(one, two)
-
-
-def _compared(candidates: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The links (a, b) among ``candidates`` (x, y) whose whole shingle sets have the similarity.
-
-    Sets with similarity t differ in (1 - t) / (1 + t) of their summed sizes at most; few
-    others pass this for their parities, a fiftieth of a text, and have their texts compared.
-    """
-    ends = candidates.select(F.col("x").alias("row")).unionByName(candidates.select(F.col("y").alias("row"))).distinct()
-    sketches = texts.join(ends, "row", "left_semi").select("row", _sketched(words)(F.col("text")).alias("s"))
-    sketches = materialize(sketches.select("row", "s.n", "s.bits"), "near-sketches")
-    one, two = (sketches.select(F.col("row").alias(r), F.col("n").alias(n), F.col("bits").alias(b)) for r, n, b in ("xmc", "ynd"))
-    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("m") + F.col("n")) + 1e-6
-    candidates = candidates.join(one, "x").join(two, "y").filter(_differing(F.col("c"), F.col("d")) <= most).select("x", "y")
-    candidates = materialize(candidates, "near-sketched")
-    ends = candidates.select(F.col("x").alias("row")).unionByName(candidates.select(F.col("y").alias("row"))).distinct()
-    texts = materialize(texts.join(ends, "row", "left_semi"), "near-texts")
-    one, two = texts.select(F.col("row").alias("x"), F.col("text").alias("s")), texts.select(F.col("row").alias("y"), F.col("text").alias("t"))
-    compared = candidates.join(one, "x").join(two, "y").withColumn("alike", _alike(words)(F.col("s"), F.col("t")))
-    return materialize(compared.filter(F.col("alike") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b")), "near-alike")
-
-
-def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
-) -> DataFrame:
-    """``docs`` with one row of each group of near copies, all columns as they are.
-
-    Near copies are texts whose sets of ``words``-word shingles (A-Z lower-cased;
-    a shorter text is one shingle) have a Jaccard similarity of ``similarity``
-    or more; groups are connected by them.  Candidates are all texts that share one
-    of their first shingles (``prefix_sizes``), which any two near copies do,
-    whatever the edit.  Each candidate is then compared by its whole shingle sets.
-
-    Of a group the row with the smallest id stays, a NULL id only if there is no
-    other, of equal ids one.  Texts without words are nobody's copies and stay.
+    Of a group the row with the smallest id stays, a NULL id only if there is no other; of
+    rows equal in id and text one stays.  Texts without words are linked like any other.
+    Rows are known by id and text hash, so that texts are neither stored nor, unless very
+    many rows go, shuffled.
     """
-    row = free_name(docs, "near_row")
-    stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "near-input")
-    texts = stored.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
-    tokens = materialize(first_tokens(texts, words, similarity), "near-tokens")
-    # Similarity is not transitive: only all pairs of different groups are enough.  Those of one group add nothing.
-    near = _compared(materialize(next_pairs(tokens, similarity), "near-candidates"), texts, words, similarity)
-    rest = materialize(similar_pairs(tokens, components(near), similarity), "near-candidates")
-    groups = components(near.unionByName(_compared(rest, texts, words, similarity)))
-    members = stored.join(groups, F.col(row) == F.col("node")).select("root", row, F.col(id_col).alias("id"))
-    first = F.struct(F.col("id").isNull().alias("no_id"), "id", F.col(row).alias("row"))
-    kept = members.groupBy("root").agg(F.min(first).alias("first")).select("root", F.col("first.row").alias("kept"))
-    kept = materialize(kept, "near-kept")
-    dropped = members.join(kept, "root").filter(F.col(row) != F.col("kept")).select(row)
-    return stored.join(dropped, row, "left_anti").select(*docs.columns)
+    names = free_name(docs, "copy_id"), free_name(docs, "copy_text")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = [F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("twin")]
+    stored = materialize(docs.select(*own, _fingerprint_column(words)(F.col(text_col)).alias("fp")), "fingerprints")
+    prints = materialize(stored.select("fp").distinct(), "distinct-fingerprints")
+    groups = materialize(components(near_links(prints)), "components")
+    rooted = stored.join(groups, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = materialize(rooted.select("doc_id", "twin", "root"), "rooted")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "twin")
+    kept = rooted.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    kept = materialize(kept.select("root", "first"), "near-kept")
+    members = rooted.join(kept, "root").withColumn("stays", F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.twin") == F.col("twin")))
+    members = members.groupBy("doc_id", "twin", "stays").agg(F.count(F.lit(1)).alias("n"))
+    # Rows that go, and those that stay once of several equal ones.
+    marked = materialize(members.filter("NOT stays OR n > 1"), "near-marked")
+    keys = marked.select(F.col("doc_id").alias(names[0]), F.col("twin").alias(names[1]), "stays")
+    if marked.count() <= MAX_SENT:
+        keys = F.broadcast(keys)
+    same = F.col(id_col).eqNullSafe(F.col(names[0])) & (F.xxhash64(text) == F.col(names[1]))
+    rest = docs.join(keys, same, "left_anti")
+    repeated = docs.join(keys.filter("stays"), same)
+    return rest.unionByName(repeated.dropDuplicates(list(names)).select(*docs.columns))

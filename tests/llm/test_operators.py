@@ -195,68 +195,28 @@ def test_components(spark):
     assert cc.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_drop_near_copies(spark, docs, empty):
+@pytest.mark.parametrize("sent", [0, 500_000])
+def test_drop_near_copies(spark, docs, empty, monkeypatch, sent):
+    """One row of each component of the fingerprints stays; equal rows, NULL ids and wordless texts among them."""
+    monkeypatch.setattr(simhash, "MAX_SENT", sent)
     base = [f"w{i}" for i in range(300)]
     near = base.copy()
     near[150] = "other"
     far = base[:150] + [f"v{i}" for i in range(150)]
-    rows = [(5, " ".join(base)), (3, " ".join(near)), (4, " ".join(far)), (None, " ".join(base)), (8, None), (9, "")]
-    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert collected(out, "doc_id") == [(3,), (4,), (8,), (9,)]
-    assert simhash.drop_near_copies(docs).columns == docs.columns
-    assert simhash.drop_near_copies(empty).count() == 0
-
-
-def test_near_copies_by_blocks(spark):
-    """All kinds of edits: what stays is what a comparison of all pairs leaves."""
-    rng = np.random.default_rng(11)
-    draw = lambda n: [f"w{i}" for i in (20_000 * rng.random(n) ** 3).astype(int)]
-    texts = []
-    for n in [12, 60, 100, 300, 900] * 6:
-        base = draw(n)
-        at = int(rng.integers(0, n - n // 11))
-        cut, more = base[: n - max(1, n * 17 // 100)], base + draw(n * 17 // 100)
-        texts += [base, cut, base[n - len(cut) :], more, base[:at] + draw(n // 11) + base[at + n // 11 :]]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    sets = [simhash.shingle_set(t.encode(), 5) for _, t in rows]
-    root = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8 and root[i] != root[j]:
-                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
-    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert collected(out, "doc_id") == sorted(((i,) for i in set(root)), key=repr) and len(set(root)) < 60
-
-
-def test_near_copies_among_unlike_texts(spark):
-    """Texts of one set of words, and a crowd of copies: no comparison that fails hides another pair."""
-    rng = np.random.default_rng(12)
-    base = [f"w{i}" for i in range(400)]
-    other = base.copy()
-    other[200] = "w199"
-    rows = [(1, " ".join(rng.permutation(base))), (2, " ".join(base)), (3, " ".join(other))]
-    crowd = [f"v{i}" for i in range(60)]
-    rows += [(10 + i, " ".join([*crowd, *(f"x{i}-{k}" for k in range(i % 3))])) for i in range(200)]
-    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert collected(out, "doc_id") == [(1,), (10,), (2,)]
-
-
-def test_parities_differ_no_more_than_sets():
-    rng = np.random.default_rng(13)
-    for n in (1, 7, 8, 9, 100, 1000, 5000):
-        h = rng.integers(0, 2**64, 2 * n, np.uint64)
-        for m in (1, n // 9, n):
-            a, b = h[:n], h[m : n + 2 * m]
-            bits = simhash.differing(simhash.parities(a), simhash.parities(b))
-            assert bits <= len(np.setxor1d(a, b))
-        assert n < 100 or simhash.differing(simhash.parities(h[:n]), simhash.parities(h[n:])) > 2 * n / 9
-
-
-def test_tokens_of_one_row_are_left_out():
-    """Over the edges of batches too."""
-    batch = lambda *tokens: simhash.pa.RecordBatch.from_arrays([simhash.pa.array(tokens, "int64")], ["token"])
-    out = simhash._shared_only(iter([batch(1, 2), batch(2, 3), batch(), batch(4, 4), batch(4), batch(5), batch(6), batch(6, 7)]))
-    assert [t for b in out for t in b.column(0).to_pylist()] == [2, 2, 4, 4, 4, 6, 6]
+    rows = [
+        (5, " ".join(base)), (3, " ".join(near)), (3, " ".join(near)), (4, " ".join(far)), (None, " ".join(base)), (8, None), (9, ""),
+        (None, "lonely words"), (None, "lonely words"), (2, "some other words"),
+    ]
+    rows = [(*r, i) for i, r in enumerate(rows)]
+    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, copy_id long"))
+    prints = [brute_fingerprint(r[1]) for r in rows]
+    groups = brute_components(prints)
+    expected = {min((rows[x][0] is None, rows[x][0] or 0, rows[x][1] or "") for x in groups[i]) for i in range(len(rows))}
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in out.collect()) == sorted(expected)
+    assert out.columns == ["doc_id", "text", "copy_id"]
+    if sent:
+        assert simhash.drop_near_copies(docs).columns == docs.columns
+        assert simhash.drop_near_copies(empty).count() == 0
 
 
 def test_mixing(docs, empty):
