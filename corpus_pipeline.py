@@ -23,8 +23,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts connected by a similarity of 0.8 in shingles of five words, the one with the smallest doc_id stays."""
-    return simhash.drop_near_copies(docs, words=5, similarity=0.8)
+    """Of documents linked by fingerprints of four-word shingles, at 4 or fewer differing bits, the smallest doc_id stays."""
+    return simhash.drop_near_copies(docs, words=4)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
