@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -249,6 +250,32 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, suffix
         yield block
 
 
+class _Classes(dict):
+    """The class of each word: of the frequent ones by their table, of the others by their last two bytes."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(zip(vocabulary.number, vocabulary.of_word.tolist()))
+        self.suffixes = _Suffixes()
+
+    def __missing__(self, word: bytes) -> int:
+        return self.suffixes[word[-2:]]
+
+
+def _class_blocks(batches: Iterator[pa.RecordBatch], classes: _Classes, column: int) -> Iterator[list[np.ndarray]]:
+    """The blocks of ``_in_blocks``, of which training needs the classes only."""
+    block, held = [], 0
+    for batch in batches:
+        for text in batch.column(column):
+            words = tokens_of(text.as_buffer().to_pybytes() if text.is_valid else None)
+            block.append(np.fromiter(chain(map(classes.__getitem__, words), (END,)), np.int16, len(words) + 1))
+            held += len(words) + 1
+            if held >= TOKENS:
+                yield block
+                block, held = [], 0
+    if block:
+        yield block
+
+
 def train(training: DataFrame, text_col: str, vocabulary: Vocabulary, rounds: int = 2) -> Model:
     """Rounds of training on all texts; each ends with the tasks' mean, weighted by tokens."""
     spark = training.sparkSession
@@ -261,8 +288,8 @@ def train(training: DataFrame, text_col: str, vocabulary: Vocabulary, rounds: in
             v = words()
             own, rng, seen = Model(v.class_count), np.random.default_rng(step), 0
             own.load(start)
-            for block in _in_blocks(batches, v, _Suffixes(), 0):
-                rows, n = distinct_windows(windows([of for *_, of in block]))
+            for block in _class_blocks(batches, _Classes(v), 0):
+                rows, n = distinct_windows(windows(block))
                 order = rng.permutation(len(rows))
                 own.train(rows[order], n[order].astype(np.float64), rng, rate=0.1 / (step + 1))
                 seen += int(n.sum())
