@@ -34,7 +34,7 @@ MARK = "▁"
 # Stands for a U+2581 of the text itself; no text can hold it.  It is written as the mark's three bytes.
 LITERAL_MARK = "\ud800"
 # Beyond so many words a task's cache keeps those of the last batch only; beyond so many, pairs of pieces are forgotten.
-CACHE, PAIRS = 600_000, 300_000
+CACHE, PAIRS = 300_000, 300_000
 
 
 class Pieces:
@@ -258,7 +258,7 @@ def decode_batch(values: pa.ListArray, pieces: Pieces) -> pa.Array:
 
 
 # Rows and bytes handed on at once: many, since the words of a group share their prefixes, but few of very long texts.
-GROUP, GROUP_BYTES = 4_096, 8_000_000
+GROUP, GROUP_BYTES = 1_024, 2_000_000
 
 
 def _groups(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
