@@ -36,7 +36,11 @@ FIRST_READ = 2_000
 # Chunks whose scores are worked out for the bar, for each of the k best.
 HOPEFUL = 5
 # A query reads until what is unread can add this share of the bar: the less, the fewer chunks need what was skipped.
-ROOM = 0.1
+ROOM = 0.3
+# Additions in a task that sums scores: its table of sums stays in memory, and in the caches of a core for the most part.
+SUMS_PER_TASK = 2_000_000
+# Blocks of all queries (four numbers each, 64 MB in all) that are sent to the tasks; beyond that Spark chooses the join.
+MAX_BLOCKS = 2_000_000
 # Bounds are compared with this much room, more than sums of doubles differ by.
 MARGIN = 1e-6
 
@@ -202,16 +206,18 @@ def corpus_statistics(index: TermStatistics) -> DataFrame:
 # --- search ------------------------------------------------------------------------
 
 
-def _lists(index: Bm25Index, words: DataFrame) -> DataFrame:
-    """Stored ``term, row, impact, block`` of the words: what a posting adds for each unit of weight, and its block.
+def _lists(index: Bm25Index, numbers: DataFrame) -> DataFrame:
+    """Stored ``term, row, impact, block`` of the numbered words: what a posting adds for each unit of weight, and its block.
 
-    A block holds the postings of about equal counts and lengths, so they are of like impact.
+    ``term`` is the word's number.  A block holds postings of one word and about equal counts and lengths, so they are of
+    like impact; its number holds that of its word, so that blocks are joined by one integer.
     """
     tf, length = F.col("tf"), F.col("length")
     norm = BM25_K1 * (1 - BM25_B + BM25_B * length / F.lit(index.mean_length or 1.0))
-    block = F.least(F.floor(F.log2(tf)), F.lit(15)) * 64 + F.floor(F.log2(length) * 2)
-    lists = index.postings(words).select("term", "row", (tf * (BM25_K1 + 1) / (tf + norm)).alias("impact"), block.cast("int").alias("block"))
-    return materialize(lists, "bm25-lists")
+    block = F.col("number") * 1024 + F.least(F.floor(F.log2(tf)), F.lit(15)) * 64 + F.floor(F.log2(length) * 2)
+    postings = index.postings(numbers.select("term")).join(sent(numbers), "term")
+    impact = (tf * (BM25_K1 + 1) / (tf + norm)).alias("impact")
+    return materialize(postings.select(F.col("number").alias("term"), "row", impact, block.cast("long").alias("block")), "bm25-lists")
 
 
 def _reading_plan(lists: DataFrame, weights: DataFrame) -> DataFrame:
@@ -247,7 +253,7 @@ def _completed(lists: DataFrame, chosen: DataFrame, skipped: DataFrame) -> DataF
     """``q, row, known`` with what the chunks have in the skipped blocks (both tables are stored)."""
     lacking = chosen.select("q", "row").join(sent(materialize(skipped.select("q", "term").distinct(), "bm25-lists")), "q")
     some = among(among(lists, skipped, "term"), chosen, "row")
-    late = some.join(lacking, ["row", "term"]).join(sent(skipped), ["q", "term", "block"])
+    late = some.join(lacking, ["row", "term"]).join(sent(skipped.drop("term")), ["q", "block"])
     both = chosen.select("q", "row", "known").unionByName(late.select("q", "row", (F.col("weight") * F.col("impact")).alias("known")))
     return both.groupBy("q", "row").agg(F.sum("known").alias("known"))
 
@@ -258,6 +264,12 @@ def _bars(known: DataFrame, k: int, all_others: bool) -> DataFrame:
     return bars.filter("bar > 0") if all_others else bars
 
 
+def _tasks(blocks: DataFrame) -> int:
+    """In how many tasks the queries' blocks are added up: as many as their postings need, not fewer than the session's."""
+    sums = blocks.agg(F.sum("n")).first()[0] or 0
+    return max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sums // SUMS_PER_TASK))
+
+
 def _scores(lists: DataFrame, plan: DataFrame, k: int, all_others: bool) -> DataFrame:
     """``q, row, score``: exact scores of all chunks that can be among the k best of their query.
 
@@ -266,7 +278,7 @@ def _scores(lists: DataFrame, plan: DataFrame, k: int, all_others: bool) -> Data
     blocks = ("q", "term", "block", "weight")
     score = (F.col("weight") * F.col("impact")).alias("score")
     early = (F.col("upto") - F.col("n") < FIRST_READ) | F.col("must")
-    first = lists.join(sent(materialize(plan.filter(early).select(*blocks), "bm25-first")), ["term", "block"])
+    first = lists.join(sent(materialize(plan.filter(early).select(*blocks), "bm25-first")), "block")
     partial = first.groupBy("q", "row").agg(F.sum(F.col("weight") * F.col("impact")).alias("known"))
     # The bar is that of whole scores: the chunks that look best so far get theirs.
     hopeful = materialize(_best(partial, k * HOPEFUL).select("q", "row", "known"), "bm25-hopeful")
@@ -283,10 +295,11 @@ def _scores(lists: DataFrame, plan: DataFrame, k: int, all_others: bool) -> Data
     rest = marked.groupBy("q", "term", "bar").agg(F.first("unread").alias("unread"))
     rest = materialize(rest.groupBy("q", "bar").agg(F.sum("unread").alias("open")), "bm25-open")
 
-    read = sent(materialize(marked.filter("read").select(*blocks, "unread"), "bm25-blocks"))
+    read = materialize(marked.filter("read").select("q", "block", "weight", "unread"), "bm25-blocks")
+    read = sent(read, MAX_BLOCKS)
     # Dealt by chunk before they meet the queries: the sums below need no further shuffle.
-    dealt = lists.repartition("row")
-    met = dealt.join(read, ["term", "block"]).select("q", "row", score, "unread")
+    dealt = lists.repartition(_tasks(marked.filter("read")), "row")
+    met = dealt.join(read, "block").select("q", "row", score, "unread")
     known = met.groupBy("q", "row").agg(F.sum("score").alias("known"), F.sum("unread").alias("seen"))
     upper = F.col("known") + F.col("open") - F.col("seen")
     chosen = known.join(sent(rest), "q").filter(F.col("bar").isNull() | (upper >= F.col("bar") - MARGIN))
@@ -330,9 +343,12 @@ def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool
     asked = materialize(queries.select(F.monotonically_increasing_id().alias("q"), "query_id", _tokens("text").alias("tokens")), "bm25-queries")
     words = asked.select("q", F.explode("tokens").alias("term")).groupBy("q", "term").agg(F.count("*").alias("times"))
     words = materialize(words, "bm25-words")
-    known = among(index.dictionary(), words, "term")
-    weights = words.join(known, "term").select("q", "term", (F.col("times") * F.col("idf")).alias("weight"))
-    lists = _lists(index, words)
+    numbers = words.select("term").distinct().withColumn("number", F.monotonically_increasing_id())
+    numbers = materialize(numbers, "bm25-numbers")
+    known = among(index.dictionary(), numbers, "term").join(sent(numbers), "term").withColumnRenamed("idf", "weight")
+    weights = words.join(sent(materialize(known.select("term", "number", "weight"), "bm25-known")), "term")
+    weights = weights.select("q", F.col("number").alias("term"), (F.col("times") * F.col("weight")).alias("weight"))
+    lists = _lists(index, numbers)
     # To pad, chunks below 0 must be known as such.
     scored = _scores(lists, _reading_plan(lists, materialize(weights, "bm25-weights")), k, pad_to_k)
 

@@ -90,9 +90,9 @@ class TaskTopK:
 MAX_SENT = 500_000
 
 
-def sent(stored: DataFrame) -> DataFrame:
-    """Tell Spark to send a stored table to all tasks if it is small; beyond that Spark chooses the join."""
-    return F.broadcast(stored) if stored.count() <= MAX_SENT else stored
+def sent(stored: DataFrame, most: int = MAX_SENT) -> DataFrame:
+    """Tell Spark to send a stored table to all tasks if it has ``most`` rows or fewer; beyond that Spark chooses the join."""
+    return F.broadcast(stored) if stored.count() <= most else stored
 
 
 def among(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:

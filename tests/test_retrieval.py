@@ -88,9 +88,9 @@ def test_blocks_that_cannot_matter_are_skipped(spark, monkeypatch):
     monkeypatch.setattr(bm25, "FIRST_READ", 10)
     texts = [f"common filler {'rare one' if i < 8 else f'x{i}'}" for i in range(400)] + ["filler"] * 600
     index, queries = bm25.build_index(chunk_frame(spark, texts)), query_frame(spark, ["rare one common"])
-    words = spark.createDataFrame([(0, w, 1) for w in ("rare", "one", "common")], "q long, term string, times long")
-    weights = words.join(index.dictionary(), "term").select("q", "term", F.col("idf").alias("weight"))
-    lists = bm25._lists(index, words)
+    numbers = spark.createDataFrame([(w, n) for n, w in enumerate(("rare", "one", "common"))], "term string, number long")
+    weights = numbers.join(index.dictionary(), "term").select(F.lit(0).alias("q"), F.col("number").alias("term"), F.col("idf").alias("weight"))
+    lists = bm25._lists(index, numbers)
     scored = bm25._scores(lists, bm25._reading_plan(lists, weights), 5, False)
     assert scored.count() == 8 and lists.count() == 416
     got = sorted((r[0], r[1], round(r[2], 6), r[3]) for r in bm25.bm25_topk(index, queries, 5).collect())
