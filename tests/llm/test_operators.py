@@ -407,6 +407,37 @@ def test_decision_list(spark, docs, empty):
     assert quality_rules.quality_report(empty, odd).count() == 0
 
 
+def test_co_training_over_parts_equals_brute_force(spark):
+    """All unlabelled rows take part: sums over tasks give the weights of one pass over all rows in one place."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(["fine", "words", "here", "##", "9 9"], 30 if i % 2 else 6)), f"s{i % 3}", "en", i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, quality long").repartition(5)
+    known = df.filter("doc_id < 120")
+    got = cotraining.fit_quality(df, known, confidence=0.7)
+    halves = [v.astype(np.float16).astype(float) for v in cotraining._views([(t.encode(), s, g, len(t)) for _, t, s, g, _ in rows])]
+    order = np.random.default_rng(0).permutation(120)
+    pool = tuple(v[120:] for v in halves)
+    seen, rules = [], []
+
+    def one_place(function, *given):
+        seen.append(function.__name__)
+        rules[:] = given[1] if len(given) > 1 else rules
+        return function(pool, *given)
+
+    good = np.array([float(r[4]) for r in rows])[order]
+    want = cotraining.co_train(halves[0][order], halves[1][order], good, one_place, confidence=0.7)
+    assert np.allclose(got.text, want.text, atol=1e-6) and np.allclose(got.meta, want.meta, atol=1e-6)
+    assert "pool_sums" in seen and any((~np.isnan(t)).any() for t in cotraining.told(rules, pool))
+
+
+def test_co_training_thresholds():
+    counts = np.zeros(cotraining.BINS)
+    counts[[100, 200, 5800, 5900]] = [50, 50, 40, 5]
+    assert cotraining.thresholds(counts, 0.5, 0.1, 0.95) == (100, 5801)
+    assert cotraining.thresholds(counts, 0.5, 1.0, 0.95) == (199, 3295)
+    assert cotraining.thresholds(counts * 0, 0.5, 0.1, 0.95)[1] == cotraining.BINS
+
+
 def test_co_training(spark, docs, empty):
     rows = [
         (i, " ".join((f"good{(i * k) % 89}" if i % 4 else f"BAD{(i * k) % 83}!!") for k in range(1, 40)), "en", "a" if i % 4 else "b", 1 if i % 4 else 0)
