@@ -1,16 +1,20 @@
 """Okapi BM25 over a corpus of chunks, for a whole table of queries.
 
 The index is a table of postings, sorted by word in every file.  A search reads the
-postings of the queries' words and no texts.  Each list is cut into blocks of like
-impact, of which the largest is known, and a query reads blocks in the order in which
-they lower, for each posting, what unread ones can still add most:
+postings of the queries' words and no texts.  Postings are packed into bundles of chunks,
+queries into blocks, and every block meets every bundle in a task, which adds up one query
+after the other and keeps its k best.
+
+With ``skip_blocks`` each list is cut into blocks of like impact instead, of which the
+largest is known, and a query reads blocks in the order in which they lower, for each
+posting, what unread ones can still add most:
 
 1. the chunks that look best after the first blocks give each query a bar: the k-th best of their scores;
 2. it reads on until what is unread can add a small share of the bar only, and skips the rest: chunks it has
    not met can't reach the bar;
 3. the chunks that can still reach it get what they lack from the skipped blocks.
 
-All steps are joins and sums over all queries at once.
+These steps are joins and sums over all queries at once.
 """
 
 from __future__ import annotations
@@ -43,6 +47,12 @@ SUMS_PER_TASK = 2_000_000
 MAX_BLOCKS = 2_000_000
 # Bounds are compared with this much room, more than sums of doubles differ by.
 MARGIN = 1e-6
+# Chunks of a bundle, as a power of two; postings a task holds before it packs them; words of a block of queries.
+BUNDLE_BITS, HELD_POSTINGS, BLOCK_WORDS = 14, 500_000, 100_000
+# Blocks of queries up to this size are sent to all tasks; larger tables are read by the tasks that need them.
+SENT_BYTES = 64 * 1024 * 1024
+# Hits (query, row) that a task holds before it hands on what it has.
+HELD_HITS = 2_000_000
 
 
 def _tokens(text_col: str) -> Column:
@@ -139,11 +149,18 @@ class Bm25Index(TermStatistics):
 
     def postings(self, words: DataFrame) -> DataFrame:
         """``term, row, tf, length`` of the words in a stored table; of laid out postings only their buckets are read."""
+        return among(self._read(words), words, "term")
+
+    def numbered_postings(self, numbers: DataFrame) -> DataFrame:
+        """``number, row, tf, length`` of the words in a stored table of ``term, number``."""
+        return self._read(numbers).join(sent(numbers), "term").select("number", "row", "tf", "length")
+
+    def _read(self, words: DataFrame) -> DataFrame:
         rows = self.entries.filter("term IS NOT NULL")
         if self.buckets is not None:
             wanted = [r[0] for r in words.select(_bucket(self.buckets)).distinct().collect()]
             rows = rows.filter(F.col(POSTING_BUCKET).isin(wanted))
-        return among(rows.select("term", "row", "tf", "length"), words, "term")
+        return rows.select("term", "row", "tf", "length")
 
 
 def statistics(counts: DataFrame) -> tuple[DataFrame, int, int, float]:
@@ -310,6 +327,199 @@ def _scores(lists: DataFrame, plan: DataFrame, k: int, all_others: bool) -> Data
     return _completed(lists, chosen, skipped).select("q", "row", F.col("known").alias("score"))
 
 
+# --- search that reads all postings of the queries' words ------------------------------
+
+_PIECE = "bundle long, number binary, place binary, impact binary"
+
+
+def _cut_postings(postings: DataFrame, mean_length: float) -> DataFrame:
+    """Pieces of bundles where they lie: ``bundle``, and of its postings the word, the place in the bundle and the impact."""
+
+    def pieces(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, row, tf, length = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(4))
+        bundle = row >> BUNDLE_BITS
+        order = np.argsort(bundle, kind="stable")
+        impact = tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * length / mean_length))
+        place = (row & ((1 << BUNDLE_BITS) - 1)).astype(np.int32)
+        cuts = np.append(np.flatnonzero(np.diff(bundle[order], prepend=-1)), len(order))
+        for i, j in zip(cuts.tolist(), cuts[1:].tolist()):
+            own = order[i:j]
+            columns = [pa.array([int(bundle[own[0]])])] + [pa.array([c[own].tobytes()], pa.binary()) for c in (number, place, impact)]
+            yield pa.RecordBatch.from_arrays(columns, ["bundle", "number", "place", "impact"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= HELD_POSTINGS:
+                yield from pieces(held)
+                held, n = [], 0
+        if held:
+            yield from pieces(held)
+
+    return postings.mapInArrow(run, _PIECE)
+
+
+def _whole_bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over pieces sorted by bundle: each bundle with its postings sorted by word."""
+    bundle, held = None, []
+
+    def whole() -> pa.RecordBatch:
+        number, place, impact = (np.frombuffer(b"".join(side), t) for side, t in zip(zip(*held), (np.int64, np.int32, np.float64)))
+        order = np.argsort(number, kind="stable")
+        columns = [pa.array([bundle])] + [pa.array([c[order].tobytes()], pa.binary()) for c in (number, place, impact)]
+        return pa.RecordBatch.from_arrays(columns, ["bundle", "number", "place", "impact"])
+
+    for batch in batches:
+        for at, *sides in zip(*(column.to_pylist() for column in batch.columns)):
+            if at != bundle and held:
+                yield whole()
+                held = []
+            bundle = at
+            held.append(sides)
+    if held:
+        yield whole()
+
+
+def _packed_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over ``q, term, weight`` sorted by q: blocks of whole queries, as q and number of words for each, and all words."""
+    names, held, n = ["q", "words", "term", "weight"], [], 0
+
+    def packed(q: np.ndarray, term: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+        own, words = np.unique(q, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in (own, words, term, weight)], names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([column.to_numpy() for column in batch.columns])
+        n += batch.num_rows
+        if n >= BLOCK_WORDS:
+            q, term, weight = map(np.concatenate, zip(*held))
+            # The last query may go on.
+            cut = np.searchsorted(q, q[-1])
+            if cut:
+                yield packed(q[:cut], term[:cut], weight[:cut])
+            held, n = [[q[cut:], term[cut:], weight[cut:]]], len(q) - cut
+    if n:
+        yield packed(*map(np.concatenate, zip(*held)))
+
+
+class _Best:
+    """The k best rows of each query of a block, and those that equal the last of them."""
+
+    def __init__(self, k: int, n_queries: int):
+        self.k, self.floor = k, np.full(n_queries, -np.inf)
+        self.held: list[tuple] = []
+        self.n, self.limit = 0, max(100_000, 4 * k * n_queries)
+
+    def offer(self, query: int, rows: np.ndarray, scores: np.ndarray, place: np.ndarray) -> None:
+        if len(rows) > self.k:
+            floor = np.partition(place, -self.k)[-self.k]
+            self.floor[query] = max(floor, self.floor[query])
+            good = place >= floor
+            rows, scores, place = rows[good], scores[good], place[good]
+        self.held.append((np.full(len(rows), query), rows, scores, place))
+        self.n += len(rows)
+        if self.n > self.limit:
+            self.prune()
+            self.limit = max(self.limit, 2 * self.n)
+
+    def prune(self) -> tuple:
+        query, rows, scores, place = map(np.concatenate, zip(*self.held))
+        order = np.lexsort((-place, query))
+        query, rows, scores, place = (c[order] for c in (query, rows, scores, place))
+        first = np.flatnonzero(np.diff(query, prepend=-1))
+        length = np.diff(np.append(first, len(query)))
+        many = length >= self.k
+        self.floor[query[first[many]]] = place[first[many] + self.k - 1]
+        good = place >= self.floor[query]
+        self.held, self.n = [tuple(c[good] for c in (query, rows, scores, place))], int(good.sum())
+        return self.held[0]
+
+
+def _sum_up(pairs: DataFrame, k: int, below: bool) -> DataFrame:
+    """``q, row, score``, at least the k best of each query, from pairs of a block of queries and a bundle.
+
+    ``below``: also all rows that score below 0, of a query that has not k above 0 in the task.
+    """
+
+    def out(q: np.ndarray, rows: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(q), pa.array(rows), pa.array(scores)], ["q", "row", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple, tuple[np.ndarray, _Best]] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for numbers, top in best.values():
+                if top.held:
+                    query, rows, scores, _ = top.prune()
+                    for at in range(0, len(query), 65536):
+                        yield out(numbers[query[at : at + 65536]], rows[at : at + 65536], scores[at : at + 65536])
+            best.clear()
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                kinds = (np.int64, np.int64, np.int64, np.float64, None, np.int64, np.int32, np.float64)
+                columns = [c[i].as_py() if t is None else np.frombuffer(c[i].as_buffer(), t) for c, t in zip(batch.columns, kinds)]
+                q, words, term, weight, bundle, number, place, impact = columns
+                key = (int(q[0]), len(q))
+                if key not in best:
+                    best[key] = (q.copy(), _Best(k, len(q)))
+                top = best[key][1]
+                floor, first = top.floor, bundle << BUNDLE_BITS
+                size = int(place.max()) + 1
+                # Where the list of each word of a query begins and ends in the bundle.
+                begin, end = np.searchsorted(number, term), np.searchsorted(number, term, "right")
+                ends = np.cumsum(words)
+                for n, (a, b) in enumerate(zip((ends - words).tolist(), ends.tolist())):
+                    lists = [(x, y, w) for x, y, w in zip(begin[a:b].tolist(), end[a:b].tolist(), weight[a:b].tolist()) if x < y]
+                    if not lists:
+                        continue
+                    rows = np.concatenate([place[x:y] for x, y, _ in lists])
+                    sums = np.bincount(rows, np.concatenate([impact[x:y] * w for x, y, w in lists]), size)
+                    # A row without the words scores 0.
+                    met = np.flatnonzero(sums >= floor[n] - MARGIN) if floor[n] > MARGIN else np.unique(rows).astype(np.int64)
+                    scores = sums[met]
+                    at = np.round(scores, DECIMALS)
+                    if below and floor[n] <= 0:
+                        low = at < 0
+                        if low.any():
+                            yield out(np.full(int(low.sum()), q[n]), met[low] + first, scores[low])
+                        met, scores, at = met[~low], scores[~low], at[~low]
+                    good = at >= floor[n]
+                    if good.any():
+                        top.offer(n, met[good] + first, scores[good], at[good])
+            if sum(top.n for _, top in best.values()) > HELD_HITS:
+                yield from flush()
+        yield from flush()
+
+    columns = ("q", "words", "term", "weight", "bundle", "number", "place", "impact")
+    return pairs.select(*columns).mapInArrow(run, "q long, row long, score double")
+
+
+def _all_scores(index: Bm25Index, numbers: DataFrame, weights: DataFrame, k: int, pad: bool) -> DataFrame:
+    """``q, row, score``: exact scores of all chunks that can be among the k best of their query.
+
+    Every block of queries meets every bundle of chunks.  With ``pad``, also the chunks below 0.
+    """
+    n, n_queries = weights.agg(F.count("*"), F.count_distinct("q")).first()
+    pieces = max(1, -(-n // (10 * BLOCK_WORDS)))
+    dealt = weights.select("q", "term", "weight").repartition(pieces, "q").sortWithinPartitions("q")
+    blocks = materialize(dealt.mapInArrow(_packed_queries, "q binary, words binary, term binary, weight binary"), "bm25-blocks")
+    cut = _cut_postings(index.numbered_postings(numbers), index.mean_length or 1.0)
+    tasks = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bundles = cut.repartition(tasks, "bundle").sortWithinPartitions("bundle").mapInArrow(_whole_bundles, _PIECE)
+    # The stated queries, in blocks, against all chunks.
+    if 16 * (n + n_queries) <= SENT_BYTES:
+        pairs = bundles.crossJoin(F.broadcast(blocks))
+    else:
+        pairs = materialize(bundles, "bm25-bundles").crossJoin(blocks)
+    return _sum_up(pairs, k, pad)
+
+
 def _zero_rows(index: Bm25Index, asked: DataFrame, scored: DataFrame, k: int) -> DataFrame:
     """``q, <id>, score``: the first k chunks by id that score 0, of each query that has fewer than k better ones.
 
@@ -330,7 +540,7 @@ def _zero_rows(index: Bm25Index, asked: DataFrame, scored: DataFrame, k: int) ->
         size *= 4
 
 
-def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool = False) -> DataFrame:
+def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool = False, skip_blocks: bool = False) -> DataFrame:
     """The k best chunks per query: ``query_id, <id>, score, rank``.
 
     A word the query repeats counts repeatedly, an unknown word adds nothing.
@@ -338,6 +548,8 @@ def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool
     in with score 0 (in id order), so that every query gets k rows.  Each row of
     ``queries`` is ranked by itself, also if ids repeat.  Scores are compared at
     9 decimals, so the order of summation cannot decide a rank; equals rank by id.
+    All postings of the queries' words are added up; with ``skip_blocks``, blocks that
+    can't matter are skipped, by joins, which pays where few rare words decide.
     """
     id_col = index.id_col
     asked = materialize(queries.select(F.monotonically_increasing_id().alias("q"), "query_id", _tokens("text").alias("tokens")), "bm25-queries")
@@ -348,9 +560,13 @@ def bm25_topk(index: Bm25Index, queries: DataFrame, k: int = 10, pad_to_k: bool
     known = among(index.dictionary(), numbers, "term").join(sent(numbers), "term").withColumnRenamed("idf", "weight")
     weights = words.join(sent(materialize(known.select("term", "number", "weight"), "bm25-known")), "term")
     weights = weights.select("q", F.col("number").alias("term"), (F.col("times") * F.col("weight")).alias("weight"))
-    lists = _lists(index, numbers)
+    weights = materialize(weights, "bm25-weights")
     # To pad, chunks below 0 must be known as such.
-    scored = _scores(lists, _reading_plan(lists, materialize(weights, "bm25-weights")), k, pad_to_k)
+    if skip_blocks:
+        lists = _lists(index, numbers)
+        scored = _scores(lists, _reading_plan(lists, weights), k, pad_to_k)
+    else:
+        scored = _all_scores(index, numbers, weights, k, pad_to_k)
 
     place = F.round("score", DECIMALS)
     if pad_to_k:

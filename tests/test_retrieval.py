@@ -271,3 +271,18 @@ def test_vector_table_replaces_stale_chunks(spark):
     assert retrieval.upsert_vectors(table, shorter, drop_stale=False)["rows_after"] == 5
     assert retrieval.upsert_vectors(table, shorter)["rows_after"] == 4
     assert sorted(r["chunk_id"] for r in table.read().collect()) == ["c000", "c001", "c002", "c003"]
+
+
+@pytest.mark.parametrize("pad,sent_bytes", [(False, 0), (True, 64 << 20)])
+def test_bm25_in_small_bundles_and_blocks(spark, monkeypatch, pad, sent_bytes):
+    """Bundles of 4 chunks, blocks of a few words, hits handed on early; many equal scores."""
+    for name, value in {"BUNDLE_BITS": 2, "HELD_POSTINGS": 5, "BLOCK_WORDS": 4, "HELD_HITS": 6, "SENT_BYTES": sent_bytes}.items():
+        monkeypatch.setattr(bm25, name, value)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(12)], size=rng.integers(1, 9))) for _ in range(60)] + ["w1 w2"] * 9 + [""]
+    queries = ["w1 w2", "w3", "", "w4 w4 w5 w6", "none", "w1 w7 w8 w9 w10 w11 w0", "w2"]
+    index = bm25.build_index(chunk_frame(spark, texts))
+    for skip_blocks in (False, True):
+        hits = bm25.bm25_topk(index, query_frame(spark, queries), 4, pad_to_k=pad, skip_blocks=skip_blocks)
+        got = sorted((r[0], r[1], round(r[2], 6) + 0.0, r[3]) for r in hits.collect())
+        assert got == sorted(python_bm25(texts, queries, 4, pad))
