@@ -101,6 +101,16 @@ def among(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return rows.join(F.broadcast(right) if right.count() <= MAX_SENT else right, column, "left_semi")
 
 
+# Rows of a task that groups and ranks.
+ROWS_PER_TASK = 500_000
+
+
+def dealt(rows: DataFrame, column: str) -> DataFrame:
+    """Rows dealt by ``column``, in as many tasks as their number needs: grouping and ranking by it then need no further shuffle."""
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_TASK))
+    return rows.repartition(tasks, column)
+
+
 def rank_per_query(df: DataFrame, k: int, order: list[Column], query_id: str = "query_id") -> DataFrame:
     """Number rows 1.. per query and keep the first k."""
     window = Window.partitionBy(query_id).orderBy(*order)

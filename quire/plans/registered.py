@@ -972,7 +972,7 @@ def d4_bm25_postings(spark, folder):
 @registered
 def d5_rank_fusion(spark, folder):
     """Two rankings of the suppliers of each part, fused."""
-    lines = table(spark, folder, "lineitem").groupBy(
+    lines = topk.dealt(table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_quantity"), "l_partkey").groupBy(
         F.col("l_partkey").alias("query_id"), F.col("l_suppkey").alias("chunk_id")
     ).agg(F.sum("l_quantity").alias("q"), F.min("l_quantity").alias("m"))
     first = topk.rank_per_query(lines, 6, [F.desc("q"), F.asc("chunk_id")])

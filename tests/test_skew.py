@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from quire.operators import bm25, contract as ct
+from quire.operators import bm25, contract as ct, topk
 from quire.operators import layers
 from quire.session import scratch_path
 from quire.sources.tables import StoredTable
@@ -82,3 +82,13 @@ def test_a_category_with_nearly_all_rows(spark):
     )
     out = layers.rollup(df, "g", "m", "a", "t", ("n", "total", "mean", "actors", "last"))
     assert {tuple(r) for r in out.collect()} == {("big", 49_990, 224_955, 4.5, 7, 49_989), ("small", 10, 45, 4.5, 7, 49_999)}
+
+
+def test_rows_are_dealt_to_as_many_tasks_as_they_need(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS_PER_TASK", 100)
+    rows = spark.range(0, 5_000, 1, 2).select((F.col("id") % 700).alias("g"), "id")
+    dealt = topk.dealt(rows, "g")
+    assert dealt.rdd.getNumPartitions() == 50 and dealt.count() == 5_000
+    counted = dealt.groupBy("g", "id").agg(F.count("*").alias("n"))
+    plan = topk.rank_per_query(counted, 2, [F.asc("id")], "g")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
