@@ -1,6 +1,6 @@
 """Okapi BM25 over a corpus of chunks, for a whole table of queries.
 
-The index is a table of postings, sorted by word in every file.  A search reads the
+The index is a table of postings, sorted by word batch by batch, and in every file when laid out by it.  A search reads the
 postings of the queries' words and no texts.  Postings are packed into bundles of chunks,
 queries into blocks, and every block meets every bundle in a task, which adds up one query
 after the other and keeps its k best.
@@ -62,7 +62,7 @@ def _tokens(text_col: str) -> Column:
 def entries_of(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
     """``term, row, tf, length``, one for each distinct word of a chunk, and one without a term that holds its id.
 
-    Counted batch by batch where the chunks lie, without a shuffle.  ``row`` numbers
+    Counted batch by batch where the chunks lie, without a shuffle, and sorted by word in each batch.  ``row`` numbers
     the chunks, unless given.
     """
     schema = T.StructType(
@@ -85,12 +85,16 @@ def entries_of(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "tex
                 [none.cast(pa.string()), rows, none.cast(pa.int32()), pa.array(lengths), ids], schema=arrow_schema
             )
             words = tokens.flatten().cast(pa.string()).dictionary_encode()
-            n_words = max(1, len(words.dictionary))
+            # Sorted by word here, so that no task has to sort all it has.
+            order = pc.sort_indices(words.dictionary).to_numpy()
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            n_rows = max(1, len(rows))
             owner = np.repeat(np.arange(len(rows), dtype=np.int64), lengths)
-            entry, tf = np.unique(owner * n_words + words.indices.to_numpy(), return_counts=True)
-            owner = entry // n_words
+            entry, tf = np.unique(place[words.indices.to_numpy()] * n_rows + owner, return_counts=True)
+            owner = entry % n_rows
             columns = [
-                words.dictionary.take(pa.array(entry % n_words)),
+                words.dictionary.take(pa.array(order)).take(pa.array(entry // n_rows)),
                 rows.take(pa.array(owner)),
                 pa.array(tf.astype(np.int32)),
                 pa.array(lengths[owner]),
@@ -181,7 +185,7 @@ def count_terms(chunks: DataFrame, text_col: str = "text") -> TermStatistics:
 
 def build_index(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> Bm25Index:
     """Tokenize and count once, store the postings, take three numbers to the driver."""
-    entries = materialize(entries_of(chunks, id_col, text_col).sortWithinPartitions("term", "row"), "bm25-entries")
+    entries = materialize(entries_of(chunks, id_col, text_col), "bm25-entries")
     return Bm25Index(*statistics(materialize(term_counts(entries), "bm25-terms")), entries, id_col)
 
 

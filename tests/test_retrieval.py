@@ -305,3 +305,11 @@ def test_compressed_search_with_all_rows_as_candidates_lists_none(spark, monkeyp
         hits = dense.compressed_topk(vectors, codes, asked, centres, books, n_probe=3, k=5, candidates=candidates).collect()
         assert ("candidates" in stored) == listed
         assert sorted((r[0], r[1], round(r[2], 6), r[3]) for r in hits) == exact or listed
+
+
+def test_entries_come_sorted_by_word(spark):
+    texts = spark.createDataFrame([(f"c{i}", t) for i, t in enumerate(["b a b", "", "a c", "é B"])], "chunk_id string, text string").coalesce(1)
+    found = [(r[0], r[1], r[2], r[3]) for r in bm25.entries_of(texts).collect()]
+    assert [r[4] for r in bm25.entries_of(texts).filter("term IS NULL").collect()] == ["c0", "c1", "c2", "c3"]
+    assert found[4:] == [("a", 0, 1, 3), ("a", 2, 1, 2), ("b", 0, 2, 3), ("b", 3, 1, 2), ("c", 2, 1, 2), ("é", 3, 1, 2)]
+    assert "Sort" not in bm25.entries_of(texts)._jdf.queryExecution().executedPlan().toString()
