@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -33,11 +34,11 @@ BLOCK = 1 << BLOCK_BITS
 # A bitmap of fewer documents than this is a list of two-byte numbers, which is then shorter.
 DENSE_FROM = BLOCK // 16
 # Bytes of text that a task cuts at once, and (pair, document) entries that it holds before it writes a block's postings.
-SLICE_BYTES, MAX_ENTRIES = 4_000_000, 8_000_000
+SLICE_BYTES, MAX_ENTRIES = 1_000_000, 2_000_000
 # Longer texts go to the library that reads the vocabulary's own format: slower, but at home with endless words.
 LONG_TEXT = 100_000
 # Words whose ids a task keeps, and how long they are at most; a space that no word follows.
-MAX_KNOWN, MAX_WORD, WORDS_AT_ONCE = 400_000, 200, 400
+MAX_KNOWN, MAX_WORD, WORDS_AT_ONCE = 300_000, 200, 400
 LOOSE_SPACE = re.compile(r" (?=\s|$)")
 # The fixed split of byte-level BPE into words.
 BYTE_LEVEL_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -242,9 +243,9 @@ def _index_task(load: Callable[[], tuple], schema: pa.Schema):
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        size = np.cumsum([len(t) if t is not None else 0 for t in batch.column(2).to_pylist()]) if batch.num_rows else []
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         begin, done = 0, 0
-        for i, upto in enumerate(size):
+        for i, upto in enumerate(size.tolist()):
             if upto - done >= SLICE_BYTES:
                 yield batch.slice(begin, i + 1 - begin)
                 begin, done = i + 1, upto
@@ -384,7 +385,8 @@ def align_tokenizers(
     included.  See ``pair_index`` for NULLs, empty texts, repeated rows and empty tables.
     """
     index = pair_index(docs, id_col, text_col, byte_bpe, piece_bpe)
-    scored = index.postings.join(pair_scores(index), ["a", "b"]).select("block", "links", "best", "planes")
+    # Not by sending the scores while they are few: what is shuffled then grows with the input.
+    scored = index.postings.join(pair_scores(index).hint("merge"), ["a", "b"]).select("block", "links", "best", "planes")
     sums = scored.repartition("block").sortWithinPartitions("block").mapInArrow(_sum_blocks, "d long, n_best long, count_sum long")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return index.documents.join(sums.groupBy("d").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum")), "d", "left").select(

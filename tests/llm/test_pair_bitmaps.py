@@ -1,8 +1,11 @@
 import hashlib
+import random
+import tracemalloc
 from collections import Counter
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quire.llm import pair_bitmaps as pb
@@ -136,3 +139,22 @@ def test_fast_encoder_is_the_files_own():
     for at in range(0, len(points), 256):
         text = "".join(f" a{chr(c)}a1{chr(c)} {chr(c) * 2}" for c in points[at : at + 256])
         assert tok.ids_a(text) == tok.exact.encode(text, add_special_tokens=False).ids
+
+
+def test_memory_of_a_task_is_bounded(monkeypatch):
+    """4.6 MB of texts in one batch took 699 MB, with slices of 4 MB."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(2400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2400)), pa.array(range(2400)), pa.array(texts)], ["d", "doc_id", "text"])
+    numbers = [(c, pa.int64()) for c in ("d", "doc_id", "n_a", "n_b", "n_groups", "n_links", "block")]
+    names = [("part", pa.string()), ("groups_sha256", pa.string()), ("a", pa.int32()), ("b", pa.int32())]
+    schema = pa.schema([*numbers, *names, ("planes", pa.list_(pa.binary()))])
+    with open(pb.BYTE_BPE, encoding="utf-8") as file_a, open(pb.PIECE_BPE, "rb") as file_b:
+        tok = pb.Tokenizers(file_a.read(), file_b.read())
+    monkeypatch.setattr(pb, "Tokenizers", lambda *_: tok)
+    tracemalloc.start()
+    assert sum(out.num_rows for out in pb._index_task(lambda: (), schema)(iter([batch]))) > 2400
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 350 * 1024 * 1024
