@@ -7,7 +7,9 @@ is handled on.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quire import fixed_values as fixed
@@ -73,6 +75,39 @@ def tokens(text: Column) -> Column:
     return words(F.lower(text))
 
 
+# Bytes that are white space, and the first bytes of other white space in UTF-8.
+_BLANK = np.isin(np.arange(256), [ord(c) for c in WHITESPACE if ord(c) < 0x80])
+_WIDE = [np.frombuffer(c.encode(), np.uint8) for c in WHITESPACE if ord(c) >= 0x80]
+_LEADS = np.isin(np.arange(256), [c[0] for c in _WIDE])
+
+
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words`` of many texts (no NULLs) in a task: those of all texts one after another, and how many each text has."""
+    texts = texts.cast(pa.string())
+    _, offsets, data = texts.buffers()
+    if not len(texts) or data is None:
+        return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
+    cuts = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]]
+    cuts = cuts - cuts[0]
+    word = ~_BLANK[data]
+    leads = np.flatnonzero(_LEADS[data])
+    if len(leads):
+        after = np.append(data, np.zeros(2, np.uint8))
+        for char in _WIDE:
+            same = np.logical_and.reduce([after[leads + i] == byte for i, byte in enumerate(char)])
+            for i in range(len(char)):
+                word[leads[same] + i] = False
+    # A word ends before a blank and at the end of its text.
+    edge = np.zeros(len(data) + 1, bool)
+    edge[cuts] = True
+    begin = np.flatnonzero(word & (edge[:-1] | ~np.append(False, word[:-1])))
+    end = np.flatnonzero(word & (edge[1:] | ~np.append(word[1:], False)))
+    to = np.append(0, np.cumsum(end + 1 - begin)).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(begin), pa.py_buffer(to), pa.py_buffer(data[word]))
+    return found, np.diff(np.searchsorted(begin, cuts))
+
+
 def sentences(text: Column) -> Column:
     """Split after ``.``, ``!`` or ``?`` where white space follows."""
     return F.array_remove(F.split(strip(text), r"(?<=[.!?])" + SPACES), "")

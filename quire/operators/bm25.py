@@ -30,6 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from quire.fixed_values import BM25_B, BM25_EPSILON, BM25_K1
 from quire.functions import text as tx
+from quire.functions.text import words_in
 from quire.operators.topk import DECIMALS, among, sent
 from quire.session import materialize
 
@@ -51,6 +52,8 @@ MARGIN = 1e-6
 BUNDLE_BITS, HELD_POSTINGS, BLOCK_WORDS = 14, 500_000, 100_000
 # Blocks of queries up to this size are sent to all tasks; larger tables are read by the tasks that need them.
 SENT_BYTES = 64 * 1024 * 1024
+# Bytes of chunks whose words a task counts at once.
+COUNTED_BYTES = 8_000_000
 # Hits (query, row) that a task holds before it hands on what it has.
 HELD_HITS = 2_000_000
 
@@ -76,15 +79,22 @@ def entries_of(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "tex
     )
     arrow_schema = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, ids, tokens = batch.columns
-            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False).astype(np.int32)
+            step = max(1, batch.num_rows * COUNTED_BYTES // max(1, batch.nbytes))
+            for begin in range(0, batch.num_rows, step):
+                yield batch.slice(begin, step)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches):
+            rows, ids, texts = batch.columns
+            words, lengths = words_in(texts)
+            lengths = lengths.astype(np.int32)
             none = pa.nulls(len(rows))
             yield pa.RecordBatch.from_arrays(
                 [none.cast(pa.string()), rows, none.cast(pa.int32()), pa.array(lengths), ids], schema=arrow_schema
             )
-            words = tokens.flatten().cast(pa.string()).dictionary_encode()
+            words = words.dictionary_encode()
             # Sorted by word here, so that no task has to sort all it has.
             order = pc.sort_indices(words.dictionary).to_numpy()
             place = np.empty(len(order), np.int64)
@@ -102,7 +112,8 @@ def entries_of(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "tex
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
-    numbered = chunks.select((F.monotonically_increasing_id() if row is None else row).alias("row"), id_col, _tokens(text_col).alias("tokens"))
+    number = F.monotonically_increasing_id() if row is None else row
+    numbered = chunks.select(number.alias("row"), id_col, F.coalesce(F.lower(text_col), F.lit("")).alias("text"))
     return numbered.mapInArrow(run, schema)
 
 

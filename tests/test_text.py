@@ -1,7 +1,9 @@
+import random
 import re
 import sys
 import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
@@ -95,3 +97,13 @@ def test_chunks_agree_with_python(spark, sf):
     )
     got = sorted((r[0], r[1]) for r in chunk_documents(docs, carried=("lang",)).select("chunk_id", "text").collect())
     assert got == sorted(c for r in docs.collect() for c in python_chunks(r[0], r[1]))
+
+
+def test_words_in_a_task_are_the_words_of_a_column(spark):
+    pieces = ["aB.", "Z9", "éΣ", "İß", "漢", "\U0001f600", "​", "‐", "\x00", *tx.WHITESPACE]
+    rng = random.Random(1)
+    texts = ["".join(rng.choices(pieces, k=rng.choice([0, 1, 3, 30]))) for _ in range(400)]
+    found, counts = tx.words_in(pa.array(["x y", *texts, "z"]).slice(1, len(texts)))
+    expected = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(tx.words(F.col("t"))).collect()]
+    assert counts.tolist() == [len(words) for words in expected]
+    assert found.to_pylist() == [w for words in expected for w in words] == [w for t in texts for w in t.split()]
