@@ -12,6 +12,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # What a Python worker takes at once: wide rows come in smaller batches.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # HotSpot never compiles methods above this size; let Spark split instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

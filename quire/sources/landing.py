@@ -17,7 +17,7 @@ from quire.functions import text as tx
 INVENTORY_SCHEMA = "path string, file_name string, file_size_bytes long"
 
 # Text of one output batch, in characters, before it is handed to Spark.
-BATCH_CHARS = 32 * 1024 * 1024
+BATCH_CHARS = 8 * 1024 * 1024
 
 
 def _is_uri(path: str) -> bool:

@@ -2,6 +2,7 @@ import io
 import os
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,13 @@ def test_manifest(spark):
 def test_kafka_options_reach_the_reader(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         topics.stream_topic_kafka(spark, "nowhere:9092", "raw").isStreaming
+
+
+def test_a_worker_takes_wide_rows_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    wide = spark.range(0, 2_000, 1, 1).select(F.repeat(F.lit("x"), F.lit(20_000)).alias("text"))
+    found = [r[0] for r in wide.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 40_000_000 and max(found) <= 9_000_000
