@@ -19,7 +19,7 @@ These steps are joins and sums over all queries at once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,12 +56,21 @@ SENT_BYTES = 64 * 1024 * 1024
 COUNTED_BYTES = 8_000_000
 # Hits (query, row) that a task holds before it hands on what it has.
 HELD_HITS = 2_000_000
+# Postings that a task holds before it packs them by word.
+PACKED_POSTINGS = 1_000_000
 
 
 def _tokens(text_col: str) -> Column:
     return F.coalesce(tx.tokens(F.col(text_col)), F.array().cast("array<string>"))
 
 
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        step = max(1, batch.num_rows * COUNTED_BYTES // max(1, batch.nbytes))
+        for begin in range(0, batch.num_rows, step):
+            yield batch.slice(begin, step)
+
+
 def entries_of(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
     """``term, row, tf, length``, one for each distinct word of a chunk, and one without a term that holds its id.
 
@@ -79,14 +88,8 @@ def entries_of(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "tex
     )
     arrow_schema = to_arrow_schema(schema)
 
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            step = max(1, batch.num_rows * COUNTED_BYTES // max(1, batch.nbytes))
-            for begin in range(0, batch.num_rows, step):
-                yield batch.slice(begin, step)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches):
+        for batch in _bounded(batches):
             rows, ids, texts = batch.columns
             words, lengths = words_in(texts)
             lengths = lengths.astype(np.int32)
@@ -117,6 +120,77 @@ def entries_of(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "tex
     return numbered.mapInArrow(run, schema)
 
 
+PACKED = T.StructType(
+    [
+        T.StructField("term", T.StringType()), T.StructField("rows", T.ArrayType(T.LongType())),
+        T.StructField("tfs", T.ArrayType(T.IntegerType())), T.StructField("lengths", T.ArrayType(T.IntegerType())),
+    ]
+)
+
+
+def packed_entries_of(chunks: DataFrame, text_col: str = "text", row_col: str = "row") -> DataFrame:
+    """``term, rows, tfs, lengths``: the entries of ``entries_of``, many of a word in a row, and no ids.
+
+    Counted where the chunks lie, without a shuffle or a sort of all a task has; a word has a row for each
+    PACKED_POSTINGS of a task at most.  The row without a term holds the chunks themselves.
+    """
+    arrow_schema = to_arrow_schema(PACKED)
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        # Each batch has numbered its words for itself; here they get their places in the order of all.
+        words = pa.concat_arrays([h[0] for h in held]).dictionary_encode()
+        order = pc.sort_indices(words.dictionary).to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        of_word = place[words.indices.to_numpy()]
+        begins = np.cumsum([0, *[len(h[0]) for h in held[:-1]]])
+        number = np.concatenate([of_word[begin + h[1]] for begin, h in zip(begins, held)])
+        by_word = np.argsort(number, kind="stable")
+        cuts = np.searchsorted(number[by_word], np.arange(len(order) + 1)).astype(np.int32)
+        lists = [np.concatenate(c)[by_word] for c in list(zip(*held))[2:]]
+        return made(words.dictionary.take(pa.array(order)), cuts, *lists)
+
+    def made(terms: pa.Array, cuts: np.ndarray, *lists: np.ndarray) -> pa.RecordBatch:
+        arrays = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(c)) for c in lists]
+        return pa.RecordBatch.from_arrays([terms, *(a.cast(f.type) for a, f in zip(arrays, list(arrow_schema)[1:]))], schema=arrow_schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in _bounded(batches):
+            rows, texts = batch.column(0).to_numpy(), batch.column(1)
+            words, lengths = words_in(texts)
+            lengths = lengths.astype(np.int32)
+            if not len(rows):
+                continue
+            yield made(pa.nulls(1, pa.string()), np.array([0, len(rows)], np.int32), rows, np.zeros(len(rows), np.int32), lengths)
+            words = words.dictionary_encode()
+            owner = np.repeat(np.arange(len(rows), dtype=np.int64), lengths)
+            entry, tf = np.unique(words.indices.to_numpy() * np.int64(len(rows)) + owner, return_counts=True)
+            word, owner = np.divmod(entry, len(rows))
+            held.append((words.dictionary, word, rows[owner], tf.astype(np.int32), lengths[owner]))
+            n += len(entry)
+            if n >= PACKED_POSTINGS:
+                yield packed(held)
+                held, n = [], 0
+        if n:
+            yield packed(held)
+
+    return chunks.select(F.col(row_col).alias("row"), F.coalesce(F.lower(text_col), F.lit("")).alias("text")).mapInArrow(run, PACKED)
+
+
+def unpacked(entries: DataFrame) -> DataFrame:
+    """``row, tf, length`` of packed entries, beside what other columns they have."""
+    others = [c for c in entries.columns if c not in ("rows", "tfs", "lengths")]
+    lists = F.arrays_zip(F.col("rows").alias("row"), F.col("tfs").alias("tf"), F.col("lengths").alias("length"))
+    return entries.select(*others, F.inline(lists))
+
+
+def packed_counts(entries: DataFrame) -> DataFrame:
+    """``term, df, total_length`` of packed entries, not yet summed over the rows of a word."""
+    length = F.aggregate("lengths", F.lit(0).cast("long"), lambda total, n: total + n)
+    return entries.select("term", F.size("rows").cast("long").alias("df"), F.when(F.col("term").isNull(), length).alias("total_length"))
+
+
 def term_counts(entries: DataFrame) -> DataFrame:
     """Chunks per term; the row without a term holds the corpus totals.  Combined map-side, so a frequent term stays cheap."""
     return entries.groupBy("term").agg(
@@ -150,32 +224,42 @@ class TermStatistics:
 
 @dataclass(frozen=True)
 class Bm25Index(TermStatistics):
-    """``entries`` as ``entries_of`` makes them, stored; ``buckets`` of terms if they are laid out by term."""
+    """``entries`` as ``entries_of`` makes them, stored; ``buckets`` of terms if they are laid out by term.
+
+    Packed entries come with ``unpack``, which gives ``row, tf, length`` of the chosen ones, and ``named``: ``row, <id>``.
+    """
 
     entries: DataFrame
     id_col: str = "chunk_id"
     buckets: int | None = None
+    unpack: Callable[[DataFrame], DataFrame] | None = None
+    named: DataFrame | None = None
 
     @property
     def documents(self) -> DataFrame:
+        if self.named is not None:
+            return self.named
         none = F.col("term").isNull()
         rows = self.entries.filter(none if self.buckets is None else none & (F.col(POSTING_BUCKET) == -1))
         return rows.select("row", self.id_col)
 
     def postings(self, words: DataFrame) -> DataFrame:
         """``term, row, tf, length`` of the words in a stored table; of laid out postings only their buckets are read."""
-        return among(self._read(words), words, "term")
+        return self._unpacked(among(self._read(words), words, "term")).select("term", "row", "tf", "length")
 
     def numbered_postings(self, numbers: DataFrame) -> DataFrame:
         """``number, row, tf, length`` of the words in a stored table of ``term, number``."""
-        return self._read(numbers).join(sent(numbers), "term").select("number", "row", "tf", "length")
+        return self._unpacked(self._read(numbers).join(sent(numbers), "term")).select("number", "row", "tf", "length")
+
+    def _unpacked(self, entries: DataFrame) -> DataFrame:
+        return entries if self.unpack is None else self.unpack(entries)
 
     def _read(self, words: DataFrame) -> DataFrame:
         rows = self.entries.filter("term IS NOT NULL")
         if self.buckets is not None:
-            wanted = [r[0] for r in words.select(_bucket(self.buckets)).distinct().collect()]
+            wanted = [r[0] for r in words.select(term_bucket(self.buckets)).distinct().collect()]
             rows = rows.filter(F.col(POSTING_BUCKET).isin(wanted))
-        return rows.select("term", "row", "tf", "length")
+        return rows.select("term", "row", "tf", "length") if self.unpack is None else rows.drop(POSTING_BUCKET)
 
 
 def statistics(counts: DataFrame) -> tuple[DataFrame, int, int, float]:
@@ -200,7 +284,7 @@ def build_index(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "te
     return Bm25Index(*statistics(materialize(term_counts(entries), "bm25-terms")), entries, id_col)
 
 
-def _bucket(buckets: int) -> Column:
+def term_bucket(buckets: int) -> Column:
     return F.coalesce(F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"), F.lit(-1))
 
 

@@ -997,7 +997,7 @@ def d6_hybrid_all_cells(spark, folder):
 @registered
 def d6_refreshed_index(spark, folder):
     """A stored index, refreshed: English documents get another text, French ones are emptied, German ones come in."""
-    silver = _silver(spark, folder)
+    silver = materialize(_silver(spark, folder), "silver", compression="zstd")
     changed = F.when(F.col("category") == "en", F.concat(F.lit("An earlier wording. "), "clean_text")).otherwise(F.col("clean_text"))
     store = search_store.SearchStore(spark, scratch_path(spark, "search"), buckets=8)
     earlier = silver.filter("category <> 'de'").withColumn("clean_text", changed)

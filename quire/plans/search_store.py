@@ -1,18 +1,20 @@
 """A search index that stays: kept in a folder, opened by any session, refreshed file by file.
 
 Everything is written once and never changed.  A refresh is a new generation: the chunks
-and postings of the touched files, the numbers of the chunks they replace, and signed
-changes of the term counts.  What holds is the sum of all generations up to the last one
-that is complete; the row of its totals, written last, makes it so.  A refresh that fails
-leaves files that nobody reads and that the next one overwrites.  ``compact`` writes the
-sum as one generation.
+and postings of the touched files, a bitmap of the chunks they replace, and the term
+counts that hold from then on.  Chunks and postings are written where they are made,
+without a shuffle: a task adds a file to each bucket it has rows of, and ``compact``
+gathers them.  What holds is the sum of all generations up to the last one that is
+complete; the row of its totals, written last, makes it so.  A refresh that fails leaves
+files that nobody reads and that the next one overwrites.  ``compact`` writes the sum as
+one generation.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from quire.operators import bm25, dense
 from quire.operators.topk import among, sent
@@ -22,9 +24,36 @@ from quire.sources.tables import path_exists
 
 FILE_BUCKET = "file_bucket"
 COLUMNS = ("chunk_id", "text", "file_name", "category", "document_id")
+# Bitmaps of rows (4 KB for 32,768 of them) up to this many bytes are sent to all tasks.
+SENT_BYTES = 64 * 1024 * 1024
+BITMAP_BYTES = 4096
+BITMAPS = "block bigint, bits binary"
 TOTALS = "first_generation int, next_row bigint, n_docs bigint, total_length bigint, mean_idf double"
 
 
+def _bitmaps(rows: DataFrame, *by: str) -> DataFrame:
+    """``block, bits``: the numbers in the column ``row`` as bitmaps, for each value of ``by``."""
+    blocks = rows.groupBy(*by, F.bitmap_bucket_number("row").alias("block"))
+    return blocks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits"))
+
+
+def _picked(rows: DataFrame, bitmaps: DataFrame, inside: bool) -> DataFrame:
+    """The rows whose number is in the bitmaps (of each block one), or is not; they are not shuffled while the bitmaps are small."""
+    if bitmaps.count() * BITMAP_BYTES <= SENT_BYTES:
+        bitmaps = F.broadcast(bitmaps)
+    place = F.bitmap_bit_position("row")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, (place % 8).cast("int"))
+    with_bits = rows.withColumn("block", F.bitmap_bucket_number("row")).join(bitmaps, "block", "inner" if inside else "left")
+    return with_bits.filter(F.coalesce(bit, F.lit(0)) == int(inside)).drop("block", "bits")
+
+
+def _fingerprint() -> Column:
+    """128 bits of all columns of a chunk, NULLs told apart."""
+    parts = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in COLUMNS]
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
 @dataclass(frozen=True)
 class SearchStore:
     """The index at ``path``; ``buckets`` of files and of terms are fixed when it is built.
@@ -62,32 +91,33 @@ class SearchStore:
                     *[field(c, text) for c in COLUMNS], field("embedding", T.ArrayType(T.FloatType())), field("row", number),
                     field(FILE_BUCKET, whole),
                 ],
-                "entries": [
-                    field("term", text), field("row", number), field("tf", whole), field("length", whole),
-                    field("chunk_id", text), field(bm25.POSTING_BUCKET, whole),
-                ],
+                "postings": [*bm25.PACKED, field(bm25.POSTING_BUCKET, whole)],
                 "terms": [field("term", text), field("df", number), field("total_length", number)],
-                "removed": [field("row", number)],
+                "removed": [*T.StructType.fromDDL(BITMAPS)],
             }[table]
         )
 
-    def _live(self, rows: DataFrame, totals: dict) -> DataFrame:
-        """Without the rows that later generations have replaced."""
+    def _removed(self, totals: dict) -> DataFrame:
+        """Bitmaps of the rows that later generations have replaced, stored."""
         removed = self._read("removed", self._schema("removed"), totals)
-        return rows.join(sent(removed), "row", "left_anti")
+        return materialize(removed.groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits")), "removed-rows")
 
     def chunks(self, files: DataFrame | None = None) -> DataFrame:
         """All chunks that hold; with ``files`` (a stored table of ``file_name``) those of these files, read from their buckets."""
         totals = self._complete()
         rows = self._read("chunks", self._schema("chunks"), totals)
         if files is not None:
-            touched = [r[0] for r in files.select(self._file_bucket()).distinct().collect()]  # at most ``buckets`` numbers
-            rows = among(rows.filter(F.col(FILE_BUCKET).isin(touched)), files, "file_name")
-        return self._live(rows, totals).select(*COLUMNS, "embedding", "row")
+            rows = among(self._touched(rows, files), files, "file_name")
+        return _picked(rows, self._removed(totals), False).select(*COLUMNS, "embedding", "row")
+
+    def _touched(self, rows: DataFrame, files: DataFrame) -> DataFrame:
+        """The rows in the buckets of the files."""
+        touched = [r[0] for r in files.select(self._file_bucket()).distinct().collect()]  # at most ``buckets`` numbers
+        return rows.filter(F.col(FILE_BUCKET).isin(touched))
 
-    def _counts(self, totals: dict) -> DataFrame:
-        summed = self._read("terms", self._schema("terms"), totals).groupBy("term")
-        return summed.agg(F.sum("df").alias("df"), F.sum("total_length").alias("total_length")).filter("df <> 0")
+    def _counts(self, generation: int) -> DataFrame:
+        """``term, df, total_length`` as they are with the generation."""
+        return self._read("terms", self._schema("terms"), {"first_generation": generation, "generation": generation})
 
     def _complete(self) -> dict:
         totals = self.totals()
@@ -98,10 +128,15 @@ class SearchStore:
     def open(self) -> SearchIndex:
         """The index as it is now; later refreshes don't change what an opened index returns."""
         totals = self._complete()
-        entries = self._live(self._read("entries", self._schema("entries"), totals), totals)
+        entries = self._read("postings", self._schema("postings"), totals)
+        removed = self._removed(totals)
         sums = (totals["n_docs"], totals["total_length"], totals["mean_idf"])
-        words = bm25.Bm25Index(self._counts(totals), *sums, entries, "chunk_id", self.buckets)
-        return SearchIndex(self.chunks().drop("row"), words)
+        chunks = _picked(self._read("chunks", self._schema("chunks"), totals), removed, False)
+        words = bm25.Bm25Index(
+            self._counts(totals["generation"]), *sums, entries, "chunk_id", self.buckets,
+            unpack=lambda chosen: _picked(bm25.unpacked(chosen), removed, False), named=chunks.select("row", "chunk_id"),
+        )
+        return SearchIndex(chunks.select(*COLUMNS, "embedding"), words)
 
     # -- writing --
 
@@ -109,31 +144,38 @@ class SearchStore:
         return F.pmod(F.xxhash64("file_name"), F.lit(self.buckets)).cast("int")
 
     def _write(self, df: DataFrame, table: str, generation: int, *by: str) -> None:
-        """Replace what an earlier try left in the generation's folder."""
+        """Replace what an earlier try left in the generation's folder; rows go to their folders as they come, unsorted."""
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/{table}/generation={generation}")
+        writer = writer.option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
+        setting = "spark.sql.maxConcurrentOutputFileWriters"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, str(max(int(before), self.buckets + 1)))
+        try:
+            (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/{table}/generation={generation}")
+        finally:
+            self.spark.conf.set(setting, before)
 
     def _write_generation(
         self, number: int, first: int, first_row: int, chunks: DataFrame, removed: DataFrame, lost: DataFrame | None, keep_rows: bool = False
     ) -> None:
-        """``chunks`` come in, the rows ``removed`` go, with the term counts ``lost``."""
+        """``chunks`` come in, the rows of the bitmaps ``removed`` go, with the term counts ``lost``; with ``keep_rows`` files are gathered."""
         if not keep_rows:
             chunks = chunks.withColumn("row", F.monotonically_increasing_id() + first_row)
         placed = chunks.select(*COLUMNS, "embedding", "row").withColumn(FILE_BUCKET, self._file_bucket())
-        self._write(placed.hint("rebalance", F.col(FILE_BUCKET)), "chunks", number, FILE_BUCKET)
-        self._write(removed.select("row"), "removed", number)
+        self._write(placed.hint("rebalance", F.col(FILE_BUCKET)) if keep_rows else placed, "chunks", number, FILE_BUCKET)
+        self._write(removed.select("block", "bits"), "removed", number)
         own = {"first_generation": number, "generation": number}
         stored = self._read("chunks", self._schema("chunks"), own)
-        entries = bm25.entries_of(stored, "chunk_id", row=F.col("row"))
-        self._write(bm25.laid_out(entries, self.buckets), "entries", number, bm25.POSTING_BUCKET)
-        gained = bm25.term_counts(self._read("entries", self._schema("entries"), own)).select("term", "df", "total_length")
+        entries = bm25.packed_entries_of(stored).withColumn(bm25.POSTING_BUCKET, bm25.term_bucket(self.buckets))
+        self._write(entries.hint("rebalance", F.col(bm25.POSTING_BUCKET)) if keep_rows else entries, "postings", number, bm25.POSTING_BUCKET)
+        counts = bm25.packed_counts(self._read("postings", self._schema("postings"), own))
         if lost is not None:
-            minus = lost.select("term", (-F.col("df")).alias("df"), (-F.col("total_length")).alias("total_length"))
-            gained = gained.unionByName(minus)
-        changes = gained.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total_length").alias("total_length"))
-        self._write(changes.filter("df <> 0 OR total_length <> 0"), "terms", number)
-
-        counts = self._counts({"first_generation": first, "generation": number})
+            counts = counts.unionByName(lost.select("term", (-F.col("df")).alias("df"), (-F.col("total_length")).alias("total_length")))
+        if first < number:
+            counts = counts.unionByName(self._counts(number - 1))
+        counts = counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total_length").alias("total_length"))
+        self._write(counts.filter("df <> 0"), "terms", number)
+        counts = self._counts(number)
         _, n_docs, total_length, mean_idf = bm25.statistics(counts)
         last_row = stored.agg(F.max("row")).first()[0]
         next_row = first_row if last_row is None else max(first_row, last_row + 1)
@@ -145,7 +187,7 @@ class SearchStore:
         before = self.totals()
         number, first_row = (before["generation"] + 1, before["next_row"]) if before else (1, 0)
         embedded = dense.embed(chunks.select(*COLUMNS), "text", self.encoder)
-        self._write_generation(number, number, first_row, embedded, self.spark.createDataFrame([], "row long"), None)
+        self._write_generation(number, number, first_row, embedded, self.spark.createDataFrame([], BITMAPS), None)
 
     def refresh(self, chunks: DataFrame, files: DataFrame) -> dict:
         """Replace all chunks of ``files`` by ``chunks``; a file without chunks, an emptied document, is left with none.
@@ -155,31 +197,33 @@ class SearchStore:
         """
         totals = self._complete()
         files = materialize(files.select("file_name").distinct(), "touched-files")
-        new = materialize(chunks.select(*COLUMNS), "new-chunks")
-        strangers = new.join(sent(files), "file_name", "left_anti")
+        new = materialize(chunks.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "new-chunks", compression="zstd")
+        strangers = new.select("file_name").distinct().join(sent(files), "file_name", "left_anti")
         if not strangers.isEmpty():
             raise ValueError("chunks of files that are not among the refreshed ones")
-        old = materialize(self.chunks(files).drop("embedding"), "old-chunks")
-        # Equal in all columns; the n-th of equal ones stays the n-th.
-        number = lambda df: df.withColumn("same", F.xxhash64(*COLUMNS))
-        alike = F.lit(True)
-        for c in COLUMNS:
-            alike = alike & F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
-        pair = (F.col("o.same") == F.col("n.same")) & alike
-        gone = materialize(number(old).alias("o").join(number(new).alias("n"), pair, "left_anti"), "gone-chunks")
-        come = materialize(number(new).alias("n").join(number(old).alias("o"), pair, "left_anti"), "come-chunks")
-        n_gone, n_come, n_old = gone.count(), come.count(), old.count()
+        # Compared by fingerprints and row numbers, so that no text is shuffled.
+        stored = self._touched(self._read("chunks", self._schema("chunks"), totals), files)
+        old = among(stored.select("file_name", "row", _fingerprint().alias("same")), files, "file_name")
+        old = _picked(old, self._removed(totals), False).select("same", "row", F.lit(0).alias("side"))
+        both = old.unionByName(new.select(_fingerprint().alias("same"), "row", F.lit(1).alias("side")))
+        # Of equal chunks as many stay as there are on both sides.
+        alike, nth = Window.partitionBy("same"), Window.partitionBy("same", "side").orderBy("row")
+        both = both.withColumn("stay", F.least(F.sum(1 - F.col("side")).over(alike), F.sum("side").over(alike)))
+        other = both.withColumn("nth", F.row_number().over(nth)).filter("nth > stay")
+        bitmaps = materialize(_bitmaps(other, "side"), "changed-chunks")
+        gone, come = (bitmaps.filter(F.col("side") == side).select("block", "bits") for side in (0, 1))
+        n_gone, n_come = (b.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0))).first()[0] for b in (gone, come))
         if n_gone or n_come:
-            lost = bm25.term_counts(bm25.entries_of(gone, "chunk_id", row=F.col("row")))
-            embedded = dense.embed(come.select(*COLUMNS), "text", self.encoder)
+            lost = bm25.packed_counts(bm25.packed_entries_of(_picked(stored, gone, True)))
+            embedded = dense.embed(_picked(new, come, True).select(*COLUMNS), "text", self.encoder)
             self._write_generation(
                 totals["generation"] + 1, totals["first_generation"], totals["next_row"], embedded, gone, lost
             )
-        return {"removed": n_gone, "added": n_come, "kept": n_old - n_gone}
+        return {"removed": n_gone, "added": n_come, "kept": new.count() - n_come}
 
     def compact(self) -> None:
         """Write what holds as one generation, without the replaced chunks; nothing is embedded again."""
         totals = self._complete()
         number = totals["generation"] + 1
-        none = self.spark.createDataFrame([], "row long")
+        none = self.spark.createDataFrame([], BITMAPS)
         self._write_generation(number, number, totals["next_row"], self.chunks(), none, None, keep_rows=True)

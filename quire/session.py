@@ -49,12 +49,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; ``options`` are the writer's.
 
     Several passes over the same derived table then read columnar files, and a
     lost executor costs a re-read instead of a recomputation.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

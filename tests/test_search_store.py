@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quire.operators import bm25, dense
 from quire.plans import retrieval
 from quire.plans.search_store import SearchStore
-from quire.session import scratch_path
+from quire.session import materialize, scratch_path
 from tests.test_retrieval import query_frame
 
 SCHEMA = "chunk_id string, text string, file_name string, category string, document_id string"
@@ -123,3 +123,29 @@ def test_only_new_texts_meet_the_encoder(spark):
     answers = retrieval.answer_queries(store.open(), query_frame(spark, ["another end"]), encoder=dense.hashed_term_encoder())
     assert answers.first()["citations"][0] == "a"
     assert store.chunks(names(spark, "a")).filter(F.col("file_name") != "a").count() == 0
+
+
+def test_of_equal_chunks_as_many_stay_as_there_are(spark):
+    store = SearchStore(spark, scratch_path(spark, "store"), buckets=2)
+    twice = chunks_of(spark, {"a": ["the cat sat"], "b": ["a dog ran far"]})
+    store.build(twice.unionByName(twice))
+    assert store.refresh(twice, names(spark, "a").unionByName(names(spark, "b"))) == {"removed": 2, "added": 0, "kept": 2}
+    assert statistics_of(store.open()) == statistics_of(retrieval.build_search_index(twice))
+    assert sorted(r[0] for r in store.open().chunks.select("chunk_id").collect()) == ["a_0", "b_0"]
+
+
+def test_postings_of_a_word_are_stored_together_and_chunks_where_they_are_made(spark):
+    texts = {"a": ["the cat sat on the mat", ""], "b": ["the dog and the cat"] * 40, "c": ["\u00c9t\u00e9 the the"]}
+    chunks = materialize(chunks_of(spark, texts).coalesce(1).withColumn("row", F.monotonically_increasing_id() + 5), "chunks")
+    packed = bm25.packed_entries_of(chunks)
+    lists = packed.filter("term IS NOT NULL")
+    assert lists.count() == lists.select("term").distinct().count()
+    got = sorted(map(tuple, bm25.unpacked(lists).select("term", "row", "tf", "length").collect()))
+    plain = bm25.entries_of(chunks, row=F.col("row"))
+    assert got == sorted(map(tuple, plain.filter("term IS NOT NULL").select("term", "row", "tf", "length").collect()))
+    counts = packed.transform(bm25.packed_counts).groupBy("term").agg(F.sum("df"), F.sum("total_length"))
+    assert sorted(map(str, counts.collect())) == sorted(str(r) for r in bm25.term_counts(plain).toDF(*counts.columns).collect())
+
+    store = SearchStore(spark, scratch_path(spark, "store"), buckets=2)
+    store.build(chunks_of(spark, texts))
+    assert spark.read.parquet(f"{store.path}/postings").count() < plain.filter("term IS NOT NULL").count() // 3
