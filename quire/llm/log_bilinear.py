@@ -138,6 +138,14 @@ class Vocabulary:
         return number, of
 
 
+def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to that of its number; numbers may repeat."""
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+    if len(first):
+        to[at[order[first]]] += np.add.reduceat(rows[order], first)
+
+
 # --- the model --------------------------------------------------------------------
 
 
@@ -190,21 +198,14 @@ class Model:
             g = -w / (1 + np.exp(good))
             f = w[:, None] / (1 + np.exp(-fake))
             d_hidden = g[:, None] * self.target[target] + f @ self.target[false]
-            slope = {"target": np.zeros_like(self.target), "bias": np.zeros_like(self.bias)}
-            by_target = np.zeros((CLASSES, len(rows)))
-            by_target[target, np.arange(len(rows))] = g
-            np.add.at(by_target, false, f.T)
-            slope["target"] = by_target @ hidden
-            slope["bias"] = by_target.sum(1)
-            slope["context"] = np.zeros_like(self.context)
-            slope["place"] = np.zeros_like(self.place)
+            slope = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
+            _add_rows(slope["target"], target, g[:, None] * hidden)
+            np.add.at(slope["target"], false, f.T @ hidden)
+            slope["bias"] = np.bincount(target, g, CLASSES) + np.bincount(false, f.sum(0), CLASSES)
             for j in range(ORDER):
                 own = self.context[rows[:, j]]
                 slope["place"][j] = (d_hidden * own).sum(0)
-                pushed = d_hidden * self.place[j]
-                order = np.argsort(rows[:, j], kind="stable")
-                first = np.flatnonzero(np.diff(rows[order, j], prepend=-1))
-                slope["context"][rows[order[first], j]] += np.add.reduceat(pushed[order], first)
+                _add_rows(slope["context"], rows[:, j], d_hidden * self.place[j])
             for n, s in slope.items():
                 self.steps[n] += s * s
                 getattr(self, n).__isub__(rate * s / np.sqrt(self.steps[n]))

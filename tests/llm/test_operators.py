@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -498,3 +499,21 @@ def test_license_notices_side_by_side():
 
 def test_free_name(docs):
     assert free_name(docs, "Piece") == "Piece_" and free_name(docs, "new") == "new"
+
+
+def test_log_bilinear_training_step_takes_no_table_of_classes_by_rows():
+    lbl = log_bilinear
+    rng = np.random.default_rng(3)
+    at, rows = rng.integers(0, 9, 200), rng.normal(size=(200, 4))
+    want = np.zeros((9, 4))
+    np.add.at(want, at, rows)
+    model, seen = lbl.Model(np.ones(lbl.CLASSES)), rng.integers(0, lbl.CLASSES, (2048, lbl.ORDER + 1))
+    model.train(seen, np.ones(2048), rng)
+    tracemalloc.start()
+    model.train(seen, np.ones(2048), rng)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * lbl.CLASSES * 2048
+    got = np.zeros((9, 4))
+    lbl._add_rows(got, at, rows)
+    assert np.allclose(got, want)
