@@ -40,6 +40,29 @@ FIRST_READ, GROWTH = 4096, 4
 SLICE_BYTES = 8_000_000
 
 
+# By byte: is it part of a word?  All bytes of a character beyond ASCII are.
+IN_WORD = np.array([b > 0x7F or chr(b).isalnum() for b in range(256)])
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow over texts: how many have a word, and all their words, for each batch."""
+    for batch in batches:
+        texts = batch.column(0).cast(pa.large_binary()).drop_null()
+        if not len(texts):
+            continue
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        inside = IN_WORD[np.frombuffer(data, np.uint8, ends[-1] - ends[0], ends[0])] if ends[-1] > ends[0] else np.zeros(0, bool)
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        # A text's first byte follows nothing.
+        first = (ends[:-1] - ends[0])[np.diff(ends) > 0]
+        begins[first] = inside[first]
+        # Words up to each end, and so those of each text.
+        upto = np.searchsorted(np.flatnonzero(begins), ends - ends[0])
+        yield pa.RecordBatch.from_arrays([pa.array([int((np.diff(upto) > 0).sum())]), pa.array([int(upto[-1])])], ["docs", "words"])
+
+
 def _impacts(n_docs: int, n_words: int, schema: pa.Schema):
     """mapInArrow over d, doc_id, text: a row for each document, and one for each of its words with its impact."""
 
@@ -96,10 +119,8 @@ def impact_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``d`` numbers the rows, so repeated rows and NULL ids stay apart.  NULL and empty
     texts have no words and don't count as documents; other columns are not read.
     """
-    words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD))
-    total = docs.select(words.cast("long").alias("n")).agg(
-        F.coalesce(F.count_if(F.col("n") > 0), F.lit(0)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")
-    ).first()
+    counted = docs.select(F.col(text_col).cast("string")).mapInArrow(_count_words, "docs long, words long")
+    total = counted.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
     schema = T.StructType(
         [
             T.StructField("word", T.StringType()), T.StructField("d", T.LongType()),

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quire.llm import ranked_search as rs
@@ -95,3 +96,14 @@ def test_most_of_the_frequent_lists_stays_unread(spark, monkeypatch):
     assert found.count() == 6
     seen = spark.read.parquet(*{p for p in found.inputFiles()})
     assert seen.count() < 100
+
+
+def test_words_are_counted_by_bytes_and_without_the_regex_engine():
+    texts = ["a bc", None, "", " .", "d", "é1ü x-y", "z", "\x00q\x7f r", "aa" * 9] * 3
+    want = [len(re.findall(rs.WORD, t or "")) for t in texts]
+    for begin in (0, 2, 3, 26):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]).slice(begin)
+        got = [(r["docs"], r["words"]) for out in rs._count_words(iter([batch])) for r in out.to_pylist()]
+        assert got == [(sum(n > 0 for n in want[begin:]), sum(want[begin:]))]
+    nothing = pa.RecordBatch.from_arrays([pa.array([None], pa.string())], ["text"])
+    assert list(rs._count_words(iter([nothing]))) == []
