@@ -10,18 +10,19 @@ the products of all contexts of a batch with all classes are normalised by their
 sums, so the probabilities of the classes add up to one; within a class a word
 has its share of the class's counts, plus one.
 
-Counts of words are exact and cover all training texts.  Words too rare for a
-bounded dictionary are joined with their counts instead.
+Counts of words are exact and cover all training texts.  Words too rare or too
+long for a bounded dictionary are joined with their counts instead.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -38,10 +39,17 @@ WIDTH = 16
 
 # Words that make up 1 / DICTIONARY of all tokens or more: there can't be more than DICTIONARY of them.
 DICTIONARY = 500_000
-# A task hands on its counts when it holds so many words.
+# Words of more bytes are joined, however frequent, unless they are classes of their own.
+LONG_WORD = 128
+# A task hands on its counts when it holds so many words, or words of so many bytes.
 HELD_WORDS = 500_000
+HELD_BYTES = 32 << 20
 # Tokens worked on at once.
 TOKENS = 1_000_000
+# Bytes of text scored at once, should the tokens be long.
+TEXT_BYTES = 16 << 20
+# Rows handed on at once.
+ROWS = 65_536
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -71,21 +79,29 @@ class _Suffixes(dict):
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[bytes] = Counter()
+    read = 0  # the held words have no more bytes
 
     def out() -> Iterator[pa.RecordBatch]:
         words, times = list(counts), list(counts.values())
-        for at in range(0, len(words), 65536):
+        for at in range(0, len(words), ROWS):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words[at : at + 65536], pa.binary()), pa.array(times[at : at + 65536], pa.int64())], ["word", "n"]
+                [pa.array(words[at : at + ROWS], pa.binary()), pa.array(times[at : at + ROWS], pa.int64())], ["word", "n"]
             )
         counts.clear()
 
     for batch in batches:
         for text in batch.column(0):
             if text.is_valid:
-                counts.update(tokens_of(text.as_buffer().to_pybytes()))
-            if len(counts) > HELD_WORDS:
+                own = text.as_buffer().to_pybytes()
+                counts.update(tokens_of(own))
+                read += len(own)
+            full = len(counts) > HELD_WORDS
+            if read > HELD_BYTES:
+                read = sum(map(len, counts))
+                full |= read > HELD_BYTES // 2
+            if full:
                 yield from out()
+                read = 0
     yield from out()
 
 
@@ -104,8 +120,11 @@ class Vocabulary:
         self.tokens = totals[0] + n_texts
         self.words = totals[1] + (n_texts > 0)
         least = max(1, -(-self.tokens // DICTIONARY))
-        frequent = counts.filter(F.col("n") >= least).toPandas()
+        frequent, size = counts.filter(F.col("n") >= least), F.octet_length("word")
+        long = frequent.filter(size > LONG_WORD).orderBy(F.desc("n"), "word").limit(TOP - 1)
+        frequent = pd.concat([frequent.filter(size <= LONG_WORD).toPandas(), long.toPandas()])
         frequent = frequent.sort_values(["n", "word"], ascending=[False, True], kind="stable")
+        frequent = frequent[(np.arange(len(frequent)) < TOP - 1) | (frequent["word"].map(len) <= LONG_WORD)]
         words = [bytes(w) for w in frequent["word"]]
         self.number = {w: i for i, w in enumerate(words)}
         self.of_word = np.array([i + 1 if i < TOP - 1 else suffix_class(w) for i, w in enumerate(words)], np.int16)
@@ -211,43 +230,78 @@ class Model:
                 getattr(self, n).__isub__(rate * s / np.sqrt(self.steps[n]))
 
 
-def windows(classes: list[np.ndarray]) -> np.ndarray:
-    """(context..., target) rows of texts given as classes, each ending with END."""
-    flat = np.concatenate(classes).astype(np.int64)
-    place = np.concatenate([np.arange(len(c)) for c in classes])
-    out = np.empty((len(flat), ORDER + 1), np.int64)
-    out[:, ORDER] = flat
+def windows(classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """(context..., target) rows of texts given as classes, one after the other, each ending with END."""
+    starts = np.cumsum(lengths) - lengths
+    out = np.empty((len(classes), ORDER + 1), np.int16)
+    out[:, ORDER] = classes
     for j in range(ORDER):
         back = j + 1
-        out[:, j] = np.where(place >= back, np.concatenate([np.full(back, PAD), flat[: len(flat) - back]])[: len(flat)], PAD)
+        out[back:, j] = classes[: max(0, len(classes) - back)]
+        for place in range(back):
+            out[starts[lengths > place] + place, j] = PAD
     return out
 
 
-def distinct_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    code = rows[:, 0]
-    for j in range(1, ORDER + 1):
-        code = code * (CLASSES + 1) + rows[:, j]
-    code, n = np.unique(code, return_counts=True)
-    out = np.empty((len(code), ORDER + 1), np.int64)
-    for j in range(ORDER, -1, -1):
+def _codes(rows: np.ndarray) -> np.ndarray:
+    """A number for each row of classes; (CLASSES + 1) ** (ORDER + 1) are fewer than 2 ** 31."""
+    code = rows[:, 0].astype(np.int32)
+    for j in range(1, rows.shape[1]):
+        code = code * np.int32(CLASSES + 1) + rows[:, j]
+    return code
+
+
+def _of_codes(code: np.ndarray, width: int) -> np.ndarray:
+    out = np.empty((len(code), width), np.int16)
+    for j in range(width - 1, -1, -1):
         code, out[:, j] = np.divmod(code, CLASSES + 1)
-    return out, n
+    return out
 
 
-def _in_blocks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, suffixes: _Suffixes, column: int) -> Iterator[list]:
-    """Texts of a task in blocks of TOKENS or a little more: (batch, row, words, numbers, classes with END)."""
-    block, held = [], 0
+def distinct_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    code, n = np.unique(_codes(rows), return_counts=True)
+    return _of_codes(code, ORDER + 1), n
+
+
+class _Block:
+    """Texts of a task, one after the other, as flat arrays: no object stays for a text, nor for a word unless it is rare."""
+
+    def __init__(self):
+        self.beside: list[pa.RecordBatch] = []  # the texts' other columns
+        self.numbers, self.classes = array("i"), array("h")  # of words; each text ends with -1 and END
+        self.lengths = array("q")  # words and end
+        self.rare, self.times, self.n_rare = [], array("q"), array("i")
+        self.bytes = 0
+
+    def add(self, text: bytes, vocabulary: Vocabulary, suffixes: _Suffixes) -> None:
+        words = tokens_of(text)
+        number, of = vocabulary.classify(words, suffixes)
+        rare = Counter(words[i] for i in np.flatnonzero(number < 0).tolist())
+        self.numbers.frombytes(number.tobytes())
+        self.numbers.append(-1)
+        self.classes.frombytes(of.tobytes())
+        self.classes.append(END)
+        self.lengths.append(len(words) + 1)
+        self.rare.extend(rare)
+        self.times.extend(rare.values())
+        self.n_rare.append(len(rare))
+        self.bytes += len(text)
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, suffixes: _Suffixes, column: int) -> Iterator[_Block]:
+    """Texts of a task in blocks of TOKENS or TEXT_BYTES, or a little more."""
+    block = _Block()
     for batch in batches:
-        for row, text in enumerate(batch.column(column)):
-            words = tokens_of(text.as_buffer().to_pybytes() if text.is_valid else None)
-            number, of = vocabulary.classify(words, suffixes)
-            rare = Counter(words[i] for i in np.flatnonzero(number < 0).tolist())
-            block.append((batch, row, rare, number, np.append(of, np.int16(END))))
-            held += len(words) + 1
-            if held >= TOKENS:
+        others, first = batch.select([c for c in range(batch.num_columns) if c != column]), 0
+        for end, text in enumerate(batch.column(column), 1):
+            block.add(text.as_buffer().to_pybytes() if text.is_valid else b"", vocabulary, suffixes)
+            if len(block.numbers) >= TOKENS or block.bytes >= TEXT_BYTES:
+                block.beside.append(others.slice(first, end - first))
                 yield block
-                block, held = [], 0
-    if block:
+                block, first = _Block(), end
+        if first < batch.num_rows:
+            block.beside.append(others.slice(first))
+    if block.lengths:
         yield block
 
 
@@ -262,19 +316,20 @@ class _Classes(dict):
         return self.suffixes[word[-2:]]
 
 
-def _class_blocks(batches: Iterator[pa.RecordBatch], classes: _Classes, column: int) -> Iterator[list[np.ndarray]]:
-    """The blocks of ``_in_blocks``, of which training needs the classes only."""
-    block, held = [], 0
+def _class_blocks(batches: Iterator[pa.RecordBatch], classes: _Classes, column: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts of a task in blocks of TOKENS or a little more: their classes, one text after the other, and their lengths."""
+    flat, lengths = array("h"), array("q")
     for batch in batches:
         for text in batch.column(column):
             words = tokens_of(text.as_buffer().to_pybytes() if text.is_valid else None)
-            block.append(np.fromiter(chain(map(classes.__getitem__, words), (END,)), np.int16, len(words) + 1))
-            held += len(words) + 1
-            if held >= TOKENS:
-                yield block
-                block, held = [], 0
-    if block:
-        yield block
+            flat.extend(map(classes.__getitem__, words))
+            flat.append(END)
+            lengths.append(len(words) + 1)
+            if len(flat) >= TOKENS:
+                yield np.frombuffer(flat, np.int16), np.frombuffer(lengths, np.int64)
+                flat, lengths = array("h"), array("q")
+    if lengths:
+        yield np.frombuffer(flat, np.int16), np.frombuffer(lengths, np.int64)
 
 
 def train(training: DataFrame, text_col: str, vocabulary: Vocabulary, rounds: int = 2) -> Model:
@@ -290,7 +345,7 @@ def train(training: DataFrame, text_col: str, vocabulary: Vocabulary, rounds: in
             own, rng, seen = Model(v.class_count), np.random.default_rng(step), 0
             own.load(start)
             for block in _class_blocks(batches, _Classes(v), 0):
-                rows, n = distinct_windows(windows(block))
+                rows, n = distinct_windows(windows(*block))
                 order = rng.permutation(len(rows))
                 own.train(rows[order], n[order].astype(np.float64), rng, rate=0.1 / (step + 1))
                 seen += int(n.sum())
@@ -321,36 +376,33 @@ def score_parts(docs: DataFrame, vocabulary: Vocabulary, model: Model) -> DataFr
         (v, m), suffixes = load(), _Suffixes()
         known_end = np.log10(v.end_count + 1.0)
         for block in _in_blocks(batches, v, suffixes, 1):
-            rows = windows([of for *_, of in block])
-            context = rows[:, 0]
-            for j in range(1, ORDER):
-                context = context * (CLASSES + 1) + rows[:, j]
-            distinct, at = np.unique(context, return_inverse=True)
+            lengths, number = np.frombuffer(block.lengths, np.int64), np.frombuffer(block.numbers, np.int32)
+            rows, starts = windows(np.frombuffer(block.classes, np.int16), lengths), np.cumsum(lengths) - lengths
+            distinct, at = np.unique(_codes(rows[:, :ORDER]), return_inverse=True)
             chosen = np.empty(len(rows))
             order = np.argsort(at, kind="stable")
             cuts = np.searchsorted(at[order], np.arange(0, len(distinct) + 4096, 4096))
             for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                part = distinct[k * 4096 : (k + 1) * 4096]
-                contexts = np.empty((len(part), ORDER), np.int64)
-                for j in range(ORDER - 1, -1, -1):
-                    part, contexts[:, j] = np.divmod(part, CLASSES + 1)
-                table = m.log_probabilities(contexts)
+                table = m.log_probabilities(_of_codes(distinct[k * 4096 : (k + 1) * 4096], ORDER))
                 own = order[a:b]
                 chosen[own] = table[at[own] - k * 4096, rows[own, ORDER]]
             chosen = chosen / np.log(10) - v.log_class[rows[:, ORDER]]
-            sums = np.add.reduceat(chosen, np.cumsum([0, *[len(of) for *_, of in block[:-1]]]))
-            out = []
-            for (batch, row, rare, number, of), total in zip(block, sums.tolist()):
-                common = number[number >= 0]
-                logs = v.log_count[common]
-                shared = logs[v.of_word[common] >= TOP].sum() if len(common) else 0.0
-                out.append((
-                    *(batch.column(c)[row].as_py() for c in (0, 2, 3)), len(of), len(common) + (v.end_count > 0),
-                    float(logs.sum() + known_end), float(total + shared), list(rare), list(rare.values()),
-                ))
-            kinds = [batch.column(c).type for c in (0, 2, 3)] + [pa.int64()] * 2 + [pa.float64()] * 2
-            kinds += [pa.list_(pa.binary()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], schema.names)
+            common = number >= 0
+            logs = np.zeros(len(rows))
+            logs[common] = v.log_count[number[common]]
+            chosen[rows[:, ORDER] >= TOP] += logs[rows[:, ORDER] >= TOP]  # the words' shares of their classes
+            ends = np.cumsum([0, *block.n_rare], dtype=np.int32)
+            beside = pa.Table.from_batches(block.beside).combine_chunks()
+            out = pa.RecordBatch.from_arrays(
+                [
+                    *(c.chunk(0) for c in beside.columns), pa.array(lengths), pa.array(np.add.reduceat(common.astype(np.int64), starts) + (v.end_count > 0)),
+                    pa.array(np.add.reduceat(logs, starts) + known_end), pa.array(np.add.reduceat(chosen, starts)),
+                    pa.ListArray.from_arrays(ends, pa.array(block.rare, pa.binary())), pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(block.times, np.int64))),
+                ],
+                schema.names,
+            )
+            for first in range(0, out.num_rows, ROWS):
+                yield out.slice(first, ROWS)
 
     given = docs.select("row", "text", "doc_id", "held_out")
     sums = "n_tokens long, n_known long, log_known double, log_model double, words array<binary>, times array<long>"

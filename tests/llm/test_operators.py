@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import xxhash
@@ -517,3 +518,42 @@ def test_log_bilinear_training_step_takes_no_table_of_classes_by_rows():
     got = np.zeros((9, 4))
     lbl._add_rows(got, at, rows)
     assert np.allclose(got, want)
+
+
+def test_log_bilinear_tasks_hold_little_of_short_texts_and_of_long_words(monkeypatch):
+    lbl = log_bilinear
+    monkeypatch.setattr(lbl, "TEXT_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(lbl, "HELD_BYTES", 1 << 20, raising=False)
+    vocabulary = lbl.Vocabulary.__new__(lbl.Vocabulary)
+    vocabulary.number, vocabulary.of_word = {}, np.zeros(0, np.int16)
+
+    def peak(work, texts):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+        tracemalloc.start()
+        for _ in work(batch.slice(at, 100) for at in range(0, len(texts), 100)):
+            pass
+        out = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out
+
+    scored = lambda batches: lbl._in_blocks(batches, vocabulary, lbl._Suffixes(), 0)
+    trained = lambda batches: lbl._class_blocks(batches, {}, 0)
+    long = [f"{i:06}" * 2000 for i in range(4000)]  # 48 MB
+    assert peak(scored, [None, ""] * 50_000) < 10 << 20
+    assert peak(trained, [None, ""] * 50_000) < 4 << 20
+    assert peak(scored, long) < 8 << 20
+    assert peak(lbl._count_words, long) < 8 << 20
+
+
+def test_long_words_are_joined(spark, docs, monkeypatch):
+    lbl = log_bilinear
+    counts = spark.createDataFrame([(b"%03d" % i * 100, 400 - i) for i in range(400)] + [(b"short", 1)], "word binary, n long").cache()
+    assert set(lbl.Vocabulary(counts, 1).number) == {b"%03d" % i * 100 for i in range(lbl.TOP - 1)} | {b"short"}
+    scores = lambda: collected(lbl.lm_scores(docs).selectExpr("doc_id", "n_tokens", "n_known", "round(base_score, 5) b", "round(score, 5) s"), *"doc_id n_tokens n_known b s".split())
+    whole = scores()
+    monkeypatch.setattr(lbl, "TOP", 4)
+    monkeypatch.setattr(lbl, "SUFFIXES", lbl.CLASSES - 4)
+    few = scores()
+    for name in ("LONG_WORD", "TEXT_BYTES", "HELD_BYTES", "ROWS"):
+        monkeypatch.setattr(lbl, name, 1)
+    assert scores() == few != whole
