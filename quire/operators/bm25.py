@@ -3,7 +3,7 @@
 The index is a table of postings, sorted by word batch by batch, and in every file when laid out by it.  A search reads the
 postings of the queries' words and no texts.  Postings are packed into bundles of chunks,
 queries into blocks, and every block meets every bundle in a task, which adds up one query
-after the other and keeps its k best.
+after the other, or many at once in tiles (``tiles``), and keeps the k best of each.
 
 With ``skip_blocks`` each list is cut into blocks of like impact instead, of which the
 largest is known, and a query reads blocks in the order in which they lower, for each
@@ -31,6 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from quire.fixed_values import BM25_B, BM25_EPSILON, BM25_K1
 from quire.functions import text as tx
 from quire.functions.text import words_in
+from quire.operators import tiles
 from quire.operators.topk import DECIMALS, among, sent
 from quire.session import materialize
 
@@ -48,8 +49,14 @@ SUMS_PER_TASK = 2_000_000
 MAX_BLOCKS = 2_000_000
 # Bounds are compared with this much room, more than sums of doubles differ by.
 MARGIN = 1e-6
-# Chunks of a bundle, as a power of two; postings a task holds before it packs them; words of a block of queries.
-BUNDLE_BITS, HELD_POSTINGS, BLOCK_WORDS = 14, 500_000, 100_000
+# Chunks of a bundle at most, as a power of two; postings a task holds before it packs them; words of a block of queries.
+BUNDLE_BITS, HELD_POSTINGS, BLOCK_WORDS = 16, 500_000, 400_000
+# Words of the chunks of a bundle, by their mean length.
+BUNDLE_WORDS = 3_000_000
+# Blocks of so many queries are added up in tiles.
+TILED_QUERIES = 256
+# Bars of queries that a task keeps.
+HELD_BARS = 8_000_000
 # Blocks of queries up to this size are sent to all tasks; larger tables are read by the tasks that need them.
 SENT_BYTES = 64 * 1024 * 1024
 # Bytes of chunks whose words a task counts at once.
@@ -431,15 +438,21 @@ def _scores(lists: DataFrame, plan: DataFrame, k: int, all_others: bool) -> Data
 _PIECE = "bundle long, number binary, place binary, impact binary"
 
 
+def _bundle_bits(mean_length: float) -> int:
+    """Chunks of a bundle, as a power of two: fewer where they are long."""
+    return min(BUNDLE_BITS, max(0, int(BUNDLE_WORDS / max(1.0, mean_length)).bit_length() - 1))
+
+
 def _cut_postings(postings: DataFrame, mean_length: float) -> DataFrame:
     """Pieces of bundles where they lie: ``bundle``, and of its postings the word, the place in the bundle and the impact."""
+    bits = _bundle_bits(mean_length)
 
     def pieces(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, row, tf, length = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(4))
-        bundle = row >> BUNDLE_BITS
+        bundle = row >> bits
         order = np.argsort(bundle, kind="stable")
         impact = tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * length / mean_length))
-        place = (row & ((1 << BUNDLE_BITS) - 1)).astype(np.int32)
+        place = (row & ((1 << bits) - 1)).astype(np.int32)
         cuts = np.append(np.flatnonzero(np.diff(bundle[order], prepend=-1)), len(order))
         for i, j in zip(cuts.tolist(), cuts[1:].tolist()):
             own = order[i:j]
@@ -539,9 +552,11 @@ class _Best:
         return self.held[0]
 
 
-def _sum_up(pairs: DataFrame, k: int, below: bool) -> DataFrame:
+def _sum_up(pairs: DataFrame, k: int, below: bool, bits: int) -> DataFrame:
     """``q, row, score``, at least the k best of each query, from pairs of a block of queries and a bundle.
 
+    A large block without weights of 0 or less is added up in tiles, any other query by query.
+
     ``below``: also all rows that score below 0, of a query that has not k above 0 in the task.
     """
 
@@ -550,6 +565,8 @@ def _sum_up(pairs: DataFrame, k: int, below: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[tuple, tuple[np.ndarray, _Best]] = {}
+        bars: dict[tuple, tiles.Bars] = {}
+        unpacked_bundle: tuple | None = None
 
         def flush() -> Iterator[pa.RecordBatch]:
             for numbers, top in best.values():
@@ -565,10 +582,23 @@ def _sum_up(pairs: DataFrame, k: int, below: bool) -> DataFrame:
                 columns = [c[i].as_py() if t is None else np.frombuffer(c[i].as_buffer(), t) for c, t in zip(batch.columns, kinds)]
                 q, words, term, weight, bundle, number, place, impact = columns
                 key = (int(q[0]), len(q))
+                if len(q) >= TILED_QUERIES and weight.min() > 0:
+                    # Pairs of a bundle come one after another for the most part.
+                    if unpacked_bundle is None or unpacked_bundle[0] != bundle:
+                        unpacked_bundle = (bundle, tiles.Bundle(number, place, impact))
+                    if key not in bars:
+                        if sum(b.values.size for b in bars.values()) > HELD_BARS:
+                            bars.clear()
+                        bars[key] = tiles.Bars(k, len(q))
+                    query, rows, scores = tiles.best_in(unpacked_bundle[1], words, term, weight, bars[key])
+                    for at in range(0, len(query), 65536):
+                        part = slice(at, at + 65536)
+                        yield out(q[query[part]], rows[part] + (bundle << bits), scores[part])
+                    continue
                 if key not in best:
                     best[key] = (q.copy(), _Best(k, len(q)))
                 top = best[key][1]
-                floor, first = top.floor, bundle << BUNDLE_BITS
+                floor, first = top.floor, bundle << bits
                 size = int(place.max()) + 1
                 # Where the list of each word of a query begins and ends in the bundle.
                 begin, end = np.searchsorted(number, term), np.searchsorted(number, term, "right")
@@ -616,7 +646,7 @@ def _all_scores(index: Bm25Index, numbers: DataFrame, weights: DataFrame, k: int
         pairs = bundles.crossJoin(F.broadcast(blocks))
     else:
         pairs = materialize(bundles, "bm25-bundles").crossJoin(blocks)
-    return _sum_up(pairs, k, pad)
+    return _sum_up(pairs, k, pad, _bundle_bits(index.mean_length or 1.0))
 
 
 def _zero_rows(index: Bm25Index, asked: DataFrame, scored: DataFrame, k: int) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire import fixed_values as fixed
-from quire.operators import answering, bm25, dense, ranking, topk
+from quire.operators import answering, bm25, dense, ranking, tiles, topk
 from quire.plans import retrieval
 from quire.session import materialize, scratch_path
 
@@ -313,3 +313,43 @@ def test_entries_come_sorted_by_word(spark):
     assert [r[4] for r in bm25.entries_of(texts).filter("term IS NULL").collect()] == ["c0", "c1", "c2", "c3"]
     assert found[4:] == [("a", 0, 1, 3), ("a", 2, 1, 2), ("b", 0, 2, 3), ("b", 3, 1, 2), ("c", 2, 1, 2), ("é", 3, 1, 2)]
     assert "Sort" not in bm25.entries_of(texts)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("pad,held", [(False, 8_000_000), (True, 0)])
+def test_bm25_in_tiles(spark, monkeypatch, pad, held):
+    """Small tiles of several bundles, words that are multiplied and added, equal scores, a bar that is lost between blocks."""
+    for name, value in {"BUNDLE_BITS": 6, "BLOCK_WORDS": 40, "TILED_QUERIES": 2, "HELD_BARS": held}.items():
+        monkeypatch.setattr(bm25, name, value)
+    for name, value in {"HEIGHT": 3, "WIDTH": 16, "TILE_WORDS": 9, "DENSE_SHARE": 0.1, "MOST_DENSE": 5, "ADDED": 7, "SCORED": 11, "GROUPS": 3}.items():
+        monkeypatch.setattr(tiles, name, value)
+    rng = np.random.default_rng(9)
+    words = [f"w{int(n)}" for n in rng.zipf(1.4, 4000) if n < 400]
+    texts = [" ".join(rng.choice(words, size=rng.integers(1, 30))) for _ in range(300)] + ["w3 w9 w2"] * 12 + [""]
+    queries = [" ".join(rng.choice(words, size=rng.integers(1, 20))) for _ in range(40)] + ["w3 w9 w2", "w2", "", "none", "w1 " * 30]
+    index = bm25.build_index(chunk_frame(spark, texts))
+    hits = bm25.bm25_topk(index, query_frame(spark, queries), 4, pad_to_k=pad)
+    got = sorted((r[0], r[1], round(r[2], 6) + 0.0, r[3]) for r in hits.collect())
+    assert got == sorted(python_bm25(texts, queries, 4, pad))
+
+
+def test_tiles_keep_the_best_rows_only():
+    """Of 3,000 rows and 300 queries few are given back, and all that belong to the best; the second bundle gives fewer."""
+    rng = np.random.default_rng(4)
+    term = np.stack([rng.choice(500, 12, replace=False) for _ in range(300)])
+    weight = rng.uniform(0.1, 9, term.shape)
+    bars, before, seen = tiles.Bars(5, 300), None, np.zeros((300, 0))
+    for _ in range(2):
+        has = rng.random((500, 3000)) < 0.3 / np.arange(1, 501)[:, None] ** 0.5
+        number, place = np.nonzero(has)
+        impact = rng.uniform(0.2, 2.5, len(number))
+        query, row, score = tiles.best_in(tiles.Bundle(number, place.astype(np.int32), impact), np.full(300, 12), term.ravel(), weight.ravel(), bars)
+        table = np.zeros((500, 3000))
+        table[number, place] = impact
+        exact = np.einsum("qt,qtr->qr", weight, table[term])
+        assert np.allclose(score, exact[query, row], rtol=1e-12, atol=0)
+        seen = np.concatenate([seen, exact], 1)
+        kth = np.sort(seen, axis=1)[:, -5]
+        wanted = {(q, r) for q, r in zip(*np.nonzero(exact >= kth[:, None]))}
+        assert wanted <= set(zip(query.tolist(), row.tolist())) and len(query) < 300 * 8
+        assert before is None or len(query) < before
+        before = len(query)
