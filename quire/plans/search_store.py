@@ -37,15 +37,24 @@ def _bitmaps(rows: DataFrame, *by: str) -> DataFrame:
     return blocks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits"))
 
 
+def _in_numbers(bitmaps: DataFrame) -> DataFrame:
+    """``block, numbers``: each bitmap as numbers of 64 bits, worked out once for a bitmap and not for each row it meets."""
+    each = F.sequence(F.lit(0), F.lit(BITMAP_BYTES // 8 - 1))
+    digits = lambda i: F.hex(F.substring(F.col("bits"), i * 8 + 1, F.lit(8)))
+    return bitmaps.select("block", F.transform(each, lambda i: F.conv(digits(i), 16, -10).cast("bigint")).alias("numbers"))
+
+
 def _picked(rows: DataFrame, bitmaps: DataFrame, inside: bool) -> DataFrame:
     """The rows whose number is in the bitmaps (of each block one), or is not; they are not shuffled while the bitmaps are small."""
-    if bitmaps.count() * BITMAP_BYTES <= SENT_BYTES:
+    few = bitmaps.count() * BITMAP_BYTES <= SENT_BYTES
+    bitmaps = _in_numbers(bitmaps)
+    if few:
         bitmaps = F.broadcast(bitmaps)
     place = F.bitmap_bit_position("row")
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    bit = F.getbit(byte, (place % 8).cast("int"))
+    # The first byte of a number is the highest.
+    bit = F.getbit(F.get("numbers", F.shiftright(place, 6).cast("int")), place.bitwiseAND(63).bitwiseXOR(56).cast("int"))
     with_bits = rows.withColumn("block", F.bitmap_bucket_number("row")).join(bitmaps, "block", "inner" if inside else "left")
-    return with_bits.filter(F.coalesce(bit, F.lit(0)) == int(inside)).drop("block", "bits")
+    return with_bits.filter(F.coalesce(bit, F.lit(0)) == int(inside)).drop("block", "numbers")
 
 
 def _fingerprint() -> Column:
@@ -88,7 +97,7 @@ class SearchStore:
         return T.StructType(
             {
                 "chunks": [
-                    *[field(c, text) for c in COLUMNS], field("embedding", T.ArrayType(T.FloatType())), field("row", number),
+                    *[field(c, text) for c in COLUMNS], field("embedding", T.BinaryType()), field("row", number),
                     field(FILE_BUCKET, whole),
                 ],
                 "postings": [*bm25.PACKED, field(bm25.POSTING_BUCKET, whole)],
@@ -104,6 +113,10 @@ class SearchStore:
 
     def chunks(self, files: DataFrame | None = None) -> DataFrame:
         """All chunks that hold; with ``files`` (a stored table of ``file_name``) those of these files, read from their buckets."""
+        return self._held(files).withColumn("embedding", dense.in_lists("embedding"))
+
+    def _held(self, files: DataFrame | None = None) -> DataFrame:
+        """The chunks that hold, vectors as bytes."""
         totals = self._complete()
         rows = self._read("chunks", self._schema("chunks"), totals)
         if files is not None:
@@ -126,7 +139,7 @@ class SearchStore:
         return totals
 
     def open(self) -> SearchIndex:
-        """The index as it is now; later refreshes don't change what an opened index returns."""
+        """The index as it is now, vectors as bytes; later refreshes don't change what an opened index returns."""
         totals = self._complete()
         entries = self._read("postings", self._schema("postings"), totals)
         removed = self._removed(totals)
@@ -186,7 +199,7 @@ class SearchStore:
         """Index all chunks; what the store held before no longer counts."""
         before = self.totals()
         number, first_row = (before["generation"] + 1, before["next_row"]) if before else (1, 0)
-        embedded = dense.embed(chunks.select(*COLUMNS), "text", self.encoder)
+        embedded = dense.embed(chunks.select(*COLUMNS), "text", self.encoder, as_bytes=True)
         self._write_generation(number, number, first_row, embedded, self.spark.createDataFrame([], BITMAPS), None)
 
     def refresh(self, chunks: DataFrame, files: DataFrame) -> dict:
@@ -215,7 +228,7 @@ class SearchStore:
         n_gone, n_come = (b.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0))).first()[0] for b in (gone, come))
         if n_gone or n_come:
             lost = bm25.packed_counts(bm25.packed_entries_of(_picked(stored, gone, True)))
-            embedded = dense.embed(_picked(new, come, True).select(*COLUMNS), "text", self.encoder)
+            embedded = dense.embed(_picked(new, come, True).select(*COLUMNS), "text", self.encoder, as_bytes=True)
             self._write_generation(
                 totals["generation"] + 1, totals["first_generation"], totals["next_row"], embedded, gone, lost
             )
@@ -226,4 +239,4 @@ class SearchStore:
         totals = self._complete()
         number = totals["generation"] + 1
         none = self.spark.createDataFrame([], BITMAPS)
-        self._write_generation(number, number, totals["next_row"], self.chunks(), none, None, keep_rows=True)
+        self._write_generation(number, number, totals["next_row"], self._held(), none, None, keep_rows=True)

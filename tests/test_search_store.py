@@ -2,10 +2,10 @@ import glob
 import os
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from quire.operators import bm25, dense
-from quire.plans import retrieval
+from quire.plans import retrieval, search_store
 from quire.plans.search_store import SearchStore
 from quire.session import materialize, scratch_path
 from tests.test_retrieval import query_frame
@@ -149,3 +149,26 @@ def test_postings_of_a_word_are_stored_together_and_chunks_where_they_are_made(s
     store = SearchStore(spark, scratch_path(spark, "store"), buckets=2)
     store.build(chunks_of(spark, texts))
     assert spark.read.parquet(f"{store.path}/postings").count() < plain.filter("term IS NOT NULL").count() // 3
+
+
+def test_vectors_are_stored_as_bytes_and_given_as_numbers(spark):
+    store = SearchStore(spark, scratch_path(spark, "store"), buckets=2)
+    store.build(chunks_of(spark, FIRST))
+    assert store.open().chunks.schema["embedding"].dataType == T.BinaryType()
+    wanted = {r["chunk_id"]: r["embedding"] for r in dense.embed(chunks_of(spark, FIRST)).collect()}
+    assert {r["chunk_id"]: r["embedding"] for r in store.chunks().collect()} == wanted
+    uneven = spark.createDataFrame([(1, bytearray(8)), (2, bytearray(4))], "chunk_id long, embedding binary").coalesce(1)
+    with pytest.raises(Exception, match="not all of"):
+        dense.dense_topk(uneven, spark.createDataFrame([(1, [0.0, 1.0])], "query_id long, embedding array<float>")).collect()
+
+
+def test_rows_are_picked_by_bitmaps(spark):
+    """Rows at the edges of bytes, of numbers of 64 bits and of bitmaps; a bitmap is read once, not for each row."""
+    numbers = [0, 1, 7, 8, 9, 63, 64, 65, 32767, 32768, 32769, 70000]
+    rows = spark.createDataFrame([(n,) for n in [*numbers, 2, 62, 66, 32766, 69999, 200000]], "row long")
+    bitmaps = materialize(search_store._bitmaps(spark.createDataFrame([(n,) for n in numbers], "row long")), "bitmaps")
+    assert sorted(r[0] for r in search_store._picked(rows, bitmaps, True).collect()) == numbers
+    rest = search_store._picked(rows, bitmaps, False)
+    assert sorted(r[0] for r in rest.collect()) == [2, 62, 66, 32766, 69999, 200000]
+    plan = rest._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("conv(") > plan.index("Join")
