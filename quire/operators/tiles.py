@@ -15,13 +15,13 @@ HEIGHT, WIDTH, TILE_WORDS = 1024, 1024, 60_000
 # A word is multiplied if it is in this share of the pairs of a tile at least, up to so many words; adding a posting costs as much as hundreds of products.
 DENSE_SHARE, MOST_DENSE = 0.002, 1024
 # Postings added at once.
-ADDED = 2_000_000
+ADDED = 500_000
 # Chunks are grouped by the most frequent words of their bundle.
 GROUPS, GROUP_WORDS, ROUNDS = 12, 64, 5
 # Bounds are compared with this much room, more than sums of doubles differ by.
 MARGIN = 1e-6
 # Exact scores worked out at once: words of queries, over all hits.
-SCORED = 4_000_000
+SCORED = 500_000
 # The error of a single-precision sum of positive numbers, for each number.
 EPSILON = 1.2e-7
 
